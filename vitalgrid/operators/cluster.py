@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA
@@ -17,6 +20,7 @@ from vitalgrid.session import checkpointed
 
 SEED = 42
 RESTARTS = 10
+PARALLEL_FITS = 5
 
 
 def standardize(df: DataFrame, columns: list[str], by: list[str] = ()) -> DataFrame:
@@ -49,12 +53,14 @@ def kmeans(
         labels = points.withColumn("cluster", F.lit(0))
         inertia, iterations = 0.0, 0
     else:
-        best = None
-        for i in range(restarts):
-            algorithm = KMeans(k=used, seed=seed + i, maxIter=100, featuresCol="_features", predictionCol="cluster")
-            model = algorithm.fit(fitted)
-            if best is None or model.summary.trainingCost < best.summary.trainingCost:
-                best = model
+
+        def fit(i: int):
+            start = KMeans(k=used, seed=seed + i, maxIter=100, featuresCol="_features", predictionCol="cluster")
+            return start.fit(fitted)
+
+        with ThreadPool(min(restarts, PARALLEL_FITS)) as pool:
+            models = pool.map(inheritable_thread_target(points.sparkSession)(fit), range(restarts))
+        best = min(models, key=lambda m: m.summary.trainingCost)
         labels = best.transform(data).drop("_features")
         inertia, iterations = float(best.summary.trainingCost), int(best.summary.numIter)
     fitted.unpersist()

@@ -9,6 +9,7 @@ from vitalgrid.functions.stats import approximate_entropy_of
 from vitalgrid.operators.align import DAY, resample
 from vitalgrid.plans.series import Series, attach, has_large_series
 from vitalgrid.plans.summaries import quantiles
+from vitalgrid.session import stored
 
 MIN_ROWS = 10
 MIN_DAYS = 3
@@ -125,6 +126,10 @@ def _longest_run(holds) -> Column:
     return F.aggregate(F.col("_xs"), start, step, lambda acc: acc["best"].cast("double"))
 
 
+def _share_beyond(xs: Column, centre: Column, distance: Column, n: Column) -> Column:
+    return F.size(F.filter(xs, lambda x: F.abs(x - centre) > distance)) / n
+
+
 def _extended() -> dict[str, Column]:
     """A larger set: the efficient one and what plain aggregates can add."""
     n, xs, mean = F.col("_n").cast("double"), F.col("_xs"), F.col("_mean")
@@ -155,8 +160,7 @@ def _extended() -> dict[str, Column]:
     }
     for r in ("0_5", "1", "2", "3"):
         bound = float(r.replace("_", "."))
-        beyond = F.filter(xs, lambda x, b=bound: F.abs(x - mean) > b * std)
-        extra[f"ratio_beyond_r_sigma__r_{r}"] = F.size(beyond) / n
+        extra[f"ratio_beyond_r_sigma__r_{r}"] = _share_beyond(xs, mean, bound * std, n)
     repeated = F.filter(
         F.array_distinct(xs), lambda x: F.size(F.filter(F.col("_xs"), lambda y: y == x)) > 1
     )
@@ -302,8 +306,8 @@ def extract_features(
         windows = sleep_windows(df, keys, ts, value, sliced)
     else:
         windows = to_windows(df, keys, value, order or [ts], requested, sliced)
-    matrix = impute(window_features(windows, keys, kind))
-    matrix = drop_constant(matrix)
+    matrix = stored(window_features(windows, keys, kind), "features")
+    matrix = drop_constant(impute(matrix))
     used = matrix.groupBy(*keys).agg(F.count("*").alias("windows"))
     sizes = df.groupBy(*keys).agg(F.count("*").alias("original_rows"), F.count(value).alias("_known"))
     size = F.lit(requested) if data_type == "sleep" else F.coalesce(window_size(F.col("_known"), requested), F.lit(requested))

@@ -18,6 +18,7 @@ TERMS = 2 + CHANGEPOINTS + 2 * HARMONICS
 KNOTS = [0.8 * (j + 1) / (CHANGEPOINTS + 1) for j in range(CHANGEPOINTS)]
 RIDGE = np.array([0.0, 0.0] + [1.0] * (TERMS - 2))
 DAY_US = 86_400_000_000
+REFERENCE_US = 1_577_836_800_000_000  # 2020-01-01, keeps the day numbers small
 
 
 def training_frame(df: DataFrame, keys: list[str], ts: str, value: str) -> DataFrame:
@@ -42,23 +43,32 @@ def future_grid(train: DataFrame, keys: list[str], periods: int = 100, step_seco
 # hour profile: a straight line plus the mean deviation of each hour of the day -------------------
 
 
-def _days_since(first: Column) -> Column:
-    return (micros("ts") - first) / F.lit(float(DAY_US))
+def _days(us: Column) -> Column:
+    return us / F.lit(float(DAY_US))
 
 
 def fit_hour_profile(train: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per series: start, intercept, slope per day, deviation per hour, residual size."""
-    start = train.groupBy(*keys).agg(F.min(micros("ts")).alias("start_us"))
-    rows = attach(train, start, keys).withColumn("_t", _days_since(F.col("start_us")))
-    line = rows.groupBy(*keys).agg(
+    """One row per series: start, intercept there, slope per day, deviation per hour, residual size.
+    The line takes one aggregate; the deviations per hour take the second pass."""
+    day = _days(micros("ts") - F.lit(REFERENCE_US))
+    line = train.groupBy(*keys).agg(
+        F.min(micros("ts")).alias("start_us"),
+        F.max(micros("ts")).alias("last_us"),
         F.avg("y").alias("_my"),
-        F.avg("_t").alias("_mt"),
-        F.covar_pop("y", "_t").alias("_cov"),
-        F.var_pop("_t").alias("_var"),
+        F.avg(day).alias("_mt"),
+        F.covar_pop("y", day).alias("_cov"),
+        F.var_pop(day).alias("_var"),
     )
     slope = F.coalesce(F.try_divide(F.col("_cov"), F.col("_var")), F.lit(0.0))
-    line = line.select(*keys, slope.alias("slope"), (F.col("_my") - slope * F.col("_mt")).alias("intercept"))
-    rows = attach(rows, line, keys).withColumn("_d", F.col("y") - F.col("intercept") - F.col("slope") * F.col("_t"))
+    at_start = _days(F.col("start_us") - F.lit(REFERENCE_US))
+    line = line.select(
+        *keys,
+        "start_us",
+        "last_us",
+        slope.alias("slope"),
+        (F.col("_my") + slope * (at_start - F.col("_mt"))).alias("intercept"),
+    )
+    rows = attach(train, line, keys).withColumn("_d", F.col("y") - _line())
     hours = rows.groupBy(*keys, F.hour("ts").alias("_h")).agg(
         F.avg("_d").alias("_m"), F.var_pop("_d").alias("_v"), F.count("*").alias("_c")
     )
@@ -67,13 +77,17 @@ def fit_hour_profile(train: DataFrame, keys: list[str]) -> DataFrame:
         F.sqrt(F.sum(F.col("_v") * F.col("_c")) / F.sum("_c")).alias("sigma"),
         F.sum("_c").alias("training_rows"),
     )
-    return attach(attach(start, line, keys), profile, keys)
+    return attach(line, profile, keys)
+
+
+def _line() -> Column:
+    return F.col("intercept") + F.col("slope") * _days(micros("ts") - F.col("start_us"))
 
 
 def predict_hour_profile(model: DataFrame, grid: DataFrame, keys: list[str]) -> DataFrame:
     rows = attach(grid, model, keys)
     hour = F.coalesce(F.try_element_at(F.col("profile"), F.hour("ts")), F.lit(0.0))
-    yhat = F.col("intercept") + F.col("slope") * _days_since(F.col("start_us")) + hour
+    yhat = _line() + hour
     return _with_interval(rows, grid, yhat)
 
 
@@ -200,8 +214,12 @@ MODELS = {
 
 
 def residual_frame(train: DataFrame, forecast: DataFrame, keys: list[str]) -> DataFrame:
-    joined = attach(train, forecast.select(*keys, "ts", "yhat", "yhat_lower", "yhat_upper"), [*keys, "ts"])
-    return joined.withColumn("residual", F.col("y") - F.col("yhat")).withColumn("residual_abs", F.abs("residual"))
+    """Readings next to a forecast by series and time; times without a forecast stay, with nulls."""
+    return with_residuals(attach(train, forecast.select(*keys, "ts", "yhat", "yhat_lower", "yhat_upper"), [*keys, "ts"]))
+
+
+def with_residuals(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("residual", F.col("y") - F.col("yhat")).withColumn("residual_abs", F.abs("residual"))
 
 
 def accuracy(residuals: DataFrame, keys: list[str]) -> DataFrame:
@@ -238,8 +256,10 @@ def fit_and_predict(
     """Returns the forecast (history and future), the residuals and a report per series."""
     fit, predict = MODELS[model]
     train = training_frame(df, keys, ts, value)
-    forecast = predict(fit(train, keys), future_grid(train, keys, periods, step_seconds), keys)
-    residuals = residual_frame(train, forecast, keys)
+    fitted = fit(train, keys)
+    forecast = predict(fitted, future_grid(train, keys, periods, step_seconds), keys)
+    # the forecast at a training row depends on its time alone: no join on the time is needed
+    residuals = with_residuals(predict(fitted, train, keys))
     everyone = df.groupBy(*keys).agg(F.count(value).alias("_known"))
     report = attach(everyone, accuracy(residuals, keys), keys).select(
         *keys,

@@ -54,13 +54,16 @@ def compare_tiles(
     spread = points.join(sizes, "_cell").withColumn("_tile", F.pmod(F.xxhash64("id"), F.col("_tiles")))
     rows = spread.groupBy("_cell", "_tile").agg(F.collect_list(F.struct("id", "vec", *extras)).alias("_rows"))
 
+    def field(name: str):
+        return F.transform("_rows", lambda r: r[name])
+
     def side(name: str) -> DataFrame:
         return rows.select(
             F.col("_cell").alias(f"{name}_cell"),
             F.col("_tile").alias(f"{name}_tile"),
-            F.transform("_rows", lambda r: r["id"]).alias(f"{name}_id"),
-            F.flatten(F.transform("_rows", lambda r: r["vec"])).alias(f"{name}_vec"),
-            *[F.transform("_rows", lambda r, e=e: r[e]).alias(f"{name}_{e}") for e in extras],
+            field("id").alias(f"{name}_id"),
+            F.flatten(field("vec")).alias(f"{name}_vec"),
+            *[field(e).alias(f"{name}_{e}") for e in extras],
         )
 
     near = sizes.select(F.col("_cell").alias("a_cell"), F.col("_tiles").alias("_a"))

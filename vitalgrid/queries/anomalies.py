@@ -185,7 +185,7 @@ COUNTS = f"""
 
 @query(
     "n8_breakdown",
-    f"{RESIDUAL} SELECT data_type, method, anomalies, {R('round_even(100::double * anomalies / rows, 2)')} AS percentage FROM ({COUNTS})",
+    f"{RESIDUAL} SELECT data_type, method, anomalies, {R('round_even((100::double * anomalies / rows)::decimal(28, 10), 2)')} AS percentage FROM ({COUNTS})",
 )
 def _(t):
     return anomaly.breakdown(reports(t))

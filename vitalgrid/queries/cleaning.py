@@ -50,7 +50,7 @@ def _(t):
     "f3_unparsed_timestamps",
     f"""
     SELECT user_id, count(*) FILTER (ts IS NULL) AS invalid_timestamps,
-           {R("round_even(100.0 * count(*) FILTER (ts IS NULL) / count(*), 1)")} AS invalid_percentage
+           {R("round_even((100.0 * count(*) FILTER (ts IS NULL) / count(*))::decimal(28, 10), 1)")} AS invalid_percentage
     FROM ({TIMES}) GROUP BY user_id
     """,
 )

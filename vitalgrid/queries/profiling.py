@@ -44,7 +44,7 @@ USER_BOUNDS = """
     "q1_outlier_report",
     f"""
     SELECT user_id, 'value' AS "column", count(*) FILTER (value < lower OR value > upper) AS outliers,
-           {R("round_even(100 * (count(*) FILTER (value < lower OR value > upper))::double / count(*), 2)")} AS percentage,
+           {R("round_even((100 * (count(*) FILTER (value < lower OR value > upper))::double / count(*))::decimal(28, 10), 2)")} AS percentage,
            {R("any_value(lower)")} AS lower, {R("any_value(upper)")} AS upper
     FROM events JOIN ({USER_BOUNDS}) USING (user_id) GROUP BY user_id
     """,
@@ -70,9 +70,9 @@ def nullable(t):
     i AS (SELECT user_id, (max(ts) > TIMESTAMP '2024-01-30 12:00:00')::int + (max(value) > 220)::int AS issues
           FROM events GROUP BY user_id)
     SELECT user_id, count(*) AS rows, any_value(issues)::bigint AS issues,
-           {R('''round_even(100::double * ((1 - count(*) FILTER (kind IS NULL)::double / (count(*) * 4)) * 0.4::double
+           {R('''round_even((100::double * ((1 - count(*) FILTER (kind IS NULL)::double / (count(*) * 4)) * 0.4::double
              + greatest(0::double, 0.3::double - least(any_value(issues) * 0.05::double, 0.3::double))
-             + (1 - count(*) FILTER (out)::double / count(*)) * 0.3::double), 2)''')} AS quality_score
+             + (1 - count(*) FILTER (out)::double / count(*)) * 0.3::double))::decimal(28, 10), 2)''')} AS quality_score
     FROM f JOIN i USING (user_id) GROUP BY user_id
     """,
 )
@@ -99,8 +99,8 @@ def _(t):
     facts AS (SELECT user_id, count(*) FILTER (kind IS NULL) AS nulls,
                      count(*) FILTER (v < q1 - 1.5::double * (q3 - q1) OR v > q3 + 1.5::double * (q3 - q1)) AS outs
               FROM base JOIN q USING (user_id) GROUP BY user_id)
-    SELECT user_id, {R('''round_even((1 - nulls::double / (rows * 3)) * 40 + (1 - dups::double / rows) * 30
-                       + (1 - outs::double / rows) * 30, 2)''')} AS quality_score
+    SELECT user_id, {R('''round_even(((1 - nulls::double / (rows * 3)) * 40 + (1 - dups::double / rows) * 30
+                       + (1 - outs::double / rows) * 30)::decimal(28, 10), 2)''')} AS quality_score
     FROM dup JOIN facts USING (user_id)
     """,
 )
@@ -147,7 +147,7 @@ def _(t):
     d AS (SELECT o_orderstatus, sum(n - 1)::bigint AS dups FROM (SELECT o_orderstatus, count(*) AS n FROM base
           GROUP BY o_orderstatus, priority, o_totalprice, o_orderdate) GROUP BY o_orderstatus)
     SELECT o_orderstatus, count(*) FILTER (priority IS NULL) AS total_missing,
-           {R("round_even(100 * (count(*) FILTER (priority IS NULL))::double / (count(*) * 3), 2)")} AS missing_percentage,
+           {R("round_even((100 * (count(*) FILTER (priority IS NULL))::double / (count(*) * 3))::decimal(28, 10), 2)")} AS missing_percentage,
            any_value(dups) AS duplicate_rows,
            count(*) FILTER (o_totalprice < q1 - 1.5::double * (q3 - q1) OR o_totalprice > q3 + 1.5::double * (q3 - q1)) AS total_outliers,
            count(*) FILTER (o_orderdate > TIMESTAMP '2000-01-01') AS future_dates,
@@ -285,9 +285,9 @@ def _(t):
     before AS (SELECT user_id, count(*) AS n FROM flagged GROUP BY user_id)
     SELECT user_id, original_rows, invalid_timestamps, future_timestamps, heart_rate_out_of_range, issues, final_rows,
            n - final_rows AS duplicates_removed, original_rows - final_rows AS rows_removed,
-           {R('''round_even(100::double * ((1 - nulls::double / (final_rows * 3)) * 0.4::double
+           {R('''round_even((100::double * ((1 - nulls::double / (final_rows * 3)) * 0.4::double
              + greatest(0::double, 0.3::double - least(issues * 0.05::double, 0.3::double))
-             + (1 - outs::double / final_rows) * 0.3::double), 2)''')} AS quality_score
+             + (1 - outs::double / final_rows) * 0.3::double))::decimal(28, 10), 2)''')} AS quality_score
     FROM issue JOIN final USING (user_id) JOIN before USING (user_id)
     """,
 )

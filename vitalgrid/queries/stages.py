@@ -14,15 +14,7 @@ def heart(t):
 CLIPPED = "SELECT event_type, event_id, ts, CASE WHEN value < 30 THEN 30::double WHEN value > 220 THEN 220::double ELSE value END AS value FROM events"
 
 
-@query(
-    "l1_preprocess",
-    times.ALIGNED.replace("FROM events", f"FROM ({CLIPPED})")
-    + f"""
-    SELECT event_type, b AS ts, {R('''CASE WHEN v IS NOT NULL THEN v
-           ELSE pv + (nv - pv) * ((epoch_us(b) - epoch_us(pb))::double / (epoch_us(nb) - epoch_us(pb))) END''')} AS heart_rate
-    FROM w
-    """,
-)
+@query("l1_preprocess", times.ALIGNED.replace("FROM events", f"FROM ({CLIPPED})"))
 def _(t):
     stage = stages.preprocess(heart(t), ["event_type"], "heart_rate", "ts", "15 min", "interpolate", ["ts", "event_id"])
     return stage.data.select("event_type", "ts", "heart_rate")
@@ -36,15 +28,15 @@ def _(t):
     o AS (SELECT event_type, count(*) AS n, count(*) FILTER (value < q1 - 1.5::double * (q3 - q1) OR value > q3 + 1.5::double * (q3 - q1)) AS outs
           FROM c JOIN q USING (event_type) GROUP BY event_type),
     i AS (SELECT event_type, (count(*) FILTER (value < 30 OR value > 220) > 0)::int AS issues,
-                 time_bucket(INTERVAL 15 MINUTE, min(ts)) AS b0, time_bucket(INTERVAL 15 MINUTE, max(ts)) AS b1 FROM events GROUP BY event_type)
-    SELECT event_type, 'heart_rate' AS data_type, ((epoch_us(b1) - epoch_us(b0)) // 900000000 + 1)::bigint AS records, 3::bigint AS columns,
-           {R("round_even(100::double * (0.4::double + greatest(0::double, 0.3::double - least(issues * 0.05::double, 0.3::double)) + (1 - outs::double / n) * 0.3::double), 2)")} AS quality_score,
+                 time_bucket(INTERVAL 1 HOUR, min(ts)) AS b0, time_bucket(INTERVAL 1 HOUR, max(ts)) AS b1 FROM events GROUP BY event_type)
+    SELECT event_type, 'heart_rate' AS data_type, ((epoch_us(b1) - epoch_us(b0)) // 3600000000 + 1)::bigint AS records, 3::bigint AS columns,
+           {R("round_even((100::double * (0.4::double + greatest(0::double, 0.3::double - least(issues * 0.05::double, 0.3::double)) + (1 - outs::double / n) * 0.3::double))::decimal(28, 10), 2)")} AS quality_score,
            {R("(epoch_us(b1) - epoch_us(b0)) / 3600000000::double")} AS span_hours
     FROM o JOIN i USING (event_type)
     """,
 )
 def _(t):
-    stage = stages.preprocess(heart(t), ["event_type"], "heart_rate", "ts", "15 min", "interpolate", ["ts", "event_id"])
+    stage = stages.preprocess(heart(t), ["event_type"], "heart_rate", "ts", "1 hour", "interpolate", ["ts", "event_id"])
     return stage.reports["summary"]
 
 
@@ -74,7 +66,7 @@ def _(t):
 def _(t):
     df = heart(t)
     _first, _second, third = stages.analyse(
-        df, ["event_type"], "heart_rate", "ts", target="15 min", order=["ts", "event_id"], forecaster="hour_profile"
+        df, ["event_type"], "heart_rate", "ts", target="1 hour", order=["ts", "event_id"], forecaster="hour_profile"
     )
     return third.data.select(
         "event_type", "ts", "heart_rate", "threshold_anomaly", "severity", "predicted", "residual_anomaly"

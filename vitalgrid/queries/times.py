@@ -163,19 +163,18 @@ ALIGNED = """
                  first_value(v IGNORE NULLS) OVER n AS nv, first_value(CASE WHEN v IS NOT NULL THEN b END IGNORE NULLS) OVER n AS nb
           FROM j
           WINDOW p AS (PARTITION BY event_type ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
-                 n AS (PARTITION BY event_type ORDER BY b ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
+                 n AS (PARTITION BY event_type ORDER BY b ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+    kept AS (SELECT event_type FROM events GROUP BY event_type
+             HAVING count(*) >= 2 AND (epoch_us(max(ts)) - epoch_us(min(ts))) / 900000000::double > count(*) * 5)
+    SELECT event_type, b AS ts, round(CASE WHEN v IS NOT NULL THEN v
+           ELSE pv + (nv - pv) * ((epoch_us(b) - epoch_us(pb))::double / (epoch_us(nb) - epoch_us(pb))) END, 6) + 0.0::double AS heart_rate
+    FROM w WHERE event_type NOT IN (SELECT event_type FROM kept)
+    UNION ALL
+    SELECT event_type, ts, round(value, 6) + 0.0::double FROM events WHERE event_type IN (SELECT event_type FROM kept)
 """
 
 
-@query(
-    "t8_align",
-    f"""
-    {ALIGNED}
-    SELECT event_type, b AS ts, {R('''CASE WHEN v IS NOT NULL THEN v
-           ELSE pv + (nv - pv) * ((epoch_us(b) - epoch_us(pb))::double / (epoch_us(nb) - epoch_us(pb))) END''')} AS heart_rate
-    FROM w
-    """,
-)
+@query("t8_align", ALIGNED)
 def _(t):
     df = t.events.select("event_type", "event_id", "ts", F.col("value").alias("heart_rate"))
     aligned, _report = align.align(df, ["event_type"], "heart_rate", "ts", "15 min", "interpolate", ["ts", "event_id"])
