@@ -10,23 +10,17 @@ from vitalgrid.catalog import FREQUENCIES, OUTLIER_SUFFIX
 from vitalgrid.functions.expressions import NUMERIC, from_micros, micros, numeric_columns
 from vitalgrid.operators.missing import fill_gaps
 from vitalgrid.plans.series import Series, attach, has_large_series
-from vitalgrid.plans.summaries import mode_of, quantiles
+from vitalgrid.plans.summaries import mode_of, quantiles, with_quantiles
 
 DAY = 86_400
 GRID_CHUNK = 4096
 
 
-def time_differences(df: DataFrame, keys: list[str], ts: str, order: list[str] | None = None, sliced=None) -> DataFrame:
-    """Rows with ``gap_seconds``: time since the row before in the same series."""
-    series = Series.of(df, keys, order or [ts], sliced)
+def with_gaps(series: Series, ts: str) -> Series:
+    """Add ``gap_seconds``: time since the row before in the same series."""
     series = series.neighbours(previous={"_before": micros(ts)})
-    return series.done().withColumn("gap_seconds", (micros(ts) - F.col("_before")) / F.lit(1e6)).drop("_before")
-
-
-def median_gap(gaps: DataFrame, keys: list[str], sliced=None) -> DataFrame:
-    return quantiles(gaps, keys, ["gap_seconds"], [0.5], sliced=sliced).select(
-        *keys, F.col("gap_seconds")[0].alias("median_seconds")
-    )
+    gap = (micros(ts) - F.col("_before")) / F.lit(1e6)
+    return series.with_columns({"gap_seconds": gap}).drop("_before")
 
 
 def frequency_name(seconds: Column, rows: Column) -> Column:
@@ -38,17 +32,26 @@ def frequency_name(seconds: Column, rows: Column) -> Column:
     )
 
 
-def detect_frequency(df: DataFrame, keys: list[str], ts: str, order: list[str] | None = None, sliced=None) -> DataFrame:
-    """One row per series: rows, median step in seconds and its name."""
+def series_steps(df: DataFrame, keys: list[str], ts: str, order=None, sliced: bool | None = None) -> DataFrame:
+    """One row per series: rows, first and last time, median step."""
     if sliced is None:
         sliced = has_large_series(df, keys)
     narrow = df.select(*dict.fromkeys([*keys, ts, *(order or [])]))
-    gaps = time_differences(narrow, keys, ts, order, sliced)
+    gaps = with_gaps(Series.of(narrow, keys, order or [ts], sliced), ts).done()
+    facts = [F.count("*").alias("rows"), F.min(ts).alias("first"), F.max(ts).alias("last")]
     if not sliced:
-        facts = gaps.groupBy(*keys).agg(F.count("*").alias("rows"), F.percentile("gap_seconds", F.lit(0.5)).alias("median_seconds"))
-    else:
-        facts = attach(gaps.groupBy(*keys).agg(F.count("*").alias("rows")), median_gap(gaps, keys, sliced), keys)
-    return facts.withColumn("frequency", frequency_name(F.col("median_seconds"), F.col("rows")))
+        median = F.percentile("gap_seconds", F.lit(0.5)).alias("median_seconds")
+        return gaps.groupBy(*keys).agg(*facts, median)
+    median = quantiles(gaps, keys, ["gap_seconds"], [0.5], sliced=True)
+    median = median.select(*keys, F.col("gap_seconds")[0].alias("median_seconds"))
+    return attach(gaps.groupBy(*keys).agg(*facts), median, keys)
+
+
+def detect_frequency(df: DataFrame, keys: list[str], ts: str, order=None, sliced: bool | None = None) -> DataFrame:
+    """One row per series: rows, median step in seconds and its name."""
+    steps = series_steps(df, keys, ts, order, sliced)
+    name = frequency_name(F.col("median_seconds"), F.col("rows"))
+    return steps.select(*keys, "rows", "median_seconds", name.alias("frequency"))
 
 
 def frequency_minutes(name: Column) -> Column:
@@ -58,18 +61,29 @@ def frequency_minutes(name: Column) -> Column:
     return F.when(n.contains("min"), digits).when(n.contains("sec"), digits / 60).when(n.contains("hour"), digits * 60)
 
 
+def _growth(seconds: int) -> dict[str, Column]:
+    """Frequency, rows to expect, and whether to resample, from the columns of ``series_steps``."""
+    minutes = (micros("last") - micros("first")) / F.lit(60e6)
+    expected = minutes / F.lit(seconds / 60)
+    name = frequency_name(F.col("median_seconds"), F.col("rows"))
+    grows = frequency_minutes(name).isNotNull() & (expected > F.col("rows") * 5)
+    return {"frequency": name, "expected_rows": expected, "resample": ~F.coalesce(grows, F.lit(False))}
+
+
 def expansion_guard(df: DataFrame, keys: list[str], ts: str, seconds: int, order=None, sliced=None) -> DataFrame:
     """One row per series: its frequency, time span, and whether resampling to ``seconds`` would
     make more than five times the rows (``resample`` false)."""
-    freq = detect_frequency(df, keys, ts, order, sliced)
-    span = df.groupBy(*keys).agg(F.min(ts).alias("first"), F.max(ts).alias("last"))
-    both = attach(freq, span, keys)
-    minutes = (micros("last") - micros("first")) / F.lit(60e6)
-    expected = minutes / F.lit(seconds / 60)
-    known = frequency_minutes(F.col("frequency")).isNotNull()
-    return both.withColumns(
-        {"expected_rows": expected, "resample": ~F.coalesce(known & (expected > F.col("rows") * 5), F.lit(False))}
-    )
+    steps = series_steps(df, keys, ts, order, sliced).withColumns(_growth(seconds))
+    return steps.select(*keys, "rows", "median_seconds", "frequency", "first", "last", "expected_rows", "resample")
+
+
+def with_guard(series: Series, ts: str, seconds: int) -> Series:
+    """The same test as a column ``resample`` on the rows."""
+    series = with_quantiles(with_gaps(series, ts), ["gap_seconds"], [0.5], "_gap_")
+    series = series.stats({"rows": F.count("*"), "first": F.min(ts), "last": F.max(ts)})
+    series = series.with_columns({"median_seconds": F.col("_gap_gap_seconds")[0]})
+    series = series.with_columns({"resample": _growth(seconds)["resample"]})
+    return series.drop("gap_seconds", "_gap_gap_seconds", "median_seconds", "rows", "first", "last")
 
 
 def to_bins(df: DataFrame, keys: list[str], ts: str, seconds: int, name: str = "_bin") -> DataFrame:
@@ -211,9 +225,8 @@ def align(
     seconds = FREQUENCIES[target]
     if sliced is None:
         sliced = has_large_series(df, keys)
-    guard = expansion_guard(df, keys, ts, seconds, order, sliced)
     rules = smart_rules(df, keys, ts, helpers)
-    marked = attach(df, guard.select(*keys, "resample"), keys)
+    marked = with_guard(Series.of(df, keys, order or [ts], sliced), ts, seconds).done()
     kept = marked.filter(~F.col("resample")).select(*keys, ts, *rules)
     binned = resample(marked.filter("resample"), keys, ts, seconds, rules, order, True, sliced)
     numbers = numeric_columns(df.select(*rules))
@@ -221,6 +234,7 @@ def align(
     kept = kept.select(*keys, ts, *[F.col(c).cast(filled.schema[c].dataType).alias(c) for c in rules])
     aligned = filled.select(*keys, ts, *rules).unionByName(kept)
     after = series_extent(aligned, keys, ts).select(*keys, F.col("rows").alias("resampled_rows"), "span_hours")
+    guard = expansion_guard(df, keys, ts, seconds, order, sliced)
     report = attach(guard, after, keys).select(
         *keys,
         F.lit(data_type).alias("data_type"),
@@ -236,9 +250,8 @@ def align(
 
 def flag_unusual_gaps(df: DataFrame, keys: list[str], ts: str, order=None, sliced=None) -> DataFrame:
     """``dst_transition``: the step from the row before is more than twice the median step."""
-    if sliced is None:
-        sliced = has_large_series(df, keys)
-    gaps = time_differences(df, keys, ts, order, sliced)
-    marked = attach(gaps, median_gap(gaps, keys, sliced), keys)
-    flag = F.coalesce(F.col("gap_seconds") > 2 * F.col("median_seconds"), F.lit(False))
-    return marked.withColumn("dst_transition", flag).drop("gap_seconds", "median_seconds")
+    series = with_gaps(Series.of(df, keys, order or [ts], sliced), ts)
+    series = with_quantiles(series, ["gap_seconds"], [0.5], "_median_")
+    wide = F.col("gap_seconds") > 2 * F.col("_median_gap_seconds")[0]
+    series = series.with_columns({"dst_transition": F.coalesce(wide, F.lit(False))})
+    return series.drop("gap_seconds", "_median_gap_seconds").done()

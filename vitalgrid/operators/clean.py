@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vitalgrid.catalog import EARLIEST, VALUE_RANGES
 from vitalgrid.functions.expressions import clip, share
-from vitalgrid.plans.series import attach
+from vitalgrid.plans.series import Series, attach
 
 
 def as_moment(value) -> Column:
@@ -79,6 +79,15 @@ def drop_duplicate_times(df: DataFrame, keys: list[str], ts: str, order: list[st
     return df.groupBy(*keys, ts).agg(first.alias("_row")).select(*keys, ts, "_row.*").select(*df.columns)
 
 
+def keep_first_times(series: Series, ts: str) -> Series:
+    """The same for ordered rows: a row stays when the row before has another time."""
+    if series.order[0] != ts:
+        kept = drop_duplicate_times(series.done(), series.keys, ts, series.order)
+        return Series.of(kept, series.keys, series.order, series.sliced)
+    series = series.neighbours(previous={"_before": F.col(ts)})
+    return series.filter(F.col("_before").isNull() | (F.col("_before") != F.col(ts))).drop("_before")
+
+
 def duplicate_time_report(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
     per_time = df.groupBy(*keys, ts).count()
     return per_time.groupBy(*keys).agg(

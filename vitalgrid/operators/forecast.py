@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitalgrid.functions.expressions import from_micros, micros, share
-from vitalgrid.plans.series import attach, max_series_rows
+from vitalgrid.plans.series import Series, attach, max_series_rows
 
 INTERVAL = 1.96
 CHANGEPOINTS = 25
@@ -21,11 +21,12 @@ DAY_US = 86_400_000_000
 REFERENCE_US = 1_577_836_800_000_000  # 2020-01-01, keeps the day numbers small
 
 
-def training_frame(df: DataFrame, keys: list[str], ts: str, value: str) -> DataFrame:
+def training_frame(
+    df: DataFrame, keys: list[str], ts: str, value: str, sliced: bool | None = None
+) -> DataFrame:
     """(keys, ts, y) without nulls, for series with at least two rows."""
     known = df.select(*keys, F.col(ts).alias("ts"), F.col(value).cast("double").alias("y")).dropna(subset=["ts", "y"])
-    enough = known.groupBy(*keys).agg(F.count("*").alias("_n"))
-    return attach(known, enough, keys).filter("_n >= 2").drop("_n")
+    return Series.of(known, keys, ["ts"], sliced).size("_n").filter(F.col("_n") >= 2).drop("_n").done()
 
 
 def future_grid(train: DataFrame, keys: list[str], periods: int = 100, step_seconds: int = 60) -> DataFrame:
@@ -47,37 +48,37 @@ def _days(us: Column) -> Column:
     return us / F.lit(float(DAY_US))
 
 
-def fit_hour_profile(train: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per series: start, intercept there, slope per day, deviation per hour, residual size.
-    The line takes one aggregate; the deviations per hour take the second pass."""
+def fit_hour_profile(train: DataFrame, keys: list[str], sliced: bool | None = None) -> DataFrame:
+    """One row per series: start, intercept there, slope per day, deviation per hour, residual size."""
     day = _days(micros("ts") - F.lit(REFERENCE_US))
-    line = train.groupBy(*keys).agg(
-        F.min(micros("ts")).alias("start_us"),
-        F.max(micros("ts")).alias("last_us"),
-        F.avg("y").alias("_my"),
-        F.avg(day).alias("_mt"),
-        F.covar_pop("y", day).alias("_cov"),
-        F.var_pop(day).alias("_var"),
+    series = Series.of(train, keys, ["ts"], sliced).stats(
+        {
+            "start_us": F.min(micros("ts")),
+            "last_us": F.max(micros("ts")),
+            "_my": F.avg("y"),
+            "_mt": F.avg(day),
+            "_cov": F.covar_pop("y", day),
+            "_var": F.var_pop(day),
+        }
     )
     slope = F.coalesce(F.try_divide(F.col("_cov"), F.col("_var")), F.lit(0.0))
     at_start = _days(F.col("start_us") - F.lit(REFERENCE_US))
-    line = line.select(
-        *keys,
-        "start_us",
-        "last_us",
-        slope.alias("slope"),
-        (F.col("_my") + slope * (at_start - F.col("_mt"))).alias("intercept"),
-    )
-    rows = attach(train, line, keys).withColumn("_d", F.col("y") - _line())
+    series = series.with_columns({"slope": slope})
+    series = series.with_columns({"intercept": F.col("_my") + F.col("slope") * (at_start - F.col("_mt"))})
+    rows = series.done().withColumn("_d", F.col("y") - _line())
+    line = ["start_us", "last_us", "slope", "intercept"]
     hours = rows.groupBy(*keys, F.hour("ts").alias("_h")).agg(
-        F.avg("_d").alias("_m"), F.var_pop("_d").alias("_v"), F.count("*").alias("_c")
+        F.avg("_d").alias("_m"),
+        F.var_pop("_d").alias("_v"),
+        F.count("*").alias("_c"),
+        *[F.any_value(c).alias(c) for c in line],
     )
-    profile = hours.groupBy(*keys).agg(
+    return hours.groupBy(*keys).agg(
+        *[F.any_value(c).alias(c) for c in line],
         F.map_from_entries(F.collect_list(F.struct("_h", "_m"))).alias("profile"),
         F.sqrt(F.sum(F.col("_v") * F.col("_c")) / F.sum("_c")).alias("sigma"),
         F.sum("_c").alias("training_rows"),
     )
-    return attach(line, profile, keys)
 
 
 def _line() -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from vitalgrid.catalog import BACKFILL_LIMIT, INTERPOLATE_LIMIT
 from vitalgrid.functions.expressions import NUMERIC, micros, numeric_columns
 from vitalgrid.plans.series import Series, attach
-from vitalgrid.plans.summaries import mode_of, quantiles
+from vitalgrid.plans.summaries import with_mode, with_quantiles
 
 
 def _surrounded(series: Series, columns: list[str], at) -> Series:
@@ -45,8 +45,7 @@ def interpolate_rows(
             F.when(pos - b["p"] <= limit, forward),
             F.when(a["p"] - pos <= backfill, a["v"].cast("double")) if backfill else F.lit(None),
         )
-    series = series.with_columns(filled)
-    return series.on(series.df.drop("_pos", *[f"_{s}_{c}" for c in columns for s in "ab"]))
+    return series.with_columns(filled).drop("_pos", *[f"_{s}_{c}" for c in columns for s in "ab"])
 
 
 def interpolate_time(series: Series, columns: list[str], ts: str) -> Series:
@@ -59,8 +58,7 @@ def interpolate_time(series: Series, columns: list[str], ts: str) -> Series:
         c: F.coalesce(F.col(c).cast("double"), _between(c, at), F.col(f"_b_{c}")["v"], F.col(f"_a_{c}")["v"])
         for c in columns
     }
-    series = series.with_columns(filled)
-    return series.on(series.df.drop(*[f"_{s}_{c}" for c in columns for s in "ab"]))
+    return series.with_columns(filled).drop(*[f"_{s}_{c}" for c in columns for s in "ab"])
 
 
 def forward_fill(series: Series, columns: list[str]) -> Series:
@@ -84,27 +82,21 @@ def zero_fill(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return df.withColumns(fills) if fills else df
 
 
-def median_fill(
-    df: DataFrame, keys: list[str], columns: list[str], approx: bool = False, sliced: bool | None = None
-) -> DataFrame:
-    if not columns:
-        return df
-    medians = quantiles(df, keys, columns, [0.5], approx, sliced)
-    medians = medians.select(*keys, *[F.col(c)[0].alias(f"_median_{c}") for c in columns])
-    df = attach(df, medians, keys)
-    filled = {c: F.coalesce(F.col(c).cast("double"), F.col(f"_median_{c}")) for c in columns}
-    return df.withColumns(filled).drop(*[f"_median_{c}" for c in columns])
+def median_fill(series: Series, columns: list[str], approx: bool = False) -> Series:
+    series = with_quantiles(series, columns, [0.5], "_median_", approx)
+    filled = {c: F.coalesce(F.col(c).cast("double"), F.col(f"_median_{c}")[0]) for c in columns}
+    return series.with_columns(filled).drop(*[f"_median_{c}" for c in columns])
 
 
-def mode_fill(df: DataFrame, keys: list[str], columns: list[str], default: str = "unknown") -> DataFrame:
+def mode_fill(series: Series, columns: list[str], default: str = "unknown") -> Series:
     """The most frequent value; text without any value becomes ``default``."""
     for c in columns:
-        best = mode_of(df, keys, c).withColumnRenamed(c, "_mode")
-        fills = [F.col(c), F.col("_mode")]
-        if isinstance(df.schema[c].dataType, T.StringType):
+        series = with_mode(series, c, f"_mode_{c}")
+        fills = [F.col(c), F.col(f"_mode_{c}")]
+        if isinstance(series.df.schema[c].dataType, T.StringType):
             fills.append(F.lit(default))
-        df = attach(df, best, keys).withColumn(c, F.coalesce(*fills)).drop("_mode")
-    return df
+        series = series.with_columns({c: F.coalesce(*fills)})
+    return series.drop(*[f"_mode_{c}" for c in columns])
 
 
 def strategies(df: DataFrame, keys: list[str], ts: str, order: list[str] = ()) -> dict[str, str]:
@@ -141,19 +133,17 @@ def handle_missing(
     """Fill every column by its strategy. Returns the rows and a report: null counts per series
     and column before and after, with the strategy used where something was missing."""
     how = how if how is not None else strategies(df, keys, ts, order or [])
-    before = df
-    pick = lambda name: [c for c, s in how.items() if s == name]
+    series = Series.of(df.filter(F.col(ts).isNotNull()), keys, order or [ts], sliced)
+    filled = fill_missing(series, how).done()
+    return filled, missing_report(df, filled, keys, how)
 
-    df = df.filter(F.col(ts).isNotNull())
-    df = median_fill(df, keys, pick("median"), sliced=sliced)
-    df = mode_fill(df, keys, pick("mode"))
-    ordered = pick("interpolation + backfill"), pick("forward fill")
-    if any(ordered):
-        series = Series.of(df, keys, order or [ts], sliced)
-        series = interpolate_rows(series, ordered[0])
-        series = forward_fill(series, ordered[1])
-        df = series.done()
-    return df, missing_report(before, df, keys, how)
+
+def fill_missing(series: Series, how: dict[str, str]) -> Series:
+    pick = lambda name: [c for c, s in how.items() if s == name]
+    series = interpolate_rows(series, pick("interpolation + backfill"))
+    series = forward_fill(series, pick("forward fill"))
+    series = median_fill(series, pick("median"))
+    return mode_fill(series, pick("mode"))
 
 
 def missing_report(before: DataFrame, after: DataFrame, keys: list[str], how: dict[str, str]) -> DataFrame:

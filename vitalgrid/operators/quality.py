@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from vitalgrid.catalog import OUTLIER_SUFFIX, QUICK_TIMESTAMP_NAMES
 from vitalgrid.functions.expressions import numeric_columns, share
 from vitalgrid.operators.clean import timestamp_checks
-from vitalgrid.plans.series import attach
-from vitalgrid.plans.summaries import quantiles
+from vitalgrid.plans.series import Series, attach
+from vitalgrid.plans.summaries import quantiles, with_quantiles
 
 
 def iqr_bounds(
@@ -48,6 +48,17 @@ def flag_outliers(
     return flagged, outlier_report(flagged, bounds, keys, columns)
 
 
+def mark_outliers(series: Series, columns: list[str], approx: bool = False) -> Series:
+    """The flags alone, for rows that are already grouped by series."""
+    series = with_quantiles(series, columns, [0.25, 0.75], "_q_", approx)
+    flags = {}
+    for c in columns:
+        low, high = F.col(f"_q_{c}")[0], F.col(f"_q_{c}")[1]
+        reach = 1.5 * (high - low)
+        flags[f"{c}{OUTLIER_SUFFIX}"] = F.coalesce((F.col(c) < low - reach) | (F.col(c) > high + reach), F.lit(False))
+    return series.with_columns(flags).drop(*[f"_q_{c}" for c in columns])
+
+
 def outlier_report(flagged: DataFrame, bounds: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     counts = flagged.groupBy(*keys).agg(
         F.count("*").alias("_rows"), *[F.count_if(F.col(f"{c}{OUTLIER_SUFFIX}")).alias(f"_{c}") for c in columns]

@@ -101,6 +101,12 @@ class Series:
     def with_columns(self, columns: dict) -> "Series":
         return self.on(self.df.withColumns(columns)) if columns else self
 
+    def drop(self, *columns) -> "Series":
+        return self.on(self.df.drop(*columns))
+
+    def filter(self, condition: Column) -> "Series":
+        return self.on(self.df.filter(condition))
+
     def done(self) -> DataFrame:
         return self.df.drop(*_HELPERS)
 
@@ -118,11 +124,16 @@ class Series:
 
     def size(self, name: str) -> "Series":
         """Number of rows of the series."""
+        return self.stats({name: F.count("*")})
+
+    def stats(self, aggregates: dict) -> "Series":
+        """Add aggregates over the whole series to its rows. Bounded series use an unordered window
+        on the partitioning they already have; large ones a pre-aggregated join."""
         if not self.sliced:
-            return self.with_columns({name: F.count("*").over(Window.partitionBy(*self.keys))})
-        counts = self._per_slice(F.count("*").alias(name))
-        counts = counts.withColumn(name, F.sum(name).over(Window.partitionBy("_k")))
-        return self.on(self._join_slices(counts))
+            whole = Window.partitionBy(*self.keys)
+            return self.with_columns({n: e.over(whole) for n, e in aggregates.items()})
+        summary = self.df.groupBy(*self.keys).agg(*[e.alias(n) for n, e in aggregates.items()])
+        return self.on(attach(self.df, summary, self.keys))
 
     def known(self, before: dict | None = None, after: dict | None = None) -> "Series":
         """Last non-null value up to this row (``before``), first one from this row on (``after``)."""

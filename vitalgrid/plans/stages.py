@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from vitalgrid.catalog import METRIC_COLUMN, VALUE_RANGES
 from vitalgrid.operators import align as alignment
 from vitalgrid.operators import anomaly, clean, cluster, features, forecast, missing, quality
 from vitalgrid.plans.series import Series, attach, has_large_series
+from vitalgrid.session import stored
 
 
 @dataclass
@@ -32,6 +33,7 @@ def validate(
     sliced: bool | None = None,
 ) -> Stage:
     """Check times and ranges, fill what is missing, flag outliers, drop repeated times, score.
+    The rows need one exchange on the keys; the reports are separate lazy aggregates.
 
     Reports: ``validation`` (one row per series), ``missing`` and ``outliers`` (per column).
     """
@@ -41,10 +43,13 @@ def validate(
     ranges = {c: r for c, r in (ranges or VALUE_RANGES).items() if c in df.columns}
     checked = clean.drop_bad_timestamps(df, ts, as_of, keep_null=True)
     clipped = clean.clip_ranges(checked, ranges)
-    filled, missing_report = missing.handle_missing(clipped, keys, ts, order, how, sliced)
-    numbers = [c for c in quality.numeric_columns(filled, exclude=[*keys, *order])]
-    flagged, outlier_report = quality.flag_outliers(filled, keys, numbers, sliced=sliced)
-    unique = clean.drop_duplicate_times(flagged, keys, ts, order)
+    how = how if how is not None else missing.strategies(clipped, keys, ts, order)
+    series = Series.of(clipped.filter(F.col(ts).isNotNull()), keys, order, sliced)
+    series = missing.fill_missing(series, how)
+    numbers = quality.numeric_columns(series.done(), exclude=[*keys, *order])
+    series = quality.mark_outliers(series, numbers)
+    flagged = series.done()
+    unique = clean.keep_first_times(series, ts).done()
 
     tests = clean.timestamp_checks(ts, as_of)
     in_time = ~(tests["future"] | tests["old"])
@@ -71,7 +76,12 @@ def validate(
     report = final.withColumn("rows_removed", F.col("original_rows") - F.col("final_rows")).withColumn(
         "issue_list", issue_texts(ranges)
     )
-    return Stage(unique, {"validation": report.drop("_before"), "missing": missing_report, "outliers": outlier_report})
+    reports = {
+        "validation": report.drop("_before"),
+        "missing": missing.missing_report(clipped, flagged, keys, how),
+        "outliers": quality.outlier_report(flagged, quality.iqr_bounds(flagged, keys, numbers, sliced=sliced), keys, numbers),
+    }
+    return Stage(unique, reports)
 
 
 def issue_texts(ranges: dict) -> Column:
@@ -195,11 +205,13 @@ def detect(
 
 
 def analyse(df: DataFrame, keys: list[str], data_type: str, ts: str = "timestamp", **options) -> tuple[Stage, Model, Stage]:
-    """All three stages for one data type."""
+    """All three stages for one data type. The aligned rows are written once to the shared folder:
+    every later step reads them there instead of repeating the first stage."""
     early = {n: options[n] for n in ("target", "fill", "order", "as_of", "ranges") if n in options}
     middle = {n: options[n] for n in ("requested", "periods", "method", "k", "forecaster") if n in options}
     late = {n: options[n] for n in ("rule", "threshold_std") if n in options}
     first = preprocess(df, keys, data_type, ts, **early)
+    first = replace(first, data=stored(first.data, "aligned"))
     second = model(first.data, keys, data_type, ts, **middle)
     third = detect(first.data, keys, data_type, ts, forecast=second.forecast, clusters=second.clusters, **late)
     return first, second, third

@@ -66,3 +66,23 @@ def mode_of(df: DataFrame, keys: list[str], column: str) -> DataFrame:
     counted = df.filter(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.count("*").alias("_n"))
     best = F.min(F.struct((-F.col("_n")).alias("n"), F.col(column).alias("v")))
     return counted.groupBy(*keys).agg(best["v"].alias(column))
+
+
+def with_quantiles(series: Series, columns: list[str], probs: list[float], prefix: str, approx: bool = False) -> Series:
+    """Add the quantile array of each column, over the whole series, to its rows."""
+    if not columns:
+        return series
+    if not series.sliced and not approx:
+        wanted = F.array(*[F.lit(float(p)) for p in probs])
+        return series.stats({f"{prefix}{c}": F.percentile(c, wanted) for c in columns})
+    found = quantiles(series.df, series.keys, columns, probs, approx, series.sliced)
+    renamed = found.select(*series.keys, *[F.col(c).alias(f"{prefix}{c}") for c in columns])
+    return series.on(attach(series.df, renamed, series.keys))
+
+
+def with_mode(series: Series, column: str, name: str) -> Series:
+    """Add the most frequent value of ``column`` in the series to its rows."""
+    if not series.sliced:
+        return series.stats({name: F.mode(column, True)})
+    best = mode_of(series.df, series.keys, column).withColumnRenamed(column, name)
+    return series.on(attach(series.df, best, series.keys))

@@ -170,7 +170,7 @@ def _(t):
     """,
 )
 def _(t):
-    return missing.median_fill(gappy(t), ["user_id"], ["v"]).select("event_id", "v")
+    return missing.median_fill(ordered(t), ["v"]).done().select("event_id", "v")
 
 
 @query(
@@ -186,7 +186,7 @@ def _(t):
 )
 def _(t):
     df = t.events.select("event_id", "user_id", F.when(F.col("event_type") != "view", F.col("event_type")).alias("kind"))
-    return missing.mode_fill(df, ["user_id"], ["kind"]).select("event_id", "kind")
+    return missing.mode_fill(Series.of(df, ["user_id"], ["event_id"]), ["kind"]).done().select("event_id", "kind")
 
 
 WIDE = """

@@ -160,7 +160,7 @@ EXTENDED = {
 @query(
     "x22_extended",
     f"""
-    {WINDOWS},
+    {WINDOWS.replace("value AS v", "value / 7 AS v")},
     m AS (SELECT *, max(v) OVER g AS hi, min(v) OVER g AS lo, stddev_pop(v) OVER g AS sd, count(*) OVER (PARTITION BY user_id, window_id, v) AS copies,
                  count(*) OVER g AS n,
                  max(pos) FILTER (NOT v > mu) OVER o AS last_low, max(pos) FILTER (NOT v < mu) OVER o AS last_high
@@ -172,7 +172,9 @@ EXTENDED = {
     """,
 )
 def _(t):
-    matrix = features.window_features(windows(t), ["user_id"], "comprehensive")
+    df = t.events.withColumn("value", F.col("value") / 7)
+    rows = features.to_windows(df, ["user_id"], "value", ["ts", "event_id"])
+    matrix = features.window_features(rows, ["user_id"], "comprehensive")
     return matrix.select("user_id", "window_id", *[f"value__{n}" for n in EXTENDED])
 
 

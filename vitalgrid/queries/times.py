@@ -24,10 +24,11 @@ NAME = """
 
 @query(
     "t1_detect_frequency",
-    f"SELECT user_id, rows, {R('median_seconds')} AS median_seconds, {NAME} AS frequency FROM ({FREQ})",
+    f"SELECT user_id, rows, {R('median_seconds * 1000')} AS median_ms, {NAME} AS frequency FROM ({FREQ})",
 )
 def _(t):
-    return align.detect_frequency(t.events, ["user_id"], "ts", ["ts", "event_id"])
+    found = align.detect_frequency(t.events, ["user_id"], "ts", ["ts", "event_id"])
+    return found.select("user_id", "rows", (F.col("median_seconds") * 1000).alias("median_ms"), "frequency")
 
 
 MINUTES = f"""
@@ -58,13 +59,13 @@ def _(t):
     f"""
     WITH span AS (SELECT user_id, min(ts) AS first, max(ts) AS last, (epoch_us(max(ts)) - epoch_us(min(ts))) / 60000000::double / 120 AS expected
                   FROM events GROUP BY user_id)
-    SELECT user_id, rows, {R('median_seconds')} AS median_seconds, {NAME} AS frequency, first, last,
+    SELECT user_id, rows, {NAME} AS frequency, first, last,
            {R('expected')} AS expected_rows, NOT (rows >= 2 AND expected > rows * 5) AS resample
     FROM ({FREQ}) JOIN span USING (user_id)
     """,
 )
 def _(t):
-    return align.expansion_guard(t.events, ["user_id"], "ts", 7200, ["ts", "event_id"])
+    return align.expansion_guard(t.events, ["user_id"], "ts", 7200, ["ts", "event_id"]).drop("median_seconds")
 
 
 SENSOR = """
