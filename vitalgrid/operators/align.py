@@ -208,20 +208,16 @@ def align(
     """Bring every series of a data type to the target frequency and fill the gaps. Daily sleep
     data and series that would grow more than five times keep their rows. Returns the rows and a
     report per series."""
+    if sliced is None and data_type != "sleep":
+        sliced = has_large_series(df, keys)
+    aligned = align_rows(df, keys, data_type, ts, target, fill, order, sliced)
+    return aligned, align_report(df, aligned, keys, data_type, ts, target, order, sliced)
+
+
+def align_rows(df, keys, data_type, ts="timestamp", target="1 min", fill="interpolate", order=None, sliced=None) -> DataFrame:
     helpers = [c for c in (order or []) if c != ts]
     if data_type == "sleep":
-        extent = series_extent(df, keys, ts)
-        report = extent.select(
-            *keys,
-            F.lit(data_type).alias("data_type"),
-            F.col("rows").alias("original_rows"),
-            F.lit("daily").alias("original_frequency"),
-            F.lit(target).alias("target_frequency"),
-            F.col("rows").alias("resampled_rows"),
-            "span_hours",
-            F.lit(True).alias("success"),
-        )
-        return df.drop(*helpers), report
+        return df.drop(*helpers)
     seconds = FREQUENCIES[target]
     if sliced is None:
         sliced = has_large_series(df, keys)
@@ -231,11 +227,18 @@ def align(
     binned = resample(marked.filter("resample"), keys, ts, seconds, rules, order, True, sliced)
     numbers = numeric_columns(df.select(*rules))
     filled = fill_gaps(Series.of(binned, keys, [ts], sliced), fill, ts, numbers if fill == "interpolate" else None).done()
-    kept = kept.select(*keys, ts, *[F.col(c).cast(filled.schema[c].dataType).alias(c) for c in rules])
-    aligned = filled.select(*keys, ts, *rules).unionByName(kept)
+    kinds = {f.name: f.dataType for f in filled.schema.fields}
+    kept = kept.select(*keys, ts, *[F.col(c).cast(kinds[c]).alias(c) for c in rules])
+    return filled.select(*keys, ts, *rules).unionByName(kept)
+
+
+def align_report(df, aligned, keys, data_type, ts, target, order=None, sliced=None) -> DataFrame:
+    if data_type == "sleep":
+        guard = series_extent(df, keys, ts).select(*keys, "rows", F.lit("daily").alias("frequency"))
+    else:
+        guard = expansion_guard(df, keys, ts, FREQUENCIES[target], order, sliced)
     after = series_extent(aligned, keys, ts).select(*keys, F.col("rows").alias("resampled_rows"), "span_hours")
-    guard = expansion_guard(df, keys, ts, seconds, order, sliced)
-    report = attach(guard, after, keys).select(
+    return attach(guard, after, keys).select(
         *keys,
         F.lit(data_type).alias("data_type"),
         F.col("rows").alias("original_rows"),
@@ -245,7 +248,6 @@ def align(
         "span_hours",
         F.lit(True).alias("success"),
     )
-    return aligned, report
 
 
 def flag_unusual_gaps(df: DataFrame, keys: list[str], ts: str, order=None, sliced=None) -> DataFrame:

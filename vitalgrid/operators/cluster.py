@@ -20,7 +20,7 @@ from vitalgrid.session import checkpointed
 
 SEED = 42
 RESTARTS = 10
-PARALLEL_FITS = 5
+PARALLEL_FITS = 10
 
 
 def standardize(df: DataFrame, columns: list[str], by: list[str] = ()) -> DataFrame:

@@ -91,6 +91,12 @@ class Series:
     def columns(self) -> list[str]:
         return [c for c in self.df.columns if c not in _HELPERS]
 
+    @property
+    def backwards(self):
+        """From the last row to the first. A running frame over it is linear, while a frame from
+        the current row to the end recomputes every row's remainder."""
+        return Window.partitionBy(*self.group).orderBy(*[F.desc_nulls_last(c) for c in self.by])
+
     def on(self, df: DataFrame) -> "Series":
         return replace(self, df=df)
 
@@ -138,10 +144,9 @@ class Series:
     def known(self, before: dict | None = None, after: dict | None = None) -> "Series":
         """Last non-null value up to this row (``before``), first one from this row on (``after``)."""
         before, after = before or {}, after or {}
-        up_to = self.window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        from_here = self.window.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-        local = {n: F.last(e, ignorenulls=True).over(up_to) for n, e in before.items()}
-        local |= {n: F.first(e, ignorenulls=True).over(from_here) for n, e in after.items()}
+        so_far = (Window.unboundedPreceding, Window.currentRow)
+        local = {n: F.last(e, ignorenulls=True).over(self.window.rowsBetween(*so_far)) for n, e in before.items()}
+        local |= {n: F.last(e, ignorenulls=True).over(self.backwards.rowsBetween(*so_far)) for n, e in after.items()}
         if not self.sliced:
             return self.with_columns(local)
         at = F.col("_at")
@@ -150,7 +155,7 @@ class Series:
             *[F.min_by(e, F.when(e.isNotNull(), at)).alias(f"_in_{n}") for n, e in after.items()],
         ).withColumns(
             {f"_in_{n}": F.last(f"_in_{n}", ignorenulls=True).over(_earlier()) for n in before}
-            | {f"_in_{n}": F.first(f"_in_{n}", ignorenulls=True).over(_later()) for n in after}
+            | {f"_in_{n}": F.last(f"_in_{n}", ignorenulls=True).over(_later()) for n in after}
         )
         df = self._join_slices(edges)
         df = df.withColumns({n: F.coalesce(e, F.col(f"_in_{n}")) for n, e in local.items()})
@@ -167,9 +172,9 @@ class Series:
         at = F.col("_at")
         steps = []
         if previous:
-            steps.append(("_prev", previous, F.lag, F.max_by))
+            steps.append(("_row_before", previous, F.lag, F.max_by))
         if following:
-            steps.append(("_next", following, F.lead, F.min_by))
+            steps.append(("_row_after", following, F.lead, F.min_by))
         packed = {tag: F.struct(*[e.alias(n) for n, e in exprs.items()]) for tag, exprs, _, _ in steps}
         edges = self._per_slice(*[edge(packed[tag], at).alias(f"{tag}_edge") for tag, _, _, edge in steps])
         slices = Window.partitionBy("_k").orderBy("_slice")
@@ -204,7 +209,7 @@ def _earlier():
 
 
 def _later():
-    return Window.partitionBy("_k").orderBy("_slice").rowsBetween(1, Window.unboundedFollowing)
+    return Window.partitionBy("_k").orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
 
 
 def _cut(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

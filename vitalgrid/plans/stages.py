@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,12 +15,33 @@ from vitalgrid.plans.series import Series, attach, has_large_series
 from vitalgrid.session import stored
 
 
+class Reports(Mapping):
+    """Reports by name, each built when it is first asked for."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders, self._built = dict(builders), {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+    def and_also(self, builders: dict[str, Callable[[], DataFrame]]) -> "Reports":
+        return Reports({n: (lambda n=n: self[n]) for n in self} | builders)
+
+
 @dataclass
 class Stage:
     """Rows and reports of a stage; everything is lazy."""
 
     data: DataFrame
-    reports: dict[str, DataFrame] = field(default_factory=dict)
+    reports: Reports
 
 
 def validate(
@@ -51,37 +73,48 @@ def validate(
     flagged = series.done()
     unique = clean.keep_first_times(series, ts).done()
 
+    return Stage(
+        unique,
+        Reports(
+            {
+                "validation": lambda: _validation_report(df, flagged, unique, keys, ts, order, as_of, ranges),
+                "missing": lambda: missing.missing_report(clipped, flagged, keys, how),
+                "outliers": lambda: quality.outlier_report(
+                    flagged, quality.iqr_bounds(flagged, keys, numbers, sliced=sliced), keys, numbers
+                ),
+            }
+        ),
+    )
+
+
+def _validation_report(df, flagged, unique, keys, ts, order, as_of, ranges) -> DataFrame:
+    """One row per series: rows before and after, what was wrong, score."""
     tests = clean.timestamp_checks(ts, as_of)
     in_time = ~(tests["future"] | tests["old"])
-    found = df.groupBy(*keys).agg(
+    issues = df.groupBy(*keys).agg(
         F.count("*").alias("original_rows"),
         *[F.count_if(c).alias(f"{n}_timestamps") for n, c in tests.items()],
         *[F.count_if(in_time & clean.out_of_range(c, ranges)).alias(f"{c}_out_of_range") for c in ranges],
     )
-    problems = [f"{n}_timestamps" for n in tests] + [f"{c}_out_of_range" for c in ranges]
     count = F.lit(0)
-    for p in problems:
-        count = count + F.when(F.col(p) > 0, 1).otherwise(0)
-    issues = found.withColumn("issues", count)
+    for problem in [f"{n}_timestamps" for n in tests] + [f"{c}_out_of_range" for c in ranges]:
+        count = count + F.when(F.col(problem) > 0, 1).otherwise(0)
+    issues = issues.withColumn("issues", count)
     scored = [c for c in unique.columns if c not in keys and (c not in order or c == ts)]
     scores = quality.quality_scores(unique, keys, issues.select(*keys, "issues"), scored)
+    scores = scores.select(*keys, F.col("rows").alias("_final"), "quality_score")
     before = flagged.groupBy(*keys).agg(F.count("*").alias("_before"))
-    final = attach(attach(issues, scores.select(*keys, F.col("rows").alias("final_rows"), "quality_score"), keys), before, keys)
-    final = final.withColumns(
+    report = attach(attach(issues, scores, keys), before, keys)
+    final = F.coalesce("_final", F.lit(0))
+    report = report.withColumns(
         {
-            "final_rows": F.coalesce("final_rows", F.lit(0)),
-            "duplicates_removed": F.coalesce(F.col("_before") - F.col("final_rows"), F.lit(0)),
+            "final_rows": final,
+            "duplicates_removed": F.coalesce("_before", F.lit(0)) - final,
+            "rows_removed": F.col("original_rows") - final,
+            "issue_list": issue_texts(ranges),
         }
     )
-    report = final.withColumn("rows_removed", F.col("original_rows") - F.col("final_rows")).withColumn(
-        "issue_list", issue_texts(ranges)
-    )
-    reports = {
-        "validation": report.drop("_before"),
-        "missing": missing.missing_report(clipped, flagged, keys, how),
-        "outliers": quality.outlier_report(flagged, quality.iqr_bounds(flagged, keys, numbers, sliced=sliced), keys, numbers),
-    }
-    return Stage(unique, reports)
+    return report.drop("_before", "_final")
 
 
 def issue_texts(ranges: dict) -> Column:
@@ -118,18 +151,24 @@ def preprocess(
     quality, hours covered per series."""
     sliced = has_large_series(df, keys)
     checked = validate(df, keys, ts, order, as_of, ranges, sliced=sliced)
-    aligned, report = alignment.align(checked.data, keys, data_type, ts, target, fill, order, sliced)
-    extent = alignment.series_extent(aligned, keys, ts)
-    scores = checked.reports["validation"].select(*keys, "quality_score")
-    summary = attach(extent, scores, keys).select(
-        *keys,
-        F.lit(data_type).alias("data_type"),
-        F.col("rows").alias("records"),
-        F.lit(len(aligned.columns) - len(keys)).alias("columns"),
-        "quality_score",
-        "span_hours",
+    aligned = alignment.align_rows(checked.data, keys, data_type, ts, target, fill, order, sliced)
+    report = lambda: alignment.align_report(
+        checked.data, aligned, keys, data_type, ts, target, order, sliced
     )
-    return Stage(aligned, checked.reports | {"alignment": report, "summary": summary})
+
+    def summary() -> DataFrame:
+        extent = alignment.series_extent(aligned, keys, ts)
+        scores = checked.reports["validation"].select(*keys, "quality_score")
+        return attach(extent, scores, keys).select(
+            *keys,
+            F.lit(data_type).alias("data_type"),
+            F.col("rows").alias("records"),
+            F.lit(len(aligned.columns) - len(keys)).alias("columns"),
+            "quality_score",
+            "span_hours",
+        )
+
+    return Stage(aligned, checked.reports.and_also({"alignment": report, "summary": summary}))
 
 
 @dataclass
@@ -138,7 +177,7 @@ class Model:
     forecast: DataFrame
     residuals: DataFrame
     clusters: DataFrame
-    reports: dict[str, DataFrame]
+    reports: Reports
 
 
 def model(
@@ -166,14 +205,16 @@ def model(
         predicted,
         residuals,
         attach(labelled, projected.select("window_no", "pc1", "pc2"), ["window_no"]),
-        {
-            "extraction": extraction,
-            "modeling": modelling,
-            "clustering": clustering,
-            "pca": variance,
-            "top_features": features.top_features(matrix, 10),
-            "forecast_outliers": forecast.residual_outliers(residuals, keys),
-        },
+        Reports(
+            {
+                "extraction": lambda: extraction,
+                "modeling": lambda: modelling,
+                "clustering": lambda: clustering,
+                "pca": lambda: variance,
+                "top_features": lambda: features.top_features(matrix, 10),
+                "forecast_outliers": lambda: forecast.residual_outliers(residuals, keys),
+            }
+        ),
     )
 
 
@@ -193,15 +234,15 @@ def detect(
     are given. Reports per series, and ``windows`` with the flagged windows."""
     value = value or METRIC_COLUMN[data_type]
     flagged = anomaly.flag_thresholds(df, keys, data_type, order or [ts], value, rule)
-    reports = {"threshold": anomaly.threshold_report(flagged, keys, data_type, rule)}
+    reports = {"threshold": lambda: anomaly.threshold_report(flagged, keys, data_type, rule)}
     if forecast is not None:
         flagged = anomaly.flag_residuals(flagged, forecast, keys, ts, value, threshold_std)
-        reports["residual"] = anomaly.residual_report(flagged, keys, data_type, threshold_std)
+        reports["residual"] = lambda: anomaly.residual_report(flagged, keys, data_type, threshold_std)
     if clusters is not None:
         windows = anomaly.flag_clusters(clusters)
-        reports["windows"] = windows
-        reports["cluster"] = anomaly.cluster_flag_report(windows, [], data_type)
-    return Stage(flagged, reports)
+        reports["windows"] = lambda: windows
+        reports["cluster"] = lambda: anomaly.cluster_flag_report(windows, [], data_type)
+    return Stage(flagged, Reports(reports))
 
 
 def analyse(df: DataFrame, keys: list[str], data_type: str, ts: str = "timestamp", **options) -> tuple[Stage, Model, Stage]:
