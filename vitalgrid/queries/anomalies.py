@@ -111,7 +111,7 @@ def _(t):
 
 
 LABELS = """
-    SELECT o_orderkey, CASE WHEN o_totalprice > 490000 THEN 3 WHEN o_orderpriority = '5-LOW' THEN 2 WHEN o_orderstatus = 'P' THEN -1 ELSE 0 END AS cluster
+    SELECT o_orderkey, CASE WHEN o_totalprice > 490000 THEN 3 WHEN o_orderpriority = '5-LOW' THEN 2 WHEN o_orderstatus = 'P' THEN -1 ELSE 0 END::bigint AS cluster
     FROM orders
 """
 

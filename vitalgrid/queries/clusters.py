@@ -128,7 +128,7 @@ def _(t):
 
 @query(
     "c8_cluster_statistics",
-    f"SELECT label AS cluster, count(*) AS size, {R('round_even((100::double * count(*) / (SELECT count(*) FROM embeddings))::decimal(28, 10), 2)')} AS percentage FROM embeddings GROUP BY label",
+    f"SELECT label::bigint AS cluster, count(*) AS size, {R('round_even((100::double * count(*) / (SELECT count(*) FROM embeddings))::decimal(28, 10), 2)')} AS percentage FROM embeddings GROUP BY label",
 )
 def _(t):
     return cluster.cluster_statistics(points(t))

@@ -82,7 +82,7 @@ def _(t):
 
 @query(
     "s5_parquet_scan",
-    f"SELECT l_orderkey, l_linenumber, {R('l_extendedprice')} AS l_extendedprice FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-01-01'",
+    f"SELECT l_orderkey, l_linenumber::bigint AS l_linenumber, {R('l_extendedprice')} AS l_extendedprice FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-01-01'",
 )
 def _(t):
     df = readers.read_parquet(t.spark, f"{t.folder}/lineitem.parquet")

@@ -23,7 +23,7 @@ def lines(t):
 @query(
     "q1_iqr_outliers",
     f"""
-    SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity, l_extendedprice,
+    SELECT l_orderkey, l_linenumber::bigint AS l_linenumber, l_returnflag, l_quantity, l_extendedprice,
            l_quantity < q_lower OR l_quantity > q_upper AS l_quantity_is_outlier,
            l_extendedprice < p_lower OR l_extendedprice > p_upper AS l_extendedprice_is_outlier
     FROM lineitem JOIN ({BOUNDS}) USING (l_returnflag)
