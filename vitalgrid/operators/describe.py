@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,7 +12,7 @@ from vitalgrid.catalog import ANOMALY_SUFFIX, FINDINGS, METRIC_COLUMN, WEEKDAYS
 from vitalgrid.functions.expressions import numeric_columns, share, title
 from vitalgrid.functions.scan import INF, clamp_of, stands_out
 from vitalgrid.functions.stats import slope_p_value_of
-from vitalgrid.plans.series import Series, attach, has_large_series
+from vitalgrid.plans.series import Series, attach, has_large_series, spread
 from vitalgrid.plans.summaries import quantiles
 
 HOURS = list(range(24))
@@ -110,17 +110,26 @@ def correlations(df: DataFrame, columns: list[str] | None = None, keys: list[str
     columns = columns or numeric_columns(df, exclude=keys)
     if len(columns) < 2:
         raise ValueError("correlation needs two numeric columns")
-    parts = []
-    for i, a in enumerate(columns):
-        for b in columns[i:]:
-            both = F.col(a).isNotNull() & F.col(b).isNotNull()
-            spread = F.stddev_pop(F.when(both, F.col(a))) * F.stddev_pop(F.when(both, F.col(b)))
-            parts.append((a, b, F.try_divide(F.covar_pop(F.col(a).cast("double"), F.col(b).cast("double")), spread)))
-    wide = df.groupBy(*keys).agg(*[e.alias(f"_{i}") for i, (_, _, e) in enumerate(parts)])
+    # plain sums of values shifted by the column mean: exact enough, and far cheaper per row than
+    # one running central moment per pair
+    values = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
+    centre = values.groupBy(*keys).agg(*[F.avg(c).alias(f"_m_{c}") for c in columns])
+    shifted = attach(values, centre, keys).select(*keys, *[(F.col(c) - F.col(f"_m_{c}")).alias(c) for c in columns])
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
+    sums = []
+    for i, (a, b) in enumerate(pairs):
+        x, y = F.col(a), F.col(b)
+        both = x.isNotNull() & y.isNotNull()
+        parts = {"n": F.lit(1.0), "x": x, "y": y, "xx": x * x, "yy": y * y, "xy": x * y}
+        sums += [F.sum(F.when(both, e)).alias(f"_{n}{i}") for n, e in parts.items()]
+    wide = shifted.groupBy(*keys).agg(*sums)
     cells = []
-    for i, (a, b, _) in enumerate(parts):
-        for x, y in {(a, b), (b, a)}:
-            cells.append(F.struct(F.lit(x).alias("a"), F.lit(y).alias("b"), F.col(f"_{i}").alias("correlation")))
+    for i, (a, b) in enumerate(pairs):
+        n, x, y, xx, yy, xy = (F.col(f"_{s}{i}") for s in ("n", "x", "y", "xx", "yy", "xy"))
+        spread = F.sqrt(F.greatest(xx - x * x / n, F.lit(0.0)) * F.greatest(yy - y * y / n, F.lit(0.0)))
+        r = F.try_divide(xy - x * y / n, spread).alias("correlation")
+        for first, second in {(a, b), (b, a)}:
+            cells.append(F.struct(F.lit(first).alias("a"), F.lit(second).alias("b"), r))
     return wide.select(*keys, F.inline(F.array(*cells)))
 
 
@@ -153,7 +162,12 @@ def extrema(
     middle). Prominence is one scan per direction over a series, or over a slice of a long series
     that starts from the state the earlier slices left.
     """
-    series = Series.of(df.filter(F.col(value).isNotNull()).select(*dict.fromkeys([*keys, *order, value])), keys, order, sliced)
+    known = df.filter(F.col(value).isNotNull()).select(*dict.fromkeys([*keys, *order, value]))
+    if sliced is None:
+        sliced = has_large_series(known, keys)
+    if keys and not sliced:
+        known = spread(known, keys)
+    series = Series.of(known, keys, order, sliced)
     v = F.col(value)
     series = series.position("_pos").neighbours(previous={"_pv": v})
     series = series.on(series.df.filter(F.col("_pv").isNull() | (F.col("_pv") != v)).drop("_pv"))
@@ -165,25 +179,22 @@ def extrema(
         {"_kind": F.coalesce(kind, F.lit(0)), "pos": F.floor((F.col("_pos") + F.col("_np") - 1) / 2), "_v": v.cast("double")}
     )
     group = [*keys, "_slice"] if series.sliced else keys
-    by = series.by
-    runs = series.df.select(*dict.fromkeys([*group, *by, "pos", "_v", "_kind"]))
+    runs = series.df.select(*dict.fromkeys([*group, "_pos", "pos", "_v", "_kind"]))
     states = ["_pl", "_pr", "_vl", "_vr"]
     if series.sliced:
-        runs = attach(runs, _slice_states(runs, keys, by, prominence), group)
+        runs = attach(runs, _slice_states(runs, keys, prominence), group)
     else:
         runs = runs.withColumns({s: F.lit(INF) for s in states})
 
-    def scan(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(by)
-        x, turn = pdf["_v"].to_numpy(), pdf["_kind"].to_numpy()
-        pl, pr, vl, vr = (pdf[s].iloc[0] for s in states)
+    def scan(table: pa.Table) -> pa.Table:
+        table = table.sort_by("_pos")
+        x, turn = table["_v"].to_numpy(), table["_kind"].to_numpy()
+        pl, pr, vl, vr = (table[s][0].as_py() for s in states)
         keep = (turn == 1) & stands_out(x, prominence, pl, pr)
         keep |= (turn == -1) & stands_out(-x, prominence, vl, vr)
-        found = pdf.loc[keep]
-        out = found[keys].copy()
-        out["pos"], out["value"] = found["pos"], found["_v"]
-        out["kind"] = np.where(found["_kind"] == 1, "peak", "valley")
-        return out
+        found = table.filter(pa.array(keep))
+        kinds = pa.array(["peak" if t == 1 else "valley" for t in turn[keep]], pa.string())
+        return found.select([*keys, "pos", "_v"]).rename_columns([*keys, "pos", "value"]).append_column("kind", kinds)
 
     schema = T.StructType(
         [
@@ -193,16 +204,16 @@ def extrema(
             T.StructField("kind", T.StringType()),
         ]
     )
-    return runs.groupBy(*group).applyInPandas(scan, schema)
+    return runs.groupBy(*group).applyInArrow(scan, schema)
 
 
-def _slice_states(runs: DataFrame, keys: list[str], by: list[str], prominence: float) -> DataFrame:
+def _slice_states(runs: DataFrame, keys: list[str], prominence: float) -> DataFrame:
     """The scan state at both edges of every slice, from one summary row per slice."""
     names = ["pf0", "pf1", "pb0", "pb1", "vf0", "vf1", "vb0", "vb1"]
     key_fields = _field_names(runs, [*keys, "_slice"]).fields
 
     def summarise(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = pdf.sort_values(by)["_v"].to_numpy()
+        x = pdf.sort_values("_pos")["_v"].to_numpy()
         ends = [*clamp_of(x, prominence), *clamp_of(x[::-1], prominence)]
         ends += [*clamp_of(-x, prominence), *clamp_of(-x[::-1], prominence)]
         out = pdf[[*keys, "_slice"]].iloc[:1].copy()

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitalgrid.functions.expressions import from_micros, micros, share
-from vitalgrid.plans.series import Series, attach, max_series_rows
+from vitalgrid.plans.series import Series, attach, has_large_series, max_series_rows, spread
 
 INTERVAL = 1.96
 CHANGEPOINTS = 25
@@ -108,28 +108,30 @@ def _design(t: np.ndarray, day: np.ndarray) -> np.ndarray:
     return np.hstack([np.ones((len(t), 1)), t[:, None], hinges, np.sin(angle), np.cos(angle)])
 
 
-def _sums(pdf: pd.DataFrame) -> np.ndarray:
+def _sums(table: pa.Table) -> np.ndarray:
     """X'X, X'y, y'y and n as one vector; rows carry how many readings share their moment."""
     total = np.zeros(TERMS * TERMS + TERMS + 2)
-    for begin in range(0, len(pdf), 50_000):
-        part = pdf.iloc[begin : begin + 50_000]
-        x = _design(part["_t"].to_numpy(), part["_day"].to_numpy())
-        w, sy = part["_w"].to_numpy(), part["_sy"].to_numpy()
-        total += np.concatenate(
-            [((x * w[:, None]).T @ x).ravel(), x.T @ sy, [part["_syy"].sum(), w.sum()]]
-        )
+    t, day, w, sy, syy = (table[c].to_numpy() for c in ("_t", "_day", "_w", "_sy", "_syy"))
+    for begin in range(0, len(t), 50_000):
+        part = slice(begin, begin + 50_000)
+        x = _design(t[part], day[part])
+        gram = (x * w[part, None]).T @ x
+        total += np.concatenate([gram.ravel(), x.T @ sy[part], [syy[part].sum(), w[part].sum()]])
     return total
 
 
 def _solve(sums: np.ndarray) -> tuple[np.ndarray, float]:
     gram = sums[: TERMS * TERMS].reshape(TERMS, TERMS)
     moment, yy, n = sums[TERMS * TERMS : -2], sums[-2], sums[-1]
-    beta = np.linalg.lstsq(gram + np.diag(RIDGE), moment, rcond=None)[0]
+    try:
+        beta = np.linalg.solve(gram + np.diag(RIDGE), moment)
+    except np.linalg.LinAlgError:  # all readings at one moment
+        beta = np.linalg.lstsq(gram + np.diag(RIDGE), moment, rcond=None)[0]
     sse = yy - 2 * beta @ moment + beta @ gram @ beta
     return beta, float(np.sqrt(max(sse, 0.0) / n))
 
 
-def fit_seasonal_trend(train: DataFrame, keys: list[str]) -> DataFrame:
+def fit_seasonal_trend(train: DataFrame, keys: list[str], sliced: bool | None = None) -> DataFrame:
     """One row per series: start, length, mean and 47 coefficients.
 
     Readings of one moment are merged before anything is shuffled. A series that fits one task is
@@ -143,48 +145,51 @@ def fit_seasonal_trend(train: DataFrame, keys: list[str]) -> DataFrame:
         F.count("*").alias("training_rows"),
     )
     limit = max_series_rows(train.sparkSession)
-    rows = attach(train, facts, keys).withColumn("_y", F.col("y") - F.col("level"))
-    rows = rows.groupBy(*keys, "ts", "start_us", "length_us", "training_rows").agg(
-        F.count("*").cast("double").alias("_w"), F.sum("_y").alias("_sy"), F.sum(F.col("_y") * F.col("_y")).alias("_syy")
-    )
-    us = micros("ts")
-    rows = rows.select(
-        *keys,
-        ((us - F.col("start_us")) / F.col("length_us")).alias("_t"),
-        (F.pmod(us, F.lit(DAY_US)) / F.lit(float(DAY_US))).alias("_day"),
-        "_w",
-        "_sy",
-        "_syy",
-        F.when(
-            F.col("training_rows") > limit,
-            F.pmod(F.xxhash64("ts"), F.ceil(F.col("training_rows") / F.lit(limit))),
-        ).alias("_part"),
-    )
+    if sliced is None:
+        sliced = has_large_series(train, keys)
     key_fields = [train.schema[k] for k in keys]
     solved = T.StructType(
         [*key_fields, T.StructField("beta", T.ArrayType(T.DoubleType())), T.StructField("sigma", T.DoubleType())]
     )
     summed = T.StructType([*key_fields, T.StructField("sums", T.ArrayType(T.DoubleType()))])
 
-    def answer(pdf: pd.DataFrame, sums: np.ndarray) -> pd.DataFrame:
+    def answer(table: pa.Table, sums: np.ndarray) -> pa.Table:
         beta, sigma = _solve(sums)
-        return pdf[keys].iloc[:1].assign(beta=[beta.tolist()], sigma=[sigma])
-
-    def solve_series(pdf: pd.DataFrame) -> pd.DataFrame:
-        return answer(pdf, _sums(pdf))
-
-    def sum_part(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pdf[keys].iloc[:1].assign(sums=[_sums(pdf).tolist()])
-
-    def solve_sums(pdf: pd.DataFrame) -> pd.DataFrame:
-        return answer(pdf, np.sum(np.stack(pdf["sums"].to_list()), axis=0))
-
-    short = rows.filter(F.col("_part").isNull()).drop("_part")
-    models = short.groupBy(*keys).applyInPandas(solve_series, solved)
-    if not facts.filter(F.col("training_rows") > limit).isEmpty():
-        parts = rows.filter(F.col("_part").isNotNull()).groupBy(*keys, "_part").applyInPandas(sum_part, summed)
-        models = models.unionByName(parts.groupBy(*keys).applyInPandas(solve_sums, solved))
-    return attach(facts, models, keys)
+        first = table.select(keys).slice(0, 1)
+        first = first.append_column("beta", pa.array([beta], pa.list_(pa.float64())))
+        return first.append_column("sigma", pa.array([sigma], pa.float64()))
+
+    def solve_series(table: pa.Table) -> pa.Table:
+        return answer(table, _sums(table))
+
+    def sum_part(table: pa.Table) -> pa.Table:
+        sums = pa.array([_sums(table)], pa.list_(pa.float64()))
+        return table.select(keys).slice(0, 1).append_column("sums", sums)
+
+    def solve_sums(table: pa.Table) -> pa.Table:
+        return answer(table, np.sum(np.stack(table["sums"].to_pylist()), axis=0))
+
+    if keys and not sliced:
+        train = spread(train, keys)
+    rows = _moments(train, facts, keys)
+    if not sliced:
+        return attach(facts, rows.groupBy(*keys).applyInArrow(solve_series, solved), keys)
+    part = F.pmod(F.xxhash64("_t"), F.ceil(F.col("training_rows") / F.lit(limit)))
+    parts = rows.withColumn("_part", part).groupBy(*keys, "_part").applyInArrow(sum_part, summed)
+    return attach(facts, parts.groupBy(*keys).applyInArrow(solve_sums, solved), keys)
+
+
+def _moments(train: DataFrame, facts: DataFrame, keys: list[str]) -> DataFrame:
+    """Readings of one moment merged: place in the series (0..1), time of day, weight and sums of
+    the centred values."""
+    rows = attach(train, facts, keys)
+    us, y = micros("ts"), F.col("y") - F.col("level")
+    place = ((us - F.col("start_us")) / F.col("length_us")).alias("_t")
+    day = (F.pmod(us, F.lit(DAY_US)) / F.lit(float(DAY_US))).alias("_day")
+    rows = rows.select(*keys, "training_rows", place, day, y.alias("_y"))
+    return rows.groupBy(*keys, "training_rows", "_t", "_day").agg(
+        F.count("*").cast("double").alias("_w"), F.sum("_y").alias("_sy"), F.sum(F.col("_y") * F.col("_y")).alias("_syy")
+    )
 
 
 def predict_seasonal_trend(model: DataFrame, grid: DataFrame, keys: list[str]) -> DataFrame:

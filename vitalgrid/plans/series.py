@@ -55,6 +55,12 @@ def attach(df: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(renamed, condition, "left").drop(*[f"_right_{k}" for k in keys])
 
 
+def spread(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Hash partition by key into the configured number of partitions. For Python work per series:
+    without a number, adaptive execution would put many small series into one Python task."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 @dataclass(frozen=True)
 class Series:
     df: DataFrame
