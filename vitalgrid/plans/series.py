@@ -29,9 +29,9 @@ def max_series_rows(spark: SparkSession) -> int:
     return int(spark.conf.get(MAX_ROWS_CONF, str(MAX_ROWS)))
 
 
-def has_large_series(df: DataFrame, keys: list[str]) -> bool:
-    """Whether any series has more rows than one task should hold."""
-    limit = max_series_rows(df.sparkSession)
+def has_large_series(df: DataFrame, keys: list[str], values_per_row: int = 1) -> bool:
+    """Whether any series has more rows (times values per row) than one task should hold."""
+    limit = max_series_rows(df.sparkSession) // max(1, values_per_row)
     return not df.groupBy(*keys).count().filter(F.col("count") > limit).isEmpty()
 
 

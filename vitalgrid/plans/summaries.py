@@ -31,7 +31,7 @@ def quantiles(
     if approx:
         return df.groupBy(*keys).agg(*[F.percentile_approx(c, wanted, 10000).alias(c) for c in columns])
     if sliced is None:
-        sliced = has_large_series(df, keys)
+        sliced = has_large_series(df, keys, len(columns))
     if not sliced:
         return df.groupBy(*keys).agg(*[F.percentile(c, wanted).alias(c) for c in columns])
 
