@@ -21,6 +21,7 @@ from vitalgrid.session import checkpointed
 SEED = 42
 RESTARTS = 10
 PARALLEL_FITS = 10
+ROWS_PER_TASK = 10_000
 
 
 def standardize(df: DataFrame, columns: list[str], by: list[str] = ()) -> DataFrame:
@@ -46,8 +47,8 @@ def kmeans(
     """K-means on an array column, best of several starts. Returns the rows with ``cluster`` and a
     one-row report. ``k`` shrinks to the number of rows."""
     data = points.withColumn("_features", array_to_vector(F.col(vec)))
-    fitted = data.select("_features").persist()
-    rows = fitted.count()
+    rows = data.count()
+    fitted = data.select("_features").coalesce(rows // ROWS_PER_TASK + 1).persist()
     used = min(k, rows)
     if rows < 2:
         labels = points.withColumn("cluster", F.lit(0))

@@ -192,22 +192,21 @@ def _moments(train: DataFrame, facts: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+@F.arrow_udf(T.DoubleType())
+def _seasonal_value(t: pa.Array, day: pa.Array, beta: pa.Array) -> pa.Array:
+    """The 47 terms of a row times its coefficients, for a whole batch at once."""
+    design = _design(t.to_numpy(zero_copy_only=False), day.to_numpy(zero_copy_only=False))
+    weights = beta.flatten().to_numpy(zero_copy_only=False).reshape(-1, TERMS)
+    return pa.array((design * weights).sum(axis=1))
+
+
 def predict_seasonal_trend(model: DataFrame, grid: DataFrame, keys: list[str]) -> DataFrame:
-    rows = attach(grid, model, keys)
+    rows = attach(grid, model.filter(F.col("beta").isNotNull()), keys)
     t = (micros("ts") - F.col("start_us")) / F.col("length_us")
-    angle = F.pmod(micros("ts"), F.lit(DAY_US)) / F.lit(float(DAY_US)) * F.lit(2 * np.pi)
-    knots = F.array(*[F.lit(k) for k in KNOTS])
-    waves = F.sequence(F.lit(1), F.lit(HARMONICS))
-    terms = F.concat(
-        F.array(F.lit(1.0), t),
-        F.transform(knots, lambda k: F.greatest(F.lit(0.0), F.col("_t") - k)),
-        F.transform(waves, lambda h: F.sin(F.col("_angle") * h)),
-        F.transform(waves, lambda h: F.cos(F.col("_angle") * h)),
-    )
-    rows = rows.withColumns({"_t": t, "_angle": angle})
-    products = F.zip_with(terms, F.col("beta"), lambda a, b: a * b)
-    yhat = F.col("level") + F.aggregate(products, F.lit(0.0), lambda a, x: a + x)
-    return _with_interval(rows, grid, yhat)
+    day = F.pmod(micros("ts"), F.lit(DAY_US)) / F.lit(float(DAY_US))
+    beta = F.coalesce("beta", F.array_repeat(F.lit(0.0), TERMS))
+    value = _seasonal_value(F.coalesce(t, F.lit(0.0)), day, beta)
+    return _with_interval(rows, grid, F.col("level") + value)
 
 
 MODELS = {

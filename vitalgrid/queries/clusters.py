@@ -97,8 +97,9 @@ def _(t):
 
 @query("c6_cluster_report")
 def _(t):
-    windows = features.to_windows(t.events, ["user_id"], "value", ["ts", "event_id"])
-    matrix = features.impute(features.window_features(windows, ["user_id"], "minimal"))
+    matrix, _report = features.extract_features(
+        t.events, ["user_id"], "heart_rate", "value", "ts", ["ts", "event_id"], kind="minimal"
+    )
     matrix = matrix.withColumn("id", F.col("user_id") * 100000 + F.col("window_id"))
     columns = ["value__mean", "value__standard_deviation", "value__maximum"]
     _rows, report = cluster.cluster_features(matrix, "id", columns, "heart_rate", k=3)
