@@ -228,3 +228,26 @@ def test_resample_aggregates(table, layout, agg):
         assert [r["ts"] for r in rows] == [t.to_pydatetime() for t in want.index]
         for r, v in zip(rows, want):
             assert (r["v"] is None and pd.isna(v)) or r["v"] == pytest.approx(v)
+
+
+def test_extrema_without_keys(spark, layout):
+    rng = np.random.default_rng(9)
+    x = rng.integers(0, 4, 60).astype(float)
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(x)], "seq int, v double").repartition(3)
+    found = describe.extrema(df, [], "v", ["seq"]).collect()
+    assert sorted(r["pos"] for r in found if r["kind"] == "peak") == brute_extrema(x, 1)
+    assert sorted(r["pos"] for r in found if r["kind"] == "valley") == brute_extrema(-x, 1)
+
+
+def test_copies_spread_over_slices(spark):
+    """One series whose rows are all alike is still cut, and no row is lost."""
+    spark.conf.set("spark.vitalgrid.maxSeriesRows", "50")
+    try:
+        df = spark.range(1000).select(F.lit(1).alias("k"), F.lit(5).alias("t"), F.lit(2.0).alias("v")).repartition(4)
+        got = Series.of(df, ["k"], ["t"]).position("pos").running_total("sum", F.col("v"))
+        rows = got.done()
+        assert got.df.select("_slice").distinct().count() > 4
+        assert rows.select("pos").distinct().count() == 1000
+        assert rows.filter(F.col("sum") != (F.col("pos") + 1) * 2).count() == 0
+    finally:
+        spark.conf.unset("spark.vitalgrid.maxSeriesRows")

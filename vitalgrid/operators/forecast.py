@@ -260,8 +260,9 @@ def fit_and_predict(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Returns the forecast (history and future), the residuals and a report per series."""
     fit, predict = MODELS[model]
-    train = training_frame(df, keys, ts, value)
-    fitted = fit(train, keys)
+    sliced = has_large_series(df, keys)
+    train = training_frame(df, keys, ts, value, sliced)
+    fitted = fit(train, keys, sliced)
     forecast = predict(fitted, future_grid(train, keys, periods, step_seconds), keys)
     # the forecast at a training row depends on its time alone: no join on the time is needed
     residuals = with_residuals(predict(fitted, train, keys))

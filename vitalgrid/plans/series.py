@@ -16,6 +16,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vitalgrid.session import stored
 
@@ -221,14 +222,16 @@ def _later():
 def _cut(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Sort the table across tasks and write it once. ``_at`` numbers the rows in sort order
     (partition in the high bits), ``_slice`` is the partition, ``_k`` the key as one value that
-    compares equal on nulls. Rows equal in keys and order still spread, by their input number."""
+    compares equal on nulls. Rows equal in keys and order are ordered by a hash of the row; full
+    copies, which are interchangeable, still spread by their input number."""
     pieces = df.count() // max_series_rows(df.sparkSession) + 1
-    sort = [*keys, *order, "_tie"]
+    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    sort = [*keys, *order, "_hash", "_copy"]
     laid = (
-        df.withColumn("_tie", F.monotonically_increasing_id())
+        df.withColumns({"_hash": F.xxhash64(*plain), "_copy": F.monotonically_increasing_id()})
         .repartitionByRange(pieces, *sort)
         .sortWithinPartitions(*sort)
-        .drop("_tie")
+        .drop("_hash", "_copy")
         .withColumn("_at", F.monotonically_increasing_id())
     )
     laid = stored(laid, "slices")
