@@ -56,29 +56,39 @@ def slope_p_value_of(r: pd.Series, n: pd.Series) -> pd.Series:
     return pd.Series(np.where(r.isna(), np.nan, slope_p_value(r.fillna(0.0), n))).where(r.notna().to_numpy(), None)
 
 
+COMPARISONS = 4_000_000  # held in memory at a time
+
+
 def approximate_entropy(rows: np.ndarray, m: int = 2, r: float = 0.2) -> np.ndarray:
     """Approximate entropy of each row of a (windows × points) matrix; tolerance r·std."""
     points = rows.shape[1]
     if points <= m + 1:
         return np.zeros(len(rows))
-    tolerance = r * rows.std(axis=1)
+    tolerance = (r * rows.std(axis=1))[:, None, None]
 
     def phi(length: int) -> np.ndarray:
-        parts = np.lib.stride_tricks.sliding_window_view(rows, length, axis=1)
-        apart = np.abs(parts[:, :, None, :] - parts[:, None, :, :]).max(axis=3)
-        near = (apart <= tolerance[:, None, None]).mean(axis=1)
-        return np.log(near).mean(axis=1)
+        places = points - length + 1
+        share = np.empty((len(rows), places))
+        step = max(1, COMPARISONS // (len(rows) * places))
+        for begin in range(0, places, step):
+            end = min(begin + step, places)
+            near = np.ones((len(rows), end - begin, places), dtype=bool)
+            for d in range(length):
+                near &= np.abs(rows[:, begin + d : end + d, None] - rows[:, None, d : d + places]) <= tolerance
+            share[:, begin:end] = near.mean(axis=2)
+        return np.log(share).mean(axis=1)
 
     return np.abs(phi(m) - phi(m + 1))
 
 
 @F.pandas_udf(DoubleType())
 def approximate_entropy_of(windows: pd.Series) -> pd.Series:
-    """Column form: one array of values, in order, per row. Equal lengths are computed together."""
+    """Column form: one array of values, in order, per row. Windows of equal length are computed
+    together, as many as fit the comparison limit."""
     result = np.full(len(windows), np.nan)
     lengths = windows.map(lambda w: -1 if w is None else len(w)).to_numpy()
     for size in np.unique(lengths[lengths > 0]):
         at = np.flatnonzero(lengths == size)
-        for part in np.array_split(at, len(at) // 256 + 1):
+        for part in np.array_split(at, len(at) * int(size) ** 2 // COMPARISONS + 1):
             result[part] = approximate_entropy(np.stack(windows.iloc[part].to_list()).astype(float))
     return pd.Series(result)

@@ -183,6 +183,7 @@ def extrema(
     states = ["_pl", "_pr", "_vl", "_vr"]
     if series.sliced:
         runs = attach(runs, _slice_states(runs, keys, prominence), group)
+        runs = runs.withColumns({s: F.coalesce(F.col(s), F.lit(INF)) for s in states})
     else:
         runs = runs.withColumns({s: F.lit(INF) for s in states})
 
@@ -208,7 +209,11 @@ def extrema(
 
 
 def _slice_states(runs: DataFrame, keys: list[str], prominence: float) -> DataFrame:
-    """The scan state at both edges of every slice, from one summary row per slice."""
+    """The scan state at both edges of every slice, from one summary row per slice. Only series
+    that are cut have such states; there are at most about as many of them as slices."""
+    spans = runs.groupBy(*keys).agg(F.min("_slice").alias("_first"), F.max("_slice").alias("_last"))
+    spans = spans.filter(F.col("_first") < F.col("_last"))
+    runs = attach(runs, spans, keys).filter(F.col("_first").isNotNull()).drop("_first", "_last")
     names = ["pf0", "pf1", "pb0", "pb1", "vf0", "vf1", "vb0", "vb1"]
     key_fields = _field_names(runs, [*keys, "_slice"]).fields
 
