@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalgrid.llm import quality, sharding
+from vitalgrid.llm import language, quality, secrets, sharding
 from vitalgrid.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,15 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query("op6_novelty_secrets")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.digest(secrets.scan(table(spark, folder, "documents").select("doc_id", "text")))
+
+
+@query("op9_language_mixture")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    found = language.identify(docs.select("doc_id", "text"), *language.learn(language.labelled(docs)))
+    return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", F.round("score", 9).alias("score"))
