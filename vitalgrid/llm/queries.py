@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalgrid.llm import language, quality, secrets, sharding
+from vitalgrid.llm import bagmin, language, quality, secrets, sharding
 from vitalgrid.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,6 +79,11 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op5_bagminhash_classes")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return bagmin.classes(table(spark, folder, "documents"))
+
+
 @query("op6_novelty_secrets")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, folder, "documents").select("doc_id", "text")))
