@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalgrid.llm import bagmin, language, quality, secrets, sharding
+from vitalgrid.llm import bagmin, html, language, quality, secrets, sharding
 from vitalgrid.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,11 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op3_host_suffix_text")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return html.extract(table(spark, folder, "pages"))
+
+
 # CRC-32 (polynomial 0xEDB88320) byte by byte from a 256-entry table built by the rule.
 CRC32_SQL = """
 WITH RECURSIVE steps AS (
