@@ -186,13 +186,17 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
 
 
 def over_texts(
-    df: DataFrame, column: str, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | T.StructType
+    df: DataFrame,
+    column: str,
+    work: Callable[[pa.RecordBatch], pa.RecordBatch],
+    schema: str | T.StructType,
+    limit: int = SLICE_BYTES,
 ) -> DataFrame:
     """Apply ``work`` to slices of bounded text size, in the tasks that read them."""
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, column):
+            for part in slices(batch, column, limit):
                 with np.errstate(over="ignore"):
                     out = work(part)
                 if out is not None and out.num_rows:
@@ -201,6 +205,12 @@ def over_texts(
     return df.mapInArrow(run, schema)
 
 
+def held_out(doc_id: str, parts: int, which: int):
+    """Whether crc32 of the id as text leaves the remainder that is kept from learning; a null id
+    doesn't."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts == which, F.lit(False))
+
+
 def extended(df: DataFrame, added: dict[str, str]) -> T.StructType:
     """Schema of ``df`` with more columns at the end."""
     more = [T.StructField(name, T._parse_datatype_string(kind)) for name, kind in added.items()]

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vitalgrid.llm.common import Texts, extended, over_texts, slices
+from vitalgrid.llm.common import Texts, extended, held_out, over_texts, slices
 
 #: Hash bins of the n-gram tables, per language.
 BINS = 1 << 16
@@ -29,11 +29,6 @@ UNKNOWN = "und"
 _U = np.uint64
 
 
-def held_out(doc_id: str = "doc_id", parts: int = 4, which: int = 2):
-    """Whether crc32 of the id as text leaves the remainder that is kept from learning."""
-    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts == which, F.lit(False))
-
-
 def _grams(texts: Texts, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Index of the word and bin of each n-gram of the words at the given byte spans; ASCII upper case
     counts as lower case."""
@@ -194,4 +189,4 @@ def identify(docs: DataFrame, names: list[str], table: np.ndarray, max_mix: int
 
 def labelled(docs: DataFrame) -> DataFrame:
     """The part of ``documents`` that may be learned from: text and language of rows not held out."""
-    return docs.filter(~held_out()).select(F.col("text").cast(T.StringType()).alias("text"), "lang")
+    return docs.filter(~held_out("doc_id", 4, 2)).select(F.col("text").cast(T.StringType()).alias("text"), "lang")

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalgrid.llm import bagmin, html, language, quality, secrets, sharding
-from vitalgrid.llm.common import table
+from vitalgrid.llm import bagmin, html, kneser, language, quality, secrets, sharding
+from vitalgrid.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -98,4 +98,14 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
     found = language.identify(docs.select("doc_id", "text"), *language.learn(language.labelled(docs)))
-    return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", F.round("score", 9).alias("score"))
+    return found.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", F.round("score", 9).alias("score"))
+
+
+@query("op10_kneser_ney")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = kneser.score(docs, kneser.train(kneser.training_texts(docs)))
+    return found.select(
+        "doc_id", held_out("doc_id", 7, 2).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        F.round("base_score", 6).alias("base_score"), F.round("score", 6).alias("score"),
+    )
