@@ -110,7 +110,11 @@ class Texts:
 
     @cached_property
     def words(self) -> "Words":
-        start, end, doc = self.spans(_SPACE)
+        return self.runs(_SPACE)
+
+    def runs(self, outside: np.ndarray) -> "Words":
+        """Like ``words``, with other bytes (a 256-entry table) between them."""
+        start, end, doc = self.spans(outside)
         return Words(self, start, end, doc, np.searchsorted(doc, np.arange(len(self) + 1)))
 
 

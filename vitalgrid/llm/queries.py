@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalgrid.llm import bagmin, html, kneser, language, quality, secrets, sharding
+from vitalgrid.llm import bagmin, decontaminate, html, kneser, language, quality, secrets, sharding
 from vitalgrid.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,6 +94,12 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, folder, "documents").select("doc_id", "text")))
 
 
+@query("op8_seeded_alignment")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.withColumn("score", F.round("score", 9))
+
+
 @query("op9_language_mixture")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
