@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalgrid.llm import bagmin, decontaminate, html, kneser, language, quality, secrets, sharding
+from vitalgrid.llm import bagmin, decontaminate, html, kneser, language, quality, revisits, secrets, sharding
 from vitalgrid.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,73 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query(
+    "op1_revisits",
+    r"""
+WITH page AS (
+    SELECT page_id, url, md5(coalesce(html, '')) AS digest, 'day ' || (page_id % 97) AS day FROM pages
+),
+record AS (
+    SELECT 'response-' || page_id AS record_id, url, page_id * 60 AS moment, true AS is_full, digest, day,
+        '"' || digest || '"' AS etag, NULL AS expires
+    FROM page
+    UNION ALL
+    SELECT 'revisit-' || page_id, regexp_replace(url, '^https?://', 'HTTPS://') || '#again',
+        page_id * 60 + CASE WHEN page_id % 7 = 0 THEN -5 ELSE 30 + page_id % 11 * 6000 END, false, NULL,
+        CASE WHEN page_id % 5 = 4 THEN day END,
+        CASE WHEN page_id % 5 < 3 THEN 'W/"' || digest || '"' WHEN page_id % 5 = 3 THEN '"other"' END, 'in ' || (page_id % 13)
+    FROM page
+),
+split AS (
+    SELECT *, regexp_extract(trim(url), '"""
+    + revisits.URL
+    + r"""', ['scheme', 'host', 'port', 'path', 'query']) AS u FROM record
+),
+named AS (
+    SELECT *, list_aggregate(list_sort(list_filter(string_split(u.query, '&'),
+            lambda p: p <> '' AND NOT regexp_matches(lower(p), '^(?:"""
+    + revisits.TRACKING
+    + r""")(?:=|$)'))), 'string_agg', '&') AS q
+    FROM split
+),
+addressed AS (
+    SELECT *, regexp_replace(lower(u.host), '^www\.', '')
+        || CASE WHEN u.port = '' OR (lower(u.scheme) = 'http' AND u.port = '80') OR (lower(u.scheme) = 'https' AND u.port = '443')
+            THEN '' ELSE ':' || u.port END
+        || regexp_replace(u.path, '/+$', '') || CASE WHEN coalesce(q, '') = '' THEN '' ELSE '?' || q END AS canonical
+    FROM named
+),
+latest AS (
+    SELECT canonical, moment, max(record_id) AS record_id FROM addressed WHERE is_full GROUP BY canonical, moment
+),
+joined AS (
+    SELECT v.*, r.record_id AS response_id, b.etag AS stored, b.day AS stored_day, b.digest AS stored_digest
+    FROM addressed v
+    ASOF LEFT JOIN latest r ON v.canonical = r.canonical AND v.moment > r.moment
+    LEFT JOIN (SELECT * FROM addressed WHERE is_full) b ON b.record_id = r.record_id
+    WHERE NOT v.is_full
+),
+judged AS (
+    SELECT *, CASE WHEN response_id IS NULL THEN 'no_response'
+        WHEN etag IS NOT NULL THEN CASE WHEN replace(etag, 'W/', '') = stored THEN 'resolved' ELSE 'mismatch' END
+        WHEN day = stored_day THEN 'resolved' ELSE 'mismatch' END AS verdict
+    FROM joined
+)
+SELECT record_id, canonical, moment AS "time", verdict, response_id,
+    CASE WHEN verdict = 'resolved' THEN stored_digest END AS digest,
+    CASE WHEN verdict = 'resolved' THEN 200 END AS status,
+    CASE WHEN verdict = 'resolved' THEN 'cache-control: max-age=60' || chr(10) || 'content-type: text/html' || chr(10)
+        || 'etag: ' || coalesce(etag, stored) || chr(10) || 'expires: ' || expires || chr(10)
+        || 'last-modified: ' || coalesce(day, stored_day) END AS headers
+FROM judged
+""",
+)
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    found = revisits.resolve(revisits.archive(table(spark, folder, "pages")))
+    lines = F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
+    return found.withColumn("headers", F.array_join(F.array_sort(lines), "\n"))
+
+
 @query("op2_llr_quality")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     found = quality.assess(table(spark, folder, "documents"), table(spark, folder, "labels"))
