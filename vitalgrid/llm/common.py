@@ -178,6 +178,40 @@ def chain(values: np.ndarray) -> np.uint64:
     return mix(total + _U(len(values)))[0]
 
 
+def suffix_order(tokens: np.ndarray, depth: int) -> np.ndarray:
+    """Suffix array cut at ``depth`` tokens, by prefix doubling: positions in the order of their first
+    ``depth`` tokens (the end sorts first); equal prefixes keep the order of position."""
+    n = len(tokens)
+    if not n:
+        return np.zeros(0, np.int64)
+    if tokens.dtype.kind == "i" and 0 <= int(tokens.min()) and int(tokens.max()) < 1 << 21:
+        used = np.flatnonzero(np.bincount(tokens))
+        ranks = np.zeros(int(used[-1]) + 1, np.int64)
+        ranks[used] = np.arange(len(used))
+        rank, kinds = ranks[tokens], len(used)
+    else:
+        used, rank = np.unique(tokens, return_inverse=True)
+        rank, kinds = rank.astype(np.int64), len(used)
+
+    def shifted(by: int) -> np.ndarray:  # rank of the suffix ``by`` further on, 0 beyond the end
+        out = np.zeros(n, np.int64)
+        out[: n - by] = rank[by:] + 1
+        return out
+
+    # as many tokens as fit in one number make the first prefixes
+    bits = int(kinds).bit_length()
+    length = max(1, min(depth, 62 // bits))
+    key = np.zeros(n, np.int64)
+    for j in range(length):
+        key = (key << bits) | (shifted(j) if j < n else 0)
+    while length < depth:
+        _, rank = np.unique(key, return_inverse=True)
+        step = min(length, depth - length)
+        key = rank * (n + 1) + (shifted(step) if step < n else 0)
+        length += step
+    return np.argsort(key, kind="stable")
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Row slices of a batch with about ``limit`` bytes of text each, one row at least."""
     if not batch.num_rows:

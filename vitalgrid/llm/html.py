@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import Texts, clean_columns, mix, over_texts, windows
+from vitalgrid.llm.common import Texts, clean_columns, mix, over_texts, suffix_order, windows
 
 #: Tokens of the shortest repeated run that counts as boilerplate.
 RUN = 6
@@ -161,21 +161,6 @@ def settled(page: str) -> tuple[str | None, list[tuple[int, str]]]:
     return None, all_blocks
 
 
-def suffix_order(tokens: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Suffix array cut at ``depth`` tokens, by prefix doubling: positions in the order of their first
-    ``depth`` tokens, and for each position the rank of that prefix (equal prefixes share a rank)."""
-    _, rank = np.unique(tokens, return_inverse=True)
-    rank = rank.astype(np.int64)
-    length = 1
-    while length < depth:
-        step = min(length, depth - length)
-        later = np.full(len(rank), -1, np.int64)
-        later[: len(rank) - step] = rank[step:]
-        _, rank = np.unique(rank * (len(rank) + 1) + later + 1, return_inverse=True)
-        length += step
-    return np.argsort(rank, kind="stable"), rank
-
-
 def _windows(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Bordered token streams of some pages as one: page index, position (from -BORDER), token hash,
     and a fingerprint per page."""
@@ -213,19 +198,20 @@ def repeated_runs(pages: DataFrame) -> DataFrame:
         at, run = windows(token, page, RUN)
         if not len(at):
             return None
-        # the host is part of every token, so runs of different hosts never share a rank
-        order, rank = suffix_order(mix(token + host.view(_U)[page]), RUN)
+        # the host is part of every token, so equal runs of different hosts stand apart
+        order = suffix_order(mix(token + host.view(_U)[page]), RUN)
         names = np.zeros(len(token), _U)
         names[at] = run
         whole = np.zeros(len(token), bool)
         whole[at] = True  # suffixes whose first RUN tokens lie in one page
         order = order[whole[order]]
-        first = np.flatnonzero(np.diff(rank[order], prepend=-1))
+        name, place = names[order], host[page[order]]
+        first = np.flatnonzero(np.concatenate([[True], (name[1:] != name[:-1]) | (place[1:] != place[:-1])]))
         seen = mark[page[order]].view(np.int64)
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(host[page[order]][first]),
-                pa.array(names[order][first].view(np.int64)),
+                pa.array(place[first]),
+                pa.array(name[first].view(np.int64)),
                 pa.array(np.minimum.reduceat(seen, first)),
                 pa.array(np.maximum.reduceat(seen, first)),
             ],

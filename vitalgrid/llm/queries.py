@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalgrid.llm import bagmin, decontaminate, html, kneser, language, quality, revisits, secrets, sharding
+from vitalgrid.llm import bagmin, decontaminate, html, kneser, language, pieces, quality, revisits, secrets, sharding
 from vitalgrid.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+#: The SentencePiece model file, read by the driver.
+PIECE_MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
 
 def query(name: str, sql: str | None = None):
     def register(build):
@@ -161,6 +165,12 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, folder, "documents").select("doc_id", "text")))
 
 
+@query("op7_suffix_pieces")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return pieces.encode(docs, pieces.Vocabulary.load(PIECE_MODEL)).drop("text")
+
+
 @query("op8_seeded_alignment")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
