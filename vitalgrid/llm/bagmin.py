@@ -8,17 +8,18 @@ in a register with probability sum(min) / sum(max) of their weights. Points come
 stop once no register can change, so the work hardly depends on the text's length or its weights.
 
 Registers are hashed in bands; texts that share a band are candidates and are verified exactly by the
-overlap of their multisets. Copies collapse first. Candidates are compared with the first text of
-their bucket, which joins true groups without pairing all members; what a bucket still holds of
-different classes is then compared pair by pair, so no candidate link between classes is lost.
-Classes are the connected components of the verified links.
+overlap of their multisets. Copies collapse first. A bucket's members are compared with its most
+central text, the one whose bands are the most common, which joins a true group without pairing its
+members; buckets that still hold several classes try more central texts; and the few members that are
+then left outside are compared with every candidate of another class, so that no link between classes
+is lost. Classes are the connected components of the verified links.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitalgrid.llm.common import Texts, clean_columns, mix, over_texts
@@ -26,11 +27,15 @@ from vitalgrid.session import stored
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 40, 6
+#: Two texts of similarity 0.8 share no band with probability 5e-5, and fewer than 2 with 6e-4.
+BANDS, ROWS = 25, 5
 SIGNATURE = BANDS * ROWS
-#: Bands that two texts of different classes must share before they are compared pair by pair. Two
-#: texts of similarity 0.8 share fewer than 2 of 40 with probability 8e-5.
+#: Bands that two texts of different classes must share to be compared once no central text is left.
 SHARED_BANDS = 2
+#: Central texts that a bucket with several classes tries before that.
+MORE_LEADERS = 8
+#: Text bytes whose signatures are made together.
+TOGETHER = 500_000
 
 _U = np.uint64
 _GOLD = _U(0x9E3779B97F4A7C15)
@@ -124,7 +129,7 @@ def sketches(docs: DataFrame) -> DataFrame:
             keys.append(mix(sums[words.first[1:]] - sums[words.first[:-1]] + words.per_text.astype(_U)).view(np.int64))
         doc, item, weight = multisets(texts)
         found = signatures(doc, item, weight, n).reshape(n, BANDS, ROWS)
-        band = np.zeros((n, BANDS), _U)
+        band = np.broadcast_to(np.arange(BANDS, dtype=_U), (n, BANDS))
         for r in range(ROWS):
             band = mix(band * _GOLD + found[:, :, r])
         some = np.flatnonzero(words.per_text)
@@ -141,7 +146,7 @@ def sketches(docs: DataFrame) -> DataFrame:
         )
 
     rows = clean_columns(docs, {"doc_id": "long", "text": "string"}).filter("doc_id is not null")
-    return over_texts(rows, "text", work, "doc_id long, k1 long, k2 long, weight long, bands array<long>")
+    return over_texts(rows, "text", work, "doc_id long, k1 long, k2 long, weight long, bands array<long>", TOGETHER)
 
 
 def verified(pairs: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -158,7 +163,7 @@ def verified(pairs: DataFrame, docs: DataFrame, similarity: float = SIMILARITY)
         .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
         .select("a", "b", "text_a", "text_b")
     )
-    return over_texts(both, "text_a", work, "a long, b long").distinct()
+    return over_texts(both, "text_a", work, "a long, b long", TOGETHER).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -197,40 +202,38 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         ),
         "nodes",
     )
-    dealt = nodes.select("rep", "weight", F.posexplode("bands").alias("band", "value"))
-    # only buckets with company; the leader is the bucket's smallest id
-    leaders = dealt.groupBy("band", "value").agg(F.min("rep").alias("leader"), F.max("rep").alias("last"))
-    leaders = leaders.filter("leader < last").drop("last")
-    held = stored(dealt.join(leaders, ["band", "value"]), "buckets")
-    sizes = nodes.groupBy("rep").agg(F.max("weight").alias("weight"), F.min("weight").alias("least"))
-    stars = held.filter("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b"), "weight").distinct()
-    stars = stars.join(sizes.select(F.col("rep").alias("a"), F.col("weight").alias("most"), "least"), "a")
-    stars = stars.filter(f"weight >= {similarity} * least and most >= {similarity} * weight").select("a", "b").distinct()
-    links = stored(verified(stored(stars, "stars"), docs, similarity), "verified")
+    dealt = nodes.select("rep", F.explode("bands").alias("bucket"))
+    company = dealt.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
+    held = stored(dealt.join(company, "bucket"), "buckets")
+    fame = held.groupBy("rep").agg(F.sum("size").alias("fame"))  # central texts have the common bands
+    weights = nodes.groupBy("rep").agg(F.min("weight").alias("least"), F.max("weight").alias("most"))
+    members = stored(held.select("bucket", "rep").join(fame.join(weights, "rep"), "rep"), "members")
+
+    leaders = members.groupBy("bucket").agg(_first(F.struct("rep", "least", "most")).alias("leader"))
+    tried = stored(_with_leaders(members, leaders, similarity), "tried")
+    links = stored(verified(tried, docs, similarity), "verified")
     roots = components(links)
 
-    # buckets that still hold several classes: their members across classes, pair by pair
-    rooted = held.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
-        "root", F.coalesce("root", "rep")
-    )
-    mixed = rooted.groupBy("band", "value").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-    mixed = mixed.filter("lo < hi").select("band", "value")
-    left = stored(rooted.join(mixed, ["band", "value"]).filter("rep <> leader"), "mixed")
+    left = _mixed(members, roots)
+    ranked = Window.partitionBy("bucket").orderBy(F.desc("fame"), "rep")
+    central = left.withColumn("place", F.row_number().over(ranked)).filter(F.col("place") <= MORE_LEADERS)
+    more = _with_leaders(left, central.select("bucket", F.struct("rep", "least", "most", "root").alias("leader")), similarity)
+    more = stored(more.join(tried, ["a", "b"], "left_anti"), "tried")
+    links = links.union(stored(verified(more, docs, similarity), "verified"))
+    roots = components(links)
+
+    left = _mixed(members, roots)
     x, y = left.alias("x"), left.alias("y")
     rest = (
-        x.join(y, ["band", "value"])
-        .filter(
-            F.expr(
-                f"x.root < y.root and least(x.weight, y.weight) >= {similarity} * greatest(x.weight, y.weight)"
-            )
-        )
+        x.join(y, "bucket")
+        .filter(F.expr(f"x.root < y.root and x.most >= {similarity} * y.least and y.most >= {similarity} * x.least"))
         .groupBy(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
         .agg(F.count("*").alias("shared"))
         .filter(F.col("shared") >= SHARED_BANDS)
         .select("a", "b")
+        .join(tried.union(more), ["a", "b"], "left_anti")
     )
-    more = stored(verified(stored(rest, "rest"), docs, similarity), "verified")
-    links = links.union(more)
+    links = links.union(stored(verified(stored(rest, "tried"), docs, similarity), "verified"))
     roots = components(links)
 
     degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
@@ -252,6 +255,30 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     )
 
 
+def _first(value):
+    """The value of the most central member; of equals, the one with the smallest id."""
+    return F.max_by(value, F.struct(F.col("fame"), -F.col("rep")))
+
+
+def _with_leaders(members: DataFrame, leaders: DataFrame, similarity: float) -> DataFrame:
+    """Distinct pairs (a, b), a < b, of members and leaders of a bucket whose weights (and classes, where
+    they are known) allow a link."""
+    pairs = members.join(leaders, "bucket").filter(
+        f"rep <> leader.rep and most >= {similarity} * leader.least and leader.most >= {similarity} * least"
+    )
+    if "root" in members.columns:
+        pairs = pairs.filter("root <> leader.root")
+    return pairs.select(F.least("rep", "leader.rep").alias("a"), F.greatest("rep", "leader.rep").alias("b")).distinct()
+
+
+def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members, with their classes, of the buckets that hold several."""
+    rooted = members.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
+    rooted = rooted.withColumn("root", F.coalesce("root", "rep"))
+    several = rooted.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
+    return stored(rooted.join(several.select("bucket"), "bucket"), "mixed")
+
+
 def deduplicated(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` without the members of a class other than its first document; full copies of a row go,
     too. Rows without an id stay."""
