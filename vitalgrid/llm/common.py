@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Text bytes handled at once inside a task; one longer text is handled alone.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 500_000
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
@@ -46,7 +46,7 @@ _powers: dict[str, np.ndarray] = {}
 def _power(base: np.uint64, n: int, name: str) -> np.ndarray:
     have = _powers.get(name)
     if have is None or len(have) < n:
-        steps = np.full(max(n, SLICE_BYTES // 4), base, dtype=_U)
+        steps = np.full(max(n + n // 4, SLICE_BYTES), base, dtype=_U)
         steps[0] = 1
         _powers[name] = have = np.cumprod(steps, dtype=_U)
     return have[:n]

@@ -24,14 +24,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import Texts, clean_columns, extended, held_out, mix, over_texts, slices
+from vitalgrid.llm.common import SLICE_BYTES, Texts, clean_columns, extended, held_out, mix, over_texts, slices
 from vitalgrid.session import scratch_path, stored
 
 #: Tokens a bucket stands for, about.
-BUCKET_TOKENS = 2_000_000
+BUCKET_TOKENS = 1_000_000
 MIN_BUCKETS = 16
 #: Bigrams a task collects before it sends them.
-FLUSH = 3_000_000
+FLUSH = 1_000_000
 #: Most first words whose bigrams are spread over all buckets: those with 1/HOT_WORDS of the tokens.
 HOT_WORDS = 2_000
 
@@ -206,7 +206,7 @@ def train(texts: DataFrame) -> dict:
     def count_words(batches):
         token, times, held = [], [], 0
         for batch in batches:
-            for part in slices(batch, "text", 4_000_000):
+            for part in slices(batch, "text", 2 * SLICE_BYTES):
                 with np.errstate(over="ignore"):
                     kinds, number = np.unique(_tokens(part.column("text"))[1], return_counts=True)
                 token.append(kinds)
@@ -246,7 +246,7 @@ def train(texts: DataFrame) -> dict:
     def count_pairs(batches):
         first, second, held = [], [], 0
         for batch in batches:
-            for part in slices(batch, "text", 4_000_000):
+            for part in slices(batch, "text", 2 * SLICE_BYTES):
                 with np.errstate(over="ignore"):
                     _, token, before = _tokens(part.column("text"))
                 first.append(before)
@@ -366,7 +366,7 @@ def _lookup(model: dict, name: str, columns: int, bucket: np.ndarray, key: np.nd
         rows = order[a:b]
         uri = f"{model['folder']}/{name}-{bucket[rows[0]]}"
         if uri not in _open_files:
-            if len(_open_files) >= 256:  # maps are cheap, but their number is not without limits
+            if len(_open_files) >= 5_000:  # maps are cheap, but their number has limits
                 _open_files.clear()
             _open_files[uri] = HashArray(uri, columns)
         for o, found in zip(out, _open_files[uri](key[rows])):
@@ -437,7 +437,7 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
             names=[*columns, *added],
         )
 
-    return over_texts(rows, "text", work, extended(rows, added), 4_000_000)
+    return over_texts(rows, "text", work, extended(rows, added), 4 * SLICE_BYTES)
 
 
 def training_texts(docs: DataFrame) -> DataFrame:
