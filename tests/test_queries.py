@@ -19,6 +19,9 @@ SLICED = [
     "x23_impute",
     "n2_sustained_threshold",
     "r4_predict",
+    "m6_nan",
+    "q1_nan",
+    "q8_raw_table",
 ]
 
 

@@ -251,3 +251,17 @@ def test_copies_spread_over_slices(spark):
         assert rows.filter(F.col("sum") != (F.col("pos") + 1) * 2).count() == 0
     finally:
         spark.conf.unset("spark.vitalgrid.maxSeriesRows")
+
+
+@pytest.mark.parametrize("limit", ["2", "1000000"])
+def test_quantiles_agree_between_layouts(spark, limit):
+    """Infinities, NaN and series without any value: the same answer however large a series may be."""
+    inf, nan = float("inf"), float("nan")
+    rows = [("a", inf), ("a", inf), ("a", 1.0), ("b", None), ("b", None), ("c", nan), ("c", 2.0), ("c", 4.0), ("d", -inf), ("e", nan)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    spark.conf.set("spark.vitalgrid.maxSeriesRows", limit)
+    try:
+        found = {r.k: r.v for r in quantiles(df, ["k"], ["v"], [0.25, 0.5, 0.75]).collect()}
+    finally:
+        spark.conf.unset("spark.vitalgrid.maxSeriesRows")
+    assert found == {"a": [inf, inf, inf], "b": None, "c": [2.5, 3.0, 3.5], "d": [-inf] * 3, "e": None}

@@ -112,6 +112,17 @@ SEVERITIES = ["High", "Medium", "Low"]
 OUTLIER_SUFFIX = "_is_outlier"
 ANOMALY_SUFFIX = "_anomaly"
 
+# Issue texts of the validation, with their number formats.
+ISSUES = {
+    "invalid": "Failed to parse %d timestamps (%.1f%%)",
+    "future": "Found %d future timestamps",
+    "old": "Found %d timestamps before 2010",
+    "range": "%s: %%d values outside range [%s, %s]",
+}
+
+# Why a clustering gives no result.
+TOO_FEW_ROWS = "Insufficient data: only %d sample(s) available for clustering. Need at least 2 samples."
+
 # Findings per code, as text with its number formats.
 FINDINGS = {
     "hr_low": "💙 Your average heart rate (%.0f bpm) is below normal. This could indicate good cardiovascular fitness or bradycardia.",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,6 +34,21 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.withColumns(floating) if floating else df
 
 
+def nan_is_missing(operator):
+    """An operator whose first argument is a table: NaN in it counts as null."""
+
+    @wraps(operator)
+    def run(df: DataFrame, *args, **options):
+        return operator(nan_to_null(df), *args, **options)
+
+    return run
+
+
+def half_even(pattern: str, decimals: int, *numbers: Column) -> Column:
+    """Formatted text whose numbers are rounded half to even first, as decimal text shows them."""
+    return F.format_string(pattern, *[F.bround(n.cast("double"), decimals) for n in numbers])
+
+
 def micros(ts) -> Column:
     """Microseconds since 1970 of a timestamp, zoned or not (session time zone UTC)."""
     return F.unix_micros(F.col(ts).cast("timestamp") if isinstance(ts, str) else ts.cast("timestamp"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitalgrid.catalog import FREQUENCIES, OUTLIER_SUFFIX
-from vitalgrid.functions.expressions import NUMERIC, from_micros, micros, numeric_columns
+from vitalgrid.functions.expressions import NUMERIC, from_micros, half_even, micros, numeric_columns
 from vitalgrid.operators.missing import fill_gaps
 from vitalgrid.plans.series import Series, attach, has_large_series
 from vitalgrid.plans.summaries import mode_of, quantiles, with_quantiles
@@ -28,7 +28,7 @@ def frequency_name(seconds: Column, rows: Column) -> Column:
         F.when(rows < 2, F.lit("insufficient_data"))
         .when(seconds < 60, F.format_string("%dsec", seconds.cast("long")))
         .when(seconds < 3600, F.format_string("%dmin", (seconds / 60).cast("long")))
-        .otherwise(F.format_string("%.1fhour", seconds / 3600))
+        .otherwise(half_even("%.1fhour", 1, seconds / 3600))
     )
 
 

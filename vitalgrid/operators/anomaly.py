@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitalgrid.catalog import ANOMALY_SUFFIX, METHODS, METRIC_COLUMN, REASONS, SEVERITIES, THRESHOLD_RULES
-from vitalgrid.functions.expressions import any_of, share, title
+from vitalgrid.functions.expressions import any_of, nan_is_missing, share, title
 from vitalgrid.plans.series import Series, attach
 
 
@@ -21,6 +21,7 @@ def _number(limit) -> str:
     return str(int(limit)) if float(limit).is_integer() else str(limit)
 
 
+@nan_is_missing
 def flag_thresholds(
     df: DataFrame,
     keys: list[str],
@@ -101,6 +102,7 @@ def threshold_report(df: DataFrame, keys: list[str], data_type: str, rule: tuple
     return report.withColumns({n: F.lit(v) for n, v in zip(names, rule)})
 
 
+@nan_is_missing
 def flag_residuals(
     df: DataFrame, forecast: DataFrame, keys: list[str], ts: str, value: str, threshold_std: float = 3.0
 ) -> DataFrame:

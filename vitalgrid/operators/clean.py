@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitalgrid.catalog import EARLIEST, VALUE_RANGES
-from vitalgrid.functions.expressions import clip, share
+from vitalgrid.functions.expressions import clip, nan_is_missing, share
 from vitalgrid.plans.series import Series, attach
 
 
@@ -16,7 +16,7 @@ def as_moment(value) -> Column:
 
 def timestamp_checks(ts: str, as_of=None) -> dict[str, Column]:
     """Per-row tests: unparsed, after ``as_of`` (default: now), before the first accepted moment."""
-    t = F.col(ts).cast("timestamp")
+    t = F.col(ts).try_cast("timestamp")
     return {
         "invalid": t.isNull(),
         "future": F.coalesce(t > as_moment(as_of), F.lit(False)),
@@ -42,35 +42,25 @@ def drop_bad_timestamps(df: DataFrame, ts: str, as_of=None, keep_null: bool = Fa
 def out_of_range(column: str, ranges: dict | None = None) -> Column:
     low, high = (ranges or VALUE_RANGES)[column][:2]
     c = F.col(column)
-    return F.coalesce((c < low) | (c > high), F.lit(False))
+    return F.coalesce((c < low) | ((c > high) & ~F.isnan(c.cast("double"))), F.lit(False))
 
 
+@nan_is_missing
 def clip_ranges(df: DataFrame, ranges: dict | None = None) -> DataFrame:
-    """Values beyond the accepted range move to its nearest end; nulls stay null."""
+    """Values beyond the accepted range move to its nearest end; nulls stay null, NaN becomes null."""
     ranges = ranges or VALUE_RANGES
     present = [c for c in ranges if c in df.columns]
     types = {c: df.schema[c].dataType for c in present}
     return df.withColumns({c: clip(F.col(c), *ranges[c][:2]).cast(types[c]) for c in present}) if present else df
 
 
-def range_report(df: DataFrame, keys: list[str], ranges: dict | None = None) -> DataFrame:
-    ranges = ranges or VALUE_RANGES
-    present = [c for c in ranges if c in df.columns]
-    return df.groupBy(*keys).agg(*[F.count_if(out_of_range(c, ranges)).alias(f"{c}_out_of_range") for c in present])
-
-
+@nan_is_missing
 def with_enough_rows(df: DataFrame, keys: list[str], at_least: int, value: str | None = None) -> DataFrame:
     """Rows of the series that have at least ``at_least`` rows (with a value, when given)."""
     kept = df.filter(F.col(value).isNotNull()) if value else df
     return attach(kept, kept.groupBy(*keys).agg(F.count("*").alias("_n")), keys).filter(F.col("_n") >= at_least).drop("_n")
 
 
-def series_guard(df: DataFrame, keys: list[str], at_least: int, value: str | None = None) -> DataFrame:
-    """One row per series: usable rows and whether they are enough."""
-    usable = F.count(value) if value else F.count("*")
-    return df.groupBy(*keys).agg(usable.alias("usable_rows")).withColumn("enough", F.col("usable_rows") >= at_least)
-
-
 def drop_duplicate_times(df: DataFrame, keys: list[str], ts: str, order: list[str]) -> DataFrame:
     """The first row per (series, time) in ``order``. An aggregate, so copies of one moment are
     merged before the shuffle however many there are."""

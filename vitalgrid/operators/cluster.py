@@ -7,12 +7,12 @@ from multiprocessing.pool import ThreadPool
 import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vitalgrid.catalog import TOO_FEW_ROWS
 from vitalgrid.functions.expressions import share
 from vitalgrid.plans.series import Series, attach
 from vitalgrid.plans.tiles import compare_tiles, squared_distances
@@ -22,6 +22,7 @@ SEED = 42
 RESTARTS = 10
 PARALLEL_FITS = 10
 ROWS_PER_TASK = 10_000
+MAX_ITERATIONS = 300
 
 
 def standardize(df: DataFrame, columns: list[str], by: list[str] = ()) -> DataFrame:
@@ -42,21 +43,29 @@ def with_vector(df: DataFrame, columns: list[str], name: str = "vec") -> DataFra
 
 
 def kmeans(
-    points: DataFrame, k: int = 3, seed: int = SEED, restarts: int = RESTARTS, vec: str = "vec"
+    points: DataFrame,
+    k: int = 3,
+    seed: int = SEED,
+    restarts: int = RESTARTS,
+    vec: str = "vec",
+    id: str | None = None,
+    max_iterations: int = MAX_ITERATIONS,
 ) -> tuple[DataFrame, DataFrame]:
     """K-means on an array column, best of several starts. Returns the rows with ``cluster`` and a
-    one-row report. ``k`` shrinks to the number of rows."""
+    one-row report, which tells whether the best fit converged within ``max_iterations``. ``k`` shrinks
+    to the number of rows. With ``id``, clusters are numbered by their smallest id, so the numbers do
+    not depend on the start."""
     data = points.withColumn("_features", array_to_vector(F.col(vec)))
     rows = data.count()
-    fitted = data.select("_features").coalesce(rows // ROWS_PER_TASK + 1).persist()
+    fitted = data.select("_features").repartition(rows // ROWS_PER_TASK + 1).persist()
     used = min(k, rows)
     if rows < 2:
         labels = points.withColumn("cluster", F.lit(0))
-        inertia, iterations = 0.0, 0
+        inertia, iterations, converged = 0.0, 0, True
     else:
 
         def fit(i: int):
-            start = KMeans(k=used, seed=seed + i, maxIter=100, featuresCol="_features", predictionCol="cluster")
+            start = KMeans(k=used, seed=seed + i, maxIter=max_iterations, featuresCol="_features", predictionCol="cluster")
             return start.fit(fitted)
 
         with ThreadPool(min(restarts, PARALLEL_FITS)) as pool:
@@ -64,15 +73,27 @@ def kmeans(
         best = min(models, key=lambda m: m.summary.trainingCost)
         labels = best.transform(data).drop("_features")
         inertia, iterations = float(best.summary.trainingCost), int(best.summary.numIter)
+        converged = iterations < max_iterations
+        if id is not None:
+            labels = _numbered(labels, id)
     fitted.unpersist()
     session = points.sparkSession
     report = session.createDataFrame(
-        [(inertia, iterations, k, used)],
-        "inertia double, n_iterations int, requested_clusters int, actual_clusters int",
+        [(inertia, iterations, converged, k, used)],
+        "inertia double, n_iterations int, converged boolean, requested_clusters int, actual_clusters int",
     )
     return labels, report
 
 
+def _numbered(labels: DataFrame, id: str) -> DataFrame:
+    """Clusters numbered from 0 by their smallest id (there are ``k`` of them at most)."""
+    first = labels.groupBy("cluster").agg(F.min(id).alias("_first"))
+    number = (F.row_number().over(Window.orderBy("_first")) - 1).cast("int")
+    return attach(labels, first.select("cluster", number.alias("_number")), ["cluster"]).select(
+        *[F.col("_number").alias("cluster") if c == "cluster" else F.col(c) for c in labels.columns]
+    )
+
+
 # density clustering ----------------------------------------------------------------------------
 
 
@@ -241,10 +262,37 @@ def silhouette(points: DataFrame, id: str = "id", vec: str = "vec", label: str =
     return result.select(F.when(valid, F.col("_s")).alias("silhouette_score"))
 
 
-def silhouette_squared(points: DataFrame, vec: str = "vec", label: str = "cluster") -> float:
-    """Silhouette with squared Euclidean distances; linear in the rows."""
-    data = points.select(array_to_vector(F.col(vec)).alias("features"), F.col(label).cast("double").alias("prediction"))
-    return ClusteringEvaluator().evaluate(data)
+def silhouette_squared(points: DataFrame, vec: str = "vec", label: str = "cluster") -> DataFrame:
+    """Mean silhouette with squared Euclidean distances, linear in the rows: the mean squared distance
+    of x to a cluster is |x|^2 - 2 x.m + (mean of |y|^2), with m the cluster's mean. Null unless
+    2 <= labels < rows."""
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    data = points.select(F.col(label).cast("long").alias("label"), F.transform(vec, lambda x: x.cast("double")).alias("vec"))
+    centre = centroids(data, "vec", "label")
+    sizes = data.groupBy("label").agg(F.count("*").alias("n"), F.avg(dot("vec", "vec")).alias("square"))
+    clusters = attach(centre, sizes, ["label"]).withColumnRenamed("label", "other")
+    # one row a cluster: as a nested table it goes to every row
+    table = clusters.agg(
+        F.collect_list(F.struct("other", F.col("_centre").alias("centre"), "n", "square")).alias("_clusters"),
+        F.sum("n").alias("_rows"),
+    )
+    rows = attach(data, table, [])
+    own = F.col("vec")
+    apart = F.transform(
+        "_clusters",
+        lambda c: F.struct(
+            (c["other"] == F.col("label")).alias("mine"),
+            c["n"].alias("n"),
+            F.greatest(dot(own, own) - 2 * dot(own, c["centre"]) + c["square"], F.lit(0.0)).alias("d"),
+        ),
+    )
+    rows = rows.withColumn("_apart", apart)
+    mine = F.filter("_apart", lambda c: c["mine"])[0]
+    a = F.try_divide(mine["d"] * mine["n"], mine["n"] - 1)
+    b = F.array_min(F.transform(F.filter("_apart", lambda c: ~c["mine"]), lambda c: c["d"]))
+    s = F.when(mine["n"] == 1, F.lit(0.0)).otherwise(F.coalesce(F.try_divide(b - a, F.greatest(a, b)), F.lit(0.0)))
+    k = F.max(F.size("_clusters"))
+    return rows.agg(F.when((k >= 2) & (k < F.count("*")), F.avg(s)).alias("silhouette_score"))
 
 
 def centroids(points: DataFrame, vec: str = "vec", label: str = "cluster") -> DataFrame:
@@ -256,7 +304,8 @@ def centroids(points: DataFrame, vec: str = "vec", label: str = "cluster") -> Da
 
 
 def davies_bouldin(points: DataFrame, vec: str = "vec", label: str = "cluster") -> DataFrame:
-    """Mean over clusters of the worst (spread_i + spread_j) / distance_ij."""
+    """Mean over clusters of the worst (spread_i + spread_j) / distance_ij. Null unless
+    2 <= labels < rows."""
     centres = centroids(points, vec, label)
     apart = F.sqrt(
         F.aggregate(
@@ -276,7 +325,11 @@ def davies_bouldin(points: DataFrame, vec: str = "vec", label: str = "cluster")
         return {"id": a.id, "worst": ratio.max(axis=1)}
 
     found = compare_tiles(table, worst, "id long, worst double", ["spread"]).groupBy("id").agg(F.max("worst").alias("_w"))
-    return found.agg(F.avg("_w").alias("davies_bouldin_score"))
+    sizes = points.groupBy(label).agg(F.count("*").alias("_n"))
+    valid = sizes.agg(((F.count("*") >= 2) & (F.count("*") < F.sum("_n"))).alias("_valid"))
+    return attach(found.agg(F.avg("_w").alias("_score")), valid, []).select(
+        F.when(F.col("_valid"), F.col("_score")).alias("davies_bouldin_score")
+    )
 
 
 def cluster_statistics(labelled: DataFrame, label: str = "cluster", by: list[str] = ()) -> DataFrame:
@@ -312,15 +365,28 @@ def cluster_features(
     k: int = 3,
     eps: float = 0.5,
     min_samples: int = 5,
-    exact_silhouette: bool = True,
+    exact_silhouette: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """Standardise, cluster, measure. Returns the matrix rows with ``cluster`` and a one-row report."""
+    """Standardise, cluster, measure. Returns the matrix rows with ``cluster`` and a one-row report;
+    the sizes of the clusters are ``cluster_statistics``.
+
+    The silhouette uses squared distances, which is linear in the rows; ``exact_silhouette`` takes plain
+    distances between all pairs. Fewer than two rows are not clustered: no rows come back, and the
+    report has ``success`` false and says why.
+    """
     if method not in ("kmeans", "dbscan"):
         raise ValueError(f"unknown clustering method {method}")
     scaled = with_vector(standardize(matrix, columns), columns).select(id, "vec")
     scaled = checkpointed(scaled)
+    rows = scaled.count()
+    if rows < 2:
+        failed = matrix.sparkSession.createDataFrame(
+            [(rows, data_type, method, len(columns), False, TOO_FEW_ROWS % rows)],
+            "n_samples long, data_type string, method string, n_features int, success boolean, error string",
+        )
+        return matrix.withColumn("cluster", F.lit(None).cast("int")).filter("1 = 0"), failed
     if method == "kmeans":
-        labels, model = kmeans(scaled, k)
+        labels, model = kmeans(scaled, k, id=id)
     else:
         labels, model = dbscan(scaled, id, "vec", eps, min_samples)
     labels = checkpointed(labels.select(id, "vec", "cluster"))
@@ -328,13 +394,12 @@ def cluster_features(
     report = sizes.agg(
         F.sum("_n").alias("n_samples"),
         F.count("*").alias("n_labels"),
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("cluster", "_n")))).alias("cluster_sizes"),
     )
     report = report.withColumns(
         {"data_type": F.lit(data_type), "method": F.lit(method), "n_features": F.lit(len(columns))}
     )
     report = attach(report, model.drop("n_labels"), [])
-    if exact_silhouette:
-        report = attach(report, silhouette(labels, id), [])
+    report = attach(report, silhouette(labels, id) if exact_silhouette else silhouette_squared(labels), [])
     report = attach(report, davies_bouldin(labels), [])
+    report = report.withColumns({"success": F.lit(True), "error": F.lit(None).cast("string")})
     return attach(matrix, labels.select(id, "cluster"), [id]), report

@@ -16,6 +16,10 @@ def snake(name: str) -> str:
     return name.lower().replace(" ", "_").replace("-", "_")
 
 
+def standard_name(name: str) -> str:
+    return COLUMN_NAMES.get(snake(name), snake(name))
+
+
 def standardize_columns(df: DataFrame, map_first: bool = False) -> DataFrame:
     """Standard column names. Lower-casing comes before the name map, or after it with
     ``map_first`` (then ``HR`` only becomes ``hr``, and ``pulse`` is not known)."""
@@ -23,7 +27,7 @@ def standardize_columns(df: DataFrame, map_first: bool = False) -> DataFrame:
         known = {k: v for k, v in COLUMN_NAMES.items() if k != "pulse"}
         names = [snake(known.get(c, c)) for c in df.columns]
     else:
-        names = [COLUMN_NAMES.get(snake(c), snake(c)) for c in df.columns]
+        names = [standard_name(c) for c in df.columns]
     twice = sorted({n for n in names if names.count(n) > 1})
     if twice:
         raise ValueError(f"several columns would be named {', '.join(twice)}")

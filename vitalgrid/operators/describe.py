@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitalgrid.catalog import ANOMALY_SUFFIX, FINDINGS, METRIC_COLUMN, WEEKDAYS
-from vitalgrid.functions.expressions import numeric_columns, share, title
+from vitalgrid.functions.expressions import half_even, nan_is_missing, numeric_columns, share, title
 from vitalgrid.functions.scan import INF, clamp_of, stands_out
 from vitalgrid.functions.stats import slope_p_value_of
 from vitalgrid.plans.series import Series, attach, has_large_series, spread
@@ -46,6 +48,7 @@ def hour_comparison(df: DataFrame, before: str, after: str, order: list[str], ro
     )
 
 
+@nan_is_missing
 def long_statistics(
     df: DataFrame, dataset: str, columns: list[str] | None = None, approx: bool = False, sliced=None
 ) -> DataFrame:
@@ -103,6 +106,7 @@ def compare_datasets(frames: dict[str, DataFrame]) -> DataFrame:
     return wide_comparison(long, "dataset", [n for n in frames if n in METRIC_COLUMN])
 
 
+@nan_is_missing
 def correlations(df: DataFrame, columns: list[str] | None = None, keys: list[str] = ()) -> DataFrame:
     """Pearson correlation of every pair of numeric columns in one pass, pairwise nulls ignored;
     null against a constant column. Rows (a, b, correlation)."""
@@ -133,6 +137,7 @@ def correlations(df: DataFrame, columns: list[str] | None = None, keys: list[str
     return wide.select(*keys, F.inline(F.array(*cells)))
 
 
+@nan_is_missing
 def flag_zscore(df: DataFrame, keys: list[str], column: str, threshold: float = 3.0) -> DataFrame:
     """``c_anomaly_zscore``: |value - mean| above ``threshold`` population deviations."""
     stats = df.groupBy(*keys).agg(F.avg(column).alias("_mean"), F.stddev_pop(column).alias("_std"))
@@ -148,6 +153,7 @@ def _field_names(df: DataFrame, names: list[str]) -> T.StructType:
     return T.StructType([df.schema[n] for n in names])
 
 
+@nan_is_missing
 def extrema(
     df: DataFrame,
     keys: list[str],
@@ -250,6 +256,7 @@ def _slice_states(runs: DataFrame, keys: list[str], prominence: float) -> DataFr
     return summary.groupBy(*keys).applyInPandas(carry, T.StructType([*key_fields, *states]))
 
 
+@nan_is_missing
 def extrema_summary(df: DataFrame, keys: list[str], value: str, order: list[str], prominence: float = 1.0, sliced=None):
     """Counts and average heights per series; series without extrema are kept with zeros."""
     found = extrema(df, keys, value, order, prominence, sliced)
@@ -265,6 +272,7 @@ def extrema_summary(df: DataFrame, keys: list[str], value: str, order: list[str]
     return attach(everyone, summary, keys).withColumns(zeros)
 
 
+@nan_is_missing
 def trends(df: DataFrame, keys: list[str], value: str, order: list[str], sliced=None) -> DataFrame:
     """Linear trend of the non-null values on their row number; series with one value drop out."""
     known = df.filter(F.col(value).isNotNull()).select(*dict.fromkeys([*keys, *order, value]))
@@ -291,11 +299,17 @@ def trends(df: DataFrame, keys: list[str], value: str, order: list[str], sliced=
     )
 
 
+def _decimals(pattern: str) -> int:
+    """Decimals of the pattern's numbers (one kind per pattern)."""
+    return max(int(d) for d in re.findall(r"\.(\d)f", pattern))
+
+
 def _finding(code: str, when: Column, *numbers: Column) -> Column:
-    text = F.format_string(FINDINGS[code], *[n.cast("double") for n in numbers])
+    text = half_even(FINDINGS[code], _decimals(FINDINGS[code]), *numbers)
     return F.when(when, F.struct(F.lit(code).alias("code"), numbers[0].cast("double").alias("value"), text.alias("finding")))
 
 
+@nan_is_missing
 def findings(df: DataFrame, keys: list[str], data_type: str) -> DataFrame:
     """Rule-based findings: one row per series and rule that applies."""
     if data_type == "heart_rate" and "heart_rate" in df.columns:
@@ -340,6 +354,7 @@ def findings(df: DataFrame, keys: list[str], data_type: str) -> DataFrame:
     return facts.select(*keys, F.inline(F.array_compact(F.array(*rules))))
 
 
+@nan_is_missing
 def histogram(df: DataFrame, keys: list[str], value: str, bins: int) -> DataFrame:
     """Equal-width bins between the smallest and largest value of a series, empty ones included;
     a constant series counts in bin 1."""
@@ -359,6 +374,7 @@ def histogram(df: DataFrame, keys: list[str], value: str, bins: int) -> DataFram
     return attach(frame, counts, [*keys, "bin"]).withColumn("records", F.coalesce("records", F.lit(0)))
 
 
+@nan_is_missing
 def box_summary(df: DataFrame, keys: list[str], value: str, approx: bool = False, sliced=None) -> DataFrame:
     """Quartiles, whiskers (the furthest values within 1.5 interquartile ranges), mean, deviation
     and the number of points beyond the whiskers."""
@@ -378,6 +394,7 @@ def box_summary(df: DataFrame, keys: list[str], value: str, approx: bool = False
     return attach(q, rest, keys)
 
 
+@nan_is_missing
 def outlier_points(df: DataFrame, keys: list[str], value: str, approx: bool = False, sliced=None) -> DataFrame:
     q = quantiles(df, keys, [value], [0.25, 0.75], approx, sliced)
     q = q.select(*keys, F.col(value)[0].alias("_q1"), F.col(value)[1].alias("_q3"))
@@ -385,6 +402,7 @@ def outlier_points(df: DataFrame, keys: list[str], value: str, approx: bool = Fa
     return attach(df, q, keys).filter((v < F.col("_q1") - reach) | (v > F.col("_q3") + reach)).drop("_q1", "_q3")
 
 
+@nan_is_missing
 def metric_summary(df: DataFrame, keys: list[str], value: str, order: list[str], sliced=None) -> DataFrame:
     """One row per series: mean, median, deviation, range, trend, anomalies, peaks and valleys."""
     if sliced is None:

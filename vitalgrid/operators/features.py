@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vitalgrid.functions.expressions import nan_is_missing
 from vitalgrid.functions.stats import approximate_entropy_of
 from vitalgrid.operators.align import DAY, resample
 from vitalgrid.plans.series import Series, attach, has_large_series
@@ -28,6 +29,7 @@ def window_size(rows: Column, requested: int = 60) -> Column:
     return F.when(rows >= MIN_ROWS, chosen)
 
 
+@nan_is_missing
 def window_sizes(df: DataFrame, keys: list[str], value: str, requested: int = 60) -> DataFrame:
     sized = df.groupBy(*keys).agg(F.count(value).alias("rows"))
     return sized.withColumns(
@@ -35,6 +37,7 @@ def window_sizes(df: DataFrame, keys: list[str], value: str, requested: int = 60
     )
 
 
+@nan_is_missing
 def to_windows(
     df: DataFrame, keys: list[str], value: str, order: list[str], requested: int = 60, sliced: bool | None = None
 ) -> DataFrame:
@@ -229,6 +232,7 @@ def feature_columns(features: DataFrame) -> list[str]:
     return [c for c in features.columns if c.startswith(PREFIX)]
 
 
+@nan_is_missing
 def impute(features: DataFrame, by: list[str] = (), columns: list[str] | None = None) -> DataFrame:
     """+inf becomes the largest finite value of the column, -inf the smallest, NaN and null the
     median; a column without finite values becomes 0."""
@@ -287,6 +291,7 @@ def top_features(features: DataFrame, n: int = 20, columns: list[str] | None = N
     return wide.select(F.inline(rows)).orderBy(F.desc_nulls_last("variance"), "feature").limit(n)
 
 
+@nan_is_missing
 def extract_features(
     df: DataFrame,
     keys: list[str],

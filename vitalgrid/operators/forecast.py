@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vitalgrid.functions.expressions import from_micros, micros, share
+from vitalgrid.functions.expressions import from_micros, micros, nan_is_missing, share
 from vitalgrid.plans.series import Series, attach, has_large_series, max_series_rows, spread
 
 INTERVAL = 1.96
@@ -21,6 +21,7 @@ DAY_US = 86_400_000_000
 REFERENCE_US = 1_577_836_800_000_000  # 2020-01-01, keeps the day numbers small
 
 
+@nan_is_missing
 def training_frame(
     df: DataFrame, keys: list[str], ts: str, value: str, sliced: bool | None = None
 ) -> DataFrame:

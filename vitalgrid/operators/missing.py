@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitalgrid.catalog import BACKFILL_LIMIT, INTERPOLATE_LIMIT
-from vitalgrid.functions.expressions import NUMERIC, micros, numeric_columns
+from vitalgrid.functions.expressions import NUMERIC, micros, nan_is_missing, numeric_columns
 from vitalgrid.plans.series import Series, attach
 from vitalgrid.plans.summaries import with_mode, with_quantiles
 
@@ -69,6 +69,7 @@ def backward_fill(series: Series, columns: list[str]) -> Series:
     return series.known(after={c: F.col(c) for c in columns}) if columns else series
 
 
+@nan_is_missing
 def zero_fill(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Zero for numbers, false for flags; text stays as it is."""
     fills = {}
@@ -118,6 +119,7 @@ def strategies(df: DataFrame, keys: list[str], ts: str, order: list[str] = ()) -
     return chosen
 
 
+@nan_is_missing
 def null_counts(df: DataFrame, keys: list[str], columns: list[str], prefix: str) -> DataFrame:
     return df.groupBy(*keys).agg(*[F.count_if(F.col(c).isNull()).alias(f"{prefix}{c}") for c in columns])
 

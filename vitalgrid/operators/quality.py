@@ -6,12 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitalgrid.catalog import OUTLIER_SUFFIX, QUICK_TIMESTAMP_NAMES
-from vitalgrid.functions.expressions import numeric_columns, share
+from vitalgrid.functions.expressions import nan_is_missing, numeric_columns, share
 from vitalgrid.operators.clean import timestamp_checks
 from vitalgrid.plans.series import Series, attach
 from vitalgrid.plans.summaries import quantiles, with_quantiles
 
 
+@nan_is_missing
 def iqr_bounds(
     df: DataFrame, keys: list[str], columns: list[str], approx: bool = False, sliced: bool | None = None
 ) -> DataFrame:
@@ -31,6 +32,7 @@ def _outside(c: str) -> Column:
     return F.coalesce((F.col(c) < F.col(f"{c}_lower")) | (F.col(c) > F.col(f"{c}_upper")), F.lit(False))
 
 
+@nan_is_missing
 def flag_outliers(
     df: DataFrame,
     keys: list[str],
@@ -92,6 +94,7 @@ def validation_score(missing_share: Column, issues: Column, outlier_rate: Column
     return F.bround(100 * ((1 - missing_share) * 0.4 + validity + (1 - outlier_rate) * 0.3), 2)
 
 
+@nan_is_missing
 def quality_scores(
     df: DataFrame, keys: list[str], issues: DataFrame | None = None, columns: list[str] | None = None
 ) -> DataFrame:
@@ -139,6 +142,7 @@ def _total(names: list[str]) -> Column:
     return total
 
 
+@nan_is_missing
 def data_quality_score(df: DataFrame, keys: list[str] = ()) -> DataFrame:
     """Standalone score: completeness 40, no full-row copies 30, few outliers 30."""
     keys = list(keys)
@@ -151,6 +155,7 @@ def data_quality_score(df: DataFrame, keys: list[str] = ()) -> DataFrame:
     return facts.select(*keys, F.bround(completeness * 40 + unique * 30 + valid * 30, 2).alias("quality_score"))
 
 
+@nan_is_missing
 def quick_check(df: DataFrame) -> DataFrame:
     """One row: validity, issues, warnings and size of a table."""
     numbers = numeric_columns(df)
@@ -189,6 +194,7 @@ def quick_check(df: DataFrame) -> DataFrame:
     )
 
 
+@nan_is_missing
 def quality_report(df: DataFrame, keys: list[str] = (), as_of=None) -> DataFrame:
     """Completeness, consistency, accuracy and timeliness, one struct each."""
     keys = list(keys)
@@ -233,6 +239,7 @@ def quality_report(df: DataFrame, keys: list[str] = (), as_of=None) -> DataFrame
     return facts.select(*keys, *[p.alias(n) for n, p in parts.items()])
 
 
+@nan_is_missing
 def column_profile(df: DataFrame, order: list[str] | None = None, approx: bool = False) -> DataFrame:
     """One row per column: type, filled, empty, completeness, distinct values, a sample value
     (the first row's by ``order``)."""

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vitalgrid.functions.expressions import nan_to_null
 from vitalgrid.session import stored
 
 MAX_ROWS_CONF = "spark.vitalgrid.maxSeriesRows"
@@ -71,8 +72,9 @@ class Series:
 
     @classmethod
     def of(cls, df: DataFrame, keys, order, sliced: bool | None = None) -> "Series":
-        """``order`` must be unique inside a series for repeatable results."""
+        """``order`` must be unique inside a series for repeatable results. NaN counts as null."""
         keys, order = list(keys), list(order)
+        df = nan_to_null(df)
         if sliced is None:
             sliced = has_large_series(df, keys)
         if sliced:

@@ -7,10 +7,12 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from vitalgrid.catalog import METRIC_COLUMN, VALUE_RANGES
+from vitalgrid.catalog import ISSUES, METRIC_COLUMN, VALUE_RANGES
+from vitalgrid.functions.expressions import nan_to_null
 from vitalgrid.operators import align as alignment
-from vitalgrid.operators import anomaly, clean, cluster, features, forecast, missing, quality
+from vitalgrid.operators import anomaly, clean, cluster, columns, features, forecast, missing, quality
 from vitalgrid.plans.series import Series, attach, has_large_series
 from vitalgrid.session import stored
 
@@ -57,9 +59,13 @@ def validate(
     """Check times and ranges, fill what is missing, flag outliers, drop repeated times, score.
     The rows need one exchange on the keys; the reports are separate lazy aggregates.
 
+    A table without the column ``ts`` gets standard column names first, and the time column is then
+    found by its name. Text times are parsed; those that do not parse count as invalid and go. NaN
+    counts as missing.
+
     Reports: ``validation`` (one row per series), ``missing`` and ``outliers`` (per column).
     """
-    order = order or [ts]
+    df, keys, ts, order = standard_table(df, keys, ts, order)
     if sliced is None:
         sliced = has_large_series(df, keys)
     ranges = {c: r for c, r in (ranges or VALUE_RANGES).items() if c in df.columns}
@@ -87,6 +93,21 @@ def validate(
     )
 
 
+def standard_table(df: DataFrame, keys: list[str], ts: str, order: list[str] | None):
+    """The table ready for validation: names, time column, parsed times, NaN as null. Returns it with
+    the names of its keys, time and order."""
+    order = list(order or [ts])
+    if ts not in df.columns:
+        df = columns.standardize_columns(df)
+        found = columns.detect_timestamp_column(df)
+        keys = [columns.standard_name(k) for k in keys]
+        order = [found if c == ts else columns.standard_name(c) for c in order]
+        ts = found
+    if isinstance(df.schema[ts].dataType, T.StringType):
+        df = df.withColumn(ts, columns.parse_timestamp(F.col(ts)))
+    return nan_to_null(df), list(keys), ts, order
+
+
 def _validation_report(df, flagged, unique, keys, ts, order, as_of, ranges) -> DataFrame:
     """One row per series: rows before and after, what was wrong, score."""
     tests = clean.timestamp_checks(ts, as_of)
@@ -122,17 +143,17 @@ def issue_texts(ranges: dict) -> Column:
         F.when(
             F.col("invalid_timestamps") > 0,
             F.format_string(
-                "Failed to parse %d timestamps (%.1f%%)",
+                ISSUES["invalid"],
                 F.col("invalid_timestamps"),
-                100 * F.col("invalid_timestamps") / F.col("original_rows"),
+                F.bround(100 * F.col("invalid_timestamps") / F.col("original_rows"), 1),
             ),
         ),
-        F.when(F.col("future_timestamps") > 0, F.format_string("Found %d future timestamps", F.col("future_timestamps"))),
-        F.when(F.col("old_timestamps") > 0, F.format_string("Found %d timestamps before 2010", F.col("old_timestamps"))),
+        F.when(F.col("future_timestamps") > 0, F.format_string(ISSUES["future"], F.col("future_timestamps"))),
+        F.when(F.col("old_timestamps") > 0, F.format_string(ISSUES["old"], F.col("old_timestamps"))),
     ]
     for c, (low, high, label) in ranges.items():
         hits = F.col(f"{c}_out_of_range")
-        texts.append(F.when(hits > 0, F.format_string(f"{label}: %d values outside range [{low}, {high}]", hits)))
+        texts.append(F.when(hits > 0, F.format_string(ISSUES["range"] % (label, low, high), hits)))
     return F.array_compact(F.array(*texts))
 
 
@@ -149,6 +170,7 @@ def preprocess(
 ) -> Stage:
     """Validate, then align to the target frequency. Adds the ``summary`` report: records, columns,
     quality, hours covered per series."""
+    df, keys, ts, order = standard_table(df, keys, ts, order)
     sliced = has_large_series(df, keys)
     checked = validate(df, keys, ts, order, as_of, ranges, sliced=sliced)
     aligned = alignment.align_rows(checked.data, keys, data_type, ts, target, fill, order, sliced)
@@ -197,9 +219,9 @@ def model(
     matrix, extraction = features.extract_features(df, keys, data_type, value, ts, [ts], requested)
     numbered = Series.of(matrix, [], [*keys, "window_id"]).position("window_no").done()
     predicted, residuals, modelling = forecast.fit_and_predict(df, keys, data_type, ts, value, periods, forecaster)
-    columns = features.feature_columns(matrix)
-    labelled, clustering = cluster.cluster_features(numbered, "window_no", columns, data_type, method, k)
-    projected, variance = cluster.pca(cluster.with_vector(cluster.standardize(labelled, columns), columns))
+    names = features.feature_columns(matrix)
+    labelled, clustering = cluster.cluster_features(numbered, "window_no", names, data_type, method, k)
+    projected, variance = cluster.pca(cluster.with_vector(cluster.standardize(labelled, names), names))
     return Model(
         matrix,
         predicted,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vitalgrid.functions.expressions import nan_to_null
 from vitalgrid.plans.series import Series, attach, has_large_series
 
 
@@ -25,8 +26,10 @@ def quantiles(
 
     Series that fit one task use the built-in exact aggregate. Larger ones are counted per
     distinct value first, the distinct values are ranked across tasks, and only the values at
-    the wanted ranks are kept. ``approx`` uses mergeable sketches instead.
+    the wanted ranks are kept. ``approx`` uses mergeable sketches instead. Nulls and NaN don't
+    count; a series without any value has a null in place of the array.
     """
+    df = nan_to_null(df.select(*dict.fromkeys([*keys, *columns])))
     wanted = F.array(*[F.lit(float(p)) for p in probs])
     if approx:
         return df.groupBy(*keys).agg(*[F.percentile_approx(c, wanted, 10000).alias(c) for c in columns])
@@ -53,9 +56,13 @@ def quantiles(
     for i, p in enumerate(probs):
         rank = F.lit(float(p)) * (F.col("_n") - 1)
         part = rank - F.floor(rank)
-        values.append(F.col(f"_lo{i}") * (1 - part) + F.col(f"_hi{i}") * part)
+        low, high = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        values.append(F.when((part == 0) | (low == high), low).otherwise(low * (1 - part) + high * part))
     found = found.withColumn("_q", F.array(*values))
-    return found.groupBy(*keys).agg(*_per_column(columns, F.col("_q")))
+    found = found.groupBy(*keys).agg(*_per_column(columns, F.col("_q")))
+    if not keys:
+        return found
+    return attach(df.groupBy(*keys).agg(F.count("*").alias("_n")).drop("_n"), found, keys)
 
 
 def mode_of(df: DataFrame, keys: list[str], column: str) -> DataFrame:

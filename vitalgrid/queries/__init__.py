@@ -9,6 +9,7 @@ from vitalgrid.queries import (  # noqa: F401
     files,
     forecasts,
     names,
+    nans,
     profiling,
     stages,
     times,

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from vitalgrid.operators import cluster, features
+from vitalgrid.operators import cluster
 from vitalgrid.queries.registry import R, query
 
 EPS, MIN_SAMPLES = 1.2, 5
@@ -26,16 +26,37 @@ def _(t):
     return cluster.standardize(df, ["p_size", "p_retailprice", "one"])
 
 
-@query("c2_kmeans")
+# three groups far apart: whatever the start, K-means has to find them
+PLANTED = """
+    p AS (SELECT vec_id AS id, label % 3 AS part, list_transform(embedding::double[], lambda x: x + 100 * (label % 3)) AS vec FROM embeddings),
+    numbered AS (SELECT part, row_number() OVER (ORDER BY min(id)) - 1 AS cluster FROM p GROUP BY part)
+"""
+
+
+def planted(t):
+    vec = F.expr("transform(embedding, x -> cast(x as double) + 100 * (label % 3))")
+    return t.embeddings.select(F.col("vec_id").alias("id"), vec.alias("vec"))
+
+
+@query("c2_kmeans", f"WITH {PLANTED} SELECT id, cluster::bigint AS cluster FROM p JOIN numbered USING (part)")
 def _(t):
-    labels, _report = cluster.kmeans(points(t).drop("cluster"), 3)
+    labels, _report = cluster.kmeans(planted(t), 3, id="id")
     return labels.select("id", "cluster")
 
 
-@query("c2_kmeans_report")
+@query(
+    "c2_kmeans_report",
+    f"""
+    WITH {PLANTED},
+    cells AS (SELECT id, part, generate_subscripts(vec, 1) AS d, unnest(vec) AS x FROM p),
+    mean AS (SELECT part, d, avg(x) AS m FROM cells GROUP BY part, d)
+    SELECT round(sum((x - m) * (x - m)), 4) AS inertia, true AS converged, 3::bigint AS requested_clusters, 3::bigint AS actual_clusters
+    FROM cells JOIN mean USING (part, d)
+    """,
+)
 def _(t):
-    _labels, report = cluster.kmeans(points(t).drop("cluster"), 3)
-    return report
+    _labels, report = cluster.kmeans(planted(t), 3, id="id")
+    return report.select(F.round("inertia", 4).alias("inertia"), "converged", "requested_clusters", "actual_clusters")
 
 
 @query(
@@ -95,15 +116,82 @@ def _(t):
     return cluster.davies_bouldin(points(t))
 
 
-@query("c6_cluster_report")
-def _(t):
-    matrix, _report = features.extract_features(
-        t.events, ["user_id"], "heart_rate", "value", "ts", ["ts", "event_id"], kind="minimal"
+# one row a user, in three groups far apart
+USERS = """
+    u AS (SELECT user_id, avg(value) + 10000 * (user_id % 3) AS a, max(value) - 7000 * (user_id % 3) AS b, user_id % 3 AS part
+          FROM events GROUP BY user_id),
+    s AS (SELECT avg(a) AS ma, stddev_pop(a) AS sa, avg(b) AS mb, stddev_pop(b) AS sb FROM u),
+    z AS (SELECT user_id AS id, part, [(a - ma) / sa, (b - mb) / sb] AS v FROM u, s),
+    centre AS (SELECT part, [avg(v[1]), avg(v[2])] AS c, count(*) AS n FROM z GROUP BY part),
+    apart AS (SELECT z.id, z.part, y.part AS other, avg(list_distance(z.v, y.v) ** 2) AS d, count(*) AS n FROM z JOIN z y ON true GROUP BY ALL),
+    sil AS (SELECT id, max(d * n / (n - 1)) FILTER (part = other) AS own, min(d) FILTER (part <> other) AS near FROM apart GROUP BY id),
+    spread AS (SELECT part, c, avg(list_distance(v, c)) AS w FROM z JOIN centre USING (part) GROUP BY part, c),
+    worst AS (SELECT x.part, max((x.w + y.w) / list_distance(x.c, y.c)) AS r FROM spread x JOIN spread y ON x.part <> y.part GROUP BY x.part)
+"""
+
+
+def users(t):
+    part = F.col("user_id") % 3
+    return t.events.groupBy("user_id").agg(F.avg("value").alias("a"), F.max("value").alias("b")).select(
+        "user_id", (F.col("a") + 10000 * part).alias("a"), (F.col("b") - 7000 * part).alias("b")
     )
-    matrix = matrix.withColumn("id", F.col("user_id") * 100000 + F.col("window_id"))
-    columns = ["value__mean", "value__standard_deviation", "value__maximum"]
-    _rows, report = cluster.cluster_features(matrix, "id", columns, "heart_rate", k=3)
-    return report.drop("cluster_sizes")
+
+
+MEASURES = f"""
+    {R('(SELECT avg((near - own) / greatest(near, own)) FROM sil)')} AS silhouette_score,
+    {R('(SELECT avg(r) FROM worst)')} AS davies_bouldin_score
+"""
+
+
+@query(
+    "c6_cluster_report",
+    f"""
+    WITH {USERS}
+    SELECT (SELECT count(*) FROM z)::bigint AS n_samples, 3::bigint AS n_labels, 'heart_rate' AS data_type, 'kmeans' AS method, 2::bigint AS n_features,
+        {R('(SELECT sum(list_distance(v, c) ** 2) FROM z JOIN centre USING (part))')} AS inertia, true AS converged,
+        3::bigint AS requested_clusters, 3::bigint AS actual_clusters, {MEASURES}, true AS success, NULL AS error
+    """,
+)
+def _(t):
+    _rows, report = cluster.cluster_features(users(t), "user_id", ["a", "b"], "heart_rate", k=3)
+    return report.drop("n_iterations")
+
+
+@query(
+    "c6_cluster_rows",
+    f"""
+    WITH {USERS}, numbered AS (SELECT part, row_number() OVER (ORDER BY min(id)) - 1 AS cluster FROM z GROUP BY part)
+    SELECT id AS user_id, cluster::bigint AS cluster FROM z JOIN numbered USING (part)
+    """,
+)
+def _(t):
+    rows, _report = cluster.cluster_features(users(t), "user_id", ["a", "b"], "heart_rate", k=3)
+    return rows.select("user_id", "cluster")
+
+
+@query(
+    "c6_dbscan_report",
+    f"""
+    WITH {USERS}
+    SELECT (SELECT count(*) FROM z)::bigint AS n_samples, 3::bigint AS n_labels, 'heart_rate' AS data_type, 'dbscan' AS method, 2::bigint AS n_features,
+        {R('0.5')} AS eps, 5::bigint AS min_samples, 5::bigint AS actual_min_samples, 3::bigint AS n_clusters, 0::bigint AS n_noise_points,
+        {R('0')} AS noise_percentage, {MEASURES}, true AS success, NULL AS error
+    """,
+)
+def _(t):
+    _rows, report = cluster.cluster_features(users(t), "user_id", ["a", "b"], "heart_rate", "dbscan")
+    return report
+
+
+@query(
+    "c6_too_few_rows",
+    "SELECT 1::bigint AS n_samples, 'sleep' AS data_type, 'kmeans' AS method, 2::bigint AS n_features, false AS success,"
+    " 'Insufficient data: only 1 sample(s) available for clustering. Need at least 2 samples.' AS error",
+)
+def _(t):
+    one = users(t).agg(F.min("user_id").alias("user_id"), F.avg("a").alias("a"), F.max("b").alias("b"))
+    _rows, report = cluster.cluster_features(one, "user_id", ["a", "b"], "sleep")
+    return report
 
 
 @query(

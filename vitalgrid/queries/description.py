@@ -62,10 +62,10 @@ def _wide_rows() -> str:
         "Maximum": "max(v)",
         "Variance": "var_samp(v)",
     }
-    types = {"click": "Steps", "view": "Heart Rate", "purchase": "Sleep"}
+    types = {"'click', 'signup'": "Steps", "'view', 'error'": "Heart Rate", "'purchase'": "Sleep"}
 
     def cell(e: str, kind: str, name: str) -> str:
-        of_kind = e.replace("(v", f"(CASE WHEN event_type = '{kind}' THEN value / 3 END")
+        of_kind = e.replace("(v", f"(CASE WHEN event_type IN ({kind}) THEN value / 3 END")
         return R(f"round_even(({of_kind})::decimal(28, 10), 2)") + f' AS "{name}"'
 
     return " UNION ALL ".join(
@@ -79,8 +79,8 @@ def _(t):
     value = F.col("value") / 3
     return describe.compare_datasets(
         {
-            "steps": t.events.filter("event_type = 'click'").select(value.alias("step_count")),
-            "heart_rate": t.events.filter("event_type = 'view'").select(value.alias("heart_rate")),
+            "steps": t.events.filter("event_type in ('click', 'signup')").select(value.alias("step_count")),
+            "heart_rate": t.events.filter("event_type in ('view', 'error')").select(value.alias("heart_rate")),
             "sleep": t.events.filter("event_type = 'purchase'").select(value.alias("duration_minutes")),
         }
     )

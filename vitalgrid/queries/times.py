@@ -128,9 +128,9 @@ def _(t):
 
 def _grid(seconds: int) -> str:
     return f"""
-    WITH s AS (SELECT event_type, time_bucket(INTERVAL {seconds} SECOND, ts) AS b, trunc(value)::bigint AS steps, value
-               FROM events WHERE event_type <> 'view' OR value > 60),
-    a AS (SELECT event_type, b, sum(steps)::bigint AS steps, avg(value) AS value FROM s GROUP BY event_type, b),
+    WITH s AS (SELECT event_type, time_bucket(INTERVAL {seconds} SECOND, ts) AS b, CASE WHEN gap THEN NULL ELSE trunc(value)::bigint END AS steps, CASE WHEN gap THEN NULL ELSE value END AS value
+               FROM (SELECT *, event_type = 'view' AND value <= 60 AS gap FROM events)),
+    a AS (SELECT event_type, b, coalesce(sum(steps), 0)::bigint AS steps, avg(value) AS value FROM s GROUP BY event_type, b),
     g AS (SELECT event_type, unnest(generate_series(min(b), max(b), INTERVAL {seconds} SECOND)) AS b FROM a GROUP BY event_type)
     """
 
@@ -140,8 +140,10 @@ def _grid(seconds: int) -> str:
     f"{_grid(900)} SELECT event_type, g.b AS ts, coalesce(steps, 0)::bigint AS steps, {R('value')} AS value FROM g LEFT JOIN a USING (event_type, b)",
 )
 def _(t):
-    df = t.events.filter((F.col("event_type") != "view") | (F.col("value") > 60))
-    df = df.select("event_type", "event_id", "ts", F.floor("value").cast("long").alias("steps"), "value")
+    seen = (F.col("event_type") != "view") | (F.col("value") > 60)
+    df = t.events.select(
+        "event_type", "event_id", "ts", F.when(seen, F.floor("value").cast("long")).alias("steps"), F.when(seen, F.col("value")).alias("value")
+    )
     return align.resample(df, ["event_type"], "ts", 900, {"steps": "sum", "value": "mean"}, ["ts", "event_id"])
 
 
