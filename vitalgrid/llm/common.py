@@ -6,6 +6,7 @@ character runs are the same words. Null text counts as empty everywhere.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -239,10 +240,19 @@ def over_texts(
                     out = work(part)
                 if out is not None and out.num_rows:
                     yield out
+            release()
 
     return df.mapInArrow(run, schema)
 
 
+def release() -> None:
+    """Give freed memory back: a Python worker lives on after its task, beside the next stage's JVM."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def held_out(doc_id: str, parts: int, which: int):
     """Whether crc32 of the id as text leaves the remainder that is kept from learning; a null id
     doesn't."""

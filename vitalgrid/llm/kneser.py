@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import SLICE_BYTES, Texts, clean_columns, extended, held_out, mix, over_texts, slices
+from vitalgrid.llm.common import SLICE_BYTES, Texts, clean_columns, extended, held_out, mix, over_texts, release, slices
 from vitalgrid.session import scratch_path, stored
 
 #: Tokens a bucket stands for, about.
@@ -215,6 +215,7 @@ def train(texts: DataFrame) -> dict:
                 if held >= FLUSH:
                     yield _words(token, times)
                     token, times, held = [], [], 0
+            release()
         if token:
             yield _words(token, times)
 
@@ -255,6 +256,7 @@ def train(texts: DataFrame) -> dict:
                 if held >= FLUSH:
                     yield _pairs(first, second)
                     first, second, held = [], [], 0
+            release()
         if first:
             yield _pairs(first, second)
 
@@ -282,6 +284,7 @@ def train(texts: DataFrame) -> dict:
                     *_by_bucket(_bucket(last, parts), [last, before.astype(_U)], "before"),
                 ]
                 yield _sent(rows, _tally(n))
+            release()
 
     pairs = stored(
         texts.mapInArrow(count_pairs, _SENT).repartition(parts, "bucket").mapInArrow(merge_pairs, _SENT), "lm-pairs"
