@@ -10,9 +10,10 @@ stop once no register can change, so the work hardly depends on the text's lengt
 Registers are hashed in bands; texts that share a band are candidates and are verified exactly by the
 overlap of their multisets. Copies collapse first. A bucket's members are compared with its most
 central text, the one whose bands are the most common, which joins a true group without pairing its
-members; buckets that still hold several classes try more central texts; and the few members that are
-then left outside are compared with every candidate of another class, so that no link between classes
-is lost. Classes are the connected components of the verified links.
+members; buckets that still hold several classes try more central texts. What then shares a bucket
+across classes goes through an exact prefix filter on its rarest shingles, so that no link between
+classes is lost and what many texts have in common pairs nobody. Classes are the connected components
+of the verified links.
 """
 
 from __future__ import annotations
@@ -27,12 +28,10 @@ from vitalgrid.session import stored
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: Two texts of similarity 0.8 share no band with probability 5e-5, and fewer than 2 with 6e-4.
+#: Two texts of similarity 0.8 share no band with probability 5e-5.
 BANDS, ROWS = 25, 5
 SIGNATURE = BANDS * ROWS
-#: Bands that two texts of different classes must share to be compared once no central text is left.
-SHARED_BANDS = 2
-#: Central texts that a bucket with several classes tries before that.
+#: Central texts that a bucket with several classes tries.
 MORE_LEADERS = 8
 #: Text bytes whose signatures are made together.
 TOGETHER = 500_000
@@ -215,26 +214,22 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     roots = components(links)
 
     left = _mixed(members, roots)
-    ranked = Window.partitionBy("bucket").orderBy(F.desc("fame"), "rep")
-    central = left.withColumn("place", F.row_number().over(ranked)).filter(F.col("place") <= MORE_LEADERS)
-    more = _with_leaders(left, central.select("bucket", F.struct("rep", "least", "most", "root").alias("leader")), similarity)
-    more = stored(more.join(tried, ["a", "b"], "left_anti"), "tried")
-    links = links.union(stored(verified(more, docs, similarity), "verified"))
-    roots = components(links)
-
-    left = _mixed(members, roots)
-    x, y = left.alias("x"), left.alias("y")
-    rest = (
-        x.join(y, "bucket")
-        .filter(F.expr(f"x.root < y.root and x.most >= {similarity} * y.least and y.most >= {similarity} * x.least"))
-        .groupBy(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
-        .agg(F.count("*").alias("shared"))
-        .filter(F.col("shared") >= SHARED_BANDS)
-        .select("a", "b")
-        .join(tried.union(more), ["a", "b"], "left_anti")
-    )
-    links = links.union(stored(verified(stored(rest, "tried"), docs, similarity), "verified"))
-    roots = components(links)
+    if not left.isEmpty():
+        ranked = Window.partitionBy("bucket").orderBy(F.desc("fame"), "rep")
+        central = left.withColumn("place", F.row_number().over(ranked)).filter(F.col("place") <= MORE_LEADERS)
+        central = central.select("bucket", F.struct("rep", "least", "most", "root").alias("leader"))
+        more = _with_leaders(left, central, similarity)
+        more = stored(more.join(tried, ["a", "b"], "left_anti"), "tried")
+        found = stored(verified(more, docs, similarity), "verified")
+        if not found.isEmpty():
+            links = links.union(found)
+            roots = components(links)
+            left = _mixed(members, roots)
+        rest = _rare_pairs(left, docs, similarity).join(tried.union(more), ["a", "b"], "left_anti")
+        found = stored(verified(stored(rest, "tried"), docs, similarity), "verified")
+        if not found.isEmpty():
+            links = links.union(found)
+            roots = components(links)
 
     degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
     named = (
@@ -279,6 +274,46 @@ def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
     return stored(rooted.join(several.select("bucket"), "bucket"), "mixed")
 
 
+def _rare_pairs(left: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of members of different classes that a link is still possible between, by prefix filtering:
+    with the shingles of all texts in one order, rarest first, two texts of this similarity share one
+    of the first shingles that make up more than 1 - similarity of either text's weight. No pair is
+    lost, and what many texts have in common pairs nobody."""
+    members = left.select("rep", "root").distinct()
+    texts = clean_columns(docs, {"doc_id": "long", "text": "string"})
+    texts = texts.join(members, F.col("doc_id") == F.col("rep"), "left_semi")
+
+    def work(part: pa.RecordBatch) -> pa.RecordBatch:
+        doc, item, weight = multisets(Texts.of(part.column("text")))
+        total = np.bincount(doc, weight, minlength=part.num_rows)[doc]
+        return pa.RecordBatch.from_arrays(
+            [
+                part.column("doc_id").take(pa.array(doc)),
+                pa.array(item.view(np.int64)),
+                pa.array(weight.astype(np.int64)),
+                pa.array(total.astype(np.int64)),
+            ],
+            names=["rep", "shingle", "n", "total"],
+        )
+
+    items = stored(over_texts(texts, "text", work, "rep long, shingle long, n long, total long", TOGETHER).distinct(), "items")
+    common = items.groupBy("shingle").agg(F.count("*").alias("texts"))
+    rarest = Window.partitionBy("rep", "total").orderBy("texts", "shingle")  # a text's own shingles
+    before = F.sum("n").over(rarest.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
+    ranked = items.join(common, "shingle").withColumn("before", before)
+    prefix = ranked.filter((F.col("texts") > 1) & (F.col("before") <= (1 - similarity) * F.col("total") + 1e-9))
+    prefix = stored(prefix.join(members, "rep").select("rep", "root", "shingle", "total"), "prefixes")
+    several = prefix.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
+    dealt = prefix.join(several.select("shingle"), "shingle")
+    x, y = dealt.alias("x"), dealt.alias("y")
+    return (
+        x.join(y, "shingle")
+        .filter(F.expr(f"x.root < y.root and x.total >= {similarity} * y.total and y.total >= {similarity} * x.total"))
+        .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
+        .distinct()
+    )
+
+
 def deduplicated(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` without the members of a class other than its first document; full copies of a row go,
     too. Rows without an id stay."""
