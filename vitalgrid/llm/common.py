@@ -21,6 +21,9 @@ from pyspark.sql import types as T
 #: Text bytes handled at once inside a task; one longer text is handled alone.
 SLICE_BYTES = 500_000
 
+#: Bytes of one Arrow batch between Spark and Python.
+BATCH_BYTES = 4 << 20
+
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
 _BASE_INVERSE = _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -242,6 +245,12 @@ def over_texts(
                     yield out
             release()
 
+    return in_arrow(df, run, schema)
+
+
+def in_arrow(df: DataFrame, run: Callable, schema: str | T.StructType) -> DataFrame:
+    """``mapInArrow`` over batches of ``BATCH_BYTES`` at most (or one row), however long the texts are."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df.mapInArrow(run, schema)
 
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import Texts, Words, clean_columns, mix, over_texts, windows
+from vitalgrid.llm.common import Texts, Words, clean_columns, in_arrow, mix, over_texts, windows
 from vitalgrid.session import stored
 
 GRAM = 3
@@ -72,7 +72,7 @@ def gram_filter(grams: DataFrame) -> np.ndarray:
         some = np.flatnonzero(own)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(own[some].view(np.int64))], names=["at", "bits"])
 
-    rows = grams.select("gram").mapInArrow(bits, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits"))
+    rows = in_arrow(grams.select("gram"), bits, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits"))
     out = np.zeros(FILTER_BITS // 64, np.int64)
     for r in rows.collect():
         out[r["at"]] = r["bits"]

@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import SLICE_BYTES, Texts, clean_columns, extended, held_out, mix, over_texts, release, slices
+from vitalgrid.llm.common import SLICE_BYTES, Texts, clean_columns, extended, held_out, in_arrow, mix, over_texts, release, slices
 from vitalgrid.session import scratch_path, stored
 
 #: Tokens a bucket stands for, about.
@@ -236,7 +236,7 @@ def train(texts: DataFrame) -> dict:
     rough = texts.select(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     parts = int(rough / 6 // BUCKET_TOKENS) + MIN_BUCKETS
     words = stored(
-        texts.mapInArrow(count_words, _SENT).repartition(parts, "bucket").mapInArrow(merge_words, _SENT), "lm-words"
+        in_arrow(in_arrow(texts, count_words, _SENT).repartition(parts, "bucket"), merge_words, _SENT), "lm-words"
     )
     size = words.filter("kind = 'count'").agg(F.sum("n1").alias("v"), F.sum("total").alias("n")).first()
     distinct, total = size["v"] or 0, size["n"] or 0
@@ -287,7 +287,7 @@ def train(texts: DataFrame) -> dict:
             release()
 
     pairs = stored(
-        texts.mapInArrow(count_pairs, _SENT).repartition(parts, "bucket").mapInArrow(merge_pairs, _SENT), "lm-pairs"
+        in_arrow(in_arrow(texts, count_pairs, _SENT).repartition(parts, "bucket"), merge_pairs, _SENT), "lm-pairs"
     )
 
     def merge_facts(batches):
@@ -306,7 +306,7 @@ def train(texts: DataFrame) -> dict:
             yield _sent([("word", bucket, b"")], _tally(columns[1]))
 
     facts = words.filter("kind = 'count'").union(pairs)
-    written = stored(facts.repartition(parts, "bucket").mapInArrow(merge_facts, _SENT), "lm-facts")
+    written = stored(in_arrow(facts.repartition(parts, "bucket"), merge_facts, _SENT), "lm-facts")
     sums = [F.sum(c).alias(c) for c in ("n1", "n2", "n3", "n4", "total")]
     upper, lower = (t.agg(*sums).fillna(0).first() for t in (pairs, written))
     below = _discounts(*lower[:4])
@@ -345,7 +345,7 @@ def _most_frequent(big: DataFrame, least: int) -> np.ndarray:
                 keep = word[number >= least]
                 yield pa.RecordBatch.from_arrays([pa.array(keep.view(np.int64))], names=["word"])
 
-    found = big.mapInArrow(pick, "word long").collect()
+    found = in_arrow(big, pick, "word long").collect()
     return np.array([r["word"] for r in found], dtype=np.int64).view(_U)
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vitalgrid.llm.common import Texts, extended, held_out, over_texts, slices
+from vitalgrid.llm.common import Texts, extended, held_out, in_arrow, over_texts, slices
 
 #: Hash bins of the n-gram tables, per language.
 BINS = 1 << 16
@@ -83,7 +83,7 @@ def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
             )
 
     rows = docs.filter("lang is not null and text is not null").select("lang", "text")
-    counts = rows.mapInArrow(count, "lang string, bin long, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n"))
+    counts = in_arrow(rows, count, "lang string, bin long, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n"))
     packed = counts.groupBy("lang").agg(F.collect_list(F.struct("bin", "n")).alias("cells")).collect()  # BINS cells each
     names = sorted(r["lang"] for r in packed)
     table = np.zeros((len(names), BINS))

@@ -22,7 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from vitalgrid.llm.common import Texts, extended, over_texts, suffix_order
+from vitalgrid.llm.common import Texts, extended, in_arrow, over_texts, suffix_order
 
 #: Text bytes encoded together.
 TOGETHER = 1_000_000
@@ -327,4 +327,4 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, name: str = "decoded") ->
                 texts = decode_texts(ids, np.concatenate([[0], np.cumsum(size)]).astype(np.int64), shared.value)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*columns, name])
 
-    return rows.mapInArrow(run, extended(rows, {name: "string"}))
+    return in_arrow(rows, run, extended(rows, {name: "string"}))

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import Texts, bin_counts, clean_columns, extended, mix, over_texts, slices
+from vitalgrid.llm.common import Texts, bin_counts, clean_columns, extended, in_arrow, mix, over_texts, slices
 
 BINS = 16_384
 #: Mean log ratio below which a document is unlike the trusted texts.
@@ -82,7 +82,7 @@ def learn(rows: DataFrame, bins: int = BINS) -> tuple[np.ndarray, np.ndarray]:
             [pa.array(some), pa.array(raw[some]), pa.array(target[some])], names=["bin", "raw", "target"]
         )
 
-    partial = rows.select("text", "_trusted").mapInArrow(count, "bin long, raw long, target long")
+    partial = in_arrow(rows.select("text", "_trusted"), count, "bin long, raw long, target long")
     sums = bin_counts(partial, bins, "bin", ["raw", "target"])
     return sums["raw"], sums["target"]
 

@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import extended, over_texts, slices
+from vitalgrid.llm.common import extended, in_arrow, over_texts, slices
 
 KINDS = ["assign", "access", "hex", "novel"]
 #: Characters on either side of a candidate that count as its surroundings.
@@ -130,7 +130,7 @@ def identifiers(docs: DataFrame, size: int = DICTIONARY_SIZE) -> list[str]:
                         seen = Counter()
         yield _counted(seen)
 
-    counts = docs.select("text").mapInArrow(count, "name string, n long").groupBy("name").agg(F.sum("n").alias("n"))
+    counts = in_arrow(docs.select("text"), count, "name string, n long").groupBy("name").agg(F.sum("n").alias("n"))
     return [r["name"] for r in counts.orderBy(F.desc("n"), "name").limit(size).collect()]
 
 
