@@ -52,6 +52,31 @@ def _(t):
     return readers.read_json(t.spark, path, schema, lines=True)
 
 
+def json_files(t, whole) -> str:
+    """A file for each event type, with one JSON value over its rows."""
+    path = scratch_path(t.spark, "files") + ".json"
+    record = F.struct("event_id", F.array("user_id").alias("data"))
+    rows = t.events.groupBy("event_type").agg(whole(F.collect_list(record)).alias("value"))
+    rows.write.partitionBy("event_type").text(path)
+    return path
+
+
+SHAPES = "SELECT event_id, event_type, user_id FROM events"
+
+
+@query("s3_json_list", SHAPES)
+def _(t):
+    path = json_files(t, F.to_json)
+    df = readers.read_json(t.spark, path, "event_id long, data array<long>, event_type string")
+    return df.select("event_id", "event_type", F.col("data")[0].alias("user_id"))
+
+
+@query("s3_json_object", "SELECT event_type, count(*) AS records FROM events GROUP BY event_type")
+def _(t):
+    path = json_files(t, lambda found: F.to_json(F.struct(F.size(found).alias("records"))))
+    return readers.read_json(t.spark, path, "records long, event_type string").select("event_type", "records")
+
+
 @query("s3_json_records", ROWS)
 def _(t):
     return readers.read_json(t.spark, written(t, "json"), READING, lines=True)

@@ -177,6 +177,30 @@ ALIGNED = """
 """
 
 
+BETWEEN = "pv + (nv - pv) * ((epoch_us(b) - epoch_us(pb))::double / (epoch_us(nb) - epoch_us(pb)))"
+
+
+def filled(t, method: str):
+    df = t.events.select("event_type", "event_id", "ts", F.col("value").alias("heart_rate"))
+    aligned, _report = align.align(df, ["event_type"], "heart_rate", "ts", "15 min", method, ["ts", "event_id"])
+    return aligned
+
+
+@query("t8_align_forward", ALIGNED.replace(BETWEEN, "pv"))
+def _(t):
+    return filled(t, "forward_fill")
+
+
+@query("t8_align_backward", ALIGNED.replace(BETWEEN, "nv"))
+def _(t):
+    return filled(t, "backward_fill")
+
+
+@query("t8_align_zero", ALIGNED.replace(BETWEEN, "0"))
+def _(t):
+    return filled(t, "zero")
+
+
 @query("t8_align", ALIGNED)
 def _(t):
     df = t.events.select("event_type", "event_id", "ts", F.col("value").alias("heart_rate"))

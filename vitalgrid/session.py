@@ -37,7 +37,7 @@ def shared_folder(spark: SparkSession) -> str:
     sc = spark.sparkContext
     folder = spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if folder is None:
-        if not sc.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="vitalgrid-")
     if sc.getCheckpointDir() is None:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitalgrid.catalog import FILE_KEYWORDS, JSON_WRAPPERS
+from vitalgrid.functions.expressions import nan_to_null
 from vitalgrid.operators.columns import flatten, has_schema, parse_timestamp, standardize_columns
 
 # File extensions and their formats; text files hold CSV.
@@ -18,9 +19,11 @@ EXTENSIONS = {".csv": "csv", ".txt": "csv", ".json": "json", ".parquet": "parque
 
 def read_csv(spark: SparkSession, path, schema: T.StructType | str | None = None, date_column: str | None = None) -> DataFrame:
     """CSV with a header. Give ``schema`` for large inputs; without one Spark scans the files to
-    infer it. ``date_column`` is parsed to an instant (null where it does not parse)."""
+    infer it. ``NaN`` counts as missing. ``date_column`` is parsed to an instant (null where it does not
+    parse)."""
     reader = spark.read.option("header", True)
     df = reader.schema(schema).csv(path) if schema else reader.option("inferSchema", True).csv(path)
+    df = nan_to_null(df)
     if date_column and date_column in df.columns and not isinstance(df.schema[date_column].dataType, T.TimestampType):
         df = df.withColumn(date_column, parse_timestamp(F.col(date_column)))
     return df
@@ -30,17 +33,26 @@ def read_json(
     spark: SparkSession, path, schema: T.StructType | str | None = None, lines: bool = False, nested: str = "flatten"
 ) -> DataFrame:
     """JSON: a list of records, an object that wraps the list, or a single object; with ``lines``
-    one record per line, which splits over tasks. Nested objects become dotted columns unless
+    one record or wrapper per line, which splits over tasks. A list is never unwrapped: its records may
+    have an array under a wrapper's name. Nested objects become dotted columns unless
     ``nested`` is ``keep``."""
     reader = spark.read.option("multiLine", not lines)
     df = reader.schema(schema).json(path) if schema else reader.json(path)
     for wrapper in JSON_WRAPPERS:
         if wrapper in df.columns and isinstance(df.schema[wrapper].dataType, T.ArrayType):
+            if not lines and _holds_lists(spark, path):
+                break
             df = df.select(F.explode(wrapper).alias("_r")).select("_r.*")
             break
     return flatten(df) if nested == "flatten" else df
 
 
+def _holds_lists(spark: SparkSession, path) -> bool:
+    """Whether any of the files begins with a bracket. Asked only where a wrapper's name turns up."""
+    start = spark.read.text(path, wholetext=True).select(F.substring(F.ltrim("value"), 1, 1).alias("c"))
+    return not start.filter("c = '['").isEmpty()
+
+
 def read_parquet(spark: SparkSession, path) -> DataFrame:
     return spark.read.parquet(path)
 
