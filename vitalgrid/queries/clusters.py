@@ -209,10 +209,21 @@ def _(t):
     return report
 
 
-@query("c7_pca_projection")
+@query(
+    "c7_pca_projection",
+    f"""
+    WITH v AS (SELECT p_partkey, p_size::double AS x, p_retailprice / 100 AS y FROM part),
+    m AS (SELECT avg(x) AS mx, avg(y) AS my, var_samp(x) AS a, var_samp(y) AS b, covar_samp(x, y) AS c FROM v),
+    e AS (SELECT *, atan2(2 * c, a - b) / 2 AS angle FROM m),
+    d AS (SELECT *, cos(angle) AS co, sin(angle) AS si FROM e),
+    s AS (SELECT *, sign(CASE WHEN abs(co) >= abs(si) THEN co ELSE si END) AS s1, sign(CASE WHEN abs(si) >= abs(co) THEN -si ELSE co END) AS s2 FROM d)
+    SELECT p_partkey, {R('s1 * (co * (x - mx) + si * (y - my))')} AS pc1, {R('s2 * (co * (y - my) - si * (x - mx))')} AS pc2 FROM v, s
+    """,
+)
 def _(t):
-    rows, _report = cluster.pca(points(t))
-    return rows.select("id", "pc1", "pc2")
+    df = t.part.select("p_partkey", F.array(F.col("p_size").cast("double"), F.col("p_retailprice") / 100).alias("vec"))
+    rows, _report = cluster.pca(df)
+    return rows.select("p_partkey", "pc1", "pc2")
 
 
 @query(

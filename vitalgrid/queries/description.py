@@ -184,7 +184,22 @@ def _(t):
     return describe.trends(partly(t), ["user_id"], "v", ["ts", "event_id"]).drop("p_value", "is_significant")
 
 
-@query("a10_trend_significance")
+# the two-sided t probability for whole degrees of freedom is a finite sum; the angle's sine is |r|
+SIGNIFICANCE = f"""
+    WITH f AS (SELECT *, points - 2 AS nu, sqrt(least(r_squared, 1)) AS si, sqrt(greatest(1 - r_squared, 0)) AS co FROM ({TREND})),
+    terms AS (SELECT user_id, unnest(generate_series(0, CASE WHEN nu % 2 = 0 THEN (nu - 2) // 2 ELSE (nu - 3) // 2 END)) AS k FROM f WHERE nu >= 2),
+    sums AS (SELECT user_id, sum(CASE WHEN nu % 2 = 0 THEN exp(lgamma(2 * k + 1) - 2 * lgamma(k + 1) - 2 * k * ln(2)) * co ** (2 * k)
+                                 ELSE exp(2 * k * ln(2) + 2 * lgamma(k + 1) - lgamma(2 * k + 2)) * co ** (2 * k + 1) END) AS total
+             FROM terms JOIN f USING (user_id) GROUP BY user_id),
+    p AS (SELECT f.*, CASE WHEN nu <= 0 THEN NULL WHEN nu % 2 = 0 THEN 1 - si * coalesce(total, 0)
+                      ELSE 1 - 2 / pi() * (asin(si) + si * coalesce(total, 0)) END AS p_value FROM f LEFT JOIN sums USING (user_id))
+    SELECT user_id, points, {R('slope')} AS slope, {R('r_squared')} AS r_squared, {R('p_value')} AS p_value,
+           CASE WHEN slope > 0 THEN 'increasing' ELSE 'decreasing' END AS trend, p_value < 0.05 AS is_significant
+    FROM p
+"""
+
+
+@query("a10_trend_significance", SIGNIFICANCE)
 def _(t):
     return describe.trends(partly(t), ["user_id"], "v", ["ts", "event_id"])
 
