@@ -233,14 +233,13 @@ def train(texts: DataFrame) -> dict:
             yield _sent(rows, (len(word), 0, 0, 0, int(number.sum())))
 
     # words: their number is not known before, so the parts follow the size of the input
-    rough = texts.select(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    parts = int(rough / 6 // BUCKET_TOKENS) + MIN_BUCKETS
+    extent = texts.agg(F.sum(F.octet_length("text")).alias("size"), F.count("*").alias("documents")).first()
+    parts = int((extent["size"] or 0) / 6 // BUCKET_TOKENS) + MIN_BUCKETS
     words = stored(
         in_arrow(in_arrow(texts, count_words, _SENT).repartition(parts, "bucket"), merge_words, _SENT), "lm-words"
     )
     size = words.filter("kind = 'count'").agg(F.sum("n1").alias("v"), F.sum("total").alias("n")).first()
     distinct, total = size["v"] or 0, size["n"] or 0
-    documents = texts.count()
     hot = _most_frequent(words.filter("kind = 'big'"), max(total // HOT_WORDS, BUCKET_TOKENS // 8))
     folder = _qualified(spark, scratch_path(spark, "lm"))
 
@@ -315,7 +314,7 @@ def train(texts: DataFrame) -> dict:
         "folder": folder,
         "buckets": parts,
         "hot": hot,
-        "documents": documents,
+        "documents": extent["documents"],
         "tokens": total,
         "distinct": distinct,
         "discounts": _discounts(*upper[:4]),
