@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -168,7 +170,7 @@ def fit_seasonal_trend(train: DataFrame, keys: list[str], sliced: bool | None =
         return table.select(keys).slice(0, 1).append_column("sums", sums)
 
     def solve_sums(table: pa.Table) -> pa.Table:
-        return answer(table, np.sum(np.stack(table["sums"].to_pylist()), axis=0))
+        return answer(table, np.array(table["sums"][0].as_py()))
 
     if keys and not sliced:
         train = spread(train, keys)
@@ -177,7 +179,11 @@ def fit_seasonal_trend(train: DataFrame, keys: list[str], sliced: bool | None =
         return attach(facts, rows.groupBy(*keys).applyInArrow(solve_series, solved), keys)
     part = F.pmod(F.xxhash64("_t"), F.ceil(F.col("training_rows") / F.lit(limit)))
     parts = rows.withColumn("_part", part).groupBy(*keys, "_part").applyInArrow(sum_part, summed)
-    return attach(facts, parts.groupBy(*keys).applyInArrow(solve_sums, solved), keys)
+    # the parts add up index by index, pre-aggregated; one row a series is left to solve
+    cells = parts.select(*keys, F.posexplode("sums").alias("_i", "_x")).groupBy(*keys, "_i").agg(F.sum("_x").alias("_x"))
+    in_order = F.transform(F.array_sort(F.collect_list(F.struct("_i", "_x"))), lambda c: c["_x"])
+    whole = cells.groupBy(*keys).agg(in_order.alias("sums"))
+    return attach(facts, whole.groupBy(*keys).applyInArrow(solve_sums, solved), keys)
 
 
 def _moments(train: DataFrame, facts: DataFrame, keys: list[str]) -> DataFrame:
@@ -193,12 +199,12 @@ def _moments(train: DataFrame, facts: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-@F.arrow_udf(T.DoubleType())
-def _seasonal_value(t: pa.Array, day: pa.Array, beta: pa.Array) -> pa.Array:
-    """The 47 terms of a row times its coefficients, for a whole batch at once."""
-    design = _design(t.to_numpy(zero_copy_only=False), day.to_numpy(zero_copy_only=False))
-    weights = beta.flatten().to_numpy(zero_copy_only=False).reshape(-1, TERMS)
-    return pa.array((design * weights).sum(axis=1))
+def _seasonal_value(t: Column, day: Column, beta: Column) -> Column:
+    """The terms of ``_design`` times their coefficients, as one expression."""
+    angles = [F.lit(2 * np.pi * (k + 1)) * day for k in range(HARMONICS)]
+    terms = [F.lit(1.0), t, *[F.greatest(t - F.lit(k), F.lit(0.0)) for k in KNOTS]]
+    terms += [F.sin(a) for a in angles] + [F.cos(a) for a in angles]
+    return reduce(Column.__add__, [beta[i] * term for i, term in enumerate(terms)])
 
 
 def predict_seasonal_trend(model: DataFrame, grid: DataFrame, keys: list[str]) -> DataFrame:
