@@ -28,9 +28,11 @@ from vitalgrid.session import stored
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: Two texts of similarity 0.8 share no band with probability 5e-5.
 BANDS, ROWS = 25, 5
 SIGNATURE = BANDS * ROWS
+#: Bands that candidates share at least; two texts of similarity 0.8 share fewer with probability 6e-4,
+#: more similar ones hardly ever.
+SHARED = 2
 #: Central texts that a bucket with several classes tries.
 MORE_LEADERS = 8
 #: Text bytes whose signatures are made together.
@@ -203,7 +205,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     )
     dealt = nodes.select("rep", F.explode("bands").alias("bucket"))
     company = dealt.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
-    held = stored(dealt.join(company, "bucket"), "buckets")
+    held = _dense(stored(dealt.join(company, "bucket").withColumn("root", F.col("rep")), "buckets")).drop("root")
     fame = held.groupBy("rep").agg(F.sum("size").alias("fame"))  # central texts have the common bands
     weights = nodes.groupBy("rep").agg(F.min("weight").alias("least"), F.max("weight").alias("most"))
     members = stored(held.select("bucket", "rep").join(fame.join(weights, "rep"), "rep"), "members")
@@ -271,7 +273,18 @@ def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
     rooted = members.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "rep"))
     several = rooted.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
-    return stored(rooted.join(several.select("bucket"), "bucket"), "mixed")
+    return _dense(stored(rooted.join(several.select("bucket"), "bucket"), "mixed"))
+
+
+def _dense(members: DataFrame, rounds: int = 2) -> DataFrame:
+    """Members that can still share ``SHARED`` buckets with another class: those in so many buckets of
+    several classes, counted again when others have gone. What meets by chance meets in one bucket."""
+    for _ in range(rounds):
+        busy = members.groupBy("rep").agg(F.count("*").alias("_n")).filter(F.col("_n") >= SHARED).select("rep")
+        members = members.join(busy, "rep")
+        several = members.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
+        members = members.join(several.select("bucket"), "bucket")
+    return stored(members, "dense")
 
 
 def _rare_pairs(left: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
