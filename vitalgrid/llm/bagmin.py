@@ -36,7 +36,7 @@ SHARED = 2
 #: Central texts that a bucket with several classes tries.
 MORE_LEADERS = 8
 #: Text bytes whose signatures are made together.
-TOGETHER = 500_000
+TOGETHER = 200_000
 
 _U = np.uint64
 _GOLD = _U(0x9E3779B97F4A7C15)

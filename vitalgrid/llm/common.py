@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Text bytes handled at once inside a task; one longer text is handled alone.
-SLICE_BYTES = 500_000
+SLICE_BYTES = 250_000
 
 #: Bytes of one Arrow batch between Spark and Python.
 BATCH_BYTES = 4 << 20

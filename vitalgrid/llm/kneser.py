@@ -206,7 +206,7 @@ def train(texts: DataFrame) -> dict:
     def count_words(batches):
         token, times, held = [], [], 0
         for batch in batches:
-            for part in slices(batch, "text", 2 * SLICE_BYTES):
+            for part in slices(batch, "text", 4 * SLICE_BYTES):
                 with np.errstate(over="ignore"):
                     kinds, number = np.unique(_tokens(part.column("text"))[1], return_counts=True)
                 token.append(kinds)
@@ -246,7 +246,7 @@ def train(texts: DataFrame) -> dict:
     def count_pairs(batches):
         first, second, held = [], [], 0
         for batch in batches:
-            for part in slices(batch, "text", 2 * SLICE_BYTES):
+            for part in slices(batch, "text", 4 * SLICE_BYTES):
                 with np.errstate(over="ignore"):
                     _, token, before = _tokens(part.column("text"))
                 first.append(before)
@@ -439,7 +439,7 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
             names=[*columns, *added],
         )
 
-    return over_texts(rows, "text", work, extended(rows, added), 4 * SLICE_BYTES)
+    return over_texts(rows, "text", work, extended(rows, added), 6 * SLICE_BYTES)
 
 
 def training_texts(docs: DataFrame) -> DataFrame:
