@@ -24,6 +24,9 @@ SLICE_BYTES = 250_000
 #: Bytes of one Arrow batch between Spark and Python.
 BATCH_BYTES = 4 << 20
 
+LARGE_BLOCK = 4 << 20
+M_MMAP_THRESHOLD = -3  # glibc's name for the option
+
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
 _BASE_INVERSE = _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -237,6 +240,7 @@ def over_texts(
     """Apply ``work`` to slices of bounded text size, in the tasks that read them."""
 
     def run(batches):
+        release()
         for batch in batches:
             for part in slices(batch, column, limit):
                 with np.errstate(over="ignore"):
@@ -255,11 +259,14 @@ def in_arrow(df: DataFrame, run: Callable, schema: str | T.StructType) -> DataFr
 
 
 def release() -> None:
-    """Give freed memory back: a Python worker lives on after its task, beside the next stage's JVM."""
+    """Give freed memory back: a Python worker lives on after its task, beside the next stage's JVM.
+    Blocks of ``LARGE_BLOCK`` bytes or more are mapped one by one from here on, so that freeing them is
+    enough (glibc would raise that limit with every large block it sees)."""
     pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim is not None:
-        trim(0)
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "mallopt") and hasattr(libc, "malloc_trim"):
+        libc.mallopt(M_MMAP_THRESHOLD, LARGE_BLOCK)
+        libc.malloc_trim(0)
 
 
 def held_out(doc_id: str, parts: int, which: int):

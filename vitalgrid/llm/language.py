@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vitalgrid.llm.common import Texts, extended, held_out, in_arrow, over_texts, slices
+from vitalgrid.llm.common import Texts, extended, held_out, in_arrow, over_texts, release, slices
 
 #: Hash bins of the n-gram tables, per language.
 BINS = 1 << 16
@@ -76,6 +76,7 @@ def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
                     times = np.bincount(kind[of == name], minlength=len(spelling))
                     have = sums.setdefault(name, np.zeros(BINS, np.int64))
                     have += np.bincount(bins, times[word], minlength=BINS).astype(np.int64)
+            release()
         for name, have in sums.items():
             some = np.flatnonzero(have)
             yield pa.RecordBatch.from_arrays(

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import Texts, bin_counts, clean_columns, extended, in_arrow, mix, over_texts, slices
+from vitalgrid.llm.common import Texts, bin_counts, clean_columns, extended, in_arrow, mix, over_texts, release, slices
 
 BINS = 16_384
 #: Mean log ratio below which a document is unlike the trusted texts.
@@ -77,6 +77,7 @@ def learn(rows: DataFrame, bins: int = BINS) -> tuple[np.ndarray, np.ndarray]:
                 flag = part.column("_trusted").to_numpy(zero_copy_only=False)
                 raw += np.bincount(value, minlength=bins)
                 target += np.bincount(value[flag[doc]], minlength=bins)
+            release()
         some = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays(
             [pa.array(some), pa.array(raw[some]), pa.array(target[some])], names=["bin", "raw", "target"]
