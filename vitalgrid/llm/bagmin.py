@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import Texts, clean_columns, mix, over_texts
+from vitalgrid.llm.common import Texts, bloom, clean_columns, maybe_in, mix, over_texts
 from vitalgrid.session import stored
 
 SHINGLE = 5
@@ -150,10 +150,20 @@ def sketches(docs: DataFrame) -> DataFrame:
     return over_texts(rows, "text", work, "doc_id long, k1 long, k2 long, weight long, bands array<long>", TOGETHER)
 
 
-def verified(pairs: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The pairs (a, b) whose texts overlap by ``similarity`` or more."""
-    involved = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "doc_id")
-    texts = clean_columns(docs, {"doc_id": "long", "text": "string"}).join(involved, "doc_id", "left_semi")
+def texts_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """(doc_id, text) of the documents with the ids in column ``doc_id``. A Bloom filter of fixed size
+    sorts out nearly all others while they are read, so that only few texts are shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(bloom(ids, "doc_id"))
+
+    def work(part: pa.RecordBatch) -> pa.RecordBatch:
+        return part.filter(pa.array(maybe_in(shared.value, part.column("doc_id").to_numpy().view(_U))))
+
+    rows = clean_columns(docs, {"doc_id": "long", "text": "string"}).filter("doc_id is not null")
+    return over_texts(rows, "text", work, "doc_id long, text string").join(ids, "doc_id", "left_semi")
+
+
+def verified(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The pairs (a, b) whose texts (doc_id, text) overlap by ``similarity`` or more."""
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
         close = overlap(Texts.of(part.column("text_a")), Texts.of(part.column("text_b"))) >= similarity - 1e-12
@@ -209,10 +219,11 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     fame = held.groupBy("rep").agg(F.sum("size").alias("fame"))  # central texts have the common bands
     weights = nodes.groupBy("rep").agg(F.min("weight").alias("least"), F.max("weight").alias("most"))
     members = stored(held.select("bucket", "rep").join(fame.join(weights, "rep"), "rep"), "members")
+    texts = stored(texts_of(fame.select(F.col("rep").alias("doc_id")), docs), "texts")
 
     leaders = members.groupBy("bucket").agg(_first(F.struct("rep", "least", "most")).alias("leader"))
     tried = stored(_with_leaders(members, leaders, similarity), "tried")
-    links = stored(verified(tried, docs, similarity), "verified")
+    links = stored(verified(tried, texts, similarity), "verified")
     roots = components(links)
 
     left = _mixed(members, roots)
@@ -222,13 +233,13 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         central = central.select("bucket", F.struct("rep", "least", "most", "root").alias("leader"))
         more = _with_leaders(left, central, similarity)
         more = stored(more.join(tried, ["a", "b"], "left_anti"), "tried")
-        found = stored(verified(more, docs, similarity), "verified")
+        found = stored(verified(more, texts, similarity), "verified")
         if not found.isEmpty():
             links = links.union(found)
             roots = components(links)
             left = _mixed(members, roots)
-        rest = _rare_pairs(left, docs, similarity).join(tried.union(more), ["a", "b"], "left_anti")
-        found = stored(verified(stored(rest, "tried"), docs, similarity), "verified")
+        rest = _rare_pairs(left, texts, similarity).join(tried.union(more), ["a", "b"], "left_anti")
+        found = stored(verified(stored(rest, "tried"), texts, similarity), "verified")
         if not found.isEmpty():
             links = links.union(found)
             roots = components(links)
@@ -287,13 +298,12 @@ def _dense(members: DataFrame, rounds: int = 2) -> DataFrame:
     return stored(members, "dense")
 
 
-def _rare_pairs(left: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
+def _rare_pairs(left: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Pairs of members of different classes that a link is still possible between, by prefix filtering:
     with the shingles of all texts in one order, rarest first, two texts of this similarity share one
     of the first shingles that make up more than 1 - similarity of either text's weight. No pair is
     lost, and what many texts have in common pairs nobody."""
     members = left.select("rep", "root").distinct()
-    texts = clean_columns(docs, {"doc_id": "long", "text": "string"})
     texts = texts.join(members, F.col("doc_id") == F.col("rep"), "left_semi")
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:

@@ -24,6 +24,10 @@ SLICE_BYTES = 250_000
 #: Bytes of one Arrow batch between Spark and Python.
 BATCH_BYTES = 4 << 20
 
+#: Bits of a Bloom filter, and bits set for each value.
+FILTER_BITS = 1 << 23
+PROBES = 3
+
 LARGE_BLOCK = 4 << 20
 M_MMAP_THRESHOLD = -3  # glibc's name for the option
 
@@ -281,6 +285,38 @@ def extended(df: DataFrame, added: dict[str, str]) -> T.StructType:
     return T.StructType([*df.schema.fields, *more])
 
 
+def _probes(value: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return np.stack([mix(value + _U(k)) % _U(FILTER_BITS) for k in range(PROBES)]).astype(np.int64)
+
+
+def bloom(df: DataFrame, column: str) -> np.ndarray:
+    """Bloom filter of a column of whole numbers. Its size is fixed: ``FILTER_BITS`` reach the driver at
+    most, however many values there are; more values only make it less selective."""
+
+    def bits(batches):
+        own = np.zeros(FILTER_BITS // 64, _U)
+        for batch in batches:
+            at = _probes(batch.column(0).to_numpy().view(_U)).ravel()
+            np.bitwise_or.at(own, at >> 6, _U(1) << (at & 63).astype(_U))
+        some = np.flatnonzero(own)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(own[some].view(np.int64))], names=["at", "bits"])
+
+    rows = in_arrow(df.select(column), bits, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits"))
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    for r in rows.collect():
+        out[r["at"]] = r["bits"]
+    return out.view(_U)
+
+
+def maybe_in(table: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Whether values may be in a Bloom filter: never false for those that are."""
+    hit = np.ones(len(value), bool)
+    for probe in _probes(value):
+        hit &= (table[probe >> 6] >> (probe & 63).astype(_U)) & _U(1) == 1
+    return hit
+
+
 def clean_columns(df: DataFrame, wanted: dict[str, str]) -> DataFrame:
     """The named columns with their types, whatever else the table holds; absent ones are null."""
     return df.select(

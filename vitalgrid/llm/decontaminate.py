@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import Texts, Words, clean_columns, in_arrow, mix, over_texts, windows
+from vitalgrid.llm.common import Texts, Words, bloom, clean_columns, maybe_in, over_texts, windows
 from vitalgrid.session import stored
 
 GRAM = 3
@@ -25,9 +25,6 @@ GRAM = 3
 SEEDS = 0.75
 LEAST = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
-#: Bits of the filter of item n-grams, and bits set for each.
-FILTER_BITS = 1 << 23
-PROBES = 3
 #: Pairs aligned together.
 TOGETHER = 32
 
@@ -43,11 +40,6 @@ def _words(column: pa.Array) -> Words:
     return Texts(_FOLD[texts.data], texts.bounds).runs(_OUTSIDE)
 
 
-def _probes(gram: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return np.stack([mix(gram + _U(k)) % _U(FILTER_BITS) for k in range(PROBES)]).astype(np.int64)
-
-
 def item_grams(items: DataFrame) -> DataFrame:
     """(item_id, gram) of all items with an id; an item of fewer than ``GRAM`` words has none."""
 
@@ -61,24 +53,6 @@ def item_grams(items: DataFrame) -> DataFrame:
     return over_texts(rows, "text", work, "item_id long, gram long").distinct()
 
 
-def gram_filter(grams: DataFrame) -> np.ndarray:
-    """Bloom filter as ``FILTER_BITS`` / 64 words: no more reaches the driver."""
-
-    def bits(batches):
-        own = np.zeros(FILTER_BITS // 64, _U)
-        for batch in batches:
-            at = _probes(batch.column("gram").to_numpy().view(_U)).ravel()
-            np.bitwise_or.at(own, at >> 6, _U(1) << (at & 63).astype(_U))
-        some = np.flatnonzero(own)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(own[some].view(np.int64))], names=["at", "bits"])
-
-    rows = in_arrow(grams.select("gram"), bits, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits"))
-    out = np.zeros(FILTER_BITS // 64, np.int64)
-    for r in rows.collect():
-        out[r["at"]] = r["bits"]
-    return out.view(_U)
-
-
 def passages(docs: DataFrame, filtered: np.ndarray, reach: int) -> DataFrame:
     """(doc_id, at, text, grams): stretches of ``reach`` words on either side of filter hits, overlapping
     ones joined, with the hits inside. ``at`` is the first word's number in the document."""
@@ -88,9 +62,7 @@ def passages(docs: DataFrame, filtered: np.ndarray, reach: int) -> DataFrame:
         table = shared.value
         words = _words(part.column("text"))
         at, gram = windows(words.hash, words.doc, GRAM)
-        hit = np.ones(len(at), bool)
-        for probe in _probes(gram):
-            hit &= (table[probe >> 6] >> (probe & 63).astype(_U)) & _U(1) == 1
+        hit = maybe_in(table, gram)
         at, gram = at[hit], gram[hit]
         if not len(at):
             return None
@@ -164,7 +136,7 @@ def leaks(docs: DataFrame, items: DataFrame, least: float = LEAST) -> DataFrame:
     items = clean_columns(items, {"item_id": "long", "text": "string"}).filter("item_id is not null and text is not null")
     grams = stored(item_grams(items), "item-grams")
     longest = items.agg(F.max(F.size(F.split("text", r"[^0-9A-Za-z\x{80}-\x{10FFFF}]+"))).alias("n")).first()["n"] or 0
-    found = stored(passages(docs, gram_filter(grams), longest + longest // 4 + 8), "passages")
+    found = stored(passages(docs, bloom(grams, "gram"), longest + longest // 4 + 8), "passages")
     pairs = (
         found.select("doc_id", "at", F.explode("grams").alias("gram"))
         .join(seeds(grams, found), "gram")
