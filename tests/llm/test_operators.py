@@ -459,6 +459,36 @@ def test_leaks(spark):
     assert decontaminate.leaks(docs, empty(tests)).count() == 0
 
 
+def test_leaks_equal_alignment_of_all_pairs(spark):
+    """Edited copies around the limit, with replaced, added and missing words, that keep few 3-grams."""
+    random.seed(11)
+    fresh = iter(range(10**6))
+    items = {i: [f"w{random.randrange(2000)}" for _ in range(40)] for i in range(6)}
+    texts = {100 + i: list(words) for i, words in items.items()}  # exact copies make 3-grams common
+    for n in range(120):
+        words = items[n % 6]
+        if n < 6:  # every fourth word replaced: 0.625
+            edited = [f"x{next(fresh)}" if i % 4 == 3 else w for i, w in enumerate(words)]
+        elif n < 12:  # a word added after every second or third one
+            edited = [x for i, w in enumerate(words) for x in ([w, f"x{next(fresh)}"] if i % 5 in (2, 4) else [w])]
+        elif n < 18:  # three words kept at the start, then added words: the copy is much longer than the item
+            edited = words[:3] + [x for w in words[3:] for x in (w, f"x{next(fresh)}")]
+        else:
+            edited = [f"x{next(fresh)}" if random.random() < 0.3 else w for w in words if random.random() > 0.03]
+        texts[200 + n] = [f"y{next(fresh)}" for _ in range(30)] + edited + [f"y{next(fresh)}" for _ in range(30)]
+    want = {}
+    for d, text in texts.items():
+        for i, words in items.items():
+            score = smith_waterman(words, text) / (2 * len(words))
+            if score >= 0.5 and set(zip(words, words[1:], words[2:])) & set(zip(text, text[1:], text[2:])):
+                want[d, i] = score
+    docs = spark.createDataFrame([(d, " ".join(t)) for d, t in texts.items()], "doc_id long, text string")
+    tests = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in decontaminate.leaks(docs, tests).collect()}
+    assert got == pytest.approx(want)
+    assert any(score < 0.55 for score in want.values())
+
+
 def test_leaks_find_every_exact_copy(spark, sf_dir, documents):
     found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     got = {(r.doc_id, r.item_id) for r in found.collect()}

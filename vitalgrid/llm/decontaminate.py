@@ -1,28 +1,28 @@
-"""Benchmark leaks: rare n-gram seeds join passages to test items, Smith-Waterman scores the pairs.
+"""Benchmark leaks: n-gram seeds join passages to test items, Smith-Waterman scores the pairs.
 
 One scan of the documents looks up every word n-gram in a Bloom filter of the items' n-grams (a table
-of fixed size, whatever the size of the benchmark) and cuts out the passages around the hits. The hits
-count how many documents hold each n-gram; an item's seeds are all its n-grams but the commonest
-quarter, so a heavily copied item keeps its seeds and stock phrases lose theirs. Passages that share a
-seed with an item are aligned with it word by word: a local alignment bears replaced, missing and
-added words. A pair is a leak if it reaches ``LEAST`` of the score of a perfect copy.
+of fixed size, whatever the size of the benchmark) and cuts out the passages around the hits. Every
+n-gram of an item is a seed, since any one of them may be the only one that an edited copy has kept.
+Passages that share a seed with an item, and enough words to reach the score at all, are aligned with
+it word by word: a local alignment bears replaced, missing and added words. A pair is a leak if it
+reaches ``LEAST`` of the score of a perfect copy.
 
 Words here are runs of letters and digits (ASCII case ignored), so punctuation does not hide a copy.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import Texts, Words, bloom, clean_columns, maybe_in, over_texts, windows
+from vitalgrid.llm.common import Texts, Words, bloom, clean_columns, maybe_in, mix, over_texts, windows
 from vitalgrid.session import stored
 
 GRAM = 3
-#: Share of an item's n-grams, from the rarest, that are seeds.
-SEEDS = 0.75
 LEAST = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Pairs aligned together.
@@ -86,21 +86,22 @@ def passages(docs: DataFrame, filtered: np.ndarray, reach: int) -> DataFrame:
     return over_texts(rows, "text", work, "doc_id long, at long, text string, grams array<long>").distinct()
 
 
-def seeds(grams: DataFrame, found: DataFrame) -> DataFrame:
-    """(item_id, gram): each item's n-grams from the rarest in the documents up to ``SEEDS`` of them."""
-    held = found.select("doc_id", F.explode("grams").alias("gram")).distinct().groupBy("gram").agg(F.count("*").alias("n"))
-    ranked = grams.join(held, "gram", "left").withColumn(
-        "rank", F.percent_rank().over(Window.partitionBy("item_id").orderBy(F.coalesce("n", F.lit(0)), "gram"))
-    )  # an item's n-grams: as many as it has words
-    return ranked.filter(F.col("rank") <= SEEDS).select("item_id", "gram")
+def reachable(passage: Words, item: Words, least: float) -> np.ndarray:
+    """Pairs i that may reach ``least``: a score is at most ``MATCH`` for each word of item i that
+    stands in passage i."""
+    here = np.isin(mix(item.hash + mix(item.doc.astype(_U))), mix(passage.hash + mix(passage.doc.astype(_U))))
+    common = np.bincount(item.doc[here], minlength=len(item.texts))
+    return np.flatnonzero(common / np.maximum(item.per_text, 1) >= least)
 
 
-def align(passage: Words, item: Words) -> np.ndarray:
-    """Smith-Waterman score of passage i and item i, for all i, some pairs at a time."""
-    n = len(passage.texts)
-    out = np.zeros(n)
+def align(passage: Words, item: Words, pairs: np.ndarray | None = None) -> np.ndarray:
+    """Smith-Waterman score of passage i and item i, for all i or those in ``pairs`` (else 0), some
+    pairs at a time."""
+    out = np.zeros(len(passage.texts))
     order = np.lexsort((passage.per_text, item.per_text))
-    for a in range(0, n, TOGETHER):
+    if pairs is not None:
+        order = order[np.isin(order, pairs)]
+    for a in range(0, len(order), TOGETHER):
         rows = order[a : a + TOGETHER]
         x, y = _padded(item, rows, _U(0)), _padded(passage, rows, _U(1))
         slope = (-GAP * np.arange(y.shape[1])).astype(np.int32)
@@ -135,11 +136,13 @@ def leaks(docs: DataFrame, items: DataFrame, least: float = LEAST) -> DataFrame:
     """
     items = clean_columns(items, {"item_id": "long", "text": "string"}).filter("item_id is not null and text is not null")
     grams = stored(item_grams(items), "item-grams")
+    # An alignment of that score spans at most so many times the item's words: every added word costs GAP.
+    span = 1 + MATCH * (1 - least) / -GAP
     longest = items.agg(F.max(F.size(F.split("text", r"[^0-9A-Za-z\x{80}-\x{10FFFF}]+"))).alias("n")).first()["n"] or 0
-    found = stored(passages(docs, bloom(grams, "gram"), longest + longest // 4 + 8), "passages")
+    found = stored(passages(docs, bloom(grams, "gram"), math.ceil(longest * span)), "passages")
     pairs = (
         found.select("doc_id", "at", F.explode("grams").alias("gram"))
-        .join(seeds(grams, found), "gram")
+        .join(grams, "gram")
         .select("doc_id", "at", "item_id")
         .distinct()
     )
@@ -152,7 +155,7 @@ def leaks(docs: DataFrame, items: DataFrame, least: float = LEAST) -> DataFrame:
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
         passage, item = _words(part.column("passage")), _words(part.column("item"))
-        share = align(passage, item) / (MATCH * np.maximum(item.per_text, 1))
+        share = align(passage, item, reachable(passage, item, least)) / (MATCH * np.maximum(item.per_text, 1))
         keep = pa.array(share >= least)
         return pa.RecordBatch.from_arrays(
             [part.column("doc_id").filter(keep), part.column("item_id").filter(keep), pa.array(share).filter(keep)],
