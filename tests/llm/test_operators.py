@@ -180,6 +180,34 @@ def test_pages(spark, sf_dir):
         assert found.n_chars[r.page_id] == len(found.text[r.page_id])
 
 
+def sentence(n, words=400):
+    return " ".join(f"w{random.randrange(words)}" for _ in range(n))
+
+
+def page_texts(spark, rows):
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {r.page_id: r.text.split("\n") for r in html.extract(pages).collect()}
+
+
+def test_pages_keep_phrases_and_near_copies(spark):
+    """Only whole blocks and long runs at block borders go, and only if pages that are no copies hold them."""
+    random.seed(3)
+    phrase, notice = sentence(9), sentence(40)
+    menu, moved = "Home News About Contact Us Today", [sentence(12) for _ in range(3)]
+    own = {i: [sentence(30), f"{sentence(20)} {phrase} {sentence(20)}", sentence(25)] for i in range(12)}
+    rows = [(i, f"http://a.com/{i}", "".join(f"<div>{x}</div>" for x in [menu, *own[i], f"Seen {i} times {notice}"])) for i in own]
+    copy = [sentence(25) for _ in range(12)]
+    near = {100 + i: [*copy[:i], copy[i] + f" edit{i}", *copy[i + 1 :]] for i in range(12)}
+    rows += [(i, f"http://a.com/{i}", "".join(f"<p>{x}</p>" for x in [menu, *x])) for i, x in near.items()]
+    links = "".join(f"<li>{x}</li>" for x in "One Two Three Four Five Six".split())
+    rows += [(200 + i, f"http://b.com/{i}", f"<ul>{links}</ul><p>{moved[i]}</p>") for i in range(3)]
+    got = page_texts(spark, rows)
+    for i, x in own.items():
+        assert got[i][:3] == x and got[i][3:] in ([], [f"Seen {i} times " + " ".join(notice.split()[: 40 - 24])])
+    assert {i: got[i] for i in near} == near
+    assert [got[200 + i] for i in range(3)] == [[x] for x in moved]
+
+
 def test_pages_without_markup(spark):
     menu, foot = "<div>Home News About Contact Us Today</div>", "<div>Copyright by Site All Rights Reserved 2020</div>"
     rows = [

@@ -1,12 +1,13 @@
-"""Main text of web pages: host suffix arrays find boilerplate, unique runs stay.
-
-Markup settles what it can: scripts, forms, menus, footers and the like go, and text inside an article
-element is the article, repeated elsewhere or not. For the rest, a host's pages are read as one token
-stream. A task sorts the suffixes of the streams it has (prefix doubling to ``RUN`` tokens) and hands
-on, for every distinct prefix, the smallest and largest page fingerprint; merged by (host, prefix) with
-pre-aggregation, the prefixes that stand on two distinct pages are exactly the windows of all repeated
-runs of ``RUN`` tokens or more, however many tasks a host takes. Covered tokens are boilerplate; the
-unique runs of pages without article markup are their text.
+"""Main text of web pages: host suffix arrays find boilerplate, the rest of the text stays.
+
+Markup tells what can be text: not scripts, forms, menus, footers and the like, and if a page has
+article or main elements, only what is in them. On all pages, a host's repeated runs decide about that
+text. A task sorts the suffixes of the block streams it has (prefix doubling) and hands on, for every
+run of whole blocks of ``RUN`` tokens or more, the smallest and largest page fingerprint; merged by run
+with pre-aggregation, those of two distinct pages are repeated, however many tasks a host takes. Pages
+that hold repeated runs are grouped into near-copies (min-hash bands, verified). A run on pages of two
+groups is boilerplate, so copied articles stay. Blocks in such runs go as a whole; of other blocks go
+repeated beginnings and ends of ``LONG`` tokens or more, never what stands in the middle.
 """
 
 from __future__ import annotations
@@ -20,12 +21,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import Texts, clean_columns, mix, over_texts, suffix_order, windows
+from vitalgrid.llm import bagmin
+from vitalgrid.llm.common import Texts, bloom, clean_columns, maybe_in, mix, over_texts, suffix_order
+from vitalgrid.session import stored
 
-#: Tokens of the shortest repeated run that counts as boilerplate.
+#: Tokens of the shortest repeated run of whole blocks that counts as boilerplate.
 RUN = 6
-#: Border tokens before and after a page's stream, so that a run may begin or end with the page.
-BORDER = 2
+#: Tokens of the shortest repeated run that ends or begins inside a block.
+LONG = 24
+#: Groups of copies that a run stands on at least to be boilerplate.
+SEVERAL = 2
+#: Weighted Jaccard similarity of word shingles from which two pages are copies.
+COPY = 0.5
+#: Min-hash bands that propose copies; two pages of similarity 0.5 share none with probability 1e-3, of
+#: 0.7 with 1e-7.
+BANDS, ROWS = 24, 2
 
 # fixed values: element and class names
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -50,6 +60,9 @@ _NAME = re.compile(r"[a-z0-9]+")
 
 NOISE, PLAIN, MAIN, ARTICLE = 0, 1, 2, 3
 _U = np.uint64
+_GOLD = _U(0x9E3779B97F4A7C15)
+_BREAK = np.zeros(256, bool)
+_BREAK[0x0A] = True
 
 
 @dataclass
@@ -149,35 +162,88 @@ def blocks(page: str) -> list[tuple[int, str]]:
     return found
 
 
-def settled(page: str) -> tuple[str | None, list[tuple[int, str]]]:
-    """The main text if markup tells it (else None), and the blocks that markup leaves open: all that
-    stand outside the article."""
-    all_blocks = blocks(page)
-    best = max((z for z, _ in all_blocks), default=NOISE)
-    if best > PLAIN:
-        return "\n".join(t for z, t in all_blocks if z == best), [b for b in all_blocks if b[0] < best]
-    if best == NOISE:
-        return "", all_blocks
-    return None, all_blocks
-
-
-def _windows(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Bordered token streams of some pages as one: page index, position (from -BORDER), token hash,
-    and a fingerprint per page."""
-    words, n = texts.words, len(texts)
-    count = words.per_text
-    size = np.where(count > 0, count + 2 * BORDER, 0)
-    page = np.repeat(np.arange(n), size)
-    position = np.arange(len(page)) - np.repeat(np.cumsum(size) - size, size) - BORDER
-    token = np.full(len(page), 7, _U)
-    body = (position >= 0) & (position < count[page])
-    token[body] = words.hash
-    token[position < 0] = 3
-    term = mix(token + mix((position + BORDER).astype(_U)))
-    sums = np.zeros(len(term) + 1, _U)
-    np.cumsum(term, out=sums[1:])
-    ends = np.cumsum(size)
-    return page, position, token, mix(sums[ends] - sums[ends - size] + count.astype(_U))
+@dataclass
+class _Page:
+    """Blocks of a page: all in order, the numbers of those that may be its text, and whether article or
+    main markup chose them."""
+
+    blocks: list[str]
+    kept: list[int]
+    marked: bool
+
+
+def settled(page: str) -> _Page:
+    """The blocks of a page, and which of them markup leaves as its text: those in article or main
+    elements if there are any, else all but what is noise."""
+    found = blocks(page)
+    best = max((z for z, _ in found), default=NOISE)
+    least = max(best, PLAIN)
+    return _Page([t for _, t in found], [i for i, (z, _) in enumerate(found) if z >= least], best > PLAIN)
+
+
+def _pages(part: pa.RecordBatch) -> list[_Page]:
+    return [settled(h or "") for h in part.column("html").to_pylist()]
+
+
+def _marks(pages: list[_Page], host: np.ndarray) -> np.ndarray:
+    """Fingerprints of pages: host, markup, and the text they may have, or all blocks if they have none."""
+    shown = [[p.blocks[i] for i in p.kept] or p.blocks for p in pages]
+    texts = Texts.of(pa.array(["\n".join(x) for x in shown], pa.string()))
+    salt = host.view(_U) + np.array([p.marked for p in pages], _U)
+    return mix(texts.hashes(texts.bounds[:-1], texts.bounds[1:]) + salt).view(np.int64)
+
+
+def _runs(pages: list[_Page], host: np.ndarray) -> list[tuple[np.ndarray, ...]]:
+    """Runs of the pages that line up with block borders, in the order of suffix arrays: lists of
+    (page, run, first block, last block, part, open), equal runs of a host side by side; ``open`` tells
+    whether the page's text may have one of the blocks.
+
+    Two suffix arrays, of the host streams of whole blocks and of those streams reversed, give for
+    every block the shortest run of whole blocks from or up to it that has ``RUN`` tokens; any longer
+    repeated run of whole blocks is made of these. ``part`` is 0 for them. In blocks of more than
+    ``LONG`` tokens the first (part > 0) or last (part < 0) ``LONG``, 2 * ``LONG``, ... are runs, too.
+    """
+    texts = Texts.of(pa.array(["\n".join(p.blocks) for p in pages], pa.string()))
+    block, salt = texts.runs(_BREAK), mix(host.view(_U))
+    n = len(block.start)
+    if not n:
+        return []
+    page, number = block.doc, np.arange(n) - block.first[block.doc]
+    words = texts.words
+    low, high = np.searchsorted(words.start, block.start), np.searchsorted(words.start, block.end)
+    upto = np.cumsum(high - low)  # tokens before the end of each block
+    free = np.zeros(n, bool)
+    for i, p in enumerate(pages):
+        free[block.first[i] + np.array(p.kept, np.int64)] = True
+    frees = np.concatenate([[0], np.cumsum(free)])
+    stream = mix(block.hash + salt[page])
+    out = []
+    for backwards in (False, True):
+        if backwards:
+            last = np.arange(n)
+            first = np.searchsorted(upto - (high - low), upto - RUN, side="right") - 1
+            order = (n - 1 - suffix_order(stream[::-1], RUN)).astype(np.int64)
+        else:
+            first = np.arange(n)
+            last = np.searchsorted(upto, upto - (high - low) + RUN)
+            order = suffix_order(stream, RUN)
+        whole = (first >= 0) & (last < n)
+        whole[whole] = page[first[whole]] == page[last[whole]]
+        order = order[whole[order]]
+        first, last = first[order], last[order]
+        run = mix(texts.hashes(block.start[first], block.end[last]) + salt[page[first]])
+        out.append((page[first], run, number[first], number[last], np.zeros(len(first), np.int64), frees[last + 1] > frees[first]))
+    many = (high - low - 1) // LONG  # shorter than the block
+    at = np.repeat(np.arange(n), many)
+    size = LONG * (np.arange(len(at)) - np.repeat(np.cumsum(many) - many, many) + 1)
+    for sign, start, end in (
+        (1, block.start[at], words.end[low[at] + size - 1]),
+        (-1, words.start[high[at] - size], block.end[at]),
+    ):
+        run = mix(texts.hashes(start, end) + salt[page[at]] + _U(2 + sign))
+        order = np.argsort(run, kind="stable")
+        out.append((page[at][order], run[order], number[at][order], number[at][order], sign * size[order], free[at][order]))
+    return out
 
 
 def host_of(url: str = "url"):
@@ -187,79 +253,129 @@ def host_of(url: str = "url"):
 
 
 def repeated_runs(pages: DataFrame) -> DataFrame:
-    """(host, run) for every RUN-token prefix that stands on two distinct pages of a host. Pages whose
-    open text is the same count as one page."""
+    """(run,) for every run that stands on two distinct pages of a host, and in what may be the text of
+    one of them at least; the host is part of ``run``."""
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
-        streams = [settled(h or "")[1] for h in part.column("html").to_pylist()]
-        texts = Texts.of(pa.array([" ".join(t for _, t in s) for s in streams], pa.string()))
-        page, _, token, mark = _windows(texts)
         host = part.column("host").to_numpy(zero_copy_only=False)
-        at, run = windows(token, page, RUN)
-        if not len(at):
+        found = _pages(part)
+        mark = _marks(found, host)
+        names, lows, highs, opens = [], [], [], []
+        for page, run, *_, free in _runs(found, host):
+            if len(run):
+                first = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
+                names.append(run[first].view(np.int64))
+                lows.append(np.minimum.reduceat(mark[page], first))
+                highs.append(np.maximum.reduceat(mark[page], first))
+                opens.append(np.logical_or.reduceat(free, first))
+        if not names:
             return None
-        # the host is part of every token, so equal runs of different hosts stand apart
-        order = suffix_order(mix(token + host.view(_U)[page]), RUN)
-        names = np.zeros(len(token), _U)
-        names[at] = run
-        whole = np.zeros(len(token), bool)
-        whole[at] = True  # suffixes whose first RUN tokens lie in one page
-        order = order[whole[order]]
-        name, place = names[order], host[page[order]]
-        first = np.flatnonzero(np.concatenate([[True], (name[1:] != name[:-1]) | (place[1:] != place[:-1])]))
-        seen = mark[page[order]].view(np.int64)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(place[first]),
-                pa.array(name[first].view(np.int64)),
-                pa.array(np.minimum.reduceat(seen, first)),
-                pa.array(np.maximum.reduceat(seen, first)),
-            ],
-            names=["host", "run", "lo", "hi"],
-        )
+        columns = [pa.array(np.concatenate(x)) for x in (names, lows, highs, opens)]
+        return pa.RecordBatch.from_arrays(columns, names=["run", "lo", "hi", "open"])
 
-    rows = pages.select(F.xxhash64("host").alias("host"), "html")
-    local = over_texts(rows, "html", work, "host long, run long, lo long, hi long")
-    return local.groupBy("host", "run").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter("lo < hi").select(
-        "host", "run"
-    )
+    local = over_texts(pages, "html", work, "run long, lo long, hi long, open boolean")
+    merged = local.groupBy("run").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("open").alias("open"))
+    return merged.filter("lo < hi and open").select("run")
 
 
-def _open_runs(rows: DataFrame) -> DataFrame:
-    """(host, run, page, at): the windows of all pages whose text markup leaves open; ``page`` is the
-    fingerprint of the stream, so pages with the same text share their rows."""
+def _holders(pages: DataFrame, runs: np.ndarray) -> DataFrame:
+    """(page, marked, text, buckets, places) of the pages that hold a run of a Bloom filter: fingerprint,
+    kind, the text they may have, its min-hash bands, and (run, at, part) for each such run and block that
+    may go."""
+    shared = pages.sparkSession.sparkContext.broadcast(runs)
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
-        found = [settled(h or "") for h in part.column("html").to_pylist()]
-        texts = Texts.of(pa.array([" ".join(t for _, t in s) if text is None else "" for text, s in found], pa.string()))
-        page, position, token, mark = _windows(texts)
         host = part.column("host").to_numpy(zero_copy_only=False)
-        at, run = windows(token, page, RUN)
+        found = _pages(part)
+        mark = _marks(found, host)
+        places: dict[int, set] = {}
+        numbers = [{i: at for at, i in enumerate(p.kept)} for p in found]
+        for page, run, first, last, size, _ in _runs(found, host):
+            hit = maybe_in(shared.value, run)
+            for p, r, a, b, n in zip(*(x[hit].tolist() for x in (page, run.view(np.int64), first, last, size))):
+                # a run of blocks that cannot go still tells what repeats
+                inside = [numbers[p][i] for i in range(a, b + 1) if i in numbers[p]] or [-1]
+                places.setdefault(p, set()).update((r, i, n) for i in inside)
+        if not places:
+            return None
+        rows = sorted(places)
+        texts = pa.array(["\n".join(found[p].blocks[i] for i in found[p].kept) for p in rows], pa.string())
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(host[page[at]]),
-                pa.array(run.view(np.int64)),
-                pa.array(mark[page[at]].view(np.int64)),
-                pa.array(position[at]),
+                pa.array(mark[rows]),
+                pa.array([found[p].marked for p in rows], pa.bool_()),
+                texts,
+                pa.array(list(_buckets(Texts.of(texts), host[rows])), pa.list_(pa.int64())),
+                pa.array(
+                    [[dict(zip(("run", "at", "part"), x)) for x in sorted(places[p])] for p in rows],
+                    pa.list_(pa.struct([("run", pa.int64()), ("at", pa.int64()), ("part", pa.int64())])),
+                ),
             ],
-            names=["host", "run", "page", "at"],
+            names=["page", "marked", "text", "buckets", "places"],
         )
 
-    rows = rows.select(F.xxhash64("host").alias("host"), "html")
-    return over_texts(rows, "html", work, "host long, run long, page long, at long").distinct()
-
-
-def uncovered(open_blocks: list[tuple[int, str]], starts: list[int]) -> str:
-    """Text of plain blocks without the tokens that lie in a repeated run beginning at ``starts``."""
-    gone = {i for s in starts for i in range(s, s + RUN)}
-    lines, at = [], 0
-    for zone, text in open_blocks:
-        tokens = _WORD.findall(text)
-        if zone != NOISE:
-            kept = [t for i, t in enumerate(tokens, at) if i not in gone]
-            if kept:
-                lines.append(" ".join(kept))
-        at += len(tokens)
+    places = "array<struct<run:long,at:long,part:long>>"
+    return over_texts(
+        pages, "html", work, f"page long, marked boolean, text string, buckets array<long>, places {places}"
+    )
+
+
+def _buckets(texts: Texts, host: np.ndarray) -> np.ndarray:
+    """Band hashes of the min-hash signatures of some texts of hosts; -1 for texts without words."""
+    doc, value = texts.words.shingles(bagmin.SHINGLE)
+    out = np.full((len(texts), BANDS), -1, np.int64)
+    some, first = np.unique(doc, return_index=True)
+    if len(some):
+        for band in range(BANDS):
+            total = mix(host[some].view(_U) + _U(band))
+            for row in range(ROWS):
+                total = mix(total + np.minimum.reduceat(mix(value + _U(1 + band * ROWS + row) * _GOLD), first))
+            out[some, band] = total.view(np.int64) & np.int64(0x7FFFFFFFFFFFFFFF)
+    return out
+
+
+def copies(holders: DataFrame) -> DataFrame:
+    """(page, root) for pages (page, text, buckets) that belong to a group of near-copies. Links are
+    verified, from ``COPY`` of the shingles in common; groups are the connected components."""
+    bands = holders.select("page", F.explode("buckets").alias("bucket")).filter("bucket >= 0").distinct()
+    shared = bands.groupBy("bucket").agg(F.min("page").alias("a"), F.max("page").alias("_hi")).filter("a < _hi")
+    pairs = bands.withColumnRenamed("page", "b").join(shared, "bucket").filter("a < b").select("a", "b").distinct()
+    texts = holders.select(F.col("page").alias("doc_id"), "text").dropDuplicates(["doc_id"])
+    links = stored(bagmin.verified(stored(pairs, "copy-pairs"), texts, COPY), "copies")
+    return bagmin.components(links).select(F.col("node").alias("page"), "root")
+
+
+def boilerplate(pages: DataFrame) -> DataFrame:
+    """(page, gone): by fingerprint, the blocks of pages, and parts of blocks (at, part), that lie in runs
+    which several pages of the host hold that are no copies of each other."""
+    runs = stored(repeated_runs(pages), "runs")
+    holders = stored(_holders(pages, bloom(runs, "run")), "holders")
+    places = holders.select("page", "marked", F.explode("places").alias("_p")).select("page", "marked", "_p.*").distinct()
+    places = places.join(runs, "run").join(copies(holders), "page", "left").withColumn("root", F.coalesce("root", "page"))
+    places = stored(places, "places")
+    several = places.select("run", "root").distinct().groupBy("run").agg(F.count("*").alias("n")).filter(F.col("n") >= SEVERAL)
+    gone = places.filter("at >= 0 and not marked").join(several.select("run"), "run")
+    return gone.groupBy("page").agg(F.collect_set(F.struct("at", "part")).alias("gone"))  # bounded by the page
+
+
+def remaining(page: _Page, gone: list) -> str:
+    """Text of a page without the blocks, and beginnings and ends of blocks, of (at, part)."""
+    whole, head, tail = set(), {}, {}
+    for at, part in gone:
+        if part == 0:
+            whole.add(at)
+        elif part > 0:
+            head[at] = max(head.get(at, 0), part)
+        else:
+            tail[at] = max(tail.get(at, 0), -part)
+    lines = []
+    for at, i in enumerate(page.kept):
+        text = page.blocks[i]
+        if at in head or at in tail:
+            tokens = _WORD.findall(text)
+            text = " ".join(tokens[head.get(at, 0) : max(head.get(at, 0), len(tokens) - tail.get(at, 0))])
+        if at not in whole and text:
+            lines.append(text)
     return "\n".join(lines)
 
 
@@ -271,53 +387,39 @@ def extract(pages: DataFrame) -> DataFrame:
 
     Null or empty html, and pages without any text of their own, give an empty text. A null url or one
     without a host counts as host ''. Repeated rows give the same text each; pages whose text is the
-    same are one page for the search of repeats. An empty table gives an empty result; other columns
-    are ignored, whatever their names.
+    same, and near-copies, are one page for the search of repeats. An empty table gives an empty result;
+    other columns are ignored, whatever their names.
     """
-    rows = clean_columns(pages, {"page_id": "long", "url": "string", "html": "string"}).withColumn("host", host_of())
+    rows = clean_columns(pages, {"page_id": "long", "url": "string", "html": "string"}).withColumn("host", F.xxhash64(host_of()))
+    found = stored(boilerplate(rows.select("host", "html")), "boilerplate")
+    shared = pages.sparkSession.sparkContext.broadcast(bloom(found, "page"))
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
-        found = [settled(h or "") for h in part.column("html").to_pylist()]
+        pages = _pages(part)
+        mark = _marks(pages, part.column("host").to_numpy(zero_copy_only=False))
+        hit = maybe_in(shared.value, mark.view(_U)).tolist()
+        html = part.column("html").to_pylist()
         return pa.RecordBatch.from_arrays(
             [
-                *[part.column(c) for c in ("page_id", "url", "host")],
-                pa.array([text for text, _ in found], pa.string()),
-                pa.array([h if text is None else None for h, (text, _) in zip(part.column("html").to_pylist(), found)], pa.string()),
-                pa.array(_marks(found)),
+                *[part.column(c) for c in ("page_id", "url")],
+                pa.array([None if h else remaining(p, []) for p, h in zip(pages, hit)], pa.string()),
+                pa.array([x if h else None for x, h in zip(html, hit)], pa.string()),
+                pa.array(mark),
             ],
-            names=["page_id", "url", "host", "text", "html", "page"],
+            names=["page_id", "url", "text", "html", "page"],
         )
 
-    parsed = over_texts(
-        rows, "html", work, "page_id long, url string, host string, text string, html string, page long"
-    )
-    runs = _open_runs(rows)
-    covered = (
-        runs.join(repeated_runs(rows), ["host", "run"])
-        .groupBy("host", "page")
-        .agg(F.collect_set("at").alias("starts"))  # bounded by the page's length
-        .withColumnRenamed("host", "_host")
-    )
-    left = (
-        parsed.filter("text is null")
-        .withColumn("_host", F.xxhash64("host"))
-        .join(covered, ["_host", "page"], "left")
-        .select("page_id", "url", "html", F.coalesce("starts", F.array().cast("array<long>")).alias("starts"))
-    )
+    parsed = over_texts(rows, "html", work, "page_id long, url string, text string, html string, page long")
+    none = F.array().cast("array<struct<at:long,part:long>>")
+    left = parsed.filter("text is null").join(found, "page", "left").withColumn("gone", F.coalesce("gone", none))
 
     def finish(part: pa.RecordBatch) -> pa.RecordBatch:
-        texts = [
-            uncovered(settled(h)[1], s) for h, s in zip(part.column("html").to_pylist(), part.column("starts").to_pylist())
-        ]
+        gone = [[(g["at"], g["part"]) for g in x] for x in part.column("gone").to_pylist()]
+        texts = [remaining(p, g) for p, g in zip(_pages(part), gone)]
         return pa.RecordBatch.from_arrays(
             [part.column("page_id"), part.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"]
         )
 
     done = parsed.filter("text is not null").select("page_id", "url", "text")
-    mended = over_texts(left, "html", finish, "page_id long, url string, text string")
+    mended = over_texts(left.select("page_id", "url", "html", "gone"), "html", finish, "page_id long, url string, text string")
     return done.union(mended).withColumn("n_chars", F.char_length("text").cast("long"))
-
-
-def _marks(found: list[tuple[str | None, list[tuple[int, str]]]]) -> np.ndarray:
-    texts = Texts.of(pa.array([" ".join(t for _, t in s) if text is None else "" for text, s in found], pa.string()))
-    return _windows(texts)[3].view(np.int64)
