@@ -208,6 +208,20 @@ def test_pages_keep_phrases_and_near_copies(spark):
     assert [got[200 + i] for i in range(3)] == [[x] for x in moved]
 
 
+def test_pages_repeats_inside_articles(spark):
+    """A notice in the articles of distinct pages goes, copied articles and main text beside one stay."""
+    random.seed(5)
+    notice = sentence(10)
+    own = {i: [sentence(30), sentence(40)] for i in range(4)}
+    copied = [sentence(30), sentence(20), sentence(30)]
+    rows = [(i, f"http://a.com/{i}", f"<article><p>{a}</p><p>{notice}</p><p>{b}</p></article>") for i, (a, b) in own.items()]
+    near = {10 + i: [*copied, f"copy {i}"] for i in range(5)}
+    rows += [(i, f"http://a.com/{i}", "<article>" + "".join(f"<p>{x}</p>" for x in x) + "</article>") for i, x in near.items()]
+    rows.append((20, "http://a.com/", "<main><p>before it</p><article><p>inside it</p></article><p>after it</p></main><p>out</p>"))
+    want = own | near | {20: ["before it", "inside it", "after it"]}
+    assert page_texts(spark, rows) == want
+
+
 def test_pages_without_markup(spark):
     menu, foot = "<div>Home News About Contact Us Today</div>", "<div>Copyright by Site All Rights Reserved 2020</div>"
     rows = [

@@ -29,8 +29,8 @@ from vitalgrid.session import stored
 RUN = 6
 #: Tokens of the shortest repeated run that ends or begins inside a block.
 LONG = 24
-#: Groups of copies that a run stands on at least to be boilerplate.
-SEVERAL = 2
+#: Groups of copies that a run stands on at least to be boilerplate; the same inside article and main.
+SEVERAL, SEVERAL_MARKED = 2, 3
 #: Weighted Jaccard similarity of word shingles from which two pages are copies.
 COPY = 0.5
 #: Min-hash bands that propose copies; two pages of similarity 0.5 share none with probability 1e-3, of
@@ -177,7 +177,7 @@ def settled(page: str) -> _Page:
     elements if there are any, else all but what is noise."""
     found = blocks(page)
     best = max((z for z, _ in found), default=NOISE)
-    least = max(best, PLAIN)
+    least = MAIN if best > PLAIN else PLAIN
     return _Page([t for _, t in found], [i for i, (z, _) in enumerate(found) if z >= least], best > PLAIN)
 
 
@@ -347,14 +347,15 @@ def copies(holders: DataFrame) -> DataFrame:
 
 def boilerplate(pages: DataFrame) -> DataFrame:
     """(page, gone): by fingerprint, the blocks of pages, and parts of blocks (at, part), that lie in runs
-    which several pages of the host hold that are no copies of each other."""
+    which several pages of the host hold that are no copies of each other: ``SEVERAL``, or ``SEVERAL_MARKED``
+    to overrule article and main markup."""
     runs = stored(repeated_runs(pages), "runs")
     holders = stored(_holders(pages, bloom(runs, "run")), "holders")
     places = holders.select("page", "marked", F.explode("places").alias("_p")).select("page", "marked", "_p.*").distinct()
     places = places.join(runs, "run").join(copies(holders), "page", "left").withColumn("root", F.coalesce("root", "page"))
     places = stored(places, "places")
     several = places.select("run", "root").distinct().groupBy("run").agg(F.count("*").alias("n")).filter(F.col("n") >= SEVERAL)
-    gone = places.filter("at >= 0 and not marked").join(several.select("run"), "run")
+    gone = places.join(several, "run").filter((F.col("at") >= 0) & (~F.col("marked") | (F.col("n") >= SEVERAL_MARKED)))
     return gone.groupBy("page").agg(F.collect_set(F.struct("at", "part")).alias("gone"))  # bounded by the page
 
 
