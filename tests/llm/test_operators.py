@@ -222,6 +222,30 @@ def test_pages_repeats_inside_articles(spark):
     assert page_texts(spark, rows) == want
 
 
+@pytest.mark.parametrize(
+    "opening",
+    [
+        '<div class="content no-sidebar">', '<div class="has-sidebar">', '<div id="widget-area-main">',
+        '<section class="related-to alert">', '<div class="social"><div class="ad banner">',
+    ],
+)
+def test_pages_in_wrappers_with_noise_names(opening):
+    def text(page):
+        found = html.settled(page)
+        return [found.blocks[i] for i in found.kept]
+
+    inner = '<p>one two three four</p><div class="ad">buy</div><p>five six</p><div class="cookie-notice">ok</div>'
+    side, end = '<div class="related">a</div>', "</div></div></section>"
+    want = ["one two three four", "five six"]
+    assert text(f"{opening}<article>{inner}</article>{side}{end}<div class='footer'>f</div>") == want
+    assert text(f"{opening}<main>{inner}</main>{side}{end}<div class='footer'>f</div>") == want
+    assert text(f"{opening}{inner}{side}{end}<div class='footer'>f</div>") == want
+    teaser = "<div class='related'><article>x</article></div>"
+    assert text(f"<article>{inner}</article>{teaser}") == want
+    comments = "<div id='comments'><p>much longer than all the text above it, and still only comments</p></div>"
+    assert text(f"<article>{inner}{comments}</article>{comments}") == want
+
+
 def test_pages_without_markup(spark):
     menu, foot = "<div>Home News About Contact Us Today</div>", "<div>Copyright by Site All Rights Reserved 2020</div>"
     rows = [

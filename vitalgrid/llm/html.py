@@ -52,6 +52,9 @@ _NOISE_NAMES = set(
     "toolbar pagination pager signup login search skip copyright alert".split()
 )
 _ARTICLE_ROLES = {"main", "article"}
+_COMMENT_NAMES = set("comment comments respond disqus".split())
+# words that make a class name speak of what is or isn't beside the element
+_BESIDE = set("no non not has have with without".split())
 # end of fixed values
 
 _PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
@@ -65,20 +68,40 @@ _BREAK = np.zeros(256, bool)
 _BREAK[0x0A] = True
 
 
+@dataclass
+class _Named:
+    """An element whose names say noise, which what it holds may refute."""
+
+    comments: bool
+    main: bool = False
+    article: bool = False
+    size: int = 0
+    blocks: int = 0
+
+
 @dataclass
 class _Open:
     tag: str
     noise: bool
     zone: int
+    named: _Named | None = None
 
 
-def _noisy(tag: str, attributes: str, zone: int) -> tuple[bool, int]:
-    """Whether an element's content is no article text, and the zone it opens."""
+def _noise_names(value: str) -> set[str]:
+    """Names of the list that are part of a class, id or role, such as cookie-notice; not of has-sidebar."""
+    parts = [set(_NAME.findall(name)) for name in value.split()]
+    return _NOISE_NAMES & set().union(*[p for p in parts if not p & _BESIDE])
+
+
+def _noisy(tag: str, attributes: str, zone: int) -> tuple[bool, int, _Named | None]:
+    """Whether an element's content is no article text, the zone it opens, and whether its names alone
+    speak against it."""
+    named = None
     opened = {"article": ARTICLE, "main": MAIN}.get(tag, zone)
     if tag in _NOISE_TAGS or (tag == "header" and zone == PLAIN):
-        return True, opened
+        return True, opened, None
     if not attributes.strip() or tag in ("html", "body"):
-        return False, opened
+        return False, opened, None
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values).lower()
         if name == "role" and value in _ARTICLE_ROLES:
@@ -86,34 +109,39 @@ def _noisy(tag: str, attributes: str, zone: int) -> tuple[bool, int]:
         elif name == "itemprop" and value == "articlebody":
             opened = ARTICLE
         elif name in ("class", "id", "role"):
-            if tag not in ("article", "main") and _NOISE_NAMES.intersection(_NAME.findall(value)):
-                return True, opened
+            if tag not in ("article", "main") and (names := _noise_names(value)):
+                named = _Named(bool(names & _COMMENT_NAMES) or (named is not None and named.comments))
             if tag == "article" and {"comment", "comments"}.intersection(_NAME.findall(value)):
-                return True, opened
+                return True, opened, None
         elif name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True, opened
+            return True, opened, None
         elif name == "style" and "display:none" in value.replace(" ", ""):
-            return True, opened
-    return False, opened
+            return True, opened, None
+    return False, opened, named
 
 
 def blocks(page: str) -> list[tuple[int, str]]:
-    """(zone, text) of the page's text blocks in order, white space single, references decoded."""
-    found: list[tuple[int, str]] = []
+    """(zone, text) of the page's text blocks in order, white space single, references decoded.
+
+    Noise names count for nothing on an element around main, around all article text of the page, or
+    (but for comments) around several blocks that are more than half of the page's text.
+    """
+    found: list[tuple[int, bool, tuple[_Named, ...], str]] = []
     words: list[str] = []
     stack: list[_Open] = []
-    zone, noise = PLAIN, False
+    zone, noise, named = PLAIN, False, ()
 
     def close() -> None:
         text = " ".join("".join(words).split())
         if text:
-            found.append((NOISE if noise else zone, text))
+            found.append((zone, noise, named, text))
         words.clear()
 
     def state() -> None:
-        nonlocal zone, noise
+        nonlocal zone, noise, named
         zone = stack[-1].zone if stack else PLAIN
         noise = any(x.noise for x in stack)
+        named = tuple(x.named for x in stack if x.named)
 
     at = 0
     while True:
@@ -142,13 +170,13 @@ def blocks(page: str) -> list[tuple[int, str]]:
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue
-        is_noise, opened = _noisy(tag, m.group(3) or "", zone)
+        is_noise, opened, names = _noisy(tag, m.group(3) or "", zone)
         if tag in _INLINE or tag in _VOID:
             if tag == "hr":
                 close()
-            if is_noise and tag not in _VOID:
+            if (is_noise or names) and tag not in _VOID:
                 close()
-                stack.append(_Open(tag, True, zone))
+                stack.append(_Open(tag, is_noise, zone, names))
                 state()
             continue
         close()
@@ -156,10 +184,36 @@ def blocks(page: str) -> list[tuple[int, str]]:
             stack.pop()
         if not (m.group(3) or "").rstrip().endswith("/"):
             parent = stack[-1].zone if stack else PLAIN
-            stack.append(_Open(tag, is_noise, max(opened, parent)))
+            stack.append(_Open(tag, is_noise, max(opened, parent), names))
+            if opened > parent and not is_noise and not noise:
+                for x in stack[:-1]:
+                    if x.named:
+                        x.named.main |= opened == MAIN
+                        x.named.article = True
         state()
     close()
-    return found
+    return _refuted(found)
+
+
+def _refuted(found: list[tuple[int, bool, tuple[_Named, ...], str]]) -> list[tuple[int, str]]:
+    """(zone, text) of blocks (zone, noise, named elements around, text)."""
+    total = 0
+    for _, noise, named, text in found:
+        if not noise:
+            total += len(text)
+            for x in named:
+                x.size += len(text)
+                x.blocks += 1
+
+    def stands(x: _Named) -> bool:
+        return not (x.main or (x.size * 2 > total and x.blocks > 1 and not x.comments))
+
+    open_text = any(zone > PLAIN and not noise and not any(map(stands, named)) for zone, noise, named, _ in found)
+    out = []
+    for zone, noise, named, text in found:
+        noise = noise or any(stands(x) and (open_text or not x.article or x.comments) for x in named)
+        out.append((NOISE if noise else zone, text))
+    return out
 
 
 @dataclass
