@@ -426,6 +426,20 @@ def test_novelty_knows_what_is_around():
     assert novelty(f"{random_name} and key is ", random_name, " ") < secrets.NOVELTY
 
 
+def test_secrets_in_env_lines():
+    novelty = secrets.Novelty(["configuration", "identifier", "default_value"])
+    secret = {
+        "AWS_SECRET_ACCESS_KEY=": "wJalrXUtnFEMIK7MDENGbPxRfiCYzQ3k9", "export DB_PWD=": "Zx9Kq2Lm7Vb4Nt8R",
+        "AUTH=": "Zx9Kq2Lm7Vb4Nt8RpW", "MY_PRIVATE=": "qLzXvRtYwPkJhGmNbVcDsF", "key ": "qLzXvRtYwPkJhGmNbVcDsF",
+    }
+    for name, value in secret.items():
+        text = f"run it\n{name}{value}\nthen go"
+        at = text.index(value)
+        assert secrets.spans_of(text, novelty) == [("novel", at, at + len(value), at)]
+    assert secrets.spans_of("AUTH=configuration_identifier default_value=identifier.configuration", novelty) == []
+    assert secrets.spans_of("your key and token for authentication_required administrators-responsibilities", novelty) == []
+
+
 def test_redaction(spark):
     docs = spark.createDataFrame([(i, t, 7) for i, t in enumerate(SECRETS)], "doc_id long, text string, n_chars long")
     found = {r.doc_id: r for r in secrets.redacted(secrets.scan(docs)).collect()}

@@ -1,6 +1,7 @@
 """Secret scan: fixed patterns, and strings in a sensitive context that zstandard finds novel.
 
-A candidate is a long token with letters and digits close after a sensitive word. Its novelty is the
+A candidate is a long token, or the value behind a token's first = sign, close after a sensitive word;
+the name before = may be that word. Its novelty is the
 number of compressed bytes it adds to the code around it, with a dictionary of identifiers primed
 beforehand: bytes(context + candidate) - bytes(context). A name that the code or the dictionary
 already holds costs a few bytes; a random string costs nearly its information content. Candidates at
@@ -43,8 +44,15 @@ _ASSIGN_LEAST, _ACCESS_LEAST = 8, 16
 
 _SENSITIVE = re.compile(r"(?i:key|secret|token|passw|pwd|auth|credential|bearer|private)", re.ASCII)
 _SENSITIVE_WORDS = ["key", "secret", "token", "passw", "pwd", "auth", "credential", "bearer", "private"]
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.-]{16,}")
-_MIXED = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])", re.DOTALL)
+_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.-]{8,}")
+_LETTER, _DIGIT = re.compile(r"[A-Za-z]"), re.compile(r"[0-9]")
+_CASES = re.compile(r"[a-z](?=[A-Z])|[A-Z](?=[a-z])")
+#: Changes of case per character from which a bare token without digits is no word or camelCase name.
+CASES = 0.4
+# a name and the separator before its value; = at the end is padding
+_NAMED = re.compile(r"[A-Za-z0-9/_.-]+=+(?=[^=])")
+#: Characters of the shortest candidate, and of the shortest value after a name.
+LEAST_TOKEN, LEAST_VALUE = 16, 8
 _IDENTIFIER = re.compile(r"[A-Za-z_]{4,40}")
 
 SPAN = "struct<kind:string,start:int,end:int,secret_start:int>"
@@ -76,15 +84,23 @@ def is_sensitive(text: str) -> bool:
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
-    """Spans of long mixed tokens that begin within ``REACH`` characters after a sensitive word."""
+    """Spans of long tokens, or of values in name=value, that begin within ``REACH`` characters after a
+    sensitive word and have letters. A bare token has digits or often changes case, too: rare words of
+    running text are as novel as secrets."""
     reach = -1
     found, marks = [], _SENSITIVE.finditer(text)
     mark = next(marks, None)
     for m in _CANDIDATE.finditer(text):
-        while mark is not None and mark.end() <= m.start():
+        start, least = m.start(), LEAST_TOKEN
+        name = _NAMED.match(m.group())
+        if name:
+            start, least = start + name.end(), LEAST_VALUE
+        elif not _DIGIT.search(m.group()) and len(_CASES.findall(m.group())) < CASES * len(m.group()):
+            least = len(text) + 1
+        while mark is not None and mark.end() <= start:
             reach, mark = mark.end() + REACH, next(marks, None)
-        if m.start() <= reach and _MIXED.match(m.group()):
-            found.append(m.span())
+        if m.end() - start >= least and start <= reach and _LETTER.search(text, start, m.end()):
+            found.append((start, m.end()))
     return found
 
 
