@@ -4,7 +4,7 @@ import pandas as pd
 import pytest
 
 import corpus_pipeline
-from test_operators import plain_classes
+from test_corpus_operators import plain_classes
 from vitalgrid.llm import decontaminate, quality
 from vitalgrid.llm.common import table
 
@@ -50,7 +50,7 @@ def test_stages_on_nothing(spark, sf_dir):
 
 @pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
 def test_stages_on_odd_rows(spark, sf_dir, name, stage):
-    from test_operators import odd_docs
+    from test_corpus_operators import odd_docs
 
     docs = odd_docs(spark).drop("score", "spans")
     assert stage(spark, docs, sf_dir).count() <= docs.count()
