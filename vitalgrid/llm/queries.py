@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalgrid.llm import bagmin, decontaminate, html, kneser, language, pieces, quality, revisits, secrets, sharding
+from vitalgrid.llm import (
+    bagmin, decontaminate, exact, html, kneser, language, negatives, pieces, quality, revisits, secrets, sharding, whitening,
+)
 from vitalgrid.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -192,3 +194,67 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", held_out("doc_id", 7, 2).alias("held_out"), "n_tokens", "n_known", "train_tokens",
         F.round("base_score", 6).alias("base_score"), F.round("score", 6).alias("score"),
     )
+
+
+@query("op11_refined_whitening")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    rows = whitening.usable(table(spark, folder, "embeddings"))
+    model = whitening.learn(rows)
+    each = whitening.whiten(rows, model).select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    explained = F.array(*[F.lit(float(v / model.trace)) for v in model.values]) if len(model.values) else F.array().cast("array<double>")
+    return each.select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"), "deviation", "whitened",
+        F.get(explained, F.col("at")).alias("explained"), F.lit(model.identity_error).alias("identity_error"),
+    )
+
+
+@query(
+    "op12_exact_groups",
+    """
+WITH plain AS (
+    SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+)
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+    doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AND row_number() OVER (PARTITION BY t, doc_id) = 1 AS kept,
+    sha256(t) AS text_sha256
+FROM plain
+WINDOW same AS (PARTITION BY t)
+""",
+)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return exact.marked(table(spark, folder, "documents"), keep="largest")
+
+
+@query(
+    "op13_threshold_negatives",
+    """
+WITH vector AS (
+    SELECT row_number() OVER () AS row, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label::BIGINT END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS x
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+pair AS (
+    SELECT a.row AS anchor_row, a.vec_id AS anchor_id, b.row, b.vec_id, a.label = b.label AS same,
+        coalesce(list_sum(list_transform(list_zip(a.x, b.x), lambda z: z[1] * z[2])), 0)::BIGINT AS score
+    FROM vector a JOIN vector b ON a.row <> b.row AND len(a.x) = len(b.x)
+    WHERE a.vec_id % 100 = 0
+),
+positive AS (
+    SELECT *, row_number() OVER (PARTITION BY anchor_row ORDER BY score DESC, vec_id, row) AS place FROM pair WHERE same
+),
+ranked AS (
+    SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+        row_number() OVER (PARTITION BY p.anchor_row, p.row ORDER BY n.score DESC, n.vec_id, n.row) AS rank
+    FROM positive p JOIN pair n ON n.anchor_row = p.anchor_row AND NOT n.same
+        AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+    WHERE p.place <= 5
+)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5
+""",
+)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", F.col("label").cast("long").alias("label"), "embedding")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(vectors.withColumn("label", shifted), F.col("vec_id") % 100 == 0)
