@@ -25,6 +25,10 @@ METRIC_COLUMN = {
     "sleep": "duration_minutes",
 }
 
+# Numeric and text columns of the schemas; all data types share one table of them.
+NUMBERS = ["heart_rate", "confidence", "duration_minutes", "quality_score", "step_count", "distance_km", "calories"]
+TEXTS = ["activity_type", "sleep_stage"]
+
 # Allowed range per column, with the label used in messages.
 VALUE_RANGES = {
     "heart_rate": (30, 220, "Heart rate"),
@@ -120,6 +124,13 @@ ISSUES = {
     "range": "%s: %%d values outside range [%s, %s]",
 }
 
+# Why a stage gives no result for a series.
+UNKNOWN_TYPE = "Unknown data type: %s"
+NO_METRIC = "Metric column '%s' not found"
+TOO_FEW_READINGS = "Insufficient data for modeling"
+NO_ROWS_LEFT = "No rows with a valid time"
+NO_WINDOWS = "No data available for feature extraction"
+
 # Why a clustering gives no result.
 TOO_FEW_ROWS = "Insufficient data: only %d sample(s) available for clustering. Need at least 2 samples."
 

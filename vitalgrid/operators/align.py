@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vitalgrid.catalog import FREQUENCIES, OUTLIER_SUFFIX
+from vitalgrid.catalog import FREQUENCIES, NO_ROWS_LEFT, OUTLIER_SUFFIX
 from vitalgrid.functions.expressions import NUMERIC, from_micros, half_even, micros, numeric_columns
 from vitalgrid.operators.missing import fill_gaps
 from vitalgrid.plans.series import Series, attach, has_large_series
@@ -207,21 +207,52 @@ def align(
 ) -> tuple[DataFrame, DataFrame]:
     """Bring every series of a data type to the target frequency and fill the gaps. Daily sleep
     data and series that would grow more than five times keep their rows. Returns the rows and a
-    report per series."""
+    report per series. A target that is no known frequency, or a table without its time column, leaves
+    the rows as they are; the report has ``success`` false and says why."""
+    error = align_error(df, data_type, ts, target)
+    if error:
+        return df, failed_report(df, keys, data_type, target, error)
     if sliced is None and data_type != "sleep":
         sliced = has_large_series(df, keys)
     aligned = align_rows(df, keys, data_type, ts, target, fill, order, sliced)
     return aligned, align_report(df, aligned, keys, data_type, ts, target, order, sliced)
 
 
-def align_rows(df, keys, data_type, ts="timestamp", target="1 min", fill="interpolate", order=None, sliced=None) -> DataFrame:
+def align_error(df: DataFrame, data_type: str, ts: str, target: str) -> str | None:
+    """Why rows cannot be aligned; daily sleep data needs neither."""
+    if data_type == "sleep":
+        return None
+    if ts not in df.columns:
+        return f"None of ['{ts}'] are in the columns"
+    return None if target in FREQUENCIES else f"'{target}'"
+
+
+def failed_report(df: DataFrame, keys: list[str], data_type: str, target: str, error: str) -> DataFrame:
+    rows = df.groupBy(*keys).agg(F.count("*").alias("original_rows"))
+    return rows.select(
+        *keys,
+        F.lit(data_type).alias("data_type"),
+        "original_rows",
+        F.lit("unknown").alias("original_frequency"),
+        F.lit(target).alias("target_frequency"),
+        F.lit(None).cast("long").alias("resampled_rows"),
+        F.lit(None).cast("double").alias("span_hours"),
+        F.lit(False).alias("success"),
+        F.lit(error).alias("error"),
+    )
+
+
+def align_rows(
+    df, keys, data_type, ts="timestamp", target="1 min", fill="interpolate", order=None, sliced=None, rules=None
+) -> DataFrame:
+    """The rows of ``align``. ``rules`` names the aggregate per column (default: what suits the column)."""
     helpers = [c for c in (order or []) if c != ts]
     if data_type == "sleep":
         return df.drop(*helpers)
     seconds = FREQUENCIES[target]
     if sliced is None:
         sliced = has_large_series(df, keys)
-    rules = smart_rules(df, keys, ts, helpers)
+    rules = rules or smart_rules(df, keys, ts, helpers)
     marked = with_guard(Series.of(df, keys, order or [ts], sliced), ts, seconds).done()
     kept = marked.filter(~F.col("resample")).select(*keys, ts, *rules)
     binned = resample(marked.filter("resample"), keys, ts, seconds, rules, order, True, sliced)
@@ -246,7 +277,8 @@ def align_report(df, aligned, keys, data_type, ts, target, order=None, sliced=No
         F.lit(target).alias("target_frequency"),
         "resampled_rows",
         "span_hours",
-        F.lit(True).alias("success"),
+        F.col("resampled_rows").isNotNull().alias("success"),
+        F.when(F.col("resampled_rows").isNull(), F.lit(NO_ROWS_LEFT)).alias("error"),
     )
 
 

@@ -74,6 +74,43 @@ def flag_thresholds(
     ).drop("_pos", "_not_over", "_not_under")
 
 
+@nan_is_missing
+def flag_thresholds_by_rule(
+    df: DataFrame, keys: list[str], order: list[str], value: str, sliced: bool | None = None
+) -> DataFrame:
+    """The same for a table of several data types, where each row carries its rule: min_threshold,
+    max_threshold and sustained (0: every violation counts), and ``metric``, the name used in
+    reasons. Rows without a rule get no flags."""
+    low, high, lasting = F.col("min_threshold"), F.col("max_threshold"), F.col("sustained")
+    over = F.coalesce(F.col(value) > high, F.lit(False))
+    under = F.coalesce(F.col(value) < low, F.lit(False))
+    pos = F.col("_pos")
+    series = Series.of(df, keys, order, sliced).position("_pos")
+    rows = series.known(before={"_not_over": F.when(~over, pos), "_not_under": F.when(~under, pos)}).done()
+    run = F.greatest(lasting, F.lit(1))
+    hot = pos - F.coalesce("_not_over", F.lit(-1)) >= run
+    cold = pos - F.coalesce("_not_under", F.lit(-1)) >= run
+    steady = lasting > 0
+
+    def text(kind: str, limit: Column | None = None) -> Column:
+        shown = [] if limit is None else [F.when(limit == F.floor(limit), limit.cast("long").cast("string")).otherwise(limit.cast("string"))]
+        return F.format_string(REASONS[kind], F.col("metric"), *shown)
+
+    low_text = F.when(steady, text("sustained_low", low)).otherwise(text("instant_low"))
+    high_text = F.when(steady, text("sustained_high", high)).otherwise(text("instant_high"))
+    low_level = F.when(steady, F.lit("Medium")).otherwise(F.lit("High"))
+    high_level = F.when(steady, F.lit("High")).otherwise(F.lit("Medium"))
+    ruled = lasting.isNotNull()
+    return rows.withColumns(
+        {
+            "threshold_violation": F.when(ruled, over | under),
+            "threshold_anomaly": F.when(ruled, hot | cold),
+            "anomaly_reason": F.when(ruled & cold, low_text).when(ruled & hot, high_text).when(ruled, F.lit("")),
+            "severity": F.when(ruled & cold, low_level).when(ruled & hot, high_level).when(ruled, F.lit("Normal")),
+        }
+    ).drop("_pos", "_not_over", "_not_under", "min_threshold", "max_threshold", "sustained")
+
+
 def flag_report(
     df: DataFrame, keys: list[str], data_type: str | Column, method: str, flag: str, extra: list[Column] = ()
 ) -> DataFrame:

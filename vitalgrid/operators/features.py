@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vitalgrid.catalog import NO_WINDOWS
 from vitalgrid.functions.expressions import nan_is_missing
 from vitalgrid.functions.stats import approximate_entropy_of
 from vitalgrid.operators.align import DAY, resample
@@ -325,6 +326,6 @@ def extract_features(
         F.coalesce("windows", F.lit(0)).alias("windows"),
         F.lit(len(feature_columns(matrix))).alias("features_extracted"),
         F.col("windows").isNotNull().alias("success"),
-        F.when(F.col("windows").isNull(), F.lit("No data available for feature extraction")).alias("error"),
+        F.when(F.col("windows").isNull(), F.lit(NO_WINDOWS)).alias("error"),
     )
     return matrix, report

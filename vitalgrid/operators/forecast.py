@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vitalgrid.catalog import TOO_FEW_READINGS
 from vitalgrid.functions.expressions import from_micros, micros, nan_is_missing, share
 from vitalgrid.plans.series import Series, attach, has_large_series, max_series_rows, spread
 
@@ -285,6 +286,6 @@ def fit_and_predict(
         "mape",
         "mape_zero_rows",
         F.col("mae").isNotNull().alias("success"),
-        F.when(F.col("mae").isNull(), F.lit("Insufficient data for modeling")).alias("error"),
+        F.when(F.col("mae").isNull(), F.lit(TOO_FEW_READINGS)).alias("error"),
     )
     return forecast, residuals, report

@@ -3,6 +3,7 @@
 from vitalgrid.queries import (  # noqa: F401
     anomalies,
     clusters,
+    collections,
     cleaning,
     description,
     features,

@@ -218,7 +218,7 @@ def _(t):
     SELECT user_id, 'heart_rate' AS data_type, rows AS original_rows, {NAME} AS original_frequency, '1 hour' AS target_frequency,
            CASE WHEN kept THEN rows ELSE (epoch_us(b1) - epoch_us(b0)) // 3600000000 + 1 END AS resampled_rows,
            {R('''CASE WHEN kept THEN minutes / 60 ELSE (epoch_us(b1) - epoch_us(b0)) / 3600000000::double END''')} AS span_hours,
-           true AS success
+           true AS success, NULL::varchar AS error
     FROM k
     """,
 )
@@ -228,6 +228,19 @@ def _(t):
     return report
 
 
+@query(
+    "t8_align_error",
+    """
+    SELECT user_id, 'heart_rate' AS data_type, count(*) AS original_rows, 'unknown' AS original_frequency, '2 weeks' AS target_frequency,
+           NULL::bigint AS resampled_rows, NULL::double AS span_hours, false AS success, '''2 weeks''' AS error FROM events GROUP BY user_id
+    """,
+)
+def _(t):
+    df = t.events.select("user_id", "event_id", "ts", F.col("value").alias("heart_rate"))
+    _rows, report = align.align(df, ["user_id"], "heart_rate", "ts", "2 weeks")
+    return report
+
+
 PLACE = """
     CASE event_type WHEN 'click' THEN 'New York, NY' WHEN 'view' THEN 'Europe/Berlin' WHEN 'purchase' THEN 'central london'
                     WHEN 'signup' THEN 'Atlantis' END
