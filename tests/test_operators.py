@@ -344,7 +344,55 @@ def test_cluster_rule(spark):
     reasons = {r["cluster"]: r["cluster_anomaly_reason"] for r in flagged.collect()}
     assert reasons == {-1: "Noise point (DBSCAN)", 1: "Belongs to small cluster #1", 0: ""}
     row = anomaly.cluster_flag_report(flagged, [], "steps").first()
-    assert row["cluster_distribution"] == {-1: 1, 0: 96, 1: 3} and row["anomalous_clusters"] == [-1, 1]
+    assert (row["total_clusters"], row["anomalous_clusters"], row["anomalies_detected"]) == (3, 2, 4)
+    sizes = {r["cluster"]: (r["records"], r["anomalous"]) for r in anomaly.cluster_distribution(flagged).collect()}
+    assert sizes == {-1: (1, True), 1: (3, True), 0: (96, False)}
+
+
+def test_measures_over_many_blocks_of_clusters(spark, monkeypatch):
+    """More clusters than one block holds: the same numbers, and no row holds them all."""
+    rng = np.random.default_rng(5)
+    labels = rng.integers(0, 40, 300)
+    x = rng.normal(size=(300, 3)) + labels[:, None]
+    df = spark.createDataFrame([(int(c), v.tolist()) for c, v in zip(labels, x)], "cluster int, vec array<double>")
+    whole = cluster.silhouette_squared(df).first()[0], cluster.davies_bouldin(df).first()[0]
+    monkeypatch.setattr(cluster, "CENTRES", 7)
+    assert cluster.cluster_table(df).agg(F.max("block")).first()[0] == 5
+    parts = cluster.silhouette_squared(df).first()[0], cluster.davies_bouldin(df).first()[0]
+    assert parts == pytest.approx(whole)
+    apart = ((x[:, None] - x[None]) ** 2).sum(axis=2)
+    scores = []
+    for i, own in enumerate(labels):
+        means = {c: apart[i, labels == c].sum() / max((labels == c).sum() - (c == own), 1) for c in set(labels)}
+        a, b = means.pop(own), min(means.values())
+        scores.append((b - a) / max(a, b) if (labels == own).sum() > 1 else 0.0)
+    assert whole[0] == pytest.approx(np.mean(scores))
+
+
+def test_kmeans_in_passes_and_in_one_block(spark, monkeypatch):
+    """Rows over several tasks are fitted pass by pass, those of one block in one task: the same clusters."""
+    rng = np.random.default_rng(6)
+    rows = [(i, (rng.normal(size=4) + 4 * (i % 3)).tolist()) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, vec array<double>")
+    one, report = cluster.kmeans(df, 3, id="id")
+    monkeypatch.setattr(cluster, "ROWS_PER_TASK", 90)
+    many, spread = cluster.kmeans(df, 3, id="id")
+    first, second = ({r["id"]: r["cluster"] for r in d.collect()} for d in (one, many))
+    assert first == second and {first[i] for i in range(3)} == {0, 1, 2} and all(first[i] == first[i % 3] for i in first)
+    a, b = report.first(), spread.first()
+    assert a["inertia"] == pytest.approx(b["inertia"]) and a["converged"] and b["converged"]
+    x = np.array([v for _, v in rows])
+    cost = sum(((x[[i % 3 == c for i in range(400)]] - x[[i % 3 == c for i in range(400)]].mean(axis=0)) ** 2).sum() for c in range(3))
+    assert a["inertia"] == pytest.approx(cost, rel=1e-3)
+
+
+def test_kmeans_with_fewer_points_than_clusters(spark):
+    same = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(5)], "id long, vec array<double>")
+    labels, report = cluster.kmeans(same, 3, id="id")
+    assert {r["cluster"] for r in labels.collect()} == {0} and report.first()["inertia"] == 0
+    two = spark.createDataFrame([(0, [1.0]), (1, [5.0])], "id long, vec array<double>")
+    labels, report = cluster.kmeans(two, 3, id="id")
+    assert [r["cluster"] for r in labels.orderBy("id").collect()] == [0, 1] and report.first()["actual_clusters"] == 2
 
 
 def test_validate_reports(spark):

@@ -186,16 +186,22 @@ def flag_clusters(
     ).drop("_size", "_total")
 
 
+def cluster_distribution(flagged: DataFrame, by: list[str] = (), label: str = "cluster") -> DataFrame:
+    """One row per cluster (per ``by``): its rows, and whether it is anomalous."""
+    return flagged.groupBy(*by, label).agg(
+        F.count("*").alias("records"), (F.count_if("cluster_anomaly") > 0).alias("anomalous"), F.count_if("cluster_anomaly").alias("anomalies")
+    )
+
+
 def cluster_flag_report(flagged: DataFrame, by: list[str], data_type: str, label: str = "cluster") -> DataFrame:
-    """One row (per ``by``): rows, anomalies, cluster sizes, anomalous clusters."""
+    """One row (per ``by``): rows, anomalies, clusters and anomalous clusters. The clusters themselves are the
+    rows of ``cluster_distribution``, however many there are."""
     by = list(by)
-    sizes = flagged.groupBy(*by, label).agg(F.count("*").alias("_n"), F.count_if("cluster_anomaly").alias("_bad"))
-    report = sizes.groupBy(*by).agg(
-        F.sum("_n").alias("total_records"),
-        F.sum("_bad").alias("anomalies_detected"),
+    report = cluster_distribution(flagged, by, label).groupBy(*by).agg(
+        F.sum("records").alias("total_records"),
+        F.sum("anomalies").alias("anomalies_detected"),
         F.count("*").alias("total_clusters"),
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct(label, "_n")))).alias("cluster_distribution"),
-        F.array_sort(F.collect_list(F.when(F.col("_bad") > 0, F.col(label)))).alias("anomalous_clusters"),
+        F.count_if("anomalous").alias("anomalous_clusters"),
     )
     return report.select(
         *by,
@@ -205,7 +211,6 @@ def cluster_flag_report(flagged: DataFrame, by: list[str], data_type: str, label
         "anomalies_detected",
         (100 * share(F.col("anomalies_detected"), F.col("total_records"))).alias("anomaly_percentage"),
         "total_clusters",
-        "cluster_distribution",
         "anomalous_clusters",
     )
 

@@ -2,26 +2,25 @@
 
 from __future__ import annotations
 
-from multiprocessing.pool import ThreadPool
-
 import numpy as np
-from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import KMeans
+import pyarrow as pa
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitalgrid.catalog import TOO_FEW_ROWS
 from vitalgrid.functions.expressions import share
 from vitalgrid.plans.series import Series, attach
 from vitalgrid.plans.tiles import compare_tiles, squared_distances
-from vitalgrid.session import checkpointed
+from vitalgrid.session import checkpointed, stored
 
 SEED = 42
 RESTARTS = 10
-PARALLEL_FITS = 10
+TOLERANCE = 1e-4
 ROWS_PER_TASK = 10_000
+#: Centres that a row is compared with at a time.
+CENTRES = 256
 MAX_ITERATIONS = 300
 
 
@@ -54,30 +53,32 @@ def kmeans(
     """K-means on an array column, best of several starts. Returns the rows with ``cluster`` and a
     one-row report, which tells whether the best fit converged within ``max_iterations``. ``k`` shrinks
     to the number of rows. With ``id``, clusters are numbered by their smallest id, so the numbers do
-    not depend on the start."""
-    data = points.withColumn("_features", array_to_vector(F.col(vec)))
+    not depend on the start.
+
+    All starts share their passes over the rows. A pass of the seeding draws the next centre of every start
+    with a probability in proportion to the squared distance from those it has; a pass of the fit adds up,
+    per task and then over all tasks, the rows of every cluster of every start. A start has converged when
+    its centres move by less than ``TOLERANCE`` of the mean variance.
+    """
+    data = points.select(F.transform(vec, lambda x: x.cast("double")).alias("vec"), F.monotonically_increasing_id().alias("row"))
+    data = stored(data, "kmeans")
     rows = data.count()
-    fitted = data.select("_features").repartition(rows // ROWS_PER_TASK + 1).persist()
+    blocks = rows // ROWS_PER_TASK + 1
     used = min(k, rows)
+    session = points.sparkSession
     if rows < 2:
         labels = points.withColumn("cluster", F.lit(0))
         inertia, iterations, converged = 0.0, 0, True
     else:
-
-        def fit(i: int):
-            start = KMeans(k=used, seed=seed + i, maxIter=max_iterations, featuresCol="_features", predictionCol="cluster")
-            return start.fit(fitted)
-
-        with ThreadPool(min(restarts, PARALLEL_FITS)) as pool:
-            models = pool.map(inheritable_thread_target(points.sparkSession)(fit), range(restarts))
-        best = min(models, key=lambda m: m.summary.trainingCost)
-        labels = best.transform(data).drop("_features")
-        inertia, iterations = float(best.summary.trainingCost), int(best.summary.numIter)
-        converged = iterations < max_iterations
+        fitted = data.repartition(blocks).persist()
+        solve = _solve_block if blocks == 1 else _solve
+        centres, costs, steps, settled = solve(fitted, used, restarts, seed, max_iterations)
+        fitted.unpersist()
+        best = int(np.argmin(costs))
+        labels = points.withColumn("cluster", _nearest(F.col(vec), centres[best]))
+        inertia, iterations, converged = float(costs[best]), int(steps[best]), bool(settled[best])
         if id is not None:
             labels = _numbered(labels, id)
-    fitted.unpersist()
-    session = points.sparkSession
     report = session.createDataFrame(
         [(inertia, iterations, converged, k, used)],
         "inertia double, n_iterations int, converged boolean, requested_clusters int, actual_clusters int",
@@ -85,6 +86,168 @@ def kmeans(
     return labels, report
 
 
+def _matrix(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def _distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distances of rows to the centres of all starts: rows, starts, clusters. A centre of NaN is
+    none and infinitely far."""
+    starts, k, d = centres.shape
+    flat = centres.reshape(starts * k, d)
+    absent = np.isnan(flat).any(axis=1)
+    flat = np.where(absent[:, None], 0.0, flat)
+    apart = np.maximum((x * x).sum(axis=1)[:, None] - 2 * x @ flat.T + (flat * flat).sum(axis=1)[None, :], 0.0)
+    apart[:, absent] = np.inf
+    return apart.reshape(len(x), starts, k)
+
+
+def _uniform(rows: np.ndarray, start: int, draw: int, seed: int) -> np.ndarray:
+    """A number in (0, 1) that depends on the row, the start and the draw alone, so that a task that runs
+    again draws the same."""
+    mixed = np.uint64((seed * 1_000_003 + start * 8_191 + draw) & 0xFFFFFFFFFFFF) * np.uint64(0x9E3779B97F4A7C15)
+    z = rows.astype(np.uint64) * np.uint64(0xD1342543DE82EF95) + mixed
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        z = (z ^ (z >> np.uint64(shift))) * np.uint64(factor)
+    z = z ^ (z >> np.uint64(31))
+    return (z.astype(np.float64) + 0.5) / 2.0**64
+
+
+def _draws(x: np.ndarray, rows: np.ndarray, centres: np.ndarray | None, restarts: int, draw: int, seed: int) -> dict:
+    """For every start the row with the smallest -log(u) / weight, a draw in proportion to the weights: the
+    squared distances from the centres so far."""
+    best = {}
+    weights = np.ones((len(x), restarts)) if centres is None else _distances(x, centres).min(axis=2)
+    for s in range(restarts):
+        with np.errstate(divide="ignore", over="ignore"):
+            race = -np.log(_uniform(rows, s, draw, seed)) / weights[:, s]
+        i = int(np.argmin(race))
+        if np.isfinite(race[i]):
+            best[s] = (float(race[i]), x[i].tolist())
+    return best
+
+
+def _with_draw(centres: np.ndarray | None, chosen: dict, k: int, restarts: int, draw: int) -> np.ndarray:
+    """A start that has no other row left to choose has fewer centres (NaN)."""
+    if centres is None:
+        centres = np.full((restarts, k, len(chosen[0])), np.nan)
+    for s, v in chosen.items():
+        centres[s, draw] = v
+    return centres
+
+
+def _seeds(data: DataFrame, k: int, restarts: int, seed: int) -> np.ndarray:
+    """First centres of every start, one pass a centre."""
+    centres = None
+    for draw in range(k):
+
+        def candidates(batches, draw=draw, centres=centres):
+            best: dict[int, tuple[float, list]] = {}
+            for b in batches:
+                if b.num_rows:
+                    for s, found in _draws(_matrix(b.column(0)), b.column(1).to_numpy(), centres, restarts, draw, seed).items():
+                        best[s] = min(best.get(s, found), found)
+            if best:
+                races, vecs = zip(*best.values())
+                columns = [pa.array(list(best), pa.int32()), pa.array(races), pa.array(vecs, pa.list_(pa.float64()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["start", "race", "vec"])
+
+        found = data.mapInArrow(candidates, "start int, race double, vec array<double>")
+        chosen = {r["start"]: r["vec"] for r in found.groupBy("start").agg(F.min_by("vec", "race").alias("vec")).collect()}
+        centres = _with_draw(centres, chosen, k, restarts, draw)
+    return centres
+
+
+def _sums(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """For every centre of every start: sum, number and squared distances of the rows nearest to it."""
+    starts, k, d = centres.shape
+    apart = _distances(x, centres)
+    nearest = apart.argmin(axis=2) + np.arange(starts)[None, :] * k
+    member = np.zeros((len(x), starts * k))
+    member[np.arange(len(x))[:, None], nearest] = 1.0
+    cost = (member * np.where(np.isfinite(apart), apart, 0.0).reshape(len(x), -1)).sum(axis=0)
+    return np.column_stack([member.T @ x, member.sum(axis=0), cost]).reshape(starts, k, d + 2)
+
+
+def _pass(data: DataFrame, centres: np.ndarray) -> np.ndarray:
+    """The sums over all rows: one aggregate whose size depends on the centres alone."""
+    starts, k, d = centres.shape
+
+    def add(batches):
+        total = None
+        for b in batches:
+            if b.num_rows:
+                part = _sums(_matrix(b.column(0)), centres).ravel()
+                total = part if total is None else total + part
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size)), pa.array(total)], names=["i", "x"])
+
+    total = np.zeros(starts * k * (d + 2))
+    for r in data.mapInArrow(add, "i long, x double").groupBy("i").agg(F.sum("x").alias("x")).collect():
+        total[r["i"]] = r["x"]
+    return total.reshape(starts, k, d + 2)
+
+
+def _fit(sums, centres: np.ndarray, variance: float, max_iterations: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Centres, cost, iterations and whether it converged, for every start; ``sums`` makes a pass with some
+    centres. Only starts that have not converged take part in a pass; a last one gives all costs."""
+    steps, settled = np.zeros(len(centres), int), np.zeros(len(centres), bool)
+    for _ in range(max_iterations):
+        going = np.flatnonzero(~settled)
+        if not len(going):
+            break
+        own = centres[going]
+        total = sums(own)
+        counts = total[:, :, -2]
+        means = np.where(counts[:, :, None] > 0, total[:, :, :-2] / np.maximum(counts, 1)[:, :, None], own)
+        moved = np.nansum((means - own) ** 2, axis=(1, 2))
+        centres = centres.copy()
+        centres[going] = means
+        steps[going] += 1
+        settled[going] = moved <= TOLERANCE * variance
+    return centres, sums(centres)[:, :, -1].sum(axis=1), steps, settled
+
+
+def _solve(data: DataFrame, k: int, restarts: int, seed: int, max_iterations: int):
+    """Centres, costs, iterations and convergence of all starts."""
+    spread = data.select(F.posexplode("vec").alias("d", "x")).groupBy("d").agg(F.var_pop("x").alias("v"))
+    variance = spread.agg(F.avg("v")).first()[0] or 0.0
+    return _fit(lambda centres: _pass(data, centres), _seeds(data, k, restarts, seed), variance, max_iterations)
+
+
+def _solve_block(data: DataFrame, k: int, restarts: int, seed: int, max_iterations: int):
+    """The same for rows of one block of bounded size: its task makes all passes by itself."""
+
+    def run(batches):
+        parts = [(_matrix(b.column(0)), b.column(1).to_numpy()) for b in batches if b.num_rows]
+        if not parts:
+            return
+        x, rows = (np.concatenate(p) for p in zip(*parts))
+        centres = None
+        for draw in range(k):
+            chosen = {s: v for s, (_, v) in _draws(x, rows, centres, restarts, draw, seed).items()}
+            centres = _with_draw(centres, chosen, k, restarts, draw)
+        found = _fit(lambda some: _sums(x, some), centres, float(x.var(axis=0).mean()), max_iterations)
+        columns = [[v.ravel().tolist()] for v in found]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["centres", "costs", "steps", "settled"])
+
+    schema = "centres array<double>, costs array<double>, steps array<long>, settled array<boolean>"
+    r = data.mapInArrow(run, schema).first()
+    return np.array(r["centres"]).reshape(restarts, k, -1), np.array(r["costs"]), np.array(r["steps"]), np.array(r["settled"])
+
+
+def _nearest(vec: Column, centres: np.ndarray) -> Column:
+    """Number of the nearest centre."""
+
+    def apart(c: np.ndarray) -> Column:
+        squares = F.zip_with(vec, F.array(*[F.lit(float(v)) for v in c]), lambda x, y: (x.cast("double") - y) * (x.cast("double") - y))
+        return F.aggregate(squares, F.lit(0.0), lambda a, x: a + x)
+
+    known = [c for c in centres if not np.isnan(c).any()]
+    distances = F.array(*[apart(c) for c in known])
+    return (F.array_position(distances, F.array_min(distances)) - 1).cast("int")
+
+
 def _numbered(labels: DataFrame, id: str) -> DataFrame:
     """Clusters numbered from 0 by their smallest id (there are ``k`` of them at most)."""
     first = labels.groupBy("cluster").agg(F.min(id).alias("_first"))
@@ -262,37 +425,12 @@ def silhouette(points: DataFrame, id: str = "id", vec: str = "vec", label: str =
     return result.select(F.when(valid, F.col("_s")).alias("silhouette_score"))
 
 
-def silhouette_squared(points: DataFrame, vec: str = "vec", label: str = "cluster") -> DataFrame:
-    """Mean silhouette with squared Euclidean distances, linear in the rows: the mean squared distance
-    of x to a cluster is |x|^2 - 2 x.m + (mean of |y|^2), with m the cluster's mean. Null unless
-    2 <= labels < rows."""
-    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    data = points.select(F.col(label).cast("long").alias("label"), F.transform(vec, lambda x: x.cast("double")).alias("vec"))
-    centre = centroids(data, "vec", "label")
-    sizes = data.groupBy("label").agg(F.count("*").alias("n"), F.avg(dot("vec", "vec")).alias("square"))
-    clusters = attach(centre, sizes, ["label"]).withColumnRenamed("label", "other")
-    # one row a cluster: as a nested table it goes to every row
-    table = clusters.agg(
-        F.collect_list(F.struct("other", F.col("_centre").alias("centre"), "n", "square")).alias("_clusters"),
-        F.sum("n").alias("_rows"),
-    )
-    rows = attach(data, table, [])
-    own = F.col("vec")
-    apart = F.transform(
-        "_clusters",
-        lambda c: F.struct(
-            (c["other"] == F.col("label")).alias("mine"),
-            c["n"].alias("n"),
-            F.greatest(dot(own, own) - 2 * dot(own, c["centre"]) + c["square"], F.lit(0.0)).alias("d"),
-        ),
-    )
-    rows = rows.withColumn("_apart", apart)
-    mine = F.filter("_apart", lambda c: c["mine"])[0]
-    a = F.try_divide(mine["d"] * mine["n"], mine["n"] - 1)
-    b = F.array_min(F.transform(F.filter("_apart", lambda c: ~c["mine"]), lambda c: c["d"]))
-    s = F.when(mine["n"] == 1, F.lit(0.0)).otherwise(F.coalesce(F.try_divide(b - a, F.greatest(a, b)), F.lit(0.0)))
-    k = F.max(F.size("_clusters"))
-    return rows.agg(F.when((k >= 2) & (k < F.count("*")), F.avg(s)).alias("silhouette_score"))
+def _dot(a, b) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+
+
+def _apart(a, b) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
 
 
 def centroids(points: DataFrame, vec: str = "vec", label: str = "cluster") -> DataFrame:
@@ -303,31 +441,76 @@ def centroids(points: DataFrame, vec: str = "vec", label: str = "cluster") -> Da
     return means.groupBy(label).agg(F.transform(ordered, lambda p: p["_x"]).alias("_centre"))
 
 
-def davies_bouldin(points: DataFrame, vec: str = "vec", label: str = "cluster") -> DataFrame:
-    """Mean over clusters of the worst (spread_i + spread_j) / distance_ij. Null unless
-    2 <= labels < rows."""
-    centres = centroids(points, vec, label)
-    apart = F.sqrt(
-        F.aggregate(
-            F.zip_with(vec, "_centre", lambda x, c: (x.cast("double") - c) * (x.cast("double") - c)), F.lit(0.0), lambda a, x: a + x
-        )
+def cluster_table(points: DataFrame, vec: str = "vec", label: str = "cluster") -> DataFrame:
+    """One row per cluster: label, centre, n, square (mean squared length of its vectors), spread (mean
+    distance from the centre), and the block of ``CENTRES`` clusters that it belongs to."""
+    data = points.select(F.col(label).cast("long").alias("label"), F.transform(vec, lambda x: x.cast("double")).alias("vec"))
+    facts = attach(data, centroids(data, "vec", "label"), ["label"]).groupBy("label").agg(
+        F.first("_centre").alias("centre"),
+        F.count("*").alias("n"),
+        F.avg(_dot("vec", "vec")).alias("square"),
+        F.avg(F.sqrt(_apart("vec", "_centre"))).alias("spread"),
     )
-    spread = attach(points.select(label, vec), centres, [label]).groupBy(label).agg(F.avg(apart).alias("spread"))
-    table = attach(centres, spread, [label]).select(
-        F.col(label).cast("long").alias("id"), F.col("_centre").alias("vec"), "spread"
+    numbered = Series.of(facts, [], ["label"]).position("_no").done()
+    return checkpointed(numbered.withColumn("block", F.floor(F.col("_no") / CENTRES).cast("int")).drop("_no"))
+
+
+def _beside_blocks(rows: DataFrame, table: DataFrame) -> tuple[DataFrame, int]:
+    """Every row beside every block of clusters, a bounded number of them at a time as ``others``; and the
+    number of blocks."""
+    blocks = (table.agg(F.max("block")).first()[0] or 0) + 1
+    packed = table.groupBy("block").agg(F.collect_list(F.struct("label", "centre", "n", "square", "spread")).alias("others"))
+    return rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(packed, "block"), blocks
+
+
+def _several(table: DataFrame) -> DataFrame:
+    """Whether 2 <= labels < rows."""
+    return table.agg(((F.count("*") >= 2) & (F.count("*") < F.sum("n"))).alias("_valid"))
+
+
+def silhouette_squared(points: DataFrame, vec: str = "vec", label: str = "cluster", table: DataFrame | None = None) -> DataFrame:
+    """Mean silhouette with squared Euclidean distances: the mean squared distance of x to a cluster is
+    |x|^2 - 2 x.m + (mean of |y|^2), with m the cluster's mean. A row meets its own cluster in a join and all
+    clusters block by block, of which only the least distance is kept. Null unless 2 <= labels < rows.
+    ``table`` is the clusters' ``cluster_table``."""
+    table = cluster_table(points, vec, label) if table is None else table
+    data = points.select(
+        F.col(label).cast("long").alias("label"),
+        F.transform(vec, lambda x: x.cast("double")).alias("vec"),
+        F.monotonically_increasing_id().alias("row"),
     )
+    own = table.select("label", F.col("centre").alias("_centre"), F.col("n").alias("_n"), F.col("square").alias("_square"))
+    rows = attach(data, own, ["label"]).withColumn("_length", _dot("vec", "vec"))
+
+    def mean_apart(centre, square) -> Column:
+        return F.greatest(F.col("_length") - 2 * _dot(F.col("vec"), centre) + square, F.lit(0.0))
+
+    a = F.try_divide(mean_apart(F.col("_centre"), F.col("_square")) * F.col("_n"), F.col("_n") - 1)
+    beside, blocks = _beside_blocks(rows.withColumn("_a", a).drop("_centre", "_square"), table)
+    near = F.array_min(F.transform(F.filter("others", lambda c: c["label"] != F.col("label")), lambda c: mean_apart(c["centre"], c["square"])))
+    per_row = beside.select("row", "_n", "_a", near.alias("_b"))
+    if blocks > 1:
+        per_row = per_row.groupBy("row").agg(F.first("_n").alias("_n"), F.first("_a").alias("_a"), F.min("_b").alias("_b"))
+    a, b = F.col("_a"), F.col("_b")
+    s = F.when(F.col("_n") == 1, F.lit(0.0)).otherwise(F.coalesce(F.try_divide(b - a, F.greatest(a, b)), F.lit(0.0)))
+    return attach(per_row.agg(F.avg(s).alias("_s")), _several(table), []).select(F.when(F.col("_valid"), F.col("_s")).alias("silhouette_score"))
 
-    def worst(a, b, same):
-        apart = np.sqrt(squared_distances(a.vec, b.vec))
-        with np.errstate(divide="ignore", invalid="ignore"):
-            ratio = np.where(apart > 0, (a.spread[:, None] + b.spread[None, :]) / apart, 0.0)
-        ratio[a.id[:, None] == b.id[None, :]] = 0.0
-        return {"id": a.id, "worst": ratio.max(axis=1)}
-
-    found = compare_tiles(table, worst, "id long, worst double", ["spread"]).groupBy("id").agg(F.max("worst").alias("_w"))
-    sizes = points.groupBy(label).agg(F.count("*").alias("_n"))
-    valid = sizes.agg(((F.count("*") >= 2) & (F.count("*") < F.sum("_n"))).alias("_valid"))
-    return attach(found.agg(F.avg("_w").alias("_score")), valid, []).select(
+
+def davies_bouldin(points: DataFrame, vec: str = "vec", label: str = "cluster", table: DataFrame | None = None) -> DataFrame:
+    """Mean over clusters of the worst (spread_i + spread_j) / distance_ij; clusters with one centre have no
+    ratio. Null unless 2 <= labels < rows."""
+    table = cluster_table(points, vec, label) if table is None else table
+    beside, blocks = _beside_blocks(table.select(F.col("label").alias("own"), F.col("centre").alias("_centre"), F.col("spread").alias("_spread")), table)
+
+    def ratio(c) -> Column:
+        distance = F.sqrt(_apart(F.col("_centre"), c["centre"]))
+        return F.when(distance > 0, (F.col("_spread") + c["spread"]) / distance).otherwise(F.lit(0.0))
+
+    others = F.filter("others", lambda c: c["label"] != F.col("own"))
+    worst = beside.select("own", F.coalesce(F.array_max(F.transform(others, ratio)), F.lit(0.0)).alias("_w"))
+    if blocks > 1:
+        worst = worst.groupBy("own").agg(F.max("_w").alias("_w"))
+    return attach(worst.agg(F.avg("_w").alias("_score")), _several(table), []).select(
         F.when(F.col("_valid"), F.col("_score")).alias("davies_bouldin_score")
     )
 
@@ -399,7 +582,8 @@ def cluster_features(
         {"data_type": F.lit(data_type), "method": F.lit(method), "n_features": F.lit(len(columns))}
     )
     report = attach(report, model.drop("n_labels"), [])
-    report = attach(report, silhouette(labels, id) if exact_silhouette else silhouette_squared(labels), [])
-    report = attach(report, davies_bouldin(labels), [])
+    table = cluster_table(labels)
+    report = attach(report, silhouette(labels, id) if exact_silhouette else silhouette_squared(labels, table=table), [])
+    report = attach(report, davies_bouldin(labels, table=table), [])
     report = report.withColumns({"success": F.lit(True), "error": F.lit(None).cast("string")})
     return attach(matrix, labels.select(id, "cluster"), [id]), report

@@ -9,8 +9,9 @@ type. Every series of every file has a status row that tells how far it came and
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -198,14 +199,22 @@ def _alignment(rows, unique, aligned, group, target, sliced) -> DataFrame:
 @dataclass
 class Models:
     """``matrix``: features of every window of every series, by data type; ``forecast`` and ``residuals`` of every
-    series; ``clusters``: windows with their cluster, per data type. Reports: ``extraction`` and ``modeling`` (per
+    series; ``clusters``: windows with their cluster, per data type, fitted when first asked for. Reports: ``extraction`` and ``modeling`` (per
     series), ``clustering`` (per data type)."""
 
     matrix: DataFrame
     forecast: DataFrame
     residuals: DataFrame
-    clusters: DataFrame
     reports: Reports
+    cluster_with: Callable[[], tuple[DataFrame, DataFrame]]
+
+    @cached_property
+    def clustering(self) -> tuple[DataFrame, DataFrame]:
+        return self.cluster_with()
+
+    @property
+    def clusters(self) -> DataFrame:
+        return self.clustering[0]
 
 
 def main_values(aligned: DataFrame, keys: list[str]) -> DataFrame:
@@ -237,27 +246,21 @@ def model(
     predicted = predict(fitted, forecast.future_grid(train, group, periods), group)
     residuals = forecast.with_residuals(predict(fitted, train, group))
 
-    labelled, clustering = _clusters(matrix, keys, method, k)
-    return Models(
-        matrix,
-        predicted,
-        residuals,
-        labelled,
-        Reports(
-            {
-                "extraction": lambda: _extraction(aligned, matrix, group),
-                "modeling": lambda: _modeling(aligned, residuals, group, forecaster, periods),
-                "clustering": lambda: clustering,
-            }
-        ),
-    )
+    reports = {
+        "extraction": lambda: _extraction(aligned, matrix, group),
+        "modeling": lambda: _modeling(aligned, residuals, group, forecaster, periods),
+    }
+    models = Models(matrix, predicted, residuals, Reports(reports), lambda: _clusters(matrix, keys, method, k))
+    models.reports = models.reports.and_also({"clustering": lambda: models.clustering[1]})
+    return models
 
 
 def _clusters(matrix: DataFrame, keys: list[str], method: str, k: int) -> tuple[DataFrame, DataFrame]:
     rows, reports = [], []
     for data_type in [r[0] for r in matrix.select("data_type").distinct().orderBy("data_type").collect()]:  # those of the catalog
         own = matrix.filter(F.col("data_type") == data_type)
-        names = [c for c in features.feature_columns(own) if c not in features.constant_columns(own)]
+        constant = features.constant_columns(own)
+        names = [c for c in features.feature_columns(own) if c not in constant]
         numbered = Series.of(own, [], [*keys, "window_id"], False).position("window_no").done()
         labels, report = cluster.cluster_features(numbered, "window_no", names, data_type, method, k)
         rows.append(labels.select("data_type", *keys, "window_id", F.col("cluster").cast("int").alias("cluster")))
@@ -309,7 +312,8 @@ def _modeling(aligned: DataFrame, residuals: DataFrame, group: list[str], foreca
 
 def detect(aligned: DataFrame, keys: list[str], models: Models | None = None, threshold_std: float = 3.0) -> Stage:
     """Threshold, residual and cluster flags for the rows of each type's own metric; rows of an unknown type
-    stay, without flags. Reports: ``anomalies`` (per series and method), ``windows`` (flagged windows)."""
+    stay, without flags. Reports: ``anomalies`` (per series and method), and with models ``windows`` (flagged
+    windows) and ``clusters`` (anomalous windows per series)."""
     group = ["data_type", *keys]
     rows = with_rules(aligned, "is_main", "min_threshold", "max_threshold", "sustained")
     rows = rows.filter(F.col("is_main") | ~F.col("data_type").isin(*METRIC_COLUMN)).drop("is_main")
@@ -318,17 +322,16 @@ def detect(aligned: DataFrame, keys: list[str], models: Models | None = None, th
     if models is not None:
         flagged = anomaly.flag_residuals(flagged, models.forecast, group, TS, "value", threshold_std)
         reports["residual"] = "residual_anomaly"
-    windows = anomaly.flag_clusters(models.clusters, by=["data_type"]) if models is not None else None
+
+    def windows() -> DataFrame:
+        return anomaly.flag_clusters(models.clusters, by=["data_type"])
 
     def anomalies() -> DataFrame:
-        parts = [_counted(flagged, group, method, flag) for method, flag in reports.items()]
-        if windows is not None:
-            parts.append(_counted(windows, group, "cluster", "cluster_anomaly"))
-        return reduce(DataFrame.unionByName, parts)
+        return reduce(DataFrame.unionByName, [_counted(flagged, group, method, flag) for method, flag in reports.items()])
 
     built = {"anomalies": anomalies}
-    if windows is not None:
-        built["windows"] = lambda: windows
+    if models is not None:
+        built |= {"windows": windows, "clusters": lambda: _counted(windows(), group, "cluster", "cluster_anomaly")}
     return Stage(flagged, Reports(built))
 
 

@@ -264,6 +264,7 @@ def detect(
         windows = anomaly.flag_clusters(clusters)
         reports["windows"] = lambda: windows
         reports["cluster"] = lambda: anomaly.cluster_flag_report(windows, [], data_type)
+        reports["cluster_distribution"] = lambda: anomaly.cluster_distribution(windows)
     return Stage(flagged, Reports(reports))
 
 

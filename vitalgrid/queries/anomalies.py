@@ -150,9 +150,21 @@ def _(t):
     """,
 )
 def _(t):
-    report = anomaly.cluster_flag_report(anomaly.flag_clusters(labelled(t)), [], "heart_rate")
-    texts = F.array_join(F.transform("anomalous_clusters", lambda c: c.cast("string")), ",")
-    return report.withColumn("anomalous_clusters", texts).drop("cluster_distribution")
+    flagged = anomaly.flag_clusters(labelled(t))
+    found = anomaly.cluster_distribution(flagged).filter("anomalous").agg(F.array_sort(F.collect_list("cluster")).alias("c"))
+    texts = found.select(F.array_join(F.transform("c", lambda c: c.cast("string")), ",")).scalar()
+    return anomaly.cluster_flag_report(flagged, [], "heart_rate").withColumn("anomalous_clusters", texts)
+
+
+@query(
+    "n6_cluster_distribution",
+    f"""
+    {CLUSTERED}
+    SELECT cluster, count(*) AS records, bool_or(cluster_anomaly) AS anomalous, count(*) FILTER (cluster_anomaly) AS anomalies FROM f GROUP BY cluster
+    """,
+)
+def _(t):
+    return anomaly.cluster_distribution(anomaly.flag_clusters(labelled(t)))
 
 
 @query(

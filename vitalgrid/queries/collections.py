@@ -232,8 +232,7 @@ def _(t):
     """,
 )
 def _(t):
-    report = analysed(t).third.reports["anomalies"]
-    return report.filter(F.col("method") != "Cluster-Based")
+    return analysed(t).third.reports["anomalies"]
 
 
 @query(
