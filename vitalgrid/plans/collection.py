@@ -54,11 +54,10 @@ def rules(spark: SparkSession) -> DataFrame:
                 (data_type, metric, is_main, *_floats(low, high), label, metric not in ("heart_rate", "step_count"),
                  metric in ("step_count", "duration_minutes"), *_floats(least, most), lasting)
             )
-    schema = (
-        "data_type string, metric string, is_main boolean, low double, high double, label string, by_median boolean, "
-        "is_total boolean, min_threshold double, max_threshold double, sustained int"
-    )
-    return spark.createDataFrame(rows, schema)
+    show = lambda v: "NULL" if v is None else f"'{v}'" if isinstance(v, str) else f"{v}D" if isinstance(v, float) else str(v)
+    values = ", ".join(f"({', '.join(map(show, r))})" for r in rows)
+    names = "data_type, metric, is_main, low, high, label, by_median, is_total, min_threshold, max_threshold, sustained"
+    return spark.sql(f"SELECT * FROM VALUES {values} AS rules({names})")
 
 
 def _floats(*limits) -> list[float | None]:
@@ -196,25 +195,21 @@ def _alignment(rows, unique, aligned, group, target, sliced) -> DataFrame:
 # stage 2 ---------------------------------------------------------------------------------------------
 
 
-@dataclass
 class Models:
     """``matrix``: features of every window of every series, by data type; ``forecast`` and ``residuals`` of every
-    series; ``clusters``: windows with their cluster, per data type, fitted when first asked for. Reports: ``extraction`` and ``modeling`` (per
-    series), ``clustering`` (per data type)."""
+    series; ``clusters``: windows with their cluster, per data type. Each is computed when first asked for.
+    Reports: ``extraction`` and ``modeling`` (per series), ``clustering`` (per data type)."""
 
-    matrix: DataFrame
-    forecast: DataFrame
-    residuals: DataFrame
-    reports: Reports
-    cluster_with: Callable[[], tuple[DataFrame, DataFrame]]
-
-    @cached_property
-    def clustering(self) -> tuple[DataFrame, DataFrame]:
-        return self.cluster_with()
+    def __init__(self, build: dict[str, Callable[["Models"], object]], reports: dict[str, Callable[["Models"], DataFrame]]):
+        self._build, self._done = build, {}
+        self.reports = Reports({name: (lambda make=make: make(self)) for name, make in reports.items()})
 
-    @property
-    def clusters(self) -> DataFrame:
-        return self.clustering[0]
+    def __getattr__(self, name: str):
+        if name.startswith("_") or name not in self._build:
+            raise AttributeError(name)
+        if name not in self._done:
+            self._done[name] = self._build[name](self)
+        return self._done[name]
 
 
 def main_values(aligned: DataFrame, keys: list[str]) -> DataFrame:
@@ -231,28 +226,33 @@ def model(
     that metric, of an unknown type, or with too few readings get a report row that says so."""
     group = ["data_type", *keys]
     main = main_values(aligned, keys)
-    sliced = has_large_series(main, group)
     daily = F.col("data_type").isin(*DAILY)
-
-    windows = features.to_windows(main.filter(~daily), group, "value", [TS], requested, sliced).unionByName(
-        features.sleep_windows(main.filter(daily), group, TS, "value", sliced)
-    )
-    raw = stored(features.window_features(windows, group, "efficient"), "features")
-    matrix = stored(features.impute(raw, ["data_type"]), "matrix")
-
     fit, predict = forecast.MODELS[forecaster]
-    train = forecast.training_frame(main, group, TS, "value", sliced)
-    fitted = stored(fit(train, group, sliced), "models")
-    predicted = predict(fitted, forecast.future_grid(train, group, periods), group)
-    residuals = forecast.with_residuals(predict(fitted, train, group))
 
-    reports = {
-        "extraction": lambda: _extraction(aligned, matrix, group),
-        "modeling": lambda: _modeling(aligned, residuals, group, forecaster, periods),
-    }
-    models = Models(matrix, predicted, residuals, Reports(reports), lambda: _clusters(matrix, keys, method, k))
-    models.reports = models.reports.and_also({"clustering": lambda: models.clustering[1]})
-    return models
+    def matrix(models: Models) -> DataFrame:
+        windows = features.to_windows(main.filter(~daily), group, "value", [TS], requested, models.sliced).unionByName(
+            features.sleep_windows(main.filter(daily), group, TS, "value", models.sliced)
+        )
+        raw = stored(features.window_features(windows, group, "efficient"), "features")
+        return stored(features.impute(raw, ["data_type"]), "matrix")
+
+    return Models(
+        {
+            "sliced": lambda m: has_large_series(main, group),
+            "matrix": matrix,
+            "train": lambda m: forecast.training_frame(main, group, TS, "value", m.sliced),
+            "fitted": lambda m: stored(fit(m.train, group, m.sliced), "models"),
+            "forecast": lambda m: predict(m.fitted, forecast.future_grid(m.train, group, periods), group),
+            "residuals": lambda m: forecast.with_residuals(predict(m.fitted, m.train, group)),
+            "clustering": lambda m: _clusters(m.matrix, keys, method, k),
+            "clusters": lambda m: m.clustering[0],
+        },
+        {
+            "extraction": lambda m: _extraction(aligned, m.matrix, group),
+            "modeling": lambda m: _modeling(aligned, m.residuals, group, forecaster, periods),
+            "clustering": lambda m: m.clustering[1],
+        },
+    )
 
 
 def _clusters(matrix: DataFrame, keys: list[str], method: str, k: int) -> tuple[DataFrame, DataFrame]:
@@ -350,24 +350,35 @@ def _counted(df: DataFrame, group: list[str], method: str, flag: str) -> DataFra
 class Run:
     """``files``: a row per file; ``status``: a row per file, data type and series."""
 
-    files: DataFrame
+    loaded: Loaded
+    keys: list[str]
     first: Stage
     second: Models
-    third: Stage
-    status: DataFrame
+    threshold_std: float
+
+    @property
+    def files(self) -> DataFrame:
+        return self.loaded.status
+
+    @cached_property
+    def third(self) -> Stage:
+        return detect(self.first.data, self.keys, self.second, self.threshold_std)
+
+    @cached_property
+    def status(self) -> DataFrame:
+        return _progress(self.loaded, self.first, self.second, self.keys)
 
 
 def analyse(
     loaded: Loaded, keys: list[str], target: str = "1 min", fill: str = "interpolate", as_of=None, requested: int = 60,
     periods: int = 100, forecaster: str = "seasonal_trend", method: str = "kmeans", k: int = 3, threshold_std: float = 3.0,
 ) -> Run:
-    """All stages over a loaded folder. The aligned table is written once; what follows reads it."""
+    """All stages over a loaded folder. The aligned table is written once; what follows reads it, and is
+    computed when it is asked for."""
     rows = readings(loaded, keys)
     first = preprocess(rows, keys, target, fill, as_of)
     first = Stage(stored(first.data, "aligned"), first.reports)
-    second = model(first.data, keys, requested, periods, forecaster, method, k)
-    third = detect(first.data, keys, second, threshold_std)
-    return Run(loaded.status, first, second, third, _progress(loaded, first, second, keys))
+    return Run(loaded, keys, first, model(first.data, keys, requested, periods, forecaster, method, k), threshold_std)
 
 
 def _progress(loaded: Loaded, first: Stage, second: Models, keys: list[str]) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitalgrid.catalog import COLUMN_NAMES, JSON_WRAPPERS, NUMBERS, SCHEMAS, TEXTS
-from vitalgrid.operators.columns import literal_map, parse_timestamp, standard_name
+from vitalgrid.operators.columns import literal_map, standard_name
 from vitalgrid.plans.series import attach
 from vitalgrid.session import stored
 from vitalgrid.sources.readers import type_of_name
@@ -54,7 +54,8 @@ def load(spark: SparkSession, folder: str, keys: list[str]) -> Loaded:
         if paths:
             parts.append(scan(spark, paths, keys))
     if not parts:
-        parts = [_shaped(spark.range(0).select(*_no_place(), F.lit("").alias("raw")), keys, F.array(), F.array(), None)]
+        nothing = "array() as _names, array() as _values, '' as source, 0L as block, 0L as line, '' as raw"
+        parts = [_shaped(spark.sql(f"SELECT {nothing} WHERE false").withColumns({c: F.col(c).cast("array<string>") for c in ("_names", "_values")}), keys)]
     records = stored(reduce(DataFrame.unionByName, parts), "collection")
     status = stored(_status(files, records), "collection-status")
     good = status.filter("success").select("source", "data_type", F.col("_bits").alias("present"))
@@ -133,55 +134,41 @@ def _required_bit(name: str) -> int:
 # records ---------------------------------------------------------------------------------------------
 
 
-def _snake(name: Column) -> Column:
-    return F.replace(F.replace(F.lower(F.trim(name)), F.lit(" "), F.lit("_")), F.lit("-"), F.lit("_"))
+_SNAKE = "replace(replace(lower(trim(n)), ' ', '_'), '-', '_')"
+_KNOWN = "map(" + ", ".join(f"'{a}', '{b}'" for a, b in COLUMN_NAMES.items()) + ")"
 
 
-def _standard(names: Column) -> Column:
-    known = literal_map(COLUMN_NAMES)
-    return F.transform(names, lambda n: F.coalesce(known[_snake(n)], _snake(n)))
+def _named(rows: DataFrame, names: str) -> DataFrame:
+    """Add ``_plain`` and ``_standard``: the array of names in lower case and as standard names."""
+    rows = rows.withColumn("_plain", F.expr(f"transform({names}, n -> {_SNAKE})"))
+    return rows.withColumn("_standard", F.expr(f"transform(_plain, n -> coalesce({_KNOWN}[n], n))"))
 
 
-def _covers(names: Column) -> Column:
+def _covers() -> Column:
     """Bits of the catalog's columns that these names stand for, and of the required columns that match
     any of them, even as a part of a name."""
-    plain = F.transform(names, _snake)
-    bits = F.lit(0).cast("long")
-    for c in NUMBERS:
-        bits = bits + F.when(F.array_contains(_standard(names), c), F.lit(column_bit(c))).otherwise(F.lit(0))
-    for r in REQUIRED:
-        bits = bits + F.when(F.exists(plain, _either_in(r)), F.lit(_required_bit(r))).otherwise(F.lit(0))
-    return bits
-
-
-def _either_in(name: str):
-    return lambda n: F.coalesce(n.contains(name) | F.lit(name).contains(n), F.lit(False))
-
-
-def _no_place() -> list[Column]:
-    return [F.lit("").alias("source"), F.lit(0).cast("long").alias("block"), F.lit(0).cast("long").alias("line")]
-
-
-def _shaped(rows: DataFrame, keys: list[str], names: Column, values: Column, bits: Column | None) -> DataFrame:
-    """The common columns of rows that hold ``raw`` text, names and text values (null names: the record
-    cannot be read)."""
-    rows = rows.withColumns({"_names": names.cast("array<string>"), "_values": values.cast("array<string>")})
-    rows = rows.withColumns({"_standard": _standard(F.col("_names")), "bits": bits if bits is not None else _covers(F.col("_names"))})
-    cell = {c: F.get("_values", (F.array_position("_standard", c) - 1).cast("int")) for c in ("timestamp", *keys, *TEXTS, *NUMBERS)}
-    numbers = {c: cell[c].try_cast("double") for c in NUMBERS}
-    unparsed = F.lit(0)
-    for c, number in [("timestamp", parse_timestamp(cell["timestamp"])), *numbers.items()]:
-        unparsed = unparsed + F.when((F.trim(cell[c]) != "") & number.isNull(), 1).otherwise(0)
-    return rows.select(
+    bits = [f"if(array_contains(_standard, '{c}'), {column_bit(c)}L, 0L)" for c in NUMBERS]
+    bits += [f"if(exists(_plain, n -> contains(n, '{r}') or contains('{r}', n)), {_required_bit(r)}L, 0L)" for r in REQUIRED]
+    return F.expr(" + ".join(bits))
+
+
+def _shaped(rows: DataFrame, keys: list[str], covered: bool = False) -> DataFrame:
+    """The common columns of rows that hold ``raw`` text and the arrays ``_names`` and ``_values`` (null names: the
+    record cannot be read). ``covered`` rows have their bits and standard names already."""
+    if not covered:
+        rows = _named(rows, "_names")
+        rows = rows.withColumn("bits", _covers())
+    cell = {c: f"get(_values, array_position(_standard, '{c}') - 1)" for c in ("timestamp", *keys, *TEXTS, *NUMBERS)}
+    typed = {"timestamp": f"try_cast({cell['timestamp']} as timestamp)", **{c: f"try_cast({cell[c]} as double)" for c in NUMBERS}}
+    unparsed = [f"if(trim({cell[c]}) <> '' and {value} is null, 1, 0)" for c, value in typed.items()]
+    return rows.selectExpr(
         "source",
         "block",
         "line",
-        parse_timestamp(cell["timestamp"]).cast("timestamp").alias("timestamp"),
-        *[cell[c].alias(c) for c in (*keys, *TEXTS)],
-        *[n.alias(c) for c, n in numbers.items()],
-        F.coalesce("bits", F.lit(0)).cast("long").alias("bits"),
-        F.when(F.col("_names").isNull(), F.col("raw")).alias("rescued"),
-        unparsed.alias("unparsed"),
+        *[f"{typed.get(c, text)} as `{c}`" for c, text in cell.items()],
+        "coalesce(bits, 0L) as bits",
+        "if(_names is null, raw, null) as rescued",
+        f"{' + '.join(unparsed)} as unparsed",
     )
 
 
@@ -208,15 +195,15 @@ def _csv(spark: SparkSession, paths: list[str], keys: list[str]) -> DataFrame:
         parsed = F.from_csv(text, ", ".join(f"{f} string" for f in fields), options)
         return F.array(*[parsed[f] for f in fields])
 
-    names = cells(F.regexp_replace("head", "^﻿", ""))
-    heads = heads.select("path", "head", names.alias("names"), _covers(names).alias("head_bits"))
+    heads = heads.withColumn("_names", F.filter(cells(F.regexp_replace("head", "^﻿", "")), lambda n: n.isNotNull()))
+    heads = _named(heads, "_names").withColumn("bits", _covers()).drop("_plain")
     rows = attach(lines, heads, ["path"]).filter(F.col("raw") != F.col("head"))
-    return _shaped(rows, keys, F.col("names"), cells(F.col("raw")), F.col("head_bits"))
+    return _shaped(rows.withColumn("_values", cells(F.col("raw"))), keys, covered=True)
 
 
 def _entries(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Records as maps of text in ``fields``."""
-    return _shaped(rows, keys, F.map_keys("fields"), F.map_values("fields"), None)
+    return _shaped(rows.withColumns({"_names": F.map_keys("fields"), "_values": F.map_values("fields")}), keys)
 
 
 def _lines(spark: SparkSession, paths: list[str], keys: list[str]) -> DataFrame:
@@ -248,18 +235,15 @@ def _parquet(spark: SparkSession, paths: list[str], keys: list[str]) -> DataFram
     for field in rows.schema.fields:
         by_name.setdefault(standard_name(field.name), []).append(field)
 
-    def cell(name: str) -> Column:
-        return F.coalesce(F.lit(None).cast("string"), *[F.col(f"`{f.name}`").cast("string") for f in by_name.get(name, [])])
+    def cell(name: str) -> str:
+        return "coalesce(" + ", ".join(["cast(null as string)", *[f"cast(`{f.name}` as string)" for f in by_name.get(name, [])]]) + ")"
 
     wanted = ["timestamp", *keys, *TEXTS, *NUMBERS]
-    raw = [f for name in wanted for f in by_name.get(name, [])]
-    have = F.array_compact(F.array(*[F.when(F.col(f"`{f.name}`").isNotNull(), F.lit(f.name)) for f in raw])) if raw else F.array()
-    rows = rows.select(
-        _source(F.col("_metadata.file_path")).alias("source"),
-        F.lit(0).cast("long").alias("block"),
-        F.col("_metadata.row_index").alias("line"),
-        F.lit("").alias("raw"),
-        have.cast("array<string>").alias("have"),
-        F.array(*[cell(c) for c in wanted]).alias("values"),
-    )
-    return _shaped(rows, keys, F.array(*[F.lit(c) for c in wanted]), F.col("values"), _covers(F.col("have")))
+    raw = [f.name for name in wanted for f in by_name.get(name, [])]
+    have = ", ".join(f"if(`{n}` is not null, '{n}', null)" for n in raw) or "cast(null as string)"
+    places = [_source(F.col("_metadata.file_path")).alias("source"), F.col("_metadata.row_index").alias("line")]
+    rows = rows.select(*places, F.expr(f"array_compact(array({have}))").alias("_have"), F.expr(f"array({', '.join(map(cell, wanted))})").alias("_values"))
+    rows = _named(rows, "_have").withColumn("bits", _covers())
+    names = ", ".join(f"'{c}'" for c in wanted)
+    rows = rows.withColumns({"_names": F.expr(f"array({names})"), "_standard": F.expr(f"array({names})"), "block": F.lit(0).cast("long"), "raw": F.lit("")})
+    return _shaped(rows, keys, covered=True)
