@@ -412,3 +412,20 @@ def test_validate_reports(spark):
 def test_report_json_of_nested_flatten(spark):
     df = spark.read.json(spark.sparkContext.parallelize([json.dumps({"a": {"b": {"c": 1}, "d": [1, 2]}, "e": "x"})]))
     assert columns.flatten(df).columns == ["a.b.c", "a.d", "e"]
+
+
+def test_seasonal_prediction_is_the_design_times_its_coefficients(spark):
+    """Pieces of the trend and the recurrence of the waves give what the whole design matrix gives."""
+    rng = np.random.default_rng(3)
+    start = dt.datetime(2024, 1, 1, 5)
+    seconds = np.sort(rng.integers(0, 9 * 86_400, 300))
+    rows = [(start + dt.timedelta(seconds=int(s)), float(60 + 8 * np.sin(s / 9000) + s / 50_000 + rng.normal())) for s in seconds]
+    train = spark.createDataFrame(rows, "ts timestamp, y double")
+    for shape in (forecast.SHAPE, forecast.Shape(0, 1), forecast.Shape(3, 0)):
+        model = forecast.fit_seasonal_trend(train, [], shape=shape)
+        found = forecast.predict_seasonal_trend(model, forecast.future_grid(train, [], 50), [], shape)
+        got = {r["ts"]: r["yhat"] for r in found.collect()}
+        m = model.first()
+        us = np.array([int((ts - dt.datetime(1970, 1, 1)).total_seconds()) * 1_000_000 for ts in got])
+        design = shape.design((us - m["start_us"]) / m["length_us"], us % forecast.DAY_US / forecast.DAY_US)
+        assert len(got) >= 300 and list(got.values()) == pytest.approx(m["level"] + design @ np.array(m["beta"]), abs=1e-8)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -15,11 +15,6 @@ from vitalgrid.functions.expressions import from_micros, micros, nan_is_missing,
 from vitalgrid.plans.series import Series, attach, has_large_series, max_series_rows, spread
 
 INTERVAL = 1.96
-CHANGEPOINTS = 25
-HARMONICS = 10
-TERMS = 2 + CHANGEPOINTS + 2 * HARMONICS
-KNOTS = [0.8 * (j + 1) / (CHANGEPOINTS + 1) for j in range(CHANGEPOINTS)]
-RIDGE = np.array([0.0, 0.0] + [1.0] * (TERMS - 2))
 DAY_US = 86_400_000_000
 REFERENCE_US = 1_577_836_800_000_000  # 2020-01-01, keeps the day numbers small
 
@@ -103,40 +98,66 @@ def _with_interval(rows: DataFrame, grid: DataFrame, yhat: Column) -> DataFrame:
     ).select(*grid.columns, "yhat", "yhat_lower", "yhat_upper")
 
 
-# trend with changepoints and daily seasonality: ridge regression on 47 terms ----------------------
+# trend with changepoints and daily seasonality: ridge regression ------------------------------------
 
 
-def _design(t: np.ndarray, day: np.ndarray) -> np.ndarray:
-    hinges = np.maximum(0.0, t[:, None] - np.array(KNOTS)[None, :])
-    angle = 2 * np.pi * day[:, None] * np.arange(1, HARMONICS + 1)[None, :]
-    return np.hstack([np.ones((len(t), 1)), t[:, None], hinges, np.sin(angle), np.cos(angle)])
+@dataclass(frozen=True)
+class Shape:
+    """Changes of the trend and harmonics of the day. Changes lie evenly in the first ``KNOTS_UPTO`` of a series."""
 
+    changepoints: int = 25
+    harmonics: int = 10
 
-def _sums(table: pa.Table) -> np.ndarray:
+    @property
+    def terms(self) -> int:
+        return 2 + self.changepoints + 2 * self.harmonics
+
+    @property
+    def step(self) -> float:
+        return KNOTS_UPTO / (self.changepoints + 1)
+
+    @property
+    def ridge(self) -> np.ndarray:
+        return np.array([0.0, 0.0] + [1.0] * (self.terms - 2))
+
+    def design(self, t: np.ndarray, day: np.ndarray) -> np.ndarray:
+        """Intercept, slope, hinges, sines, cosines."""
+        hinges = np.maximum(0.0, t[:, None] - self.step * np.arange(1, self.changepoints + 1)[None, :])
+        angle = 2 * np.pi * day[:, None] * np.arange(1, self.harmonics + 1)[None, :]
+        return np.hstack([np.ones((len(t), 1)), t[:, None], hinges, np.sin(angle), np.cos(angle)])
+
+
+KNOTS_UPTO = 0.8
+SHAPE = Shape()
+
+
+def _sums(table: pa.Table, shape: Shape) -> np.ndarray:
     """X'X, X'y, y'y and n as one vector; rows carry how many readings share their moment."""
-    total = np.zeros(TERMS * TERMS + TERMS + 2)
+    total = np.zeros(shape.terms * shape.terms + shape.terms + 2)
     t, day, w, sy, syy = (table[c].to_numpy() for c in ("_t", "_day", "_w", "_sy", "_syy"))
     for begin in range(0, len(t), 50_000):
         part = slice(begin, begin + 50_000)
-        x = _design(t[part], day[part])
+        x = shape.design(t[part], day[part])
         gram = (x * w[part, None]).T @ x
         total += np.concatenate([gram.ravel(), x.T @ sy[part], [syy[part].sum(), w[part].sum()]])
     return total
 
 
-def _solve(sums: np.ndarray) -> tuple[np.ndarray, float]:
-    gram = sums[: TERMS * TERMS].reshape(TERMS, TERMS)
-    moment, yy, n = sums[TERMS * TERMS : -2], sums[-2], sums[-1]
+def _solve(sums: np.ndarray, shape: Shape) -> tuple[np.ndarray, float]:
+    n_terms = shape.terms
+    gram = sums[: n_terms * n_terms].reshape(n_terms, n_terms)
+    moment, yy, n = sums[n_terms * n_terms : -2], sums[-2], sums[-1]
+    ridged = gram + np.diag(shape.ridge)
     try:
-        beta = np.linalg.solve(gram + np.diag(RIDGE), moment)
+        beta = np.linalg.solve(ridged, moment)
     except np.linalg.LinAlgError:  # all readings at one moment
-        beta = np.linalg.lstsq(gram + np.diag(RIDGE), moment, rcond=None)[0]
+        beta = np.linalg.lstsq(ridged, moment, rcond=None)[0]
     sse = yy - 2 * beta @ moment + beta @ gram @ beta
     return beta, float(np.sqrt(max(sse, 0.0) / n))
 
 
-def fit_seasonal_trend(train: DataFrame, keys: list[str], sliced: bool | None = None) -> DataFrame:
-    """One row per series: start, length, mean and 47 coefficients.
+def fit_seasonal_trend(train: DataFrame, keys: list[str], sliced: bool | None = None, shape: Shape = SHAPE) -> DataFrame:
+    """One row per series: start, length, mean and a coefficient for each term of ``shape``.
 
     Readings of one moment are merged before anything is shuffled. A series that fits one task is
     solved there. A longer one is spread over parts by a hash of the moment; each part adds up its
@@ -158,16 +179,16 @@ def fit_seasonal_trend(train: DataFrame, keys: list[str], sliced: bool | None =
     summed = T.StructType([*key_fields, T.StructField("sums", T.ArrayType(T.DoubleType()))])
 
     def answer(table: pa.Table, sums: np.ndarray) -> pa.Table:
-        beta, sigma = _solve(sums)
+        beta, sigma = _solve(sums, shape)
         first = table.select(keys).slice(0, 1)
         first = first.append_column("beta", pa.array([beta], pa.list_(pa.float64())))
         return first.append_column("sigma", pa.array([sigma], pa.float64()))
 
     def solve_series(table: pa.Table) -> pa.Table:
-        return answer(table, _sums(table))
+        return answer(table, _sums(table, shape))
 
     def sum_part(table: pa.Table) -> pa.Table:
-        sums = pa.array([_sums(table)], pa.list_(pa.float64()))
+        sums = pa.array([_sums(table, shape)], pa.list_(pa.float64()))
         return table.select(keys).slice(0, 1).append_column("sums", sums)
 
     def solve_sums(table: pa.Table) -> pa.Table:
@@ -200,21 +221,36 @@ def _moments(train: DataFrame, facts: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _seasonal_value(t: Column, day: Column, beta: Column) -> Column:
-    """The terms of ``_design`` times their coefficients, as one expression."""
-    angles = [F.lit(2 * np.pi * (k + 1)) * day for k in range(HARMONICS)]
-    terms = [F.lit(1.0), t, *[F.greatest(t - F.lit(k), F.lit(0.0)) for k in KNOTS]]
-    terms += [F.sin(a) for a in angles] + [F.cos(a) for a in angles]
-    return reduce(Column.__add__, [beta[i] * term for i, term in enumerate(terms)])
+def _trend(model: DataFrame, shape: Shape) -> DataFrame:
+    """Per series, level and slope of the trend between any two changes (``_base`` and ``_slope``, by the number
+    of changes passed)."""
+    passed = f"sequence(0, {shape.changepoints})"
+    slope = f"transform({passed}, m -> aggregate(slice(beta, 2, m + 1), 0D, (a, x) -> a + x))"
+    weighted = f"transform(slice(beta, 3, {shape.changepoints}), (b, i) -> b * (i + 1) * {shape.step!r}D)"
+    base = f"transform({passed}, m -> beta[0] - aggregate(slice({weighted}, 1, m), 0D, (a, x) -> a + x))"
+    return model.withColumns({"_slope": F.expr(slope), "_base": F.expr(base)})
 
 
-def predict_seasonal_trend(model: DataFrame, grid: DataFrame, keys: list[str]) -> DataFrame:
-    rows = attach(grid, model.filter(F.col("beta").isNotNull()), keys)
-    t = (micros("ts") - F.col("start_us")) / F.col("length_us")
+def predict_seasonal_trend(model: DataFrame, grid: DataFrame, keys: list[str], shape: Shape = SHAPE) -> DataFrame:
+    """The trend is a look-up of the piece that a moment lies in. The waves are summed by Clenshaw's
+    recurrence y[k] = b[k] + 2 cos(a) y[k + 1] - y[k + 2], which needs one sine and one cosine; every step is a
+    projection of its own, so no generated method grows too long to be compiled."""
+    rows = attach(grid, _trend(model.filter(F.col("beta").isNotNull()), shape), keys)
+    t = F.coalesce((micros("ts") - F.col("start_us")) / F.col("length_us"), F.lit(0.0))
     day = F.pmod(micros("ts"), F.lit(DAY_US)) / F.lit(float(DAY_US))
-    beta = F.coalesce("beta", F.array_repeat(F.lit(0.0), TERMS))
-    value = _seasonal_value(F.coalesce(t, F.lit(0.0)), day, beta)
-    return _with_interval(rows, grid, F.col("level") + value)
+    piece = F.least(F.greatest(F.floor(t / F.lit(shape.step)), F.lit(0)), F.lit(shape.changepoints)).cast("int")
+    angle = F.lit(2 * np.pi) * day
+    rows = rows.withColumns({"_t": t, "_piece": piece, "_cos": F.cos(angle), "_sin": F.sin(angle)})
+    zero = F.lit(0.0)
+    ahead = {n: (zero, zero) for n in "sc"}  # y[k + 1] and y[k + 2]
+    first = {"s": 1 + shape.changepoints, "c": 1 + shape.changepoints + shape.harmonics}
+    for k in range(shape.harmonics, 0, -1):
+        now = {f"_{n}{k}": F.get("beta", F.lit(first[n] + k)) + 2 * F.col("_cos") * ahead[n][0] - ahead[n][1] for n in "sc"}
+        rows = rows.withColumns(now)
+        ahead = {n: (F.col(f"_{n}{k}"), ahead[n][0]) for n in "sc"}
+    waves = ahead["s"][0] * F.col("_sin") + ahead["c"][0] * F.col("_cos") - ahead["c"][1]
+    trend = F.get("_base", F.col("_piece")) + F.get("_slope", F.col("_piece")) * F.col("_t")
+    return _with_interval(rows, grid, F.col("level") + (trend + waves))
 
 
 MODELS = {
