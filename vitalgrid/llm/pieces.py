@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from vitalgrid.llm.common import Texts, extended, in_arrow, over_texts, suffix_order
 
 #: Text bytes encoded together.
-TOGETHER = 600_000
+TOGETHER = 1_500_000
 #: Characters of a segment from which it is merged on its own, with a heap.
 LONG = 256
 
