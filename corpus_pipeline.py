@@ -9,15 +9,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from vitalgrid.llm import bagmin, decontaminate, pieces, quality, secrets
-from vitalgrid.llm.common import table
+from vitalgrid.llm.common import free_name, table
 from vitalgrid.llm.queries import PIECE_MODEL
 from vitalgrid.session import stored
 
 
+def _put_aside(docs: DataFrame, names: list[str]) -> tuple[DataFrame, dict[str, str]]:
+    """Own columns of ``docs`` with names that an operator uses, under free names, and how to name them again."""
+    own = {c: free_name(docs, f"_own_{c}") for c in docs.columns if c in names}
+    return docs.withColumnsRenamed(own), {free: c for c, free in own.items()}
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that fail the base rules or are unlike the trusted texts."""
-    judged = quality.assess(docs, table(spark, sf_dir, "labels"))
-    return judged.filter("kept").select(*docs.columns)
+    aside, names = _put_aside(docs, quality.ADDED)
+    judged = quality.assess(aside, table(spark, sf_dir, "labels")).filter("kept").drop(*quality.ADDED)
+    return judged.withColumnsRenamed(names).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +39,8 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps every document; secrets in its text become a mark."""
-    return secrets.redacted(secrets.scan(docs))
+    aside, names = _put_aside(docs, ["spans"])
+    return secrets.redacted(secrets.scan(aside)).withColumnsRenamed(names).select(*docs.columns)
 
 
 def encode_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
