@@ -2,6 +2,7 @@
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from test_corpus_operators import plain_classes
@@ -48,9 +49,25 @@ def test_stages_on_nothing(spark, sf_dir):
         assert stage(spark, nothing, sf_dir).count() == 0
 
 
+NAMES = ["_id", "_trusted", "_gone", "_held", "kept", "n_words", "score", "spans"]
+
+
 @pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
 def test_stages_on_odd_rows(spark, sf_dir, name, stage):
     from test_corpus_operators import odd_docs
 
-    docs = odd_docs(spark).drop("score", "spans")
-    assert stage(spark, docs, sf_dir).count() <= docs.count()
+    docs = odd_docs(spark).withColumns({c: F.concat(F.lit(c), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) for c in NAMES})
+    done = stage(spark, docs, sf_dir)
+    assert done.count() <= docs.count()
+    if name != corpus_pipeline.STAGES[-1][0]:
+        assert done.columns == docs.columns
+        assert all(r[c] == c + ("" if r.doc_id is None else str(r.doc_id)) for r in done.collect() for c in NAMES)
+
+
+def test_rows_without_an_id_stay(spark, sf_dir):
+    text = "the cat sat on the mat and looked at the very old dog again today"
+    rows = [(None, text, "en", "a", 1), (None, text, "en", "b", 1), (1, text, "en", "c", 1), (1, text, "de", "d", 1), (2, text, "en", "e", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    left = corpus_pipeline.drop_near_copies(spark, docs, sf_dir).collect()
+    assert sorted(r.source for r in left if r.doc_id is None) == ["a", "b"]
+    assert [r.doc_id for r in left if r.doc_id is not None] == [1]

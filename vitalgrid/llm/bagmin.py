@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import Texts, bloom, clean_columns, maybe_in, mix, over_texts
+from vitalgrid.llm.common import Texts, bloom, clean_columns, free_name, maybe_in, mix, over_texts
 from vitalgrid.session import stored
 
 SHINGLE = 5
@@ -338,7 +338,10 @@ def _rare_pairs(left: DataFrame, texts: DataFrame, similarity: float) -> DataFra
 
 
 def deduplicated(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``docs`` without the members of a class other than its first document; full copies of a row go,
-    too. Rows without an id stay."""
-    gone = classes(docs, similarity).filter("class_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti").dropDuplicates(["doc_id", "text"])
+    """``docs`` without the members of a class other than its first document; of rows equal in id and text
+    one stays. Rows without an id stay."""
+    name = free_name(docs, "_gone")
+    gone = classes(docs, similarity).filter("class_id <> doc_id").select(F.col("doc_id").alias(name)).distinct()
+    known = docs.filter(F.col("doc_id").isNotNull())
+    stay = known.join(gone, F.col("doc_id").cast("long") == F.col(name), "left_anti").dropDuplicates(["doc_id", "text"])
+    return stay.unionByName(docs.filter(F.col("doc_id").isNull()))

@@ -317,6 +317,14 @@ def maybe_in(table: np.ndarray, value: np.ndarray) -> np.ndarray:
     return hit
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def clean_columns(df: DataFrame, wanted: dict[str, str]) -> DataFrame:
     """The named columns with their types, whatever else the table holds; absent ones are null."""
     return df.select(

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import Texts, Words, bloom, clean_columns, maybe_in, mix, over_texts, windows
+from vitalgrid.llm.common import Texts, Words, bloom, clean_columns, free_name, maybe_in, mix, over_texts, windows
 from vitalgrid.session import stored
 
 GRAM = 3
@@ -168,5 +168,6 @@ def leaks(docs: DataFrame, items: DataFrame, least: float = LEAST) -> DataFrame:
 
 def decontaminated(docs: DataFrame, items: DataFrame, least: float = LEAST) -> DataFrame:
     """``docs`` without the documents that hold a copy of an item. Rows without an id stay."""
-    held = leaks(docs, items, least).select(F.col("doc_id").alias("_held")).distinct()
-    return docs.join(held, F.col("doc_id").cast("long") == F.col("_held"), "left_anti")
+    name = free_name(docs, "_held")
+    held = leaks(docs, items, least).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(held, F.col("doc_id").cast("long") == F.col(name), "left_anti")

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import Texts, bin_counts, clean_columns, extended, in_arrow, mix, over_texts, release, slices
+from vitalgrid.llm.common import Texts, bin_counts, clean_columns, extended, free_name, in_arrow, mix, over_texts, release, slices
 
 BINS = 16_384
 #: Mean log ratio below which a document is unlike the trusted texts.
@@ -56,16 +56,17 @@ def _bins(texts: Texts, bins: int) -> tuple[np.ndarray, np.ndarray]:
     return doc, (value % np.uint64(bins)).astype(np.int64)
 
 
-def flagged(docs: DataFrame, labels: DataFrame, max_trusted: int) -> DataFrame:
-    """``docs`` with a column ``_trusted``; the ids that travel are at most ``max_trusted``."""
-    ids = F.broadcast(trusted_ids(labels, max_trusted).withColumnRenamed("doc_id", "_id"))
-    return docs.join(ids, F.col("doc_id").cast("long") == F.col("_id"), "left").select(
-        *[docs[f"`{c}`"] for c in docs.columns], F.col("_id").isNotNull().alias("_trusted")
+def flagged(docs: DataFrame, labels: DataFrame, max_trusted: int, mark: str = "_trusted") -> DataFrame:
+    """``docs`` with a column ``mark``: whether it is trusted; the ids that travel are at most ``max_trusted``."""
+    id = free_name(docs, "_id")
+    ids = F.broadcast(trusted_ids(labels, max_trusted).withColumnRenamed("doc_id", id))
+    return docs.join(ids, F.col("doc_id").cast("long") == F.col(id), "left").select(
+        *[docs[f"`{c}`"] for c in docs.columns], F.col(id).isNotNull().alias(mark)
     )
 
 
-def learn(rows: DataFrame, bins: int = BINS) -> tuple[np.ndarray, np.ndarray]:
-    """N-gram counts by bin: of all texts, and of those with ``_trusted``. Each task sends one row
+def learn(rows: DataFrame, bins: int = BINS, mark: str = "_trusted") -> tuple[np.ndarray, np.ndarray]:
+    """N-gram counts by bin: of all texts, and of those with ``mark``. Each task sends one row
     per bin at most."""
 
     def count(batches):
@@ -74,7 +75,7 @@ def learn(rows: DataFrame, bins: int = BINS) -> tuple[np.ndarray, np.ndarray]:
             for part in slices(batch, "text"):
                 with np.errstate(over="ignore"):
                     doc, value = _bins(Texts.of(part.column("text")), bins)
-                flag = part.column("_trusted").to_numpy(zero_copy_only=False)
+                flag = part.column(mark).to_numpy(zero_copy_only=False)
                 raw += np.bincount(value, minlength=bins)
                 target += np.bincount(value[flag[doc]], minlength=bins)
             release()
@@ -83,7 +84,7 @@ def learn(rows: DataFrame, bins: int = BINS) -> tuple[np.ndarray, np.ndarray]:
             [pa.array(some), pa.array(raw[some]), pa.array(target[some])], names=["bin", "raw", "target"]
         )
 
-    partial = in_arrow(rows.select("text", "_trusted"), count, "bin long, raw long, target long")
+    partial = in_arrow(rows.select("text", mark), count, "bin long, raw long, target long")
     sums = bin_counts(partial, bins, "bin", ["raw", "target"])
     return sums["raw"], sums["target"]
 
@@ -144,6 +145,10 @@ def _distinct(doc: np.ndarray, value: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(doc[new], minlength=n)
 
 
+#: Columns that ``assess`` adds.
+ADDED = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "score", "base_failed", "kept"]
+
+
 def assess(
     docs: DataFrame,
     labels: DataFrame,
@@ -159,14 +164,15 @@ def assess(
     are judged alike, a null id is kept as it is, an empty table gives an empty result.
     """
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    kept = [c for c in docs.columns if c not in (*names, "score", "base_failed", "kept", "_trusted")]
-    source = flagged(docs.select(*[F.col(f"`{c}`") for c in kept]), labels, max_trusted)
-    shared = docs.sparkSession.sparkContext.broadcast(learn(source, bins))  # two tables of ``bins``
+    kept = [c for c in docs.columns if c not in ADDED]
+    mark = free_name(docs, "_trusted")
+    source = flagged(docs.select(*[F.col(f"`{c}`") for c in kept]), labels, max_trusted, mark)
+    shared = docs.sparkSession.sparkContext.broadcast(learn(source, bins, mark))  # two tables of ``bins``
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
         texts = Texts.of(part.column("text"))
         found = facts(texts)
-        trusted = part.column("_trusted").to_numpy(zero_copy_only=False)
+        trusted = part.column(mark).to_numpy(zero_copy_only=False)
         score = ratios(texts, trusted, *shared.value)
         failed = (found["n_words"] < MIN_WORDS) | (
             100 * found["n_repeat_words"] > MAX_REPEAT_PERCENT * found["n_words"]
@@ -183,4 +189,4 @@ def assess(
         )
 
     added = {k: "long" for k in names} | {"score": "double", "base_failed": "boolean", "kept": "boolean"}
-    return over_texts(source, "text", work, extended(source.drop("_trusted"), added))
+    return over_texts(source, "text", work, extended(source.drop(mark), added))
