@@ -276,6 +276,53 @@ def test_dbscan_with_copies(spark, tile, monkeypatch):
     assert row["n_clusters"] == want.max() + 1 and row["n_noise_points"] == (want == -1).sum()
 
 
+@pytest.mark.parametrize("dimensions", [1, 2, 3, 6])
+def test_dbscan_of_dense_places(spark, dimensions, monkeypatch):
+    """Full small cells, bands a little less and a little more than eps apart, and thin places between them."""
+    from vitalgrid.operators import cluster as module
+    from vitalgrid.plans import tiles
+
+    monkeypatch.setattr(module, "FEW", 3)
+    monkeypatch.setattr(module, "compare_tiles", lambda *a, **k: tiles.compare_tiles(*a, **k, tile=32))
+    rng = np.random.default_rng(dimensions)
+    blocks = [rng.uniform(0, 0.45, (80, dimensions)), rng.normal(4, 0.2, (60, dimensions)), rng.uniform(-3, 7, (40, dimensions))]
+    for start, gap in ((10, 0.49), (20, 0.51)):  # two plates, one pair of points across the gap
+        plates = [rng.uniform(0, 0.4, (60, dimensions)), rng.uniform(0, 0.4, (60, dimensions))]
+        plates[1][:, 0] += 0.4 + gap
+        plates[0][0], plates[1][0] = 0.2, 0.2
+        plates[0][0][0], plates[1][0][0] = 0.4, 0.4 + gap
+        blocks += [p + start for p in plates]
+    x = np.vstack(blocks)
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(x)], "id long, vec array<double>")
+    labels, _report = cluster.dbscan(df, "id", "vec", 0.5, 5)
+    got = [r["cluster"] for r in labels.orderBy("id").collect()]
+    assert got == brute_dbscan(x, 0.5, 5).tolist()
+
+
+def test_dbscan_without_spread(spark):
+    df = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(7)], "id long, vec array<double>")
+    labels, _report = cluster.dbscan(df, "id", "vec", 0.5, 5)
+    assert {r["cluster"] for r in labels.collect()} == {0}
+    assert cluster.dbscan(df.limit(0), "id", "vec", 0.5, 5)[0].count() == 0
+
+
+def test_dense_cell_costs_in_proportion(spark, monkeypatch):
+    """Points of a full cell are not compared with each other: tiles hold its boxes only."""
+    from vitalgrid.operators import cluster as module
+    from vitalgrid.plans import tiles
+
+    dealt = []
+
+    def counted(points, *a, **k):
+        dealt.append(points.count())
+        return tiles.compare_tiles(points, *a, **k)
+
+    monkeypatch.setattr(module, "compare_tiles", counted)
+    df = spark.range(20_000).select("id", F.array(F.rand(1) * 0.49, F.rand(2) * 0.49).alias("vec"))
+    labels, _report = cluster.dbscan(df, "id", "vec", 0.5, 5)
+    assert labels.filter("cluster <> 0").count() == 0 and max(dealt) < 200
+
+
 def test_long_chain_is_one_cluster(spark):
     df = spark.createDataFrame([(i, [i * 0.4]) for i in range(120)], "id long, vec array<double>")
     labels, _report = cluster.dbscan(df, "id", "vec", 0.5, 2)

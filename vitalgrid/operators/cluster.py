@@ -22,6 +22,10 @@ ROWS_PER_TASK = 10_000
 #: Centres that a row is compared with at a time.
 CENTRES = 256
 MAX_ITERATIONS = 300
+#: Core points of a small cell that are linked one by one; more are put into boxes.
+FEW = 64
+#: Boxes across a small cell, per dimension.
+PARTS = 4
 
 
 def standardize(df: DataFrame, columns: list[str], by: list[str] = ()) -> DataFrame:
@@ -260,14 +264,14 @@ def _numbered(labels: DataFrame, id: str) -> DataFrame:
 # density clustering ----------------------------------------------------------------------------
 
 
-def _spanning_edges(a, b, same: bool, near: np.ndarray) -> dict | None:
-    """Connected groups between two tiles as a star: every member points to the smallest id."""
+def _spanning_edges(a: np.ndarray, b: np.ndarray, same: bool, near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Connected sets between the ids of two tiles as stars: every member points to the smallest id."""
     rows_left = near.any(axis=1)
     u, v = [], []
     while rows_left.any():
-        rows = np.zeros(len(a.id), dtype=bool)
+        rows = np.zeros(len(a), dtype=bool)
         rows[np.flatnonzero(rows_left)[0]] = True
-        columns = np.zeros(len(b.id), dtype=bool)
+        columns = np.zeros(len(b), dtype=bool)
         while True:
             reached = near[rows].any(axis=0)
             grown = near[:, reached].any(axis=1) | rows
@@ -276,12 +280,24 @@ def _spanning_edges(a, b, same: bool, near: np.ndarray) -> dict | None:
             if (grown == rows).all() and (reached == columns).all():
                 break
             rows, columns = grown, reached
-        members = np.unique(np.concatenate([a.id[rows], b.id[columns]]))
+        members = np.unique(np.concatenate([a[rows], b[columns]]))
         u.append(members[1:])
         v.append(np.full(len(members) - 1, members[0]))
         rows_left &= ~rows
-    u = np.concatenate(u) if u else np.empty(0, dtype=np.int64)
-    return {"u": u, "v": np.concatenate(v)} if len(u) else None
+    none = np.empty(0, dtype=np.int64)
+    return np.concatenate([none, *u]), np.concatenate([none, *v])
+
+
+def _between_boxes(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Squared distances of the nearest and of the farthest corners of boxes (lows, then highs). Rounding keeps
+    order, so no two points of the boxes have a computed distance outside these."""
+    least, most = np.zeros((len(a), len(b))), np.zeros((len(a), len(b)))
+    d = a.shape[1] // 2
+    for i in range(d):
+        up, down = a[:, i + d, None] - b[None, :, i], b[None, :, i + d] - a[:, i, None]
+        least += np.maximum(np.maximum(-up, -down), 0) ** 2
+        most += np.maximum(up, down) ** 2
+    return least, most
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -311,48 +327,63 @@ def dbscan(
     """Density clusters. Returns the rows with ``cluster`` (-1 is noise; clusters are numbered by
     their smallest core id) and a one-row report.
 
-    Exact copies of a vector collapse to one weighted point. Points are put into cells of width
-    ``eps`` on the three dimensions that vary most; only tiles of touching cells are compared, and
-    every comparison is exact in all dimensions. A tile pair returns neighbour counts, a spanning
-    set of links between core points, or the smallest cluster near a border point.
+    Exact copies of a vector collapse to one weighted point. Points are put into cells of width ``eps`` on the
+    three dimensions that vary most; only tiles of touching cells are compared, and every comparison is exact in
+    all dimensions. All points of a small cell (``eps`` over the root of the dimensions) are neighbours: with
+    ``min_samples`` rows in it they are core without a comparison, and its core points are one node of the
+    links. So only points of thinly filled small cells are compared one by one, and a dense place costs in
+    proportion to its points. Links between small cells are decided by the corners of boxes of their core
+    points; the points themselves are compared only for boxes that the corners leave open, and only while
+    nothing else connects the two cells. Rows need a vector without nulls.
     """
     data = points.select(F.col(id).alias("id"), F.transform(vec, lambda x: x.cast("double")).alias("vec"))
     total = data.count()
     need = min_samples if total >= min_samples else max(1, total // 2)
     merged = data.groupBy("vec").agg(F.min("id").alias("id"), F.count("*").alias("weight"))
-    merged = _with_cells(merged, eps)
+    merged, varying, length = _with_cells(merged, eps)
     cells = [c for c in merged.columns if c.startswith("c_")]
     limit = eps * eps
+    width = eps / np.ceil(np.sqrt(max(1, len(varying))))
+    lows = F.array(*[F.min(F.col("vec")[i]) for i in range(length)]).cast("array<double>")
+    highs = F.array(*[F.max(F.col("vec")[i]) for i in range(length)]).cast("array<double>")
+
+    small = [*cells, "_small"]
+    merged = merged.withColumn("_small", F.array(*[F.floor(F.col("vec")[i] / F.lit(width)) for i in varying]).cast("array<long>"))
+    filled = merged.groupBy(*small).agg(F.sum("weight").alias("_rows"), lows.alias("_low"), highs.alias("_high"))
+    across = F.aggregate(F.zip_with("_high", "_low", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
+    filled = filled.select(*small, "_rows", (across <= limit).alias("_tight"))
+    merged = checkpointed(attach(merged, filled, small).withColumn("sure", F.col("_tight") & (F.col("_rows") >= need)))
+    loose = merged.filter("not sure")
+
+    def count_both(a, b, same):
+        near = squared_distances(a.vec, b.vec) <= limit
+        to_a = near @ b.weight
+        if same:
+            return {"id": a.id, "n": to_a}
+        return {"id": np.concatenate([a.id, b.id]), "n": np.concatenate([to_a, a.weight @ near])}
 
     def count_near(a, b, same):
-        near = squared_distances(a.vec, b.vec) <= limit
-        return {"id": a.id, "n": (near * b.weight[None, :]).sum(axis=1)}
+        return {"id": a.id, "n": (squared_distances(a.vec, b.vec) <= limit) @ b.weight}
 
-    counts = compare_tiles(merged, count_near, "id long, n long", ["weight"], cells)
+    counts = compare_tiles(loose, count_both, "id long, n long", ["weight"], cells, once=True).unionByName(
+        compare_tiles(loose, count_near, "id long, n long", ["weight"], cells, against=merged.filter("sure"))
+    )
     counts = counts.groupBy("id").agg(F.sum("n").alias("_n"))
-    merged = checkpointed(attach(merged, counts, ["id"]).withColumn("core", F.col("_n") >= need).drop("_n"))
-    core = merged.filter("core")
-
-    def link(a, b, same):
-        return _spanning_edges(a, b, same, squared_distances(a.vec, b.vec) <= limit)
-
-    edges = compare_tiles(core, link, "u long, v long", [], cells, once=True)
-    roots = components(core.select("id"), edges)
+    merged = attach(merged, counts, ["id"]).withColumn("core", F.col("sure") | (F.col("_n") >= need))
+    merged = checkpointed(merged.withColumn("core", F.coalesce("core", F.lit(False))).drop("_n", "_rows", "sure"))
+    roots = _linked(merged.filter("core"), cells, limit, width, lows, highs)
     order = Series.of(roots.select("label").distinct(), [], ["label"]).position("number").done()
-    core_labels = roots.join(order, "label").select("id", "number")
-    numbered = attach(merged, core_labels, ["id"]).withColumn("number", F.coalesce("number", F.lit(-1)))
-    numbered = checkpointed(numbered)
+    numbered = attach(merged, roots.join(order, "label").select("id", "number"), ["id"])
+    numbered = checkpointed(numbered.withColumn("number", F.coalesce("number", F.lit(-1))))
 
     def adopt(a, b, same):
-        near = squared_distances(a.vec, b.vec) <= limit
-        outside, inside = ~a.core, b.core
-        if not outside.any() or not inside.any():
-            return None
         far = np.iinfo(np.int64).max
-        best = np.where(near[np.ix_(outside, inside)], b.number[inside][None, :], far).min(axis=1)
-        return {"id": a.id[outside][best < far], "border": best[best < far]}
+        near = squared_distances(a.vec, b.vec) <= limit
+        best = np.where(near, b.number[None, :], far).min(axis=1)
+        return {"id": a.id[best < far], "border": best[best < far]}
 
-    border = compare_tiles(numbered, adopt, "id long, border long", ["core", "number"], cells)
+    outside, inside = numbered.filter("not core"), numbered.filter("core")
+    border = compare_tiles(outside, adopt, "id long, border long", ["number"], cells, against=inside)
     border = border.groupBy("id").agg(F.min("border").alias("border"))
     final = attach(numbered, border, ["id"])
     final = final.select("vec", F.when(F.col("core"), F.col("number")).otherwise(F.coalesce("border", F.lit(-1))).alias("cluster"))
@@ -371,45 +402,91 @@ def dbscan(
     return labelled, report
 
 
-def _with_cells(points: DataFrame, eps: float, most: int = 3) -> DataFrame:
-    """Cell numbers on the dimensions with the largest variance (one row of them on the driver)."""
-    spread = (
-        points.select(F.posexplode("vec").alias("d", "x"))
-        .groupBy("d")
-        .agg(F.var_pop("x").alias("s"))
-        .filter("s > 0")
-        .orderBy(F.desc("s"), "d")
-        .limit(most)
+def _linked(core: DataFrame, cells: list[str], limit: float, width: float, lows: Column, highs: Column) -> DataFrame:
+    """(id, label) of the core points: the smallest core id of the cluster."""
+    node = [*cells, "_small", "_alone"]
+    core = core.withColumn("_alone", F.when(~F.col("_tight"), F.col("id")))  # a small cell that is not one
+    nodes = core.groupBy(*node).agg(F.min("id").alias("node"), F.count("*").alias("_points"))
+    core = attach(core, nodes, node)
+    many = F.col("_points") > FEW
+    part = F.array(*[F.floor(F.col("vec")[int(c[2:])] / F.lit(width / PARTS)) for c in cells]).cast("array<long>")
+    core = core.withColumns({"_part": F.when(many, part), "_own": F.when(~many, F.col("id"))})
+    key = ["node", *cells, "_part", "_own"]
+    boxes = checkpointed(core.groupBy(*key).agg(F.min("id").alias("id"), F.concat(lows, highs).alias("vec")))
+    core = checkpointed(attach(core, boxes.withColumnRenamed("id", "box").drop("vec"), key).select("id", "vec", "node", "box"))
+
+    def corners(a, b, same):
+        least, most = _between_boxes(a.vec, b.vec)
+        one = a.node[:, None] == b.node[None, :]
+        u, v = _spanning_edges(a.node, b.node, same, (most <= limit) | one)
+        root = dict(zip(u.tolist(), v.tolist()))
+        of_a, of_b = (np.array([root.get(n, n) for n in t.node.tolist()]) for t in (a, b))
+        i, j = np.nonzero((least <= limit) & (most > limit) & (of_a[:, None] != of_b[None, :]))
+        return {
+            "u": np.concatenate([u, a.id[i]]),
+            "v": np.concatenate([v, b.id[j]]),
+            "certain": np.arange(len(u) + len(i)) < len(u),
+        }
+
+    found = checkpointed(compare_tiles(boxes, corners, "u long, v long, certain boolean", ["node"], cells, once=True))
+    certain = found.filter("certain").select("u", "v")
+    ids = core.select(F.col("node").alias("id")).distinct()
+    roots = components(ids, certain)
+    held = boxes.select("id", F.col("node").alias("_n")).join(roots.select(F.col("id").alias("_n"), "label"), "_n")
+    open_ = (
+        found.filter("not certain")
+        .join(held.select(F.col("id").alias("u"), F.col("label").alias("_u")), "u")
+        .join(held.select(F.col("id").alias("v"), F.col("label").alias("_v")), "v")
+        .filter("_u <> _v")
+        .select(F.struct(F.col("u").alias("box")).alias("a_cell"), F.struct(F.col("v").alias("box")).alias("b_cell"))
+        .distinct()
     )
-    chosen = [r["d"] for r in spread.collect()]
-    return points.withColumns({f"c_{d}": F.floor(F.col("vec")[d] / F.lit(eps)) for d in chosen}) if chosen else points
+    open_ = checkpointed(open_)
+    if not open_.isEmpty():
+
+        def touch(a, b, same):
+            if (squared_distances(a.vec, b.vec) <= limit).any():
+                return {"u": a.node[:1], "v": b.node[:1]}
+
+        more = compare_tiles(core, touch, "u long, v long", ["node"], ["box"], near=open_)
+        roots = components(ids, certain.unionByName(more))
+    return core.select("id", F.col("node").alias("_n")).join(roots.select(F.col("id").alias("_n"), "label"), "_n").drop("_n")
+
+
+def _with_cells(points: DataFrame, eps: float, most: int = 3) -> tuple[DataFrame, list[int], int]:
+    """Cell numbers on the dimensions with the largest variance; the dimensions that vary and the length of the
+    vectors (one row per dimension on the driver)."""
+    spread = points.select(F.posexplode("vec").alias("d", "x")).groupBy("d").agg(F.var_pop("x").alias("s"))
+    rows = sorted(spread.collect(), key=lambda r: (-(r["s"] or 0), r["d"]))
+    varying = [r["d"] for r in rows if (r["s"] or 0) > 0]
+    chosen = {f"c_{d}": F.floor(F.col("vec")[d] / F.lit(eps)) for d in varying[:most]}
+    return points.withColumns(chosen) if chosen else points, sorted(varying), len(rows)
 
 
 # quality ---------------------------------------------------------------------------------------
 
 
 def silhouette(points: DataFrame, id: str = "id", vec: str = "vec", label: str = "cluster") -> DataFrame:
-    """Mean silhouette with Euclidean distances, exact: every tile pair returns the summed distance
-    of each point to each cluster. The work grows with the square of the rows; for very large sets
+    """Mean silhouette with Euclidean distances, exact: every unordered pair of tiles is compared once and
+    returns the summed distance of each point of either tile to each cluster of the other; the sums are
+    combined in the task before they are exchanged. The work grows with the square of the rows; for very large sets
     ``silhouette_squared`` is the linear measure. Null unless 2 <= labels < rows."""
     data = points.select(F.col(id).alias("id"), F.col(vec).alias("vec"), F.col(label).cast("long").alias("label"))
     sizes = data.groupBy("label").agg(F.count("*").alias("_size"))
     schema = "id long, own long, label long, total double"
 
-    def sums(a, b, same):
-        apart = np.sqrt(squared_distances(a.vec, b.vec))
+    def towards(a, b, apart):
         labels, inverse = np.unique(b.label, return_inverse=True)
         onehot = np.zeros((len(b.id), len(labels)))
         onehot[np.arange(len(b.id)), inverse] = 1.0
-        totals = apart @ onehot
-        return {
-            "id": np.repeat(a.id, len(labels)),
-            "own": np.repeat(a.label, len(labels)),
-            "label": np.tile(labels, len(a.id)),
-            "total": totals.ravel(),
-        }
+        return np.repeat(a.id, len(labels)), np.repeat(a.label, len(labels)), np.tile(labels, len(a.id)), (apart @ onehot).ravel()
+
+    def sums(a, b, same):
+        apart = np.sqrt(squared_distances(a.vec, b.vec))
+        found = [towards(a, b, apart)] if same else [towards(a, b, apart), towards(b, a, apart.T)]
+        return dict(zip(("id", "own", "label", "total"), map(np.concatenate, zip(*found))))
 
-    totals = compare_tiles(data, sums, schema, ["label"]).groupBy("id", "own", "label").agg(F.sum("total").alias("_total"))
+    totals = compare_tiles(data, sums, schema, ["label"], once=True).groupBy("id", "own", "label").agg(F.sum("total").alias("_total"))
     means = attach(totals, sizes, ["label"])
     mine = F.col("label") == F.col("own")
     per_point = means.groupBy("id").agg(

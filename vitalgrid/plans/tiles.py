@@ -44,20 +44,26 @@ def compare_tiles(
     cells: list[str] = (),
     once: bool = False,
     tile: int = TILE,
+    against: DataFrame | None = None,
+    near: DataFrame | None = None,
 ) -> DataFrame:
     """Run ``evaluate(a, b, same)`` for every ordered pair of tiles that may hold neighbours
-    (unordered with ``once``). ``points`` has id, vec, the extra columns and integer cell columns."""
+    (unordered with ``once``). ``points`` has id, vec, the extra columns and integer cell columns.
+    With ``against``, its tiles stand on the right side and those of ``points`` on the left. With
+    ``near`` (a_cell, b_cell: structs of the cell columns), those pairs of cells meet and no others."""
     extras, cells = list(extras), list(cells)
     cell = F.struct(*cells) if cells else F.struct(F.lit(0).cast("long").alias("all"))
-    points = points.withColumn("_cell", cell)
-    sizes = points.groupBy("_cell").agg(F.ceil(F.count("*") / F.lit(tile)).cast("long").alias("_tiles"))
-    spread = points.join(sizes, "_cell").withColumn("_tile", F.pmod(F.xxhash64("id"), F.col("_tiles")))
-    rows = spread.groupBy("_cell", "_tile").agg(F.collect_list(F.struct("id", "vec", *extras)).alias("_rows"))
+
+    def dealt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+        df = df.withColumn("_cell", cell)
+        sizes = df.groupBy("_cell").agg(F.ceil(F.count("*") / F.lit(tile)).cast("long").alias("_tiles"))
+        spread = df.join(sizes, "_cell").withColumn("_tile", F.pmod(F.xxhash64("id"), F.col("_tiles")))
+        return sizes, spread.groupBy("_cell", "_tile").agg(F.collect_list(F.struct("id", "vec", *extras)).alias("_rows"))
 
     def field(name: str):
         return F.transform("_rows", lambda r: r[name])
 
-    def side(name: str) -> DataFrame:
+    def side(rows: DataFrame, name: str) -> DataFrame:
         return rows.select(
             F.col("_cell").alias(f"{name}_cell"),
             F.col("_tile").alias(f"{name}_tile"),
@@ -66,23 +72,30 @@ def compare_tiles(
             *[field(e).alias(f"{name}_{e}") for e in extras],
         )
 
-    near = sizes.select(F.col("_cell").alias("a_cell"), F.col("_tiles").alias("_a"))
-    step = F.array(*[F.lit(i).cast("long") for i in (-1, 0, 1)])
-    for c in cells:
-        near = near.withColumn(f"_d_{c}", F.explode(step))
-    neighbour = (
-        F.struct(*[(F.col("a_cell")[c] + F.col(f"_d_{c}")).alias(c) for c in cells]) if cells else F.col("a_cell")
-    )
-    near = near.withColumn("b_cell", neighbour).drop(*[f"_d_{c}" for c in cells])
-    near = near.join(sizes.select(F.col("_cell").alias("b_cell"), F.col("_tiles").alias("_b")), "b_cell")
-    near = near.withColumn("a_tile", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_a") - 1)))
-    near = near.withColumn("b_tile", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_b") - 1)))
+    left_sizes, left = dealt(points)
+    right_sizes, right = (left_sizes, left) if against is None else dealt(against)
+    met = left_sizes.select(F.col("_cell").alias("a_cell"), F.col("_tiles").alias("_a"))
+    if near is not None:
+        met = met.join(near, "a_cell")
+    else:
+        step = F.array(*[F.lit(i).cast("long") for i in (-1, 0, 1)])
+        for c in cells:
+            met = met.withColumn(f"_d_{c}", F.explode(step))
+        neighbour = (
+            F.struct(*[(F.col("a_cell")[c] + F.col(f"_d_{c}")).alias(c) for c in cells]) if cells else F.col("a_cell")
+        )
+        met = met.withColumn("b_cell", neighbour).drop(*[f"_d_{c}" for c in cells])
+    met = met.join(right_sizes.select(F.col("_cell").alias("b_cell"), F.col("_tiles").alias("_b")), "b_cell")
+    met = met.withColumn("a_tile", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_a") - 1)))
+    met = met.withColumn("b_tile", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_b") - 1)))
     same = (F.col("a_cell") == F.col("b_cell")) & (F.col("a_tile") == F.col("b_tile"))
+    if against is not None:
+        same = F.lit(False)
     if once:
         place = [F.struct(F.col(f"{s}_cell").alias("cell"), F.col(f"{s}_tile").alias("tile")) for s in "ab"]
-        near = near.filter(place[0] <= place[1])
-    pairs = near.withColumn("same", same).drop("_a", "_b")
-    pairs = pairs.join(side("a"), ["a_cell", "a_tile"]).join(side("b"), ["b_cell", "b_tile"])
+        met = met.filter(place[0] <= place[1])
+    pairs = met.withColumn("same", same).drop("_a", "_b")
+    pairs = pairs.join(side(left, "a"), ["a_cell", "a_tile"]).join(side(right, "b"), ["b_cell", "b_tile"])
     pairs = pairs.drop("a_cell", "a_tile", "b_cell", "b_tile")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
