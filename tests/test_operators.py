@@ -231,6 +231,46 @@ def test_fit_and_predict(spark, model):
     assert residuals.count() == 800
 
 
+def test_residuals_take_one_exchange(spark):
+    """Rows and forecast meet on one exchange; null keys, rows without a forecast and repeated times included."""
+    start = dt.datetime(2024, 1, 1)
+    rows = [(k, start + dt.timedelta(minutes=i // 2), float(i % 5 + 40 * (i == 9))) for k in ("a", None) for i in range(30)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp, v double")
+    ahead = [(k, start + dt.timedelta(minutes=i), 2.0, 0.0, 30.0) for k in ("a", None, "other") for i in range(2, 40)]
+    expected = spark.createDataFrame(ahead, "k string, ts timestamp, yhat double, yhat_lower double, yhat_upper double")
+    flagged = anomaly.flag_residuals(df, expected, ["k"], "ts", "v", 2.0)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = flagged.select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("Exchange") == 1
+    got = flagged.toPandas()
+    spark.conf.set("spark.vitalgrid.maxSeriesRows", "20")
+    try:
+        joined = anomaly.flag_residuals(df, expected, ["k"], "ts", "v", 2.0).toPandas()
+    finally:
+        spark.conf.unset("spark.vitalgrid.maxSeriesRows")
+    assert len(got) == 60 and got["predicted"].isna().sum() == 8
+    hits = got[got["residual_anomaly"]]
+    assert len(hits) == 2 and set(hits["v"]) == {44.0} and hits["k"].isna().sum() == 1
+    order = ["k", "ts", "v"]
+    pd.testing.assert_frame_equal(
+        got.sort_values(order).reset_index(drop=True), joined.sort_values(order).reset_index(drop=True)
+    )
+
+
+def test_only_columns_with_gaps_are_ranked(spark, monkeypatch):
+    ranked = []
+    real = features.quantiles
+    monkeypatch.setattr(features, "quantiles", lambda df, by, columns, *a: ranked.extend(columns) or real(df, by, columns, *a))
+    rows = [(1.0, 5.0, float("inf"), None), (2.0, None, 3.0, None), (3.0, 7.0, 4.0, None), (4.0, float("nan"), 4.0, None)]
+    df = spark.createDataFrame(rows, "feature_a double, feature_b double, feature_c double, feature_d double")
+    got = sorted(tuple(r) for r in features.impute(df, columns=df.columns).collect())
+    assert got == [(1.0, 5.0, 4.0, 0.0), (2.0, 6.0, 3.0, 0.0), (3.0, 7.0, 4.0, 0.0), (4.0, 6.0, 4.0, 0.0)]
+    assert ranked == ["feature_b", "feature_d"]
+
+
 def test_forecast_of_short_series_is_reported(spark):
     df = spark.createDataFrame([(1, dt.datetime(2024, 1, 1), 5.0)], "k int, ts timestamp, v double")
     predicted, _residuals, report = forecast.fit_and_predict(df, ["k"], "steps", "ts", "v", model="hour_profile")

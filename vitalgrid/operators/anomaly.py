@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitalgrid.catalog import ANOMALY_SUFFIX, METHODS, METRIC_COLUMN, REASONS, SEVERITIES, THRESHOLD_RULES
 from vitalgrid.functions.expressions import any_of, nan_is_missing, share, title
-from vitalgrid.plans.series import Series, attach
+from vitalgrid.plans.series import Series, attach, has_large_series, spread
+
+BAND = ["yhat_lower", "yhat_upper"]
 
 
 def rule_for(data_type: str) -> tuple | None:
@@ -144,11 +146,22 @@ def flag_residuals(
     df: DataFrame, forecast: DataFrame, keys: list[str], ts: str, value: str, threshold_std: float = 3.0
 ) -> DataFrame:
     """``residual_anomaly``: the residual is larger than ``threshold_std`` sample deviations, or the
-    value lies outside the forecast interval. Rows without a forecast are not flagged."""
-    slim = forecast.select(*keys, F.col("ts").alias(ts), F.col("yhat").alias("predicted"), "yhat_lower", "yhat_upper")
-    rows = attach(df, slim, [*keys, ts]).withColumn("residual", F.col(value) - F.col("predicted"))
-    stats = rows.groupBy(*keys).agg(F.stddev_samp("residual").alias("_std"))
-    rows = attach(rows, stats, keys)
+    value lies outside the forecast interval. Rows without a forecast are not flagged.
+
+    Rows and forecast go through one exchange on the keys and meet in a window of equal times. Only
+    series too long for a task are matched by a join. ``forecast`` has one row per series and time."""
+    numbers = F.struct(F.col("yhat").cast("double").alias("predicted"), *[F.col(c).cast("double").alias(c) for c in BAND])
+    slim = forecast.select(*keys, F.col("ts").alias(ts), numbers.alias("_forecast"))
+    both = df.withColumn("_row", F.lit(True)).unionByName(slim, allowMissingColumns=True)
+    if keys and not has_large_series(both, keys):
+        at_time, whole = Window.partitionBy(*keys, ts), Window.partitionBy(*keys)
+        rows = spread(both, keys).withColumn("_forecast", F.max("_forecast").over(at_time)).filter("_row")
+        rows = rows.select(*df.columns, "_forecast.*").withColumn("residual", F.col(value) - F.col("predicted"))
+        rows = rows.withColumn("_std", F.stddev_samp("residual").over(whole))
+    else:
+        rows = attach(df, slim, [*keys, ts]).select(*df.columns, "_forecast.*")
+        rows = rows.withColumn("residual", F.col(value) - F.col("predicted"))
+        rows = attach(rows, rows.groupBy(*keys).agg(F.stddev_samp("residual").alias("_std")), keys)
     far = F.abs("residual") > threshold_std * F.col("_std")
     outside = (F.col(value) > F.col("yhat_upper")) | (F.col(value) < F.col("yhat_lower"))
     flag = F.coalesce(far, F.lit(False)) | F.coalesce(outside, F.lit(False))

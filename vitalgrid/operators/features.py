@@ -236,7 +236,8 @@ def feature_columns(features: DataFrame) -> list[str]:
 @nan_is_missing
 def impute(features: DataFrame, by: list[str] = (), columns: list[str] | None = None) -> DataFrame:
     """+inf becomes the largest finite value of the column, -inf the smallest, NaN and null the
-    median; a column without finite values becomes 0."""
+    median; a column without finite values becomes 0. Medians are ranked only for columns with a
+    missing cell, which one aggregate tells."""
     by = list(by)
     columns = columns or feature_columns(features)
     inf = float("inf")
@@ -248,13 +249,17 @@ def impute(features: DataFrame, by: list[str] = (), columns: list[str] | None =
     ends = clean.groupBy(*by).agg(
         *[F.min(c).alias(f"_lo_{c}") for c in columns], *[F.max(c).alias(f"_hi_{c}") for c in columns]
     )
-    medians = quantiles(clean, by, columns, [0.5])
-    stats = attach(ends, medians.select(*by, *[F.col(c)[0].alias(f"_md_{c}") for c in columns]), by)
+    gaps = features.agg(*[F.count_if(F.col(c).isNull() | F.isnan(c)).alias(c) for c in columns]).first() if columns else {}
+    missing = [c for c in columns if gaps[c]]
+    stats = ends
+    if missing:
+        medians = quantiles(clean.select(*by, *missing), by, missing, [0.5])
+        stats = attach(ends, medians.select(*by, *[F.col(c)[0].alias(f"_md_{c}") for c in missing]), by)
     rows = attach(features, stats, by)
     filled = {
         c: F.coalesce(
             F.when(F.col(c) == inf, F.col(f"_hi_{c}")).when(F.col(c) == -inf, F.col(f"_lo_{c}")).otherwise(finite(c)),
-            F.col(f"_md_{c}"),
+            F.col(f"_md_{c}") if c in missing else F.lit(None),
             F.lit(0.0),
         )
         for c in columns
@@ -269,6 +274,28 @@ def constant_columns(features: DataFrame, columns: list[str] | None = None) -> l
     return [c for c in columns if row[c] == 0]
 
 
+def _clean(features: DataFrame) -> DataFrame:
+    """Imputed, without constant columns. One aggregate finds the columns with a cell that is not a finite
+    number and the constant ones among the others; only the former are imputed and looked at again."""
+    columns = feature_columns(features)
+    if not columns:
+        return features
+
+    def odd(c):
+        return F.col(c).isNull() | F.isnan(c) | (F.abs(F.col(c)) == float("inf"))
+
+    row = features.agg(
+        F.struct(*[F.count_if(odd(c)).alias(c) for c in columns]).alias("odd"),
+        F.struct(*[F.stddev_samp(c).alias(c) for c in columns]).alias("spread"),
+    ).first()
+    filled = [c for c in columns if row["odd"][c]]
+    constant = [c for c in columns if c not in filled and row["spread"][c] == 0]
+    if filled:
+        features = impute(features, columns=filled)
+        constant += constant_columns(features, filled)
+    return features.drop(*constant)
+
+
 def drop_constant(features: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return features.drop(*constant_columns(features, columns))
 
@@ -313,7 +340,7 @@ def extract_features(
     else:
         windows = to_windows(df, keys, value, order or [ts], requested, sliced)
     matrix = stored(window_features(windows, keys, kind), "features")
-    matrix = drop_constant(impute(matrix))
+    matrix = _clean(matrix)
     used = matrix.groupBy(*keys).agg(F.count("*").alias("windows"))
     sizes = df.groupBy(*keys).agg(F.count("*").alias("original_rows"), F.count(value).alias("_known"))
     size = F.lit(requested) if data_type == "sleep" else F.coalesce(window_size(F.col("_known"), requested), F.lit(requested))
