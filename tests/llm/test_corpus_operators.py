@@ -604,6 +604,55 @@ def test_language_mixture(spark):
     assert found[6].lang_pred in names
 
 
+def plain_mixture(like, steps=language.STEPS):
+    """EM and penalised likelihood of one text, word by word: ``like`` has a row of log likelihoods per word."""
+    n, k = len(like), len(like[0])
+    odds = [[math.exp(max(x - max(row), -60)) for x in row] for row in like]
+
+    def fit(allowed):
+        pi = [1 / len(allowed) if j in allowed else 0.0 for j in range(k)]
+        for _ in range(steps if len(allowed) > 1 else 0):
+            share = [0.0] * k
+            for row in odds:
+                whole = sum(p * x for p, x in zip(pi, row)) + 1e-30
+                for j in range(k):
+                    share[j] += pi[j] * row[j] / whole / n
+            pi = share
+        return pi, sum(math.log(sum(p * x for p, x in zip(pi, row)) + 1e-30) for row in odds)
+
+    ranked = sorted(range(k), key=lambda j: -fit(set(range(k)))[0][j])
+    fits = [fit(set(ranked[:m])) for m in range(1, k + 1)]
+    cost = [-2 * f + m * math.log(n) for m, (_, f) in enumerate(fits)]
+    return fits[min(range(k), key=cost.__getitem__)][0]
+
+
+def test_language_sets_of_any_size():
+    """Texts of one to seven languages against plain EM with every size tried."""
+    rng = np.random.default_rng(3)
+    spelled = ["".join(chr(97 + (7 * lang + i) % 26) for i in range(4)) for lang in range(7)]
+    words = [["".join(rng.choice(list(s), 5)) for _ in range(30)] for s in spelled]
+    table = np.ones((7, language.BINS))
+    for lang, own in enumerate(words):
+        texts = language.Texts.of(pa.array([" ".join(own)]))
+        with np.errstate(over="ignore"):
+            _, bins = language._grams(texts, texts.words.start, texts.words.end)
+        np.add.at(table[lang], bins, 5)
+    table = np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32)
+    texts = [" ".join(" ".join(rng.choice(words[lang], 12)) for lang in range(m)) for m in range(1, 8)]
+    texts += [" ".join(rng.choice(words[a], 2 + 3 * b)) + " " + " ".join(rng.choice(words[b], 3)) for a in range(7) for b in range(7)]
+    got = language.infer(language.Texts.of(pa.array(texts)), table)
+    for text, share in zip(texts, got):
+        like = []
+        for word in text.split():
+            one = language.Texts.of(pa.array([word]))
+            with np.errstate(over="ignore"):
+                _, bins = language._grams(one, one.words.start, one.words.end)
+            like.append([float(table[lang][bins].sum(dtype=np.float64)) for lang in range(7)])
+        assert share == pytest.approx(plain_mixture(like), abs=1e-3)
+    assert [(row > 0.05).sum() for row in got[:7]] == [1, 2, 3, 4, 5, 6, 7]
+    assert got[4][got[4] > 0.05] == pytest.approx([0.2] * 5, abs=0.02)
+
+
 def test_language_odd_rows(spark):
     docs = odd_docs(spark)
     names, learned = language.learn(language.labelled(docs))
@@ -688,6 +737,18 @@ def test_language_model_odd_rows(spark):
     assert {(r.score, r.base_score) for r in kneser.score(docs, nothing).collect()} == {(0.0, 0.0)}
 
 
+def test_counts_in_files_are_whole(tmp_path):
+    """Counts above 2^24 and above 2^32 come back as they are."""
+    key = np.sort(np.random.default_rng(1).integers(0, 1 << 48, 500)).astype(np.uint64)
+    for top in ((1 << 24) + 1, (1 << 32) - 1, (1 << 40) + 1):
+        count = (top - np.arange(500)).astype(np.uint64)
+        uri = f"file://{tmp_path}/counts-{top}"
+        kneser._write(uri, key, [count, count // 2])
+        a, b = kneser.HashArray(uri, 2)(np.append(key, np.uint64(5)))
+        assert a[:-1].tolist() == count.tolist() and b[:-1].tolist() == (count // 2).tolist() and a[-1] == b[-1] == 0
+    assert kneser.HashArray(f"file://{tmp_path}/none", 2)(key)[0].sum() == 0
+
+
 def test_packed_columns():
     a, b = np.sort(np.random.default_rng(0).integers(0, 1 << 48, 1000)).astype(np.uint64), np.arange(1000, dtype=np.uint64)
     with np.errstate(over="ignore"):

@@ -135,17 +135,19 @@ def _tally(counts: np.ndarray) -> list[int]:
 
 
 def _write(uri: str, key: np.ndarray, columns: list[np.ndarray]) -> None:
-    """A sorted hash array: a directory over the top 16 of 48 key bits, the other 32 bits, then float32
-    columns. Written under a name of its own and renamed, so a task that runs again does no harm."""
+    """A sorted hash array: the width of a count in words of 32 bits (two if one of them needs it), a directory
+    over the top 16 of 48 key bits, the other 32 bits, then the columns of whole counts. Written under a name of its own and renamed, so a task that runs again does no harm."""
     directory = np.searchsorted(key >> _U(32), np.arange((1 << 16) + 1, dtype=_U)).astype(np.uint32)
+    width = 1 + any(len(c) and int(c.max()) >= 1 << 32 for c in columns)
     files, path = pyarrow.fs.FileSystem.from_uri(uri)
     files.create_dir(os.path.dirname(path), recursive=True)
     draft = f"{path}.{os.getpid()}.{os.urandom(4).hex()}"
     with files.open_output_stream(draft) as out:
+        out.write(np.uint32(width).tobytes())
         out.write(directory.tobytes())
         out.write((key & _U(0xFFFFFFFF)).astype(np.uint32).tobytes())
         for c in columns:
-            out.write(c.astype(np.float32).tobytes())
+            out.write(c.astype(np.uint32 if width == 1 else _U).tobytes())
     files.move(draft, path)
 
 
@@ -156,7 +158,7 @@ class HashArray:
     def __init__(self, uri: str, columns: int):
         files, path = pyarrow.fs.FileSystem.from_uri(uri)
         if files.get_file_info(path).type == pyarrow.fs.FileType.NotFound:
-            raw = np.zeros((1 << 16) + 1, np.uint32)
+            raw = np.zeros((1 << 16) + 2, np.uint32)
         elif isinstance(files, pyarrow.fs.LocalFileSystem):
             raw = np.memmap(path, np.uint32, "r")
         else:
@@ -165,10 +167,11 @@ class HashArray:
                     copy.write(chunk)
                 copy.flush()
                 raw = np.memmap(copy, np.uint32, "r")
-        head = (1 << 16) + 1
-        n = (len(raw) - head) // (columns + 1)
-        self.directory, self.low = raw[:head], raw[head : head + n]
-        self.columns = [raw[head + n * (i + 1) : head + n * (i + 2)].view(np.float32) for i in range(columns)]
+        width, head = max(1, int(raw[0])), (1 << 16) + 2
+        n = (len(raw) - head) // (1 + columns * width)
+        self.directory, self.low = raw[1:head], raw[head : head + n]
+        edge = [head + n + n * width * i for i in range(columns + 1)]
+        self.columns = [raw[a:b].view(np.uint32 if width == 1 else _U) for a, b in zip(edge, edge[1:])]
 
     def __call__(self, key: np.ndarray) -> list[np.ndarray]:
         """Columns at the keys, 0 where a key is absent."""

@@ -3,8 +3,9 @@
 Every language is a hashed character n-gram model learned from labelled texts. A text is a mixture:
 each word comes from language l with probability pi_l, and its likelihood under l is the product of
 its n-gram probabilities. Expectation-maximisation estimates pi for every text; the set of languages
-is chosen by penalised likelihood (BIC), growing from the strongest language; the prediction is the
-language with the largest proportion, and that proportion is the score.
+is chosen by penalised likelihood (BIC) among the strongest language, the strongest two, and so on up
+to all learned languages; the prediction is the language with the largest proportion, and that
+proportion is the score.
 """
 
 from __future__ import annotations
@@ -22,8 +23,6 @@ BINS = 1 << 16
 #: Byte n-grams of this many bytes inside a word and its borders.
 ORDERS = (2, 3)
 STEPS = 8
-#: Most languages that one text is split into.
-MAX_MIX = 4
 UNKNOWN = "und"
 
 _U = np.uint64
@@ -95,7 +94,7 @@ def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     return names, np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32) if names else table
 
 
-def infer(texts: Texts, table: np.ndarray, max_mix: int = MAX_MIX) -> np.ndarray:
+def infer(texts: Texts, table: np.ndarray) -> np.ndarray:
     """Proportions (texts x languages) of the chosen language sets; 0 for a text without letters."""
     words, n, k = texts.words, len(texts), len(table)
     share = np.zeros((n, k))
@@ -109,9 +108,11 @@ def infer(texts: Texts, table: np.ndarray, max_mix: int = MAX_MIX) -> np.ndarray
     present = np.flatnonzero(words.per_text)  # texts with words; theirs stand one after the other
     size, first = words.per_text[present], words.first[present]
 
-    def fit(rows: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def fit(rows: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """EM for some of the present texts over the languages allowed to each (languages x rows):
-        proportions and log likelihoods (of words relative to their best language)."""
+        proportions, log likelihoods (of words relative to their best language), and an upper bound of the log
+        likelihood under any proportions (log is concave: it gains at most the length times the log of the
+        largest factor of a further step)."""
         length = size[rows]
         start = np.cumsum(length) - length
         of = np.repeat(np.arange(len(rows)), length)
@@ -121,27 +122,29 @@ def infer(texts: Texts, table: np.ndarray, max_mix: int = MAX_MIX) -> np.ndarray
             joint = own * pi[:, of]
             whole = joint.sum(axis=0) + np.float32(1e-30)
             if step == STEPS or allowed.sum(axis=0).max() == 1:
-                return pi, np.add.reduceat(np.log(whole.astype(np.float64)), start)
+                found = np.add.reduceat(np.log(whole.astype(np.float64)), start)
+                factor = np.add.reduceat(own / whole, start, axis=1).max(axis=0) / length
+                return pi, found, found + length * np.log(np.maximum(factor, 1.0))
             joint /= whole
             pi = np.add.reduceat(joint, start, axis=1) / length.astype(np.float32)
 
     every = np.arange(len(present))
-    full, full_fit = fit(every, np.ones((k, len(present))))
+    full, full_fit, bound = fit(every, np.ones((k, len(present))))
     rank = np.argsort(np.argsort(-full, axis=0, kind="stable"), axis=0, kind="stable")
-    chosen, fitted = fit(every, (rank < 1).astype(float))
-    chosen, cost, growing = chosen.copy(), -2 * fitted, every
-    for m in range(2, min(max_mix, k) + 1):  # grow a text's set for as long as the penalised fit gains
-        if not len(growing):
+    chosen, fitted, _ = fit(every, (rank < 1).astype(float))
+    chosen, cost, open_ = chosen.copy(), -2 * fitted, every
+    for m in range(2, k + 1):  # all sizes, but for texts whose bound cannot pay for that many languages
+        open_ = open_[-2 * bound[open_] + (m - 1) * np.log(size[open_]) < cost[open_] - 1e-9]
+        if not len(open_):
             break
         if m == k:
-            pi, fitted = full[:, growing], full_fit[growing]
+            pi, fitted = full[:, open_], full_fit[open_]
         else:
-            pi, fitted = fit(growing, (rank[:, growing] < m).astype(float))
-        penalised = -2 * fitted + (m - 1) * np.log(size[growing])
-        gain = penalised < cost[growing] - 1e-9
-        chosen[:, growing[gain]] = pi[:, gain]
-        cost[growing[gain]] = penalised[gain]
-        growing = growing[gain]
+            pi, fitted, _ = fit(open_, (rank[:, open_] < m).astype(float))
+        penalised = -2 * fitted + (m - 1) * np.log(size[open_])
+        gain = penalised < cost[open_] - 1e-9
+        chosen[:, open_[gain]] = pi[:, gain]
+        cost[open_[gain]] = penalised[gain]
     share[present] = chosen.T
     share[~_lettered(texts)] = 0
     return share
@@ -158,7 +161,7 @@ def _lettered(texts: Texts) -> np.ndarray:
     return out
 
 
-def identify(docs: DataFrame, names: list[str], table: np.ndarray, max_mix: int = MAX_MIX) -> DataFrame:
+def identify(docs: DataFrame, names: list[str], table: np.ndarray) -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` (0 to 1) and ``lang_mix`` (language -> proportion).
 
     A text that is null or has no letter gets ``und``, score 0 and an empty mix; so does every text
@@ -173,7 +176,7 @@ def identify(docs: DataFrame, names: list[str], table: np.ndarray, max_mix: int
         names, table = shared.value
         texts = Texts.of(part.column("text"))
         if names:
-            share = infer(texts, table, max_mix)
+            share = infer(texts, table)
         else:
             share = np.zeros((len(texts), 1))
         at, score = share.argmax(axis=1), np.clip(share.max(axis=1), 0.0, 1.0)
