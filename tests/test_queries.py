@@ -18,6 +18,10 @@ SLICED = [
     "x2_windows",
     "x23_impute",
     "n2_sustained_threshold",
+    "n5_residual_anomaly",
+    "n5_residual_report",
+    "l3_detect",
+    "x26_extract_features",
     "r4_predict",
     "m6_nan",
     "q1_nan",
