@@ -372,6 +372,30 @@ def test_classes_of_a_chain_and_a_hot_group(spark):
     assert sorted(kept.doc_id) == sorted(set(found.class_id))
 
 
+def test_rare_pairs_lose_no_link_and_pair_no_template(spark):
+    """Every link is among the pairs; texts that differ from a template by 30 % each make no pair."""
+    random.seed(3)
+    words = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(80):  # far from the template, each in places of its own
+        copy = list(words)
+        for k in range(14):
+            copy[random.randrange(300)] = f"c{i}_{k}"
+        rows.append((i, " ".join(copy)))
+    for i in range(60):  # near each other, of several lengths, with repeated shingles
+        copy = [f"v{j % 70}" for j in range(random.randrange(120, 180))]
+        for k in range(random.randrange(4)):
+            copy[random.randrange(len(copy))] = f"d{i}_{k}"
+        rows.append((1000 + i, " ".join(copy)))
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    left = texts.select(F.col("doc_id").alias("rep"), F.col("doc_id").alias("root"))
+    pairs = {tuple(r) for r in bagmin._rare_pairs(left, texts, bagmin.SIMILARITY).collect()}
+    sets = {i: multiset(t) for i, t in rows}
+    links = {(a, b) for a in sets for b in sets if a < b and weighted_jaccard(sets[a], sets[b]) >= bagmin.SIMILARITY}
+    assert len(links) > 100 and links <= pairs
+    assert not [p for p in pairs - links if p[1] < 1000]
+
+
 def test_classes_odd_rows(spark):
     docs = odd_docs(spark)
     found = sorted(tuple(r) for r in bagmin.classes(docs).select("doc_id", "class_id").collect())

@@ -11,9 +11,9 @@ Registers are hashed in bands; texts that share a band are candidates and are ve
 overlap of their multisets. Copies collapse first. A bucket's members are compared with its most
 central text, the one whose bands are the most common, which joins a true group without pairing its
 members; buckets that still hold several classes try more central texts. What then shares a bucket
-across classes goes through an exact prefix filter on its rarest shingles, so that no link between
-classes is lost and what many texts have in common pairs nobody. Classes are the connected components
-of the verified links.
+across classes goes through an exact prefix filter on its rarest shingles, bounded by their positions,
+so that no link between classes is lost and what many texts have in common pairs nobody. Classes are
+the connected components of the verified links.
 """
 
 from __future__ import annotations
@@ -28,11 +28,9 @@ from vitalgrid.session import stored
 
 SHINGLE = 5
 SIMILARITY = 0.8
+#: Candidates share a band; two texts of similarity 0.8 share none with probability 5e-5.
 BANDS, ROWS = 25, 5
 SIGNATURE = BANDS * ROWS
-#: Bands that candidates share at least; two texts of similarity 0.8 share fewer with probability 6e-4,
-#: more similar ones hardly ever.
-SHARED = 2
 #: Central texts that a bucket with several classes tries.
 MORE_LEADERS = 8
 #: Text bytes whose signatures are made together.
@@ -215,7 +213,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     )
     dealt = nodes.select("rep", F.explode("bands").alias("bucket"))
     company = dealt.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
-    held = _dense(stored(dealt.join(company, "bucket").withColumn("root", F.col("rep")), "buckets")).drop("root")
+    held = stored(dealt.join(company, "bucket"), "buckets")
     fame = held.groupBy("rep").agg(F.sum("size").alias("fame"))  # central texts have the common bands
     weights = nodes.groupBy("rep").agg(F.min("weight").alias("least"), F.max("weight").alias("most"))
     members = stored(held.select("bucket", "rep").join(fame.join(weights, "rep"), "rep"), "members")
@@ -284,54 +282,58 @@ def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
     rooted = members.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "rep"))
     several = rooted.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
-    return _dense(stored(rooted.join(several.select("bucket"), "bucket"), "mixed"))
-
-
-def _dense(members: DataFrame, rounds: int = 2) -> DataFrame:
-    """Members that can still share ``SHARED`` buckets with another class: those in so many buckets of
-    several classes, counted again when others have gone. What meets by chance meets in one bucket."""
-    for _ in range(rounds):
-        busy = members.groupBy("rep").agg(F.count("*").alias("_n")).filter(F.col("_n") >= SHARED).select("rep")
-        members = members.join(busy, "rep")
-        several = members.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
-        members = members.join(several.select("bucket"), "bucket")
-    return stored(members, "dense")
+    return stored(rooted.join(several.select("bucket"), "bucket"), "mixed")
 
 
 def _rare_pairs(left: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of members of different classes that a link is still possible between, by prefix filtering:
-    with the shingles of all texts in one order, rarest first, two texts of this similarity share one
-    of the first shingles that make up more than 1 - similarity of either text's weight. No pair is
-    lost, and what many texts have in common pairs nobody."""
+    """Pairs of members of different classes that a link is still possible between, by prefix filtering.
+
+    The shingles of all texts have one order, rarest first. Before the first shingle that two texts share
+    nothing is common to them, so their overlap is at most what either text has from there on; a link needs
+    an overlap of similarity / (1 + similarity) of both weights together. For the lighter text that leaves
+    shingles with at most (1 - similarity) / (1 + similarity) of its weight before them, for the heavier one
+    1 - similarity. No pair is lost. A text that differs too much from a template by words of its own has
+    only those among them, so what many texts have in common pairs nobody.
+    """
     members = left.select("rep", "root").distinct()
     texts = texts.join(members, F.col("doc_id") == F.col("rep"), "left_semi")
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
         doc, item, weight = multisets(Texts.of(part.column("text")))
-        total = np.bincount(doc, weight, minlength=part.num_rows)[doc]
+        total = np.bincount(doc, weight, minlength=part.num_rows).astype(np.int64)
+        # texts that share an id are told apart by a hash of their shingles
+        first = np.searchsorted(doc, np.arange(part.num_rows + 1))
+        sums = np.zeros(len(doc) + 1, _U)
+        np.cumsum(mix(item ^ mix(weight.astype(_U))), out=sums[1:])
+        version = mix(sums[first[1:]] - sums[first[:-1]]).view(np.int64)
         return pa.RecordBatch.from_arrays(
             [
                 part.column("doc_id").take(pa.array(doc)),
+                pa.array(version[doc]),
                 pa.array(item.view(np.int64)),
-                pa.array(weight.astype(np.int64)),
-                pa.array(total.astype(np.int64)),
+                pa.array(weight.astype(np.int32)),
+                pa.array(total[doc]),
             ],
-            names=["rep", "shingle", "n", "total"],
+            names=["rep", "version", "shingle", "n", "total"],
         )
 
-    items = stored(over_texts(texts, "text", work, "rep long, shingle long, n long, total long", TOGETHER).distinct(), "items")
+    schema = "rep long, version long, shingle long, n int, total long"
+    items = stored(over_texts(texts, "text", work, schema, TOGETHER).distinct(), "items")
     common = items.groupBy("shingle").agg(F.count("*").alias("texts"))
-    rarest = Window.partitionBy("rep", "total").orderBy("texts", "shingle")  # a text's own shingles
+    rarest = Window.partitionBy("rep", "version", "total").orderBy("texts", "shingle")  # a text's own shingles
     before = F.sum("n").over(rarest.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
     ranked = items.join(common, "shingle").withColumn("before", before)
     prefix = ranked.filter((F.col("texts") > 1) & (F.col("before") <= (1 - similarity) * F.col("total") + 1e-9))
-    prefix = stored(prefix.join(members, "rep").select("rep", "root", "shingle", "total"), "prefixes")
-    several = prefix.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
-    dealt = prefix.join(several.select("shingle"), "shingle")
-    x, y = dealt.alias("x"), dealt.alias("y")
+    prefix = stored(prefix.join(members, "rep").select("rep", "root", "shingle", "total", "before"), "prefixes")
+    lighter = prefix.filter(F.col("before") <= (1 - similarity) / (1 + similarity) * F.col("total") + 1e-9)
+    x, y = lighter.alias("x"), prefix.alias("y")
     return (
         x.join(y, "shingle")
-        .filter(F.expr(f"x.root < y.root and x.total >= {similarity} * y.total and y.total >= {similarity} * x.total"))
+        .filter(F.expr(f"""
+            x.root <> y.root and (x.total < y.total or x.total = y.total and x.rep < y.rep)
+            and x.total >= {similarity}D * y.total
+            and least(x.total - x.before, y.total - y.before)
+                >= {similarity / (1 + similarity)!r}D * (x.total + y.total) - 1e-9D"""))
         .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
         .distinct()
     )
