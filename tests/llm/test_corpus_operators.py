@@ -465,6 +465,28 @@ def test_secrets_in_env_lines():
     assert secrets.spans_of("your key and token for authentication_required administrators-responsibilities", novelty) == []
 
 
+def test_random_strings_of_every_kind_are_novel():
+    """200 random strings each after a sensitive word; names, words and addresses in the same place are none."""
+    random.seed(4)
+    low = "abcdefghijklmnopqrstuvwxyz"
+    kinds = {low: 0.85, low.upper(): 0.95, "0123456789": 0.95, low + low.upper() + "!@#$%^&*": 0.9, low + "0123456789": 0.95}
+    words = "the value of this setting is read when a service starts and kept until it ends".split()
+    novelty = secrets.Novelty(["configuration", "identifier", "default_value", *words])
+    for letters, share in kinds.items():
+        found = 0
+        for _ in range(200):
+            value = "".join(random.choices(letters, k=24))
+            text = f"{' '.join(random.choices(words, k=20))} secret is {value} {' '.join(random.choices(words, k=20))}"
+            at = text.index(value)
+            found += any(s <= at + 1 and e >= at + 23 for _, s, e, _ in secrets.spans_of(text, novelty))
+        assert found >= share * 200, letters
+    for plain in ("AbstractConfigurationFactory", "user.name@mail.example.com", "john.smith42@example.com",
+                  "AWS_DEFAULT_REGION_NAME", "**configuration_identifier**", "read-when-a-service-starts."):
+        assert secrets.spans_of(f"the secret token is {plain} of this", novelty) == [], plain
+    counted = "secret qwzxvkjhgfdsapoiuytr and Zx9Qw7Lk3Vb1Nm5Rt8Yp2Hs6"
+    assert len(secrets.candidates(counted)) == 2 and secrets.is_possible("qwzxvkjhgfdsapoiuytr")
+
+
 def test_redaction(spark):
     docs = spark.createDataFrame([(i, t, 7) for i, t in enumerate(SECRETS)], "doc_id long, text string, n_chars long")
     found = {r.doc_id: r for r in secrets.redacted(secrets.scan(docs)).collect()}

@@ -1,11 +1,13 @@
 """Secret scan: fixed patterns, and strings in a sensitive context that zstandard finds novel.
 
 A candidate is a long token, or the value behind a token's first = sign, close after a sensitive word;
-the name before = may be that word. Its novelty is the
+the name before = may be that word. Letters of one case, digits and special characters all count, but
+not names and words, the pieces of which are short, and mail addresses. Its novelty is the
 number of compressed bytes it adds to the code around it, with a dictionary of identifiers primed
 beforehand: bytes(context + candidate) - bytes(context). A name that the code or the dictionary
 already holds costs a few bytes; a random string costs nearly its information content. Candidates at
-``NOVELTY`` compressed bytes per character or more are reported as ``novel``.
+``NOVELTY`` compressed bytes per character or more are reported as ``novel``; letters of one case need
+``ONE_CASE_NOVELTY``, since rare words are nearly as novel.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ CONTEXT = 160
 REACH = 64
 #: Compressed bytes per character from which a candidate is novel (random hex digits carry 0.5).
 NOVELTY = 0.45
+#: The same for candidates without digits that are no more than letters of one case in a row.
+ONE_CASE_NOVELTY = 0.65
 #: Identifiers in the dictionary: the most frequent ones of all sensitive contexts.
 DICTIONARY_SIZE = 2_000
 #: Distinct identifiers that a task counts before it hands them on.
@@ -44,15 +48,25 @@ _ASSIGN_LEAST, _ACCESS_LEAST = 8, 16
 
 _SENSITIVE = re.compile(r"(?i:key|secret|token|passw|pwd|auth|credential|bearer|private)", re.ASCII)
 _SENSITIVE_WORDS = ["key", "secret", "token", "passw", "pwd", "auth", "credential", "bearer", "private"]
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.-]{8,}")
+_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.!@#$%^&*~-]{8,}")
 _LETTER, _DIGIT = re.compile(r"[A-Za-z]"), re.compile(r"[0-9]")
 _CASES = re.compile(r"[a-z](?=[A-Z])|[A-Z](?=[a-z])")
-#: Changes of case per character from which a bare token without digits is no word or camelCase name.
+#: Changes of case per letter from which a token without digits is no word or camelCase name.
 CASES = 0.4
+# special characters with something on either side
+_SPECIAL = re.compile(r"(?<=.)[!@#$%^&*~](?=.)")
+#: Special characters from which a token is no word, whatever its letters.
+SPECIALS = 2
+#: Letters of one case in a row from which a token may be a secret: hardly any word has so many.
+ONE_CASE = 20
+_ONE_CASE = re.compile(rf"[a-z]{{{ONE_CASE},}}|[A-Z]{{{ONE_CASE},}}")
+_ADDRESS = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 # a name and the separator before its value; = at the end is padding
 _NAMED = re.compile(r"[A-Za-z0-9/_.-]+=+(?=[^=])")
-#: Characters of the shortest candidate, and of the shortest value after a name.
-LEAST_TOKEN, LEAST_VALUE = 16, 8
+#: Characters of the shortest candidate, and of the shortest value after a name; digits in a row of the
+#: shortest number.
+LEAST_TOKEN, LEAST_VALUE, LEAST_NUMBER = 16, 8, 16
+_NUMBER = re.compile(rf"[0-9]{{{LEAST_NUMBER},}}")
 _IDENTIFIER = re.compile(r"[A-Za-z_]{4,40}")
 
 SPAN = "struct<kind:string,start:int,end:int,secret_start:int>"
@@ -83,27 +97,50 @@ def is_sensitive(text: str) -> bool:
     return any(word in low for word in _SENSITIVE_WORDS)
 
 
+def is_wordy(token: str) -> bool:
+    """Whether a token looks like words or a name: no digits, few special characters and changes of case."""
+    if _DIGIT.search(token) or len(_SPECIAL.findall(token)) >= SPECIALS:
+        return False
+    return len(_CASES.findall(token)) < CASES * len(_LETTER.findall(token))
+
+
+def is_possible(token: str, named: bool = False) -> bool:
+    """Whether a token may be a secret at all, which its novelty then decides. A value after a name needs
+    a letter only; without a letter, or in words, a long enough run of digits or letters of one case."""
+    if _ADDRESS.fullmatch(token):
+        return False
+    if not _LETTER.search(token):
+        return bool(_NUMBER.search(token)) or len(_SPECIAL.findall(token)) >= SPECIALS and bool(_DIGIT.search(token))
+    return named or not is_wordy(token) or bool(_ONE_CASE.search(token))
+
+
 def candidates(text: str) -> list[tuple[int, int]]:
     """Spans of long tokens, or of values in name=value, that begin within ``REACH`` characters after a
-    sensitive word and have letters. A bare token has digits or often changes case, too: rare words of
-    running text are as novel as secrets."""
+    sensitive word and may be secrets. Marks that frame a token or end a sentence are not part of it."""
     reach = -1
     found, marks = [], _SENSITIVE.finditer(text)
     mark = next(marks, None)
     for m in _CANDIDATE.finditer(text):
-        start, least = m.start(), LEAST_TOKEN
+        start, end, least = m.start(), m.end(), LEAST_TOKEN
         name = _NAMED.match(m.group())
         if name:
             start, least = start + name.end(), LEAST_VALUE
-        elif not _DIGIT.search(m.group()) and len(_CASES.findall(m.group())) < CASES * len(m.group()):
-            least = len(text) + 1
+        while end - start >= least and text[start] == text[end - 1] and text[start] in "*#~_":
+            start, end = start + 1, end - 1
+        if text[end - 1] in ".!" and (end == len(text) or text[end].isspace()):
+            end -= 1
         while mark is not None and mark.end() <= start:
             reach, mark = mark.end() + REACH, next(marks, None)
-        if m.end() - start >= least and start <= reach and _LETTER.search(text, start, m.end()):
-            found.append((start, m.end()))
+        if end - start >= least and start <= reach and is_possible(text[start:end], bool(name)):
+            found.append((start, end))
     return found
 
 
+def novelty_needed(token: str, named: bool, least: float = NOVELTY) -> float:
+    """Compressed bytes per character from which a candidate is reported."""
+    return max(least, ONE_CASE_NOVELTY) if not named and _LETTER.search(token) and is_wordy(token) else least
+
+
 def surroundings(text: str, start: int, end: int) -> tuple[str, str]:
     return text[max(0, start - CONTEXT) : start], text[end : end + CONTEXT]
 
@@ -128,7 +165,7 @@ class Novelty:
 
 
 def identifiers(docs: DataFrame, size: int = DICTIONARY_SIZE) -> list[str]:
-    """The ``size`` most frequent identifiers (letters and underscores only, so no secret enters)
+    """The ``size`` most frequent identifiers (words of letters and underscores, none that may be a secret)
     around the candidates of all documents; ties by name."""
 
     def count(batches):
@@ -140,7 +177,7 @@ def identifiers(docs: DataFrame, size: int = DICTIONARY_SIZE) -> list[str]:
                         continue
                     for start, end in candidates(text):
                         for side in surroundings(text, start, end):
-                            seen.update(_IDENTIFIER.findall(side))
+                            seen.update(x for x in _IDENTIFIER.findall(side) if not is_possible(x))
                     if len(seen) >= FLUSH:
                         yield _counted(seen)
                         seen = Counter()
@@ -167,7 +204,8 @@ def spans_of(text: str, novelty: Novelty, least: float = NOVELTY) -> list[tuple[
         if any(s < end and start < e for _, s, e, _ in base):
             continue
         before, after = surroundings(text, start, end)
-        if novelty(before, text[start:end], after) >= least:
+        named = start > 0 and text[start - 1] == "="
+        if novelty(before, text[start:end], after) >= novelty_needed(text[start:end], named, least):
             more.append(("novel", start, end, start))
     return _ordered(base + more)
 
