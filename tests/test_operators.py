@@ -516,3 +516,70 @@ def test_seasonal_prediction_is_the_design_times_its_coefficients(spark):
         us = np.array([int((ts - dt.datetime(1970, 1, 1)).total_seconds()) * 1_000_000 for ts in got])
         design = shape.design((us - m["start_us"]) / m["length_us"], us % forecast.DAY_US / forecast.DAY_US)
         assert len(got) >= 300 and list(got.values()) == pytest.approx(m["level"] + design @ np.array(m["beta"]), abs=1e-8)
+
+
+def test_distances_by_product():
+    """A matrix product decides like sums by dimension, also at the limit, for copies and far from the origin."""
+    from vitalgrid.plans import tiles
+
+    rng = np.random.default_rng(5)
+    for shift in (0.0, 1e6):
+        a = rng.integers(-2, 3, (60, 20)) * 0.25 + shift
+        b = np.vstack([a[:20], rng.integers(-2, 3, (50, 20)) * 0.25 + shift])
+        squares = tiles.squared_distances(a, b)
+        for limit in (0.0, 1.0, float(np.median(squares))):
+            assert (tiles.within(a, b, limit) == (squares <= limit)).all()
+        assert np.allclose(tiles.distances(a, b), np.sqrt(squares), rtol=1e-10, atol=0)
+    b[3, 1] = np.inf
+    assert (tiles.within(a, b, 1.0) == (tiles.squared_distances(a, b) <= 1.0)).all()
+
+
+def test_dbscan_of_crowded_cells(spark, monkeypatch):
+    """Tiles of crowded cells do not all meet: in many dimensions cells divide nothing, and the comparisons of tiles
+    grew with the square of the points."""
+    from vitalgrid.operators import cluster as module
+    from vitalgrid.plans import tiles
+
+    met = []
+
+    def counted(points, evaluate, schema, *a, **k):
+        tally = spark.sparkContext.accumulator(0)
+
+        def one(x, y, same):
+            tally.add(1)
+            return evaluate(x, y, same)
+
+        met.append(tally)
+        return tiles.compare_tiles(points, one, schema, *a, **k, tile=16)
+
+    monkeypatch.setattr(module, "compare_tiles", counted)
+    monkeypatch.setattr(module, "TILE", 16)
+    rng = np.random.default_rng(3)
+    x = np.vstack([rng.normal(0.3, 0.08, (300, 12)), rng.normal(0.9, 0.08, (200, 12)), rng.uniform(0, 1.2, (12, 12))])
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(x)], "id long, vec array<double>")
+    pairs = []
+    for crowded in (10**9, 8):
+        monkeypatch.setattr(module, "CROWDED", crowded)
+        met.clear()
+        labels, _report = cluster.dbscan(df, "id", "vec", 0.6, 5)
+        assert [r["cluster"] for r in labels.orderBy("id").collect()] == brute_dbscan(x, 0.6, 5).tolist()
+        pairs.append(sum(t.value for t in met))
+    assert pairs[1] < pairs[0]
+
+
+def test_silhouette_in_large_tiles(spark, monkeypatch):
+    """Few tiles of many points, compared block by block: one row per point, label and pair of tiles comes back."""
+    monkeypatch.setattr(cluster, "TILE", 8)
+    monkeypatch.setattr(cluster, "BLOCK", 8)
+    rng = np.random.default_rng(9)
+    x, label = rng.normal(size=(600, 12)), rng.integers(0, 3, 600)
+    x[1], label[0] = x[0], 9
+    df = spark.createDataFrame([(i, p.tolist(), int(c)) for i, (p, c) in enumerate(zip(x, label))], "id long, vec array<double>, cluster int")
+    apart = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    scores = []
+    for i in range(600):
+        mine = label == label[i]
+        a = apart[i][mine].sum() / max(1, mine.sum() - 1)
+        b = min(apart[i][label == c].mean() for c in set(label) - {label[i]})
+        scores.append(0.0 if mine.sum() == 1 else (b - a) / max(a, b))
+    assert abs(cluster.silhouette(df).first()[0] - np.mean(scores)) < 1e-9

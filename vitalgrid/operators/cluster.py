@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from vitalgrid.catalog import TOO_FEW_ROWS
 from vitalgrid.functions.expressions import share
 from vitalgrid.plans.series import Series, attach
-from vitalgrid.plans.tiles import compare_tiles, squared_distances
+from vitalgrid.plans.tiles import TILE, compare_tiles, distances, within
 from vitalgrid.session import checkpointed, stored
 
 SEED = 42
@@ -26,6 +26,12 @@ MAX_ITERATIONS = 300
 FEW = 64
 #: Boxes across a small cell, per dimension.
 PARTS = 4
+#: Points a cell on average from which tiles first meet a few others only.
+CROWDED = 4 * TILE
+#: Most points of a tile of the exact silhouette, sums that a pair of tiles returns, and points compared at a time.
+LARGE_TILE = 16_384
+MOST_SUMS = 8_000_000
+BLOCK = 512
 
 
 def standardize(df: DataFrame, columns: list[str], by: list[str] = ()) -> DataFrame:
@@ -288,13 +294,24 @@ def _spanning_edges(a: np.ndarray, b: np.ndarray, same: bool, near: np.ndarray)
     return np.concatenate([none, *u]), np.concatenate([none, *v])
 
 
-def _between_boxes(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Squared distances of the nearest and of the farthest corners of boxes (lows, then highs). Rounding keeps
-    order, so no two points of the boxes have a computed distance outside these."""
-    least, most = np.zeros((len(a), len(b))), np.zeros((len(a), len(b)))
+def _may_touch(a: np.ndarray, b: np.ndarray, limit: float) -> np.ndarray:
+    """Pairs of boxes whose centres are no farther apart than their radii and the root of ``limit``, with a little more
+    for rounding."""
+    d = a.shape[1] // 2
+    centre_a, centre_b = (x[:, :d] + (x[:, d:] - x[:, :d]) / 2 for x in (a, b))
+    radius_a, radius_b = (np.sqrt(((x[:, d:] - x[:, :d]) ** 2).sum(axis=1)).max(initial=0.0) / 2 for x in (a, b))
+    size = max(np.abs(a).max(initial=0.0), np.abs(b).max(initial=0.0))
+    reach = (np.sqrt(limit) + radius_a + radius_b) * (1 + 1e-9) + 1e-12 * d * size
+    return within(centre_a, centre_b, reach * reach) if np.isfinite(reach) else np.ones((len(a), len(b)), dtype=bool)
+
+
+def _between_boxes(a: np.ndarray, b: np.ndarray, p: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Squared distances of the nearest and of the farthest corners of pairs of boxes (lows, then highs). Rounding
+    keeps order, so no two points of the boxes have a computed distance outside these."""
+    least, most = np.zeros(len(p)), np.zeros(len(p))
     d = a.shape[1] // 2
     for i in range(d):
-        up, down = a[:, i + d, None] - b[None, :, i], b[None, :, i + d] - a[:, i, None]
+        up, down = a[p, i + d] - b[q, i], b[q, i + d] - a[p, i]
         least += np.maximum(np.maximum(-up, -down), 0) ** 2
         most += np.maximum(up, down) ** 2
     return least, most
@@ -332,9 +349,11 @@ def dbscan(
     all dimensions. All points of a small cell (``eps`` over the root of the dimensions) are neighbours: with
     ``min_samples`` rows in it they are core without a comparison, and its core points are one node of the
     links. So only points of thinly filled small cells are compared one by one, and a dense place costs in
-    proportion to its points. Links between small cells are decided by the corners of boxes of their core
+    proportion to its points. In crowded cells tiles first meet a few others: points that have their neighbours then
+    are core whatever else is near, and only the others meet all. Links between small cells are decided by the corners of boxes of their core
     points; the points themselves are compared only for boxes that the corners leave open, and only while
-    nothing else connects the two cells. Rows need a vector without nulls.
+    nothing else connects the two cells; in crowded cells a few tiles are linked first, and what hangs together
+    by then is not compared again. Rows need a vector without nulls.
     """
     data = points.select(F.col(id).alias("id"), F.transform(vec, lambda x: x.cast("double")).alias("vec"))
     total = data.count()
@@ -353,18 +372,23 @@ def dbscan(
     across = F.aggregate(F.zip_with("_high", "_low", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
     filled = filled.select(*small, "_rows", (across <= limit).alias("_tight"))
     merged = checkpointed(attach(merged, filled, small).withColumn("sure", F.col("_tight") & (F.col("_rows") >= need)))
-    loose = merged.filter("not sure")
 
     def count_both(a, b, same):
-        near = squared_distances(a.vec, b.vec) <= limit
+        near = within(a.vec, b.vec, limit)
         to_a = near @ b.weight
         if same:
             return {"id": a.id, "n": to_a}
         return {"id": np.concatenate([a.id, b.id]), "n": np.concatenate([to_a, a.weight @ near])}
 
     def count_near(a, b, same):
-        return {"id": a.id, "n": (squared_distances(a.vec, b.vec) <= limit) @ b.weight}
+        return {"id": a.id, "n": within(a.vec, b.vec, limit) @ b.weight}
 
+    if _crowded(merged, cells):
+        probe = compare_tiles(merged.filter("not sure"), count_near, "id long, n long", ["weight"], cells, against=merged, few=1)
+        found = probe.groupBy("id").agg(F.sum("n").alias("_n")).filter(F.col("_n") >= need)
+        merged = attach(merged, found, ["id"]).withColumn("sure", F.col("sure") | F.col("_n").isNotNull()).drop("_n")
+        merged = checkpointed(merged)
+    loose = merged.filter("not sure")
     counts = compare_tiles(loose, count_both, "id long, n long", ["weight"], cells, once=True).unionByName(
         compare_tiles(loose, count_near, "id long, n long", ["weight"], cells, against=merged.filter("sure"))
     )
@@ -378,7 +402,7 @@ def dbscan(
 
     def adopt(a, b, same):
         far = np.iinfo(np.int64).max
-        near = squared_distances(a.vec, b.vec) <= limit
+        near = within(a.vec, b.vec, limit)
         best = np.where(near, b.number[None, :], far).min(axis=1)
         return {"id": a.id[best < far], "border": best[best < far]}
 
@@ -402,6 +426,12 @@ def dbscan(
     return labelled, report
 
 
+def _crowded(points: DataFrame, cells: list[str]) -> bool:
+    """Whether the cells hold more than ``CROWDED`` points on average."""
+    rows = points.groupBy(*cells).count().agg(F.avg("count")).first()[0]
+    return (rows or 0) > CROWDED
+
+
 def _linked(core: DataFrame, cells: list[str], limit: float, width: float, lows: Column, highs: Column) -> DataFrame:
     """(id, label) of the core points: the smallest core id of the cluster."""
     node = [*cells, "_small", "_alone"]
@@ -416,21 +446,34 @@ def _linked(core: DataFrame, cells: list[str], limit: float, width: float, lows:
     core = checkpointed(attach(core, boxes.withColumnRenamed("id", "box").drop("vec"), key).select("id", "vec", "node", "box"))
 
     def corners(a, b, same):
-        least, most = _between_boxes(a.vec, b.vec)
-        one = a.node[:, None] == b.node[None, :]
-        u, v = _spanning_edges(a.node, b.node, same, (most <= limit) | one)
+        i, j = np.nonzero(_may_touch(a.vec, b.vec, limit))
+        least, most = _between_boxes(a.vec, b.vec, i, j)
+        near = a.node[:, None] == b.node[None, :]
+        near[i[most <= limit], j[most <= limit]] = True
+        u, v = _spanning_edges(a.node, b.node, same, near)
         root = dict(zip(u.tolist(), v.tolist()))
         of_a, of_b = (np.array([root.get(n, n) for n in t.node.tolist()]) for t in (a, b))
-        i, j = np.nonzero((least <= limit) & (most > limit) & (of_a[:, None] != of_b[None, :]))
+        open_ = (least <= limit) & (most > limit) & (of_a[i] != of_b[j])
+        i, j = i[open_], j[open_]
         return {
             "u": np.concatenate([u, a.id[i]]),
             "v": np.concatenate([v, b.id[j]]),
             "certain": np.arange(len(u) + len(i)) < len(u),
         }
 
-    found = checkpointed(compare_tiles(boxes, corners, "u long, v long, certain boolean", ["node"], cells, once=True))
-    certain = found.filter("certain").select("u", "v")
     ids = core.select(F.col("node").alias("id")).distinct()
+    schema = "u long, v long, certain boolean"
+    if _crowded(boxes, cells):
+        first = checkpointed(compare_tiles(boxes, corners, schema, ["node"], cells, few=2).filter("certain").select("u", "v"))
+        known = components(ids, first).withColumnsRenamed({"id": "node", "label": "_label"})
+        large = known.groupBy("_label").agg(F.count("*").alias("_many")).filter(F.col("_many") >= TILE)
+        known = attach(known, large, ["_label"]).select("node", F.when(F.col("_many").isNotNull(), F.col("_label")).alias("_label"))
+        labelled = checkpointed(attach(boxes, known, ["node"]))
+        found = compare_tiles(labelled, corners, schema, ["node"], cells, once=True, apart="_label")
+        found = checkpointed(found.unionByName(first.withColumn("certain", F.lit(True))))
+    else:
+        found = checkpointed(compare_tiles(boxes, corners, schema, ["node"], cells, once=True))
+    certain = found.filter("certain").select("u", "v")
     roots = components(ids, certain)
     held = boxes.select("id", F.col("node").alias("_n")).join(roots.select(F.col("id").alias("_n"), "label"), "_n")
     open_ = (
@@ -445,7 +488,7 @@ def _linked(core: DataFrame, cells: list[str], limit: float, width: float, lows:
     if not open_.isEmpty():
 
         def touch(a, b, same):
-            if (squared_distances(a.vec, b.vec) <= limit).any():
+            if within(a.vec, b.vec, limit).any():
                 return {"u": a.node[:1], "v": b.node[:1]}
 
         more = compare_tiles(core, touch, "u long, v long", ["node"], ["box"], near=open_)
@@ -466,27 +509,51 @@ def _with_cells(points: DataFrame, eps: float, most: int = 3) -> tuple[DataFrame
 # quality ---------------------------------------------------------------------------------------
 
 
+def _indicators(label: np.ndarray):
+    """The labels of a tile, and for a block of its points the columns of those present and which point has which."""
+    labels, inverse = np.unique(label, return_inverse=True)
+
+    def block(rows: slice) -> tuple[np.ndarray, np.ndarray]:
+        present, own = np.unique(inverse[rows], return_inverse=True)
+        indicator = np.zeros((len(own), len(present)))
+        indicator[np.arange(len(own)), own] = 1.0
+        return present, indicator
+
+    return labels, block
+
+
 def silhouette(points: DataFrame, id: str = "id", vec: str = "vec", label: str = "cluster") -> DataFrame:
     """Mean silhouette with Euclidean distances, exact: every unordered pair of tiles is compared once and
-    returns the summed distance of each point of either tile to each cluster of the other; the sums are
-    combined in the task before they are exchanged. The work grows with the square of the rows; for very large sets
+    returns the summed distance of each point of either tile to each cluster of the other. Tiles grow with the rows,
+    as the points that travel and the sums that return are in proportion to the pairs of tiles; they are compared
+    block by block, and their sums are combined in the task before they are exchanged. The work grows with the square of the rows; for very large sets
     ``silhouette_squared`` is the linear measure. Null unless 2 <= labels < rows."""
     data = points.select(F.col(id).alias("id"), F.col(vec).alias("vec"), F.col(label).cast("long").alias("label"))
     sizes = data.groupBy("label").agg(F.count("*").alias("_size"))
     schema = "id long, own long, label long, total double"
 
-    def towards(a, b, apart):
-        labels, inverse = np.unique(b.label, return_inverse=True)
-        onehot = np.zeros((len(b.id), len(labels)))
-        onehot[np.arange(len(b.id)), inverse] = 1.0
-        return np.repeat(a.id, len(labels)), np.repeat(a.label, len(labels)), np.tile(labels, len(a.id)), (apart @ onehot).ravel()
+    def flat(a, labels, sums):
+        return np.repeat(a.id, len(labels)), np.repeat(a.label, len(labels)), np.tile(labels, len(a.id)), sums.ravel()
 
     def sums(a, b, same):
-        apart = np.sqrt(squared_distances(a.vec, b.vec))
-        found = [towards(a, b, apart)] if same else [towards(a, b, apart), towards(b, a, apart.T)]
+        (labels_a, one_a), (labels_b, one_b) = (_indicators(t.label) for t in (a, b))
+        of_a, of_b = np.zeros((len(a.id), len(labels_b))), np.zeros((len(b.id), len(labels_a)))
+        for i in range(0, len(a.id), BLOCK):
+            for j in range(0, len(b.id), 2 * BLOCK):
+                p, q = slice(i, i + BLOCK), slice(j, j + 2 * BLOCK)
+                apart = distances(a.vec[p], b.vec[q])
+                present, indicator = one_b(q)
+                of_a[p, present] += apart @ indicator
+                if not same:
+                    present, indicator = one_a(p)
+                    of_b[q, present] += apart.T @ indicator
+        found = [flat(a, labels_b, of_a)] if same else [flat(a, labels_b, of_a), flat(b, labels_a, of_b)]
         return dict(zip(("id", "own", "label", "total"), map(np.concatenate, zip(*found))))
 
-    totals = compare_tiles(data, sums, schema, ["label"], once=True).groupBy("id", "own", "label").agg(F.sum("total").alias("_total"))
+    facts = sizes.agg(F.sum("_size"), F.count("*")).first()
+    tile = int(np.clip((facts[0] or 0) // 48, TILE, max(TILE, min(LARGE_TILE, MOST_SUMS // max(1, facts[1])))))
+    totals = compare_tiles(data, sums, schema, ["label"], once=True, tile=tile)
+    totals = totals.groupBy("id", "own", "label").agg(F.sum("total").alias("_total"))
     means = attach(totals, sizes, ["label"])
     mine = F.col("label") == F.col("own")
     per_point = means.groupBy("id").agg(
