@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vitalgrid.catalog import OUTLIER_SUFFIX, QUICK_TIMESTAMP_NAMES
 from vitalgrid.functions.expressions import nan_is_missing, numeric_columns, share
 from vitalgrid.operators.clean import timestamp_checks
-from vitalgrid.plans.series import Series, attach
+from vitalgrid.plans.series import Series, attach, max_series_rows
 from vitalgrid.plans.summaries import quantiles, with_quantiles
 
 
@@ -242,14 +243,23 @@ def quality_report(df: DataFrame, keys: list[str] = (), as_of=None) -> DataFrame
 @nan_is_missing
 def column_profile(df: DataFrame, order: list[str] | None = None, approx: bool = False) -> DataFrame:
     """One row per column: type, filled, empty, completeness, distinct values, a sample value
-    (the first row's by ``order``)."""
-    distinct = F.approx_count_distinct if approx else F.count_distinct
+    (the first row's by ``order``).
+
+    The sample is an aggregate of its own: beside it, distinct values would be sorted instead of hashed. A table with
+    more values than one task should hold is dealt to more tasks by row before the distinct values are taken."""
     facts = df.agg(
         F.count("*").alias("_rows"),
         *[F.count(c).alias(f"_filled_{c}") for c in df.columns],
-        *[distinct(F.col(c)).alias(f"_distinct_{c}") for c in df.columns],
         F.min_by(F.struct(*df.columns), F.struct(*(order or df.columns))).alias("_sample"),
     )
+    if approx:
+        distinct = df.agg(*[F.approx_count_distinct(c).alias(f"_distinct_{c}") for c in df.columns])
+    else:
+        pieces = df.count() * len(df.columns) // max_series_rows(df.sparkSession) + 1
+        plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+        dealt = df.repartition(pieces, F.xxhash64(*plain)) if pieces > 1 else df
+        distinct = dealt.agg(*[F.count_distinct(c).alias(f"_distinct_{c}") for c in df.columns])
+    facts = attach(facts, distinct, [])
     rows = F.col("_rows")
     profile = F.array(
         *[

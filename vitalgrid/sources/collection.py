@@ -184,9 +184,12 @@ def _text(spark: SparkSession, paths: list[str], whole: bool = False) -> DataFra
 
 
 def _csv(spark: SparkSession, paths: list[str], keys: list[str]) -> DataFrame:
-    """Lines under the header of their own file: the first line, and every line equal to it."""
+    """Lines under the header of their own file: the first line, and every line equal to it. The number of the first
+    line comes first: an aggregate that carries texts would sort all lines of a file's first block in one task."""
     lines = _text(spark, paths).filter(F.trim("raw") != "")
-    heads = lines.filter("block = 0").groupBy("path").agg(F.min_by("raw", "line").alias("head"))
+    first = lines.filter("block = 0").groupBy("path").agg(F.min("line").alias("line"))
+    heads = lines.join(F.broadcast(first), ["path", "line"]).select("path", F.col("raw").alias("head"))
+    heads = stored(heads, "collection-heads")
     commas = heads.agg(F.max(F.length("head") - F.length(F.replace("head", F.lit(","), F.lit(""))))).first()[0]
     fields = [f"c{i}" for i in range((commas or 0) + 1)]
     options = {"ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}
