@@ -583,3 +583,28 @@ def test_silhouette_in_large_tiles(spark, monkeypatch):
         b = min(apart[i][label == c].mean() for c in set(label) - {label[i]})
         scores.append(0.0 if mine.sum() == 1 else (b - a) / max(a, b))
     assert abs(cluster.silhouette(df).first()[0] - np.mean(scores)) < 1e-9
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_outliers_of_large_series_are_not_sorted(spark, small_slices):
+    """The rows of a large series do not meet their bounds in one task."""
+    df = spark.range(60).select((F.col("id") % 2).alias("k"), F.when(F.col("id") > 57, 900.0).otherwise(F.col("id") % 7).alias("v"))
+    flagged, _report = quality.flag_outliers(df, ["k"], ["v"])
+    assert "SortMergeJoin" not in _plan(flagged) and "BroadcastHashJoin" in _plan(flagged)
+    assert flagged.filter("v_is_outlier").count() == 2 and flagged.count() == 60
+
+
+def test_profile_does_not_sort_values(spark):
+    """Distinct values are hashed; with the sample in the same aggregate all values of a task were sorted."""
+    df = spark.createDataFrame([(1, "a", 0.0), (2, None, -0.0), (2, "b", 1.5)], "id int, t string, x double")
+    profile = quality.column_profile(df, ["id"])
+    assert "Sort " not in _plan(profile)
+    assert {r["column"]: (r["unique_values"], r["sample"]) for r in profile.collect()} == {"id": (2, "1"), "t": (2, "a"), "x": (2, "0.0")}
+
+
+def test_profile_in_pieces(spark, small_slices):
+    df = spark.range(40).select((F.col("id") % 9).alias("a"), F.col("id").cast("string").alias("b"))
+    assert [r["unique_values"] for r in quality.column_profile(df, ["b"]).collect()] == [9, 40]

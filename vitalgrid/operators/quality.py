@@ -9,8 +9,12 @@ from pyspark.sql import types as T
 from vitalgrid.catalog import OUTLIER_SUFFIX, QUICK_TIMESTAMP_NAMES
 from vitalgrid.functions.expressions import nan_is_missing, numeric_columns, share
 from vitalgrid.operators.clean import timestamp_checks
-from vitalgrid.plans.series import Series, attach, max_series_rows
+from vitalgrid.plans.series import Series, attach, has_large_series, max_series_rows
 from vitalgrid.plans.summaries import quantiles, with_quantiles
+from vitalgrid.session import checkpointed
+
+#: Most series whose bounds every task may hold.
+FEW_SERIES = 100_000
 
 
 @nan_is_missing
@@ -44,7 +48,13 @@ def flag_outliers(
     """Rows with a ``c_is_outlier`` flag per numeric column, and a report per series and column:
     count, percentage, bounds."""
     columns = columns if columns is not None else numeric_columns(df, exclude=keys)
+    if sliced is None:
+        sliced = not approx and has_large_series(df, keys, len(columns))
     bounds = iqr_bounds(df, keys, columns, approx, sliced)
+    if sliced:  # a join on the keys would sort all rows of a large series in one task
+        bounds = checkpointed(bounds)
+        if bounds.count() <= FEW_SERIES:
+            bounds = F.broadcast(bounds)
     flags = {f"{c}{OUTLIER_SUFFIX}": _outside(c) for c in columns}
     with_bounds = attach(df, bounds, keys).withColumns(flags)
     flagged = with_bounds.select(*df.columns, *flags)
