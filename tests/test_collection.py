@@ -122,3 +122,12 @@ def test_no_job_per_file(spark, tmp_path):
         jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"load-{n}")))
     spark.sparkContext.setJobGroup("tests", "")
     assert jobs[0] == jobs[1]
+
+
+def test_heads_without_sorting_lines(spark, tmp_path):
+    """The head of a CSV file is found by its line number; an aggregate of texts sorted all lines of the file's first block."""
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.csv").write_text(f"\nTime,Person,Heart Rate\n2024-01-01 00:00:00,{name},70\nTime,Person,Heart Rate\n2024-01-01 00:01:00,{name},71\n")
+    rows = collection._csv(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")], ["person"])
+    assert "SortAggregate" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r["person"], r["heart_rate"]) for r in rows.collect()) == [("a", 70.0), ("a", 71.0), ("b", 70.0), ("b", 71.0)]
