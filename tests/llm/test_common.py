@@ -1,5 +1,7 @@
+import gc
 import random
 import re
+import weakref
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +37,18 @@ def test_hash_depends_on_content_alone():
     assert len(set(by.values())) == len(by)
 
 
+def test_texts_and_words_are_freed_without_the_collector():
+    gc.disable()
+    try:
+        texts = Texts.of(pa.array(TEXTS))
+        words, alive = texts.words, [weakref.ref(texts), weakref.ref(texts.words), weakref.ref(texts.words.texts)]
+        assert len(words.hash) and words.texts.hashes(words.start, words.end).tolist() == texts.hashes(words.start, words.end).tolist()
+        del texts, words
+        assert [r() for r in alive] == [None] * 3
+    finally:
+        gc.enable()
+
+
 def test_sliced_arrays():
     whole = pa.array(TEXTS)
     assert Texts.of(whole.slice(3, 4)).words.per_text.tolist() == [0, 1, 4, 3]

@@ -86,17 +86,15 @@ class Texts:
         return len(self.bounds) - 1
 
     @cached_property
-    def _prefix(self) -> np.ndarray:
-        out = np.zeros(len(self.data) + 1, dtype=_U)
-        np.cumsum(_BYTE[self.data] * _power(_BASE, len(self.data), "up"), dtype=_U, out=out[1:])
-        return out
+    def _sums(self) -> "_Sums":
+        return _Sums(self.data)
 
     def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """64-bit hashes of byte spans; equal bytes give equal hashes wherever they stand."""
         if not len(start):
             return np.zeros(0, _U)
         down = _power(_BASE_INVERSE, len(self.data) + 1, "down")
-        raw = (self._prefix[end] - self._prefix[start]) * down[start]
+        raw = (self._sums.prefix[end] - self._sums.prefix[start]) * down[start]
         return mix(raw + (end - start).astype(_U))
 
     def counts(self, member: np.ndarray) -> np.ndarray:
@@ -121,7 +119,11 @@ class Texts:
 
     @cached_property
     def words(self) -> "Words":
-        return self.runs(_SPACE)
+        # of a twin: words that lead back to the texts that keep them would be a cycle, and stay in memory
+        # with all their arrays until the collector runs
+        twin = Texts(self.data, self.bounds)
+        twin._sums = self._sums
+        return twin.runs(_SPACE)
 
     def runs(self, outside: np.ndarray) -> "Words":
         """Like ``words``, with other bytes (a 256-entry table) between them."""
@@ -129,6 +131,19 @@ class Texts:
         return Words(self, start, end, doc, np.searchsorted(doc, np.arange(len(self) + 1)))
 
 
+@dataclass
+class _Sums:
+    """Running sums over all bytes, made when the first hash is asked for."""
+
+    data: np.ndarray
+
+    @cached_property
+    def prefix(self) -> np.ndarray:
+        out = np.zeros(len(self.data) + 1, dtype=_U)
+        np.cumsum(_BYTE[self.data] * _power(_BASE, len(self.data), "up"), dtype=_U, out=out[1:])
+        return out
+
+
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
