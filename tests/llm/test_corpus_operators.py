@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vitalgrid.llm import bagmin, decontaminate, html, kneser, language, pieces, quality, revisits, secrets, sharding
-from vitalgrid.llm.common import Texts, table
+from vitalgrid.llm.common import Texts, bloom, table
 from vitalgrid.llm.queries import ORACLES, PIECE_MODEL, QUERIES
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -190,6 +190,18 @@ def page_texts(spark, rows):
     return {r.page_id: r.text.split("\n") for r in html.extract(pages).collect()}
 
 
+def test_pages_to_mend_are_parsed_once_and_copies_get_the_texts_of_pairs(spark):
+    own = lambda i: " ".join(f"w{i}x{j}" for j in range(20))
+    rows = [(i, f"http://h{i % 2}.org/{i}", f"<p>one two three four five six seven</p><p>{own(i)}</p>") for i in range(8)]
+    found = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert {r.text for r in found.collect()} == {own(i) for i in range(8)}
+    steps = found._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    assert not any("html#" in s for s in steps if "finish(" in s)  # blocks travel to the join, not pages to parse again
+    texts = spark.createDataFrame([(i, f"text {i}") for i in range(1000)], "page long, text string")
+    kept = html._among(texts, bloom(texts.filter("page < 5"), "page")).collect()
+    assert {r.page for r in kept} >= set(range(5)) and len(kept) < 20
+
+
 def test_pages_keep_phrases_and_near_copies(spark):
     """Only whole blocks and long runs at block borders go, and only if pages that are no copies hold them."""
     random.seed(3)

@@ -225,6 +225,10 @@ class _Page:
     kept: list[int]
     marked: bool
 
+    @property
+    def text(self) -> str:
+        return "\n".join(self.blocks[i] for i in self.kept)
+
 
 def settled(page: str) -> _Page:
     """The blocks of a page, and which of them markup leaves as its text: those in article or main
@@ -333,9 +337,9 @@ def repeated_runs(pages: DataFrame) -> DataFrame:
 
 
 def _holders(pages: DataFrame, runs: np.ndarray) -> DataFrame:
-    """(page, marked, text, buckets, places) of the pages that hold a run of a Bloom filter: fingerprint,
-    kind, the text they may have, its min-hash bands, and (run, at, part) for each such run and block that
-    may go."""
+    """(raw, page, marked, text, buckets, places) of all pages: hash of host and html, fingerprint, and for those
+    that hold a run of a Bloom filter, else null, their kind, the text they may have, its min-hash bands, and
+    (run, at, part) for each such run and block that may go."""
     shared = pages.sparkSession.sparkContext.broadcast(runs)
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
@@ -350,27 +354,28 @@ def _holders(pages: DataFrame, runs: np.ndarray) -> DataFrame:
                 # a run of blocks that cannot go still tells what repeats
                 inside = [numbers[p][i] for i in range(a, b + 1) if i in numbers[p]] or [-1]
                 places.setdefault(p, set()).update((r, i, n) for i in inside)
-        if not places:
-            return None
         rows = sorted(places)
-        texts = pa.array(["\n".join(found[p].blocks[i] for i in found[p].kept) for p in rows], pa.string())
+        texts = pa.array([found[p].text if p in places else None for p in range(len(found))], pa.string())
+        buckets = dict(zip(rows, _buckets(Texts.of(texts.take(pa.array(rows, pa.int64()))), host[rows])))
+        held = [sorted(places[p]) if p in places else None for p in range(len(found))]
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(mark[rows]),
-                pa.array([found[p].marked for p in rows], pa.bool_()),
+                part.column("raw"),
+                pa.array(mark),
+                pa.array([p.marked for p in found], pa.bool_()),
                 texts,
-                pa.array(list(_buckets(Texts.of(texts), host[rows])), pa.list_(pa.int64())),
+                pa.array([buckets.get(p) for p in range(len(found))], pa.list_(pa.int64())),
                 pa.array(
-                    [[dict(zip(("run", "at", "part"), x)) for x in sorted(places[p])] for p in rows],
+                    [x and [dict(zip(("run", "at", "part"), y)) for y in x] for x in held],
                     pa.list_(pa.struct([("run", pa.int64()), ("at", pa.int64()), ("part", pa.int64())])),
                 ),
             ],
-            names=["page", "marked", "text", "buckets", "places"],
+            names=["raw", "page", "marked", "text", "buckets", "places"],
         )
 
     places = "array<struct<run:long,at:long,part:long>>"
     return over_texts(
-        pages, "html", work, f"page long, marked boolean, text string, buckets array<long>, places {places}"
+        pages, "html", work, f"raw long, page long, marked boolean, text string, buckets array<long>, places {places}"
     )
 
 
@@ -390,31 +395,47 @@ def _buckets(texts: Texts, host: np.ndarray) -> np.ndarray:
 
 def copies(holders: DataFrame) -> DataFrame:
     """(page, root) for pages (page, text, buckets) that belong to a group of near-copies. Links are
-    verified, from ``COPY`` of the shingles in common; groups are the connected components."""
-    bands = holders.select("page", F.explode("buckets").alias("bucket")).filter("bucket >= 0").distinct()
+    verified, from ``COPY`` of the shingles in common; groups are the connected components. Only the bands that
+    pages share, and texts of pages that share one, travel."""
+    bands = holders.select("page", F.explode("buckets").alias("bucket")).filter("bucket >= 0")
     shared = bands.groupBy("bucket").agg(F.min("page").alias("a"), F.max("page").alias("_hi")).filter("a < _hi")
+    shared = stored(shared, "copy-bands")
     pairs = bands.withColumnRenamed("page", "b").join(shared, "bucket").filter("a < b").select("a", "b").distinct()
-    texts = holders.select(F.col("page").alias("doc_id"), "text").dropDuplicates(["doc_id"])
-    links = stored(bagmin.verified(stored(pairs, "copy-pairs"), texts, COPY), "copies")
+    pairs = stored(pairs, "copy-pairs")
+    texts = _among(holders.select("page", "text"), bloom(pairs.select("a").union(pairs.select("b")), "a"))
+    texts = texts.withColumnRenamed("page", "doc_id").dropDuplicates(["doc_id"])
+    links = stored(bagmin.verified(pairs, texts, COPY), "copies")
     return bagmin.components(links).select(F.col("node").alias("page"), "root")
 
 
-def boilerplate(pages: DataFrame) -> DataFrame:
+def _among(texts: DataFrame, wanted: np.ndarray) -> DataFrame:
+    """The rows of (page, text) whose page may be in a Bloom filter."""
+    shared = texts.sparkSession.sparkContext.broadcast(wanted)
+
+    def work(part: pa.RecordBatch) -> pa.RecordBatch:
+        return part.filter(pa.array(maybe_in(shared.value, part.column("page").to_numpy().view(_U))))
+
+    return over_texts(texts, "text", work, "page long, text string")
+
+
+def boilerplate(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(page, gone): by fingerprint, the blocks of pages, and parts of blocks (at, part), that lie in runs
     which several pages of the host hold that are no copies of each other: ``SEVERAL``, or ``SEVERAL_MARKED``
-    to overrule article and main markup."""
+    to overrule article and main markup. And (raw, page) of all pages."""
     runs = stored(repeated_runs(pages), "runs")
-    holders = stored(_holders(pages, bloom(runs, "run")), "holders")
+    named = stored(_holders(pages, bloom(runs, "run")), "holders")
+    holders = named.filter("places is not null")
     places = holders.select("page", "marked", F.explode("places").alias("_p")).select("page", "marked", "_p.*").distinct()
     places = places.join(runs, "run").join(copies(holders), "page", "left").withColumn("root", F.coalesce("root", "page"))
     places = stored(places, "places")
     several = places.select("run", "root").distinct().groupBy("run").agg(F.count("*").alias("n")).filter(F.col("n") >= SEVERAL)
     gone = places.join(several, "run").filter((F.col("at") >= 0) & (~F.col("marked") | (F.col("n") >= SEVERAL_MARKED)))
-    return gone.groupBy("page").agg(F.collect_set(F.struct("at", "part")).alias("gone"))  # bounded by the page
+    gone = gone.groupBy("page").agg(F.collect_set(F.struct("at", "part")).alias("gone"))  # bounded by the page
+    return gone, named.select("raw", "page")
 
 
-def remaining(page: _Page, gone: list) -> str:
-    """Text of a page without the blocks, and beginnings and ends of blocks, of (at, part)."""
+def remaining(text: str, gone: list) -> str:
+    """A page's text without the blocks, and beginnings and ends of blocks, of (at, part)."""
     whole, head, tail = set(), {}, {}
     for at, part in gone:
         if part == 0:
@@ -424,13 +445,12 @@ def remaining(page: _Page, gone: list) -> str:
         else:
             tail[at] = max(tail.get(at, 0), -part)
     lines = []
-    for at, i in enumerate(page.kept):
-        text = page.blocks[i]
+    for at, block in enumerate(text.split("\n")):
         if at in head or at in tail:
-            tokens = _WORD.findall(text)
-            text = " ".join(tokens[head.get(at, 0) : max(head.get(at, 0), len(tokens) - tail.get(at, 0))])
-        if at not in whole and text:
-            lines.append(text)
+            tokens = _WORD.findall(block)
+            block = " ".join(tokens[head.get(at, 0) : max(head.get(at, 0), len(tokens) - tail.get(at, 0))])
+        if at not in whole and block:
+            lines.append(block)
     return "\n".join(lines)
 
 
@@ -446,35 +466,41 @@ def extract(pages: DataFrame) -> DataFrame:
     other columns are ignored, whatever their names.
     """
     rows = clean_columns(pages, {"page_id": "long", "url": "string", "html": "string"}).withColumn("host", F.xxhash64(host_of()))
-    found = stored(boilerplate(rows.select("host", "html")), "boilerplate")
-    shared = pages.sparkSession.sparkContext.broadcast(bloom(found, "page"))
-
-    def work(part: pa.RecordBatch) -> pa.RecordBatch:
+    rows = rows.withColumn("raw", F.xxhash64("host", "html"))
+    gone, named = boilerplate(rows.select("raw", "host", "html"))
+    found = stored(gone, "boilerplate")
+    # pages to mend are told by their raw hash, so that the last pass parses every page once
+    shared = pages.sparkSession.sparkContext.broadcast(bloom(named.join(found, "page", "left_semi"), "raw"))
+
+    def split(part: pa.RecordBatch, mend: bool) -> pa.RecordBatch:
+        return part.filter(pa.array(maybe_in(shared.value, part.column("raw").to_numpy().view(_U)) == mend))
+
+    def plain(part: pa.RecordBatch) -> pa.RecordBatch:
+        part = split(part, False)
+        texts = pa.array([p.text for p in _pages(part)], pa.string())
+        return pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), texts], names=["page_id", "url", "text"])
+
+    def parse(part: pa.RecordBatch) -> pa.RecordBatch:
+        part = split(part, True)
+        if not part.num_rows:
+            return None
         pages = _pages(part)
         mark = _marks(pages, part.column("host").to_numpy(zero_copy_only=False))
-        hit = maybe_in(shared.value, mark.view(_U)).tolist()
-        html = part.column("html").to_pylist()
         return pa.RecordBatch.from_arrays(
-            [
-                *[part.column(c) for c in ("page_id", "url")],
-                pa.array([None if h else remaining(p, []) for p, h in zip(pages, hit)], pa.string()),
-                pa.array([x if h else None for x, h in zip(html, hit)], pa.string()),
-                pa.array(mark),
-            ],
-            names=["page_id", "url", "text", "html", "page"],
+            [part.column("page_id"), part.column("url"), pa.array([p.text for p in pages], pa.string()), pa.array(mark)],
+            names=["page_id", "url", "text", "page"],
         )
 
-    parsed = over_texts(rows, "html", work, "page_id long, url string, text string, html string, page long")
-    none = F.array().cast("array<struct<at:long,part:long>>")
-    left = parsed.filter("text is null").join(found, "page", "left").withColumn("gone", F.coalesce("gone", none))
-
     def finish(part: pa.RecordBatch) -> pa.RecordBatch:
         gone = [[(g["at"], g["part"]) for g in x] for x in part.column("gone").to_pylist()]
-        texts = [remaining(p, g) for p, g in zip(_pages(part), gone)]
+        texts = [remaining(t, g) for t, g in zip(part.column("text").to_pylist(), gone)]
         return pa.RecordBatch.from_arrays(
             [part.column("page_id"), part.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"]
         )
 
-    done = parsed.filter("text is not null").select("page_id", "url", "text")
-    mended = over_texts(left.select("page_id", "url", "html", "gone"), "html", finish, "page_id long, url string, text string")
+    result = "page_id long, url string, text string"
+    done = over_texts(rows.drop("host"), "html", plain, result)
+    none = F.array().cast("array<struct<at:long,part:long>>")
+    left = over_texts(rows, "html", parse, f"{result}, page long").join(found, "page", "left").withColumn("gone", F.coalesce("gone", none))
+    mended = over_texts(left.drop("page"), "text", finish, result)
     return done.union(mended).withColumn("n_chars", F.char_length("text").cast("long"))
