@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vitalgrid.plans import collection as plan
+from vitalgrid.plans import series
 from vitalgrid.sources import collection
 
 
@@ -131,3 +132,20 @@ def test_heads_without_sorting_lines(spark, tmp_path):
     rows = collection._csv(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")], ["person"])
     assert "SortAggregate" not in rows._jdf.queryExecution().executedPlan().toString()
     assert sorted((r["person"], r["heart_rate"]) for r in rows.collect()) == [("a", 70.0), ("a", 71.0), ("b", 70.0), ("b", 71.0)]
+
+
+def test_tasks_hold_few_slices(spark, monkeypatch):
+    rows = spark.range(3000).selectExpr(
+        "'heart_rate' as data_type", "'p' as person", "'heart_rate' as metric",
+        "timestamp_seconds(1704067200 + id * 60) as timestamp", "'f' as source", "0L as block", "id as line", "60D + id % 5 as value",
+    )
+    whole = sorted(plan.preprocess(rows, ["person"]).data.collect())
+    monkeypatch.setattr(series, "SLICE_ROWS", 100)
+    spark.conf.set(series.MAX_ROWS_CONF, "8000")  # a series of 3,000 wide rows is large
+    try:
+        cut = series.Series.of(rows, ["person"], ["timestamp"], True).df
+        held = [r["count"] for r in cut.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(held) == 3000 and max(held) <= 600
+        assert sorted(plan.preprocess(rows, ["person"]).data.collect()) == whole
+    finally:
+        spark.conf.unset(series.MAX_ROWS_CONF)

@@ -30,7 +30,7 @@ from vitalgrid.catalog import (
 )
 from vitalgrid.functions.expressions import nan_to_null, share
 from vitalgrid.operators import align, anomaly, clean, cluster, features, forecast, missing, quality
-from vitalgrid.plans.series import Series, attach, has_large_series
+from vitalgrid.plans.series import Series, attach, has_large_series, spread
 from vitalgrid.plans.stages import Reports, Stage
 from vitalgrid.session import stored
 from vitalgrid.sources.collection import Loaded, column_bit
@@ -39,6 +39,8 @@ TS = "timestamp"
 ORDER = [TS, "source", "block", "line"]
 #: Types with a value a day, which are not resampled.
 DAILY = ["sleep"]
+#: How many values a row counts for when series are cut: rows carry texts, and a task holds them several times.
+WIDTH = 8
 
 
 def rules(spark: SparkSession) -> DataFrame:
@@ -93,14 +95,14 @@ def preprocess(
     """
     group = ["data_type", *keys, "metric"]
     rows = with_rules(nan_to_null(rows), "low", "high", "by_median")
-    sliced = has_large_series(rows, group)
+    sliced = has_large_series(rows, group, WIDTH)
     outside = F.coalesce((F.col("value") < F.col("low")) | (F.col("value") > F.col("high")), F.lit(False))
     clipped = F.when(F.col("value") < F.col("low"), F.col("low")).when(F.col("value") > F.col("high"), F.col("high"))
     checked = clean.drop_bad_timestamps(rows, TS, as_of, keep_null=True)
     checked = checked.withColumn("value", F.coalesce(clipped, F.col("value"))).drop("low", "high")
 
     timed = checked.filter(F.col(TS).isNotNull())
-    series = Series.of(timed, group, ORDER, sliced).with_columns(
+    series = Series.of(timed if sliced else spread(timed, group), group, ORDER, sliced).with_columns(
         {"_step": F.when(~F.col("by_median"), F.col("value")), "_middle": F.when(F.col("by_median"), F.col("value"))}
     )
     series = missing.median_fill(missing.interpolate_rows(series, ["_step"]), ["_middle"])
@@ -238,7 +240,7 @@ def model(
 
     return Models(
         {
-            "sliced": lambda m: has_large_series(main, group),
+            "sliced": lambda m: has_large_series(main, group, WIDTH),
             "matrix": matrix,
             "train": lambda m: forecast.training_frame(main, group, TS, "value", m.sliced),
             "fitted": lambda m: stored(fit(m.train, group, m.sliced), "models"),
@@ -317,7 +319,8 @@ def detect(aligned: DataFrame, keys: list[str], models: Models | None = None, th
     group = ["data_type", *keys]
     rows = with_rules(aligned, "is_main", "min_threshold", "max_threshold", "sustained")
     rows = rows.filter(F.col("is_main") | ~F.col("data_type").isin(*METRIC_COLUMN)).drop("is_main")
-    flagged = anomaly.flag_thresholds_by_rule(rows, [*group, "metric"], [TS], "value")
+    sliced = has_large_series(rows, [*group, "metric"], WIDTH)
+    flagged = anomaly.flag_thresholds_by_rule(rows, [*group, "metric"], [TS], "value", sliced)
     reports = {"threshold": "threshold_anomaly"}
     if models is not None:
         flagged = anomaly.flag_residuals(flagged, models.forecast, group, TS, "value", threshold_std)

@@ -5,7 +5,7 @@ value, the row before, the running position. A plain window keeps a whole series
 ``Series`` first counts rows per series (a pre-aggregated count over the key columns). While
 all series fit one task it uses plain windows: one exchange on the keys, shared by all windows
 that follow. Otherwise the table is range partitioned on (keys, order), so a long series is cut
-into slices of about ``max_rows`` rows; the cut table is written once to the shared folder;
+into slices of ``SLICE_ROWS`` rows at most (or ``max_rows``, if less); the cut table is written once to the shared folder;
 windows run inside a slice, and what must cross a cut (last known value, row counts) travels in
 one summary row per slice.
 """
@@ -23,6 +23,8 @@ from vitalgrid.session import stored
 
 MAX_ROWS_CONF = "spark.vitalgrid.maxSeriesRows"
 MAX_ROWS = 2_000_000
+#: Rows of one slice at most, also where a whole series may have more: a task sorts its rows several times.
+SLICE_ROWS = 100_000
 
 _HELPERS = ["_k", "_slice", "_at"]
 
@@ -226,7 +228,7 @@ def _cut(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     (partition in the high bits), ``_slice`` is the partition, ``_k`` the key as one value that
     compares equal on nulls. Rows equal in keys and order are ordered by a hash of the row; full
     copies, which are interchangeable, still spread by their input number."""
-    pieces = df.count() // max_series_rows(df.sparkSession) + 1
+    pieces = df.count() // min(max_series_rows(df.sparkSession), SLICE_ROWS) + 1
     plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
     sort = [*keys, *order, "_hash", "_copy"]
     laid = (
@@ -238,4 +240,6 @@ def _cut(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     )
     laid = stored(laid, "slices")
     key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
-    return laid.withColumns({"_k": key, "_slice": F.shiftright("_at", 33)})
+    laid = laid.withColumns({"_k": key, "_slice": F.shiftright("_at", 33)})
+    # with a number, adaptive execution does not put many slices into one task
+    return laid.repartition(2 * pieces, "_k", "_slice")
