@@ -539,6 +539,42 @@ def test_pieces_equal_the_library(documents, vocabulary):
     assert pieces.decode_texts(ids, bounds, vocabulary) == [t or "" for t in texts]
 
 
+class Counted:
+    """An array that counts the entries taken from it."""
+
+    def __init__(self, values):
+        self.values, self.taken = values, 0
+
+    def __getitem__(self, at):
+        self.taken += np.size(at)
+        return self.values[at]
+
+
+def test_pieces_look_up_only_edges_beside_merges():
+    """Any ranks, equal ones too: the merges of the heap, with two lookups for a merge."""
+    random.seed(7)
+    words = sorted({"".join(random.choices("abc", k=random.randint(2, 9))) for _ in range(300)})
+    scores = tuple(float(random.randrange(40)) for _ in words)
+    own = pieces.Vocabulary(tuple(words), scores, (1,) * len(words))
+    texts = ["".join(random.choices("abcd", [9, 9, 9, 1], k=random.randint(1, 60))) for _ in range(80)]
+    codes, bounds = np.array([ord(c) for c in "".join(texts)], np.int32), np.cumsum([0, *map(len, texts)])
+    start, row = pieces.edges(codes, own)
+    joined = "".join(texts)
+    want = [(i, words.index(joined[i:j])) for i in range(len(joined)) for j in range(i + 2, i + 10) if joined[i:j] in words and j <= len(joined)]
+    assert sorted(zip(start.tolist(), row.tolist())) == sorted(want)
+
+    at = np.zeros((8, len(codes)), np.uint16)
+    for i, r in want:
+        if i + len(words[r]) <= bounds[np.searchsorted(bounds, i, side="right")]:
+            at[len(words[r]) - 2, i] = r + 1
+    rank = np.append(pieces._NONE, own.rank).astype(np.int64)
+    counted = Counted(rank)
+    left = pieces._merge_short(at, counted, bounds[:-1], np.diff(bounds))
+    heap = np.concatenate([pieces._merge_long(at, rank, a, b) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())])
+    assert left.tolist() == heap.tolist() == pieces.merge(codes, bounds, own)[0].tolist()
+    assert counted.taken <= len(codes) + 2 * (len(codes) - len(left))
+
+
 def test_pieces_odd_rows(spark, vocabulary):
     docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate([*ODD_TEXTS, "a▁b"])], "doc_id long, text string, n_tokens string")
     found = pieces.decode(pieces.encode(docs, vocabulary), vocabulary).collect()

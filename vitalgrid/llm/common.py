@@ -219,23 +219,35 @@ def suffix_order(tokens: np.ndarray, depth: int) -> np.ndarray:
         used, rank = np.unique(tokens, return_inverse=True)
         rank, kinds = rank.astype(np.int64), len(used)
 
-    def shifted(by: int) -> np.ndarray:  # rank of the suffix ``by`` further on, 0 beyond the end
-        out = np.zeros(n, np.int64)
-        out[: n - by] = rank[by:] + 1
-        return out
-
-    # as many tokens as fit in one number make the first prefixes
-    bits = int(kinds).bit_length()
-    length = max(1, min(depth, 62 // bits))
-    key = np.zeros(n, np.int64)
-    for j in range(length):
-        key = (key << bits) | (shifted(j) if j < n else 0)
+    # as many tokens as fit in one number beside the position make the first prefixes
+    bits, place = int(kinds).bit_length(), int(n).bit_length()
+    length = max(1, min(depth, (63 - place) // bits))
+    first = rank + 1  # 0 beyond the end
+    key = first.copy()
+    for j in range(1, length):
+        key <<= bits
+        if j < n:
+            key[:-j] |= first[j:]
     while length < depth:
-        _, rank = np.unique(key, return_inverse=True)
+        order, key = _sorted(key, place)
+        rank = np.zeros(n, np.int64)
+        rank[order[1:]] = np.cumsum(key[1:] != key[:-1])
         step = min(length, depth - length)
-        key = rank * (n + 1) + (shifted(step) if step < n else 0)
+        key = rank * (n + 1)
+        if step < n:
+            key[:-step] += rank[step:] + 1
         length += step
-    return np.argsort(key, kind="stable")
+    return _sorted(key, place)[0]
+
+
+def _sorted(key: np.ndarray, place: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions in the order of their keys, equal keys by position, and the sorted keys. Keys that leave
+    ``place`` bits for the position are sorted with it in one number."""
+    if int(key.max()) >> (63 - place):
+        order = np.argsort(key, kind="stable")
+        return order, key[order]
+    both = np.sort((key << place) | np.arange(len(key)))
+    return both & ((1 << place) - 1), both >> place
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

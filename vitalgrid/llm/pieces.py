@@ -3,10 +3,11 @@
 The distinct segments of a batch of texts (a run of spaces and what follows up to the next space; no
 piece of a vocabulary reaches across) stand one after the other as one text. Its suffix array, cut at
 the longest piece, is built by prefix doubling; every piece is binary-searched for the range of
-suffixes that begin with it, and the ranges give all edges (start, length, piece). Edges are laid out
-by start position and relaxed: in every round each segment applies its best open edge, that is, the
-best-ranked piece made of two neighbouring symbols, the leftmost of equals, until none is left. These
-are the merges of the reference encoder, done for all segments at once.
+suffixes that begin with it, many characters to a number, and the ranges give all edges (start, length,
+piece). Edges are laid out by start position and relaxed: in every round each segment applies its best
+open edge, that is, the best-ranked piece made of two neighbouring symbols, the leftmost of equals,
+until none is left; only the edges beside a merge are looked up again. These are the merges of the
+reference encoder, done for all segments at once.
 
 Spaces are written as U+2581, which therefore decodes to a space, as in the reference encoder.
 """
@@ -117,34 +118,69 @@ def _range(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
     return np.repeat(begin - first, length) + np.arange(int(length.sum()))
 
 
+def _packed(codes: np.ndarray, bits: int, length: int) -> np.ndarray:
+    """The first ``length`` of the last axis as one number, ``bits`` each."""
+    out = np.zeros(codes.shape[:-1], np.int64)
+    for j in range(length):
+        out = (out << bits) | codes[..., j]
+    return out
+
+
 def edges(codes: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """All occurrences of the pieces of two characters or more: start position and row in
     ``vocabulary.long_ids``."""
     table, length = vocabulary.table
     width = table.shape[1]
-    order = suffix_order(codes, width)
-    padded = np.concatenate([codes, np.full(width, -1, codes.dtype)])
-    column = np.arange(width)
-    inside = column < length[:, None]
-
-    def bound(after: bool) -> np.ndarray:
-        low, high = np.zeros(len(table), np.int64), np.full(len(table), len(order), np.int64)
-        rows = np.arange(len(table))
-        while len(rows):
-            middle = (low[rows] + high[rows]) >> 1
-            text, piece = padded[order[middle][:, None] + column], table[rows]
-            differs = (text != piece) & inside[rows]
-            at = differs.argmax(axis=1)[:, None]
-            same = ~np.take_along_axis(differs, at, 1)[:, 0]
-            less = (np.take_along_axis(text, at, 1) < np.take_along_axis(piece, at, 1))[:, 0] & ~same
-            ahead = less | (same & after)
-            low[rows[ahead]] = middle[ahead] + 1
-            high[rows[~ahead]] = middle[~ahead]
-            rows = rows[low[rows] < high[rows]]
-        return low
-
-    first, last = bound(False), bound(True)
-    return order[_range(first, last - first)], np.repeat(np.arange(len(table)), last - first)
+    if not len(table) or not len(codes):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    # characters by number from 1, 0 for the end; pieces with other characters stand nowhere
+    used = np.flatnonzero(np.bincount(codes))
+    number = np.zeros(int(used[-1]) + 2, np.int64)
+    number[used] = np.arange(1, len(used) + 1)
+    pieces = number[np.minimum(table, len(number) - 1)]
+    rows = np.flatnonzero((pieces > 0).sum(axis=1) == length)
+    pieces, size = pieces[rows], length[rows]
+    bits = int(len(used)).bit_length()
+    step = 62 // bits
+    text = np.zeros(len(codes) + width + step, np.int64)
+    text[: len(codes)] = number[codes]
+    order = suffix_order(text[: len(codes)], width)
+    windows = np.lib.stride_tricks.sliding_window_view(text, step)
+    packed = _packed(windows[: len(codes) + width], bits, step)
+
+    low, high = np.zeros(len(rows), np.int64), np.full(len(rows), len(order), np.int64)
+    for begin in range(0, width, step):  # the suffixes of low:high have the first ``begin`` characters
+        some = np.flatnonzero((size > begin) & (low < high))
+        part = np.zeros((len(some), step), np.int64)
+        have = pieces[some, begin : begin + step]
+        part[:, : have.shape[1]] = have
+        least = _packed(part, bits, step)
+        most = least | ((np.int64(1) << (bits * np.maximum(begin + step - size[some], 0))) - 1)
+        if not begin:
+            ahead, turn = packed[order], np.argsort(least)
+            low[some[turn]] = np.searchsorted(ahead, least[turn])
+            high[some[turn]] = np.searchsorted(ahead, most[turn], side="right")
+        else:
+            first, last = low[some], high[some]
+            low[some] = _bisect(packed, order, begin, first, last, least)
+            high[some] = _bisect(packed, order, begin, first, last, most + 1)
+    found = np.maximum(high - low, 0)
+    return order[_range(low, found)], np.repeat(rows, found)
+
+
+def _bisect(
+    packed: np.ndarray, order: np.ndarray, by: int, low: np.ndarray, high: np.ndarray, value: np.ndarray
+) -> np.ndarray:
+    """The first places of order[low:high] from which the numbers ``by`` further on are not below the values."""
+    low, high = low.copy(), high.copy()
+    rows = np.flatnonzero(low < high)
+    while len(rows):
+        middle = (low[rows] + high[rows]) >> 1
+        less = packed[order[middle] + by] < value[rows]
+        low[rows[less]] = middle[less] + 1
+        high[rows[~less]] = middle[~less]
+        rows = rows[low[rows] < high[rows]]
+    return low
 
 
 _NONE = np.iinfo(np.int32).max
@@ -153,44 +189,72 @@ _NONE = np.iinfo(np.int32).max
 def merge(codes: np.ndarray, bounds: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """Symbols of segments bounds[i]:bounds[i + 1] of ``codes`` after all merges: start positions, and
     ids (-1 for a single character)."""
-    width = vocabulary.width
     start, row = edges(codes, vocabulary)
     length = vocabulary.table[1][row]
     fits = start + length <= np.repeat(bounds[1:], np.diff(bounds))[start]
-    at = np.full((len(codes), width - 1), -1, np.int32)  # by position and length: the edge's piece
-    at[start[fits], length[fits] - 2] = vocabulary.long_ids[row[fits]]
-    rank = np.append(vocabulary.rank, _NONE).astype(np.int64)  # index -1: no edge
+    start, row, length = start[fits], row[fits], length[fits]
+    # by length and position: the edge's row + 1, or 0
+    kind = np.uint16 if len(vocabulary.long_ids) < 1 << 16 else np.uint32
+    at = np.zeros((int(length.max(initial=2)) - 1, len(codes)), kind)
+    at[length - 2, start] = row + 1
+    rank = np.concatenate([[_NONE], vocabulary.rank[vocabulary.long_ids]]).astype(np.int64)
 
     size = np.diff(bounds)
     done = []
     for i in np.flatnonzero(size > LONG):
         done.append(_merge_long(at, rank, int(bounds[i]), int(bounds[i + 1])))
-    segment = np.repeat(np.arange(len(size)), np.where(size > LONG, 0, size))
-    symbol = _range(bounds[:-1], np.where(size > LONG, 0, size))
-    while len(symbol):
-        n = len(symbol)
-        last = bounds[segment + 1]
-        same1 = np.zeros(n, bool)
-        same1[:-1] = segment[1:] == segment[:-1]
-        end2 = last.copy()
-        if n > 2:
-            same2 = segment[2:] == segment[:-2]
-            end2[:-2] = np.where(same2, symbol[2:], last[:-2])
-        span = end2 - symbol
-        open_ = same1 & (span <= width)
-        order = np.full(n, _NONE, np.int64)
-        order[open_] = rank[at[symbol[open_], span[open_] - 2]]
-        first = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1]]))
-        best = np.minimum.reduceat((order << 32) | np.arange(n), first)
-        going = (best >> 32) < _NONE
-        active = np.repeat(going, np.diff(np.append(first, n)))
-        done.append(symbol[~active])
-        keep = active
-        keep[(best[going] & 0xFFFFFFFF) + 1] = False  # the right-hand symbol joins the left one
-        symbol, segment = symbol[keep], segment[keep]
+    limit = 1
+    while limit <= LONG:  # segments of like lengths, which end after like numbers of rounds
+        some = np.flatnonzero((size >= limit) & (size < 2 * limit) & (size <= LONG))
+        if len(some):
+            done.append(_merge_short(at, rank, bounds[some], size[some]))
+        limit *= 2
     symbol = np.sort(np.concatenate(done)) if done else np.zeros(0, np.int64)
     span = np.diff(np.append(symbol, len(codes)))
-    return symbol, np.where(span > 1, at[symbol, np.maximum(span - 2, 0)], -1)
+    found = np.full(len(symbol), -1, np.int64)
+    merged = span > 1
+    found[merged] = vocabulary.long_ids[at[span[merged] - 2, symbol[merged]].astype(np.int64) - 1]
+    return symbol, found
+
+
+def _merge_short(at: np.ndarray, rank: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The symbols that are left of short segments: in every round each segment merges its best open edge."""
+    width = len(at) + 1
+    stop = np.cumsum(size + 1)  # every segment has one more place, its end
+    first, total = stop - size - 1, int(stop[-1])
+    beyond = total + width  # what follows an end, too far for any edge
+    after, before = np.arange(1, beyond + 2), np.arange(-1, total - 1)
+    after[stop - 1] = after[beyond] = beyond
+    place = _range(begin, size + 1)  # in ``at``; ends have no edges
+    key = np.full(total, _NONE << 32, np.int64)  # rank of the edge that opens at a symbol, and the symbol
+    alive = np.ones(total, bool)
+    alive[stop - 1] = False
+
+    flat, rows = at.ravel(), at.shape[1]
+
+    def look(i: np.ndarray) -> None:
+        span = after[after[i]] - i
+        near = np.flatnonzero(span <= width)
+        i, span = i[near], span[near]
+        key[i] = (rank[flat[(span - 2) * rows + place[i]]] << 32) | i
+
+    look(np.arange(total))
+    while True:
+        best = np.minimum.reduceat(key, first)
+        left = best[best < _NONE << 32] & 0xFFFFFFFF
+        if not len(left):
+            break
+        gone = after[left]  # the right-hand symbol joins the left one
+        alive[gone] = False
+        key[gone] = key[left] = _NONE << 32
+        after[left] = after[gone]
+        before[after[left]] = left
+        beside = before[left]
+        beside = beside[beside >= 0]
+        key[beside] = _NONE << 32
+        look(left)
+        look(beside)
+    return place[alive]
 
 
 def _merge_long(at: np.ndarray, rank: np.ndarray, begin: int, end: int) -> np.ndarray:
@@ -199,12 +263,12 @@ def _merge_long(at: np.ndarray, rank: np.ndarray, begin: int, end: int) -> np.nd
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
     alive = [True] * n
     heap: list[tuple[int, int, int]] = []
-    width = at.shape[1] + 1
+    width = len(at) + 1
 
     def push(i: int) -> None:
         middle = after[i]
         if middle < n and after[middle] - i <= width:
-            order = int(rank[at[begin + i, after[middle] - i - 2]])
+            order = int(rank[at[after[middle] - i - 2, begin + i]])
             if order < _NONE:
                 heapq.heappush(heap, (order, i, after[middle]))
 
