@@ -5,6 +5,7 @@ import html as reference_html
 import math
 import random
 import re
+import sys
 import zlib
 from collections import Counter, defaultdict
 
@@ -259,6 +260,32 @@ def test_pages_in_wrappers_with_noise_names(opening):
     assert text(f"<article>{inner}{comments}</article>{comments}") == want
 
 
+def test_pages_of_nested_elements_are_parsed_in_proportion():
+    def steps(depth):
+        page, count = "<div>" * depth + "text" + "</div>" * depth, 0
+
+        def step(*_):
+            nonlocal count
+            count += 1
+
+        sys.setprofile(step)
+        try:
+            found = html.blocks(page)
+        finally:
+            sys.setprofile(None)
+        assert found == [(html.PLAIN, "text")]
+        return count
+
+    assert steps(400) < 2.5 * steps(200)
+
+
+def test_pages_white_space():
+    random.seed(9)
+    for _ in range(500):
+        text = "".join(random.choices(" ab\n\t\xa0\x85\x1f\u2003\u2028\u3000\u200b\xad", [30, 9, 9, *[1] * 10], k=random.randint(0, 12)))
+        assert [t for _, t in html.blocks(f"<p>{text}</p>")] == [t for t in [" ".join(text.split())] if t]
+
+
 def test_pages_without_markup(spark):
     menu, foot = "<div>Home News About Contact Us Today</div>", "<div>Copyright by Site All Rights Reserved 2020</div>"
     rows = [

@@ -51,15 +51,21 @@ _NOISE_NAMES = set(
     "social related promo promotion sponsor sponsored newsletter subscribe subscription popup modal widget masthead "
     "toolbar pagination pager signup login search skip copyright alert".split()
 )
+# tags that tell something without any attributes
+_SPEAKING = _NOISE_TAGS | {"header", "article", "main"}
 _ARTICLE_ROLES = {"main", "article"}
 _COMMENT_NAMES = set("comment comments respond disqus".split())
 # words that make a class name speak of what is or isn't beside the element
 _BESIDE = set("no non not has have with without".split())
 # end of fixed values
 
-_PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _NAME = re.compile(r"[a-z0-9]+")
+# no other attributes tell anything about an element
+_TELLING = re.compile("class|id|role|itemprop|hidden|style", re.I)
+_RAW_END = {tag: re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I) for tag in _RAW}
+_ENDED_BY_LIKE = set("li dt dd tr td th".split())
 
 NOISE, PLAIN, MAIN, ARTICLE = 0, 1, 2, 3
 _U = np.uint64
@@ -79,12 +85,15 @@ class _Named:
     blocks: int = 0
 
 
-@dataclass
+@dataclass(slots=True)
 class _Open:
+    """An open element: the zone inside, whether it or one around it is noise, and the named elements up to it."""
+
     tag: str
     noise: bool
     zone: int
-    named: _Named | None = None
+    own: _Named | None
+    named: tuple[_Named, ...]
 
 
 def _noise_names(value: str) -> set[str]:
@@ -97,13 +106,13 @@ def _noisy(tag: str, attributes: str, zone: int) -> tuple[bool, int, _Named | No
     """Whether an element's content is no article text, the zone it opens, and whether its names alone
     speak against it."""
     named = None
-    opened = {"article": ARTICLE, "main": MAIN}.get(tag, zone)
+    opened = ARTICLE if tag == "article" else MAIN if tag == "main" else zone
     if tag in _NOISE_TAGS or (tag == "header" and zone == PLAIN):
         return True, opened, None
-    if not attributes.strip() or tag in ("html", "body"):
+    if tag in ("html", "body") or not _TELLING.search(attributes):
         return False, opened, None
-    for name, *values in _ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), "".join(values).lower()
+    for name, double, single, bare in _ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), (double or single or bare).lower()
         if name == "role" and value in _ARTICLE_ROLES:
             opened = max(opened, MAIN)
         elif name == "itemprop" and value == "articlebody":
@@ -120,6 +129,12 @@ def _noisy(tag: str, attributes: str, zone: int) -> tuple[bool, int, _Named | No
     return False, opened, named
 
 
+def _single_spaced(text: str) -> str:
+    """Text trimmed, with one space for each run of white space."""
+    # white space other than U+0020 isn't printable
+    return text.strip(" ") if "  " not in text and text.isprintable() else " ".join(text.split())
+
+
 def blocks(page: str) -> list[tuple[int, str]]:
     """(zone, text) of the page's text blocks in order, white space single, references decoded.
 
@@ -129,68 +144,84 @@ def blocks(page: str) -> list[tuple[int, str]]:
     found: list[tuple[int, bool, tuple[_Named, ...], str]] = []
     words: list[str] = []
     stack: list[_Open] = []
-    zone, noise, named = PLAIN, False, ()
+    base = _Open("", False, PLAIN, None, ())
+    inside = base  # the innermost open element
+    inlines = False  # whether an inline element was ever put on the stack
 
     def close() -> None:
-        text = " ".join("".join(words).split())
-        if text:
-            found.append((zone, noise, named, text))
-        words.clear()
-
-    def state() -> None:
-        nonlocal zone, noise, named
-        zone = stack[-1].zone if stack else PLAIN
-        noise = any(x.noise for x in stack)
-        named = tuple(x.named for x in stack if x.named)
-
-    at = 0
-    while True:
-        m = _PIECE.search(page, at)
-        words.append(unescape(page[at : m.start() if m else len(page)]))
-        if not m:
-            break
-        at = m.end()
-        tag = (m.group(2) or "").lower()
+        if words:
+            text = _single_spaced(words[0] if len(words) == 1 else "".join(words))
+            if text:
+                found.append((inside.zone, inside.noise, inside.named, text))
+            words.clear()
+
+    at, pieces = 0, _PIECE.finditer(page)
+    while m := next(pieces, None):
+        start, end = m.span()
+        if start > at:
+            words.append(unescape(page[at:start]))
+        at = end
+        closing, tag, attributes = m.groups()
         if not tag:
             continue  # a comment or declaration
+        tag = tag.lower()
         if tag == "br":
             words.append(" ")
             continue
-        if m.group(1):
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag), None)
-            if tag not in _INLINE:
+        inline = tag in _INLINE
+        if closing:
+            if inline and not inlines:
+                continue
+            if not inline:
                 close()
-            if depth is not None:
-                if tag in _INLINE:
+            if inside.tag == tag:
+                depth = len(stack) - 1
+            else:
+                depth = len(stack) - 2
+                while depth >= 0 and stack[depth].tag != tag:
+                    depth -= 1
+            if depth >= 0:
+                if inline:
                     close()
                 del stack[depth:]
-                state()
+                inside = stack[-1] if stack else base
             continue
         if tag in _RAW:
-            end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            shut = _RAW_END[tag].search(page, at)
+            at = shut.end() if shut else len(page)
+            pieces = _PIECE.finditer(page, at)
             continue
-        is_noise, opened, names = _noisy(tag, m.group(3) or "", zone)
-        if tag in _INLINE or tag in _VOID:
+        if not attributes and tag not in _SPEAKING:
+            if inline:
+                continue
+            is_noise, opened, names = False, inside.zone, None
+        else:
+            is_noise, opened, names = _noisy(tag, attributes, inside.zone)
+        if inline or tag in _VOID:
             if tag == "hr":
                 close()
             if (is_noise or names) and tag not in _VOID:
                 close()
-                stack.append(_Open(tag, is_noise, zone, names))
-                state()
+                named = (*inside.named, names) if names else inside.named
+                inside = _Open(tag, inside.noise or is_noise, inside.zone, names, named)
+                stack.append(inside)
+                inlines = inlines or inline
             continue
         close()
-        while stack and (stack[-1].tag == "p" or (stack[-1].tag == tag and tag in ("li", "dt", "dd", "tr", "td", "th"))):
+        outer = inside
+        while stack and (inside.tag == "p" or (inside.tag == tag and tag in _ENDED_BY_LIKE)):
             stack.pop()
-        if not (m.group(3) or "").rstrip().endswith("/"):
-            parent = stack[-1].zone if stack else PLAIN
-            stack.append(_Open(tag, is_noise, max(opened, parent), names))
-            if opened > parent and not is_noise and not noise:
-                for x in stack[:-1]:
-                    if x.named:
-                        x.named.main |= opened == MAIN
-                        x.named.article = True
-        state()
+            inside = stack[-1] if stack else base
+        if not attributes or not attributes.rstrip().endswith("/"):
+            if opened > inside.zone and not is_noise and not outer.noise:
+                for x in inside.named:
+                    x.main |= opened == MAIN
+                    x.article = True
+            named = (*inside.named, names) if names else inside.named
+            inside = _Open(tag, inside.noise or is_noise, max(opened, inside.zone), names, named)
+            stack.append(inside)
+    if at < len(page):
+        words.append(unescape(page[at:]))
     close()
     return _refuted(found)
 
@@ -198,20 +229,26 @@ def blocks(page: str) -> list[tuple[int, str]]:
 def _refuted(found: list[tuple[int, bool, tuple[_Named, ...], str]]) -> list[tuple[int, str]]:
     """(zone, text) of blocks (zone, noise, named elements around, text)."""
     total = 0
+    around: dict[int, _Named] = {}
     for _, noise, named, text in found:
         if not noise:
             total += len(text)
-            for x in named:
+        for x in named:
+            around[id(x)] = x
+            if not noise:
                 x.size += len(text)
                 x.blocks += 1
+    if not around:
+        return [(NOISE if noise else zone, text) for zone, noise, _, text in found]
 
-    def stands(x: _Named) -> bool:
-        return not (x.main or (x.size * 2 > total and x.blocks > 1 and not x.comments))
-
-    open_text = any(zone > PLAIN and not noise and not any(map(stands, named)) for zone, noise, named, _ in found)
+    stand = {i for i, x in around.items() if not (x.main or (x.size * 2 > total and x.blocks > 1 and not x.comments))}
+    open_text = any(
+        zone > PLAIN and not noise and not (named and any(id(x) in stand for x in named)) for zone, noise, named, _ in found
+    )
     out = []
     for zone, noise, named, text in found:
-        noise = noise or any(stands(x) and (open_text or not x.article or x.comments) for x in named)
+        if named and not noise:
+            noise = any(id(x) in stand and (open_text or not x.article or x.comments) for x in named)
         out.append((NOISE if noise else zone, text))
     return out
 
@@ -234,9 +271,10 @@ def settled(page: str) -> _Page:
     """The blocks of a page, and which of them markup leaves as its text: those in article or main
     elements if there are any, else all but what is noise."""
     found = blocks(page)
-    best = max((z for z, _ in found), default=NOISE)
+    zones = [z for z, _ in found]
+    best = max(zones, default=NOISE)
     least = MAIN if best > PLAIN else PLAIN
-    return _Page([t for _, t in found], [i for i, (z, _) in enumerate(found) if z >= least], best > PLAIN)
+    return _Page([t for _, t in found], [i for i, z in enumerate(zones) if z >= least], best > PLAIN)
 
 
 def _pages(part: pa.RecordBatch) -> list[_Page]:
